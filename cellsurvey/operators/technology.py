@@ -63,8 +63,8 @@ def known_technology(df: DataFrame, col: str = "tech_version") -> DataFrame:
 
 
 def technology_of_url(url: Column) -> Column:
-    """Technology from the path of a file url; '' when the path names none."""
-    return lookup(F.parse_url(url, F.lit("PATH")), fixed.URL_TECHNOLOGIES, "")
+    """Technology from the path of a file url; '' when the path names none, NULL without a url."""
+    return F.when(url.isNotNull(), lookup(F.parse_url(url, F.lit("PATH")), fixed.URL_TECHNOLOGIES, ""))
 
 
 def chemistry(runs: DataFrame, lengths_col: str = "read_lengths") -> DataFrame:
