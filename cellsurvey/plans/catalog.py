@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from cellsurvey.plans import catalog_meta, catalog_qc  # noqa: F401
+from cellsurvey.plans import catalog_meta, catalog_qc, catalog_summary  # noqa: F401
 from cellsurvey.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
