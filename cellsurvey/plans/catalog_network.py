@@ -10,6 +10,7 @@ from cellsurvey.plans import bindings as b
 from cellsurvey.plans.bindings import Tables
 from cellsurvey.plans.oracle_views import BASE
 from cellsurvey.plans.registry import query, rounded
+from cellsurvey.session import durable
 
 _PAIRS = """
 vec AS (SELECT 'P1' AS proj_id, vec_id AS node, CAST(embedding AS DOUBLE[]) AS f, label FROM embeddings),
@@ -107,7 +108,7 @@ FROM cv JOIN nul USING (term)"""
 def egad(t: Tables) -> DataFrame:
     """Neighbour voting on the kNN network."""
     v = b.vectors(t)
-    edges = network.symmetric_edges(network.nearest_neighbours(v))
+    edges = durable(network.symmetric_edges(network.nearest_neighbours(v)))
     nodes = v.select("proj_id", F.col("cell_id").alias("node"))
     return rounded(network.neighbour_voting(edges, nodes, _members(t)).drop("proj_id"), "auc", "avg_node_degree", "degree_null_auc", "p_value")
 
