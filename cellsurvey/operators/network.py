@@ -391,14 +391,19 @@ def components_with_basis(values: DataFrame, k: int, rounds: int = 8, extra: int
     )
     schema = f"proj_id string, gene_id {gene_type}, v array<double>, s array<double>"
 
+    def filled(column: pd.Series) -> np.ndarray:
+        """Rows as a matrix; a project with few genes has fewer directions, the rest is empty."""
+        m = np.array([np.asarray(r, dtype=float) for r in column])
+        return m[:, ~np.isnan(m).any(0)]
+
     def orthogonal(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("gene_id")
-        q, _ = np.linalg.qr(np.stack(pdf["z"].to_numpy()))
+        q, _ = np.linalg.qr(filled(pdf["z"]))
         return pd.DataFrame({"proj_id": key[0], "gene_id": pdf["gene_id"].to_numpy(), "v": list(q), "s": [np.zeros(0)] * len(pdf)})
 
     def rotated(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("gene_id")
-        v, z = np.stack(pdf["v"].to_numpy()), np.stack(pdf["z"].to_numpy())
+        v, z = filled(pdf["v"]), filled(pdf["z"])
         small = v.T @ z
         lam, w = np.linalg.eigh((small + small.T) / 2)
         order = np.argsort(-lam)[:min(k, len(pdf))]
