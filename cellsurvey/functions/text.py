@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 from cellsurvey.functions.fixed_values import SPECIES
 
 
-def mentions(text: Column, phrases: Sequence[str]) -> Column:
-    """True when the text holds any phrase, letter case ignored.
+def mentions(low: Column, phrases: Sequence[str]) -> Column:
+    """True when the lower-cased text holds any phrase, letter case ignored.
 
-    Plain substring search on the lower-cased text; the phrases hold no pattern characters, so
-    this equals a case-insensitive alternation and is much cheaper than a regex on long texts.
+    Plain substring search; the phrases hold no pattern characters, so this equals a case-insensitive
+    alternation and is much cheaper than a regex on long texts. The caller lowers the text once, in a
+    projection of its own.
     """
-    low = F.lower(text)
     hit = F.lit(False)
     for phrase in dict.fromkeys(p.lower() for p in phrases):
         hit = hit | F.contains(low, F.lit(phrase))

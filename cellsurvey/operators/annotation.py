@@ -149,15 +149,20 @@ def marker_statistics(cpm: DataFrame, labels: DataFrame) -> DataFrame:
     sizes = labels.groupBy("proj_id", "group", "cell_type").agg(F.count(F.lit(1)).alias("n_in"))
     group_sizes = sizes.groupBy("proj_id", "group").agg(F.sum("n_in").alias("n_all"))
     group = ["proj_id", "group", "gene_id"]
-    values = cpm.join(labels, CELL).groupBy(*group, "cell_type", "cpm").agg(F.count(F.lit(1)).alias("n"))
-    ranks = _value_ranks(values, group)
-    inside = (
-        values.join(ranks, [*group, "cpm"])
-        .groupBy(*group, "cell_type")
-        .agg(F.sum("n").alias("hits"), F.sum(F.col("n") * F.col("rank")).alias("ranks"),
-             F.sum(F.col("n") * F.col("cpm")).alias("sum_in"))
+    hist = (
+        cpm.join(labels, CELL).groupBy(*group, "cpm", "cell_type").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*group, "cpm")  # one entry per cell type
+        .agg(F.sum("n").alias("n"), F.collect_list(F.struct("cell_type", F.col("n").alias("hits"))).alias("types"))
     )
-    overall = values.groupBy(*group).agg(F.sum("n").alias("hits_all"), F.sum(F.col("n") * F.col("cpm")).alias("sum_all"))
+    ranked = running_totals(hist, group, ["cpm"], ["n"])
+    rank = F.col("n_before") + (F.col("n") + 1) / 2
+    inside = ranked.select(*group, "cpm", rank.alias("rank"), F.explode("types").alias("t")).groupBy(
+        *group, F.col("t.cell_type").alias("cell_type")
+    ).agg(
+        F.sum("t.hits").alias("hits"), F.sum(F.col("t.hits") * F.col("rank")).alias("ranks"),
+        F.sum(F.col("t.hits") * F.col("cpm")).alias("sum_in"),
+    )
+    overall = inside.groupBy(*group).agg(F.sum("hits").alias("hits_all"), F.sum("sum_in").alias("sum_all"))
     types = sizes.join(group_sizes, ["proj_id", "group"])
     grid = overall.join(types, ["proj_id", "group"]).filter(F.col("n_all") > F.col("n_in"))
     full = grid.join(inside, [*group, "cell_type"], "left").na.fill(0, ["hits", "ranks", "sum_in"])
@@ -175,12 +180,6 @@ def marker_statistics(cpm: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _value_ranks(values: DataFrame, group: Sequence[str]) -> DataFrame:
-    merged = values.groupBy(*group, "cpm").agg(F.sum("n").alias("n"))
-    run = running_totals(merged, group, ["cpm"], ["n"])
-    return run.select(*group, "cpm", (F.col("n_before") + (F.col("n") + 1) / 2).alias("rank"))
-
-
 def meta_markers(statistics: DataFrame, min_auroc: float = 0.5, digits: int = 6) -> DataFrame:
     """Combine studies: recurrence (studies with AUROC above the bound), mean statistics, rank per type.
 

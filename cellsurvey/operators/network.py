@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cellsurvey.functions import fixed_values as fixed
 from cellsurvey.functions.numeric import normal_upper_tail
-from cellsurvey.functions.ranking import average_rank, number_rows, running_totals
+from cellsurvey.functions.ranking import average_rank, number_rows, running_totals, tie_histogram
 from cellsurvey.operators.ledger import distinct_terms
 from cellsurvey.session import durable
 
@@ -134,11 +134,13 @@ def similarity(edges: DataFrame, distance: str = "distance") -> DataFrame:
 def rank_standardise(edges: DataFrame, value: str = "w", missing: float = 0.5) -> DataFrame:
     """Average-tie rank of the finite weights of a project scaled to [0, 1]; others become ``missing``."""
     finite = F.col(value).isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
-    ranked = average_rank(edges.filter(finite), ["proj_id"], value, "__rank")
-    top = ranked.groupBy("proj_id").agg((F.max("__rank") - 1).alias("__top"))
-    scaled = ranked.join(top, "proj_id").withColumn(
-        "standardised", F.when(F.col("__top") > 0, (F.col("__rank") - 1) / F.col("__top"))
+    known = edges.filter(finite)
+    ranks = tie_histogram(known, ["proj_id"], value)
+    top = ranks.groupBy("proj_id").agg((F.max("rank") - 1).alias("__top"))
+    scores = ranks.join(top, "proj_id").select(
+        "proj_id", value, F.when(F.col("__top") > 0, (F.col("rank") - 1) / F.col("__top")).alias("standardised")
     )
+    scaled = known.join(scores, ["proj_id", value])
     rest = edges.filter(~F.coalesce(finite, F.lit(False))).withColumn("standardised", F.lit(missing))
     return scaled.select(*edges.columns, "standardised").unionByName(rest)
 

@@ -11,9 +11,9 @@ from cellsurvey.functions import fixed_values as fixed
 from cellsurvey.functions.text import lookup, mentions, strip_lane
 
 
-def technology_of_text(text: Column, phrases: Mapping[str, Sequence[str]] = fixed.TECHNOLOGY_PHRASES) -> Column:
-    """The one technology a protocol names; ``multiple`` for several, ``unknown`` for none."""
-    named = F.array_compact(F.array(*[F.when(mentions(text, p), F.lit(t)) for t, p in phrases.items()]))
+def technology_of_text(low: Column, phrases: Mapping[str, Sequence[str]] = fixed.TECHNOLOGY_PHRASES) -> Column:
+    """The one technology a lower-cased protocol names; ``multiple`` for several, ``unknown`` for none."""
+    named = F.array_compact(F.array(*[F.when(mentions(low, p), F.lit(t)) for t, p in phrases.items()]))
     return (
         F.when(F.size(named) > 1, "multiple")
         .when(F.size(named) == 1, F.get(named, F.lit(0)))
@@ -31,20 +31,21 @@ def classify_texts(
     ``distinct_first`` equal texts are scanned once and joined back by digest, which pays when
     few protocols are shared by very many experiments; only digests are joined.
     """
-    texts = df.select(id_col, F.coalesce(F.col(text_col), F.lit("None")).alias("__text"))
+    low = F.lower(F.coalesce(F.col(text_col), F.lit("None"))).alias("__low")
+    texts = df.select(id_col, low)
     if not distinct_first:
-        return texts.select(id_col, technology_of_text(F.col("__text"), phrases).alias("tech"))
-    keyed = texts.withColumn("__digest", F.sha2("__text", 256))
+        return texts.select(id_col, technology_of_text(F.col("__low"), phrases).alias("tech"))
+    keyed = texts.withColumn("__digest", F.sha2("__low", 256))
     once = (
-        keyed.groupBy("__digest").agg(F.min("__text").alias("__text"))
-        .select("__digest", technology_of_text(F.col("__text"), phrases).alias("tech"))
+        keyed.groupBy("__digest").agg(F.min("__low").alias("__low"))
+        .select("__digest", technology_of_text(F.col("__low"), phrases).alias("tech"))
     )
     return keyed.select(id_col, "__digest").join(once, "__digest").select(id_col, "tech")
 
 
-def legacy_technology_of_text(text: Column) -> Column:
+def legacy_technology_of_text(low: Column) -> Column:
     """Older rule: of the keyword columns from ``smarter`` on, then 10x, then SS without 10x, the last hit."""
-    hits = {name: mentions(text, phrases) for name, phrases in fixed.LEGACY_PHRASES.items()}
+    hits = {name: mentions(low, phrases) for name, phrases in fixed.LEGACY_PHRASES.items()}
     names = list(hits)
     ordered = [(n, hits[n]) for n in names[names.index("smarter"):]]
     ordered += [("isSome10x", hits["is10x"]), ("isSS", hits["SS"] & ~hits["is10x"])]
@@ -52,10 +53,17 @@ def legacy_technology_of_text(text: Column) -> Column:
     return F.coalesce(F.try_element_at(found, F.lit(-1)), F.lit("Unknown"))
 
 
+def classify_texts_legacy(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, method) of every text by the older rule."""
+    texts = df.select(id_col, F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("__low"))
+    return texts.select(id_col, legacy_technology_of_text(F.col("__low")).alias("method"))
+
+
 def unmatched_texts(df: DataFrame, text_col: str, phrases: Mapping[str, Sequence[str]] = fixed.LEGACY_PHRASES) -> DataFrame:
     """Distinct texts that name no technology at all."""
     every = [p for group in phrases.values() for p in group]
-    return df.filter(~mentions(F.col(text_col), every)).select(text_col).distinct()
+    lowered = df.select(text_col, F.lower(text_col).alias("__low"))
+    return lowered.filter(~mentions(F.col("__low"), every)).select(text_col).distinct()
 
 
 def known_technology(df: DataFrame, col: str = "tech_version") -> DataFrame:

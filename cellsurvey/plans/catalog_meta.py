@@ -63,7 +63,7 @@ _legacy_hits = ", ".join(f"CASE WHEN {_matches('lcp', _L[n])} THEN '{n}' END" fo
  CASE WHEN {_matches('lcp', _L['SS'])} AND NOT {_matches('lcp', _L['is10x'])} THEN 'isSS' END], lambda x: x IS NOT NULL) AS h FROM experiments)
 SELECT exp_id, coalesce(h[-1], 'Unknown') AS method FROM c""")
 def tech_legacy(t: Tables) -> DataFrame:
-    return _experiments(t).select("exp_id", technology.legacy_technology_of_text(F.col("lcp")).alias("method"))
+    return technology.classify_texts_legacy(_experiments(t), "exp_id", "lcp")
 
 
 _every = [p for g in PROSE_PHRASES.values() for p in g]

@@ -51,6 +51,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once on shared storage and cut its lineage."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` once as a table in the shared folder and read it back.
+
+    Compared with a checkpoint of the rows, the table is columnar (later steps read only the columns
+    they need) and its true size is known to the planner, so small results are broadcast.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,8 +14,8 @@ def test_text_rules(spark):
     for distinct in (False, True):
         got = technology.classify_texts(df, "exp_id", "lcp", distinct_first=distinct).collect()
         assert {r.exp_id: r.tech for r in got} == want
-    legacy = df.select("exp_id", technology.legacy_technology_of_text(F.coalesce("lcp", F.lit(""))).alias("m")).collect()
-    assert {r.exp_id: r.m for r in legacy} == {0: "isSome10x", 1: "isSS", 2: "smarter", 3: "isSome10x", 4: "Unknown", 5: "Unknown", 6: "isSome10x"}
+    legacy = technology.classify_texts_legacy(df, "exp_id", "lcp").collect()
+    assert {r.exp_id: r.method for r in legacy} == {0: "isSome10x", 1: "isSS", 2: "smarter", 3: "isSome10x", 4: "Unknown", 5: "Unknown", 6: "isSome10x"}
     assert {r.lcp for r in technology.unmatched_texts(df, "lcp").collect()} == {"nothing"}
 
 
