@@ -196,6 +196,26 @@ def corr_to_mean(counts: DataFrame, cells: DataFrame, genes: DataFrame) -> DataF
     return cell_metrics(counts, cells, genes, [], parts=("corr",))
 
 
+def profile_correlations(counts: DataFrame, cells: DataFrame, genes: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Pearson correlation of every cell with every given profile of its project.
+
+    ``profiles(proj_id, profile_id, gene_id, y)`` are few sparse rows. The result is the full grid: a pair
+    without a common gene still has a (negative) correlation. NULL where either side has no variance.
+    """
+    n_genes = genes.groupBy("proj_id").agg(F.count(F.lit(1)).alias("g"))
+    x = F.col("n").cast("double")
+    a = counts.groupBy(*CELL).agg(F.sum(x).alias("sx"), F.sum(x * x).alias("qx"))
+    b = profiles.groupBy("proj_id", "profile_id").agg(F.sum("y").alias("sy"), F.sum(F.col("y") * F.col("y")).alias("qy"))
+    cross = counts.join(profiles, GENE).groupBy(*CELL, "profile_id").agg(F.sum(x * F.col("y")).alias("xy"))
+    grid = cells.select(*CELL).join(b, "proj_id").join(n_genes, "proj_id").join(a, CELL, "left")
+    g, sx, sy = F.col("g"), F.col("sx"), F.col("sy")
+    spread = (g * F.col("qx") - sx * sx) * (g * F.col("qy") - sy * sy)
+    return grid.join(cross, [*CELL, "profile_id"], "left").select(
+        *CELL, "profile_id",
+        F.when(spread > 0, (g * F.coalesce("xy", F.lit(0.0)) - sx * sy) / F.sqrt(spread)).alias("correlation"),
+    )
+
+
 def cell_metrics(
     counts: DataFrame, cells: DataFrame, genes: DataFrame, sets: Sequence[str],
     parts: Sequence[str] = ("totals", "gini", "auroc", "corr", "share"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellsurvey.functions import fixed_values as fixed
@@ -17,11 +17,6 @@ def of_projects(df: DataFrame, *proj_ids: str) -> DataFrame:
     return df.filter(F.col("proj_id").isin(*proj_ids))
 
 
-def factorise(col: str, within: Sequence[str]) -> Column:
-    """Dense 0-based codes of a column in each group. For small dimension tables only."""
-    return F.dense_rank().over(Window.partitionBy(*within).orderBy(col)) - 1
-
-
 def batch_profile(samples: DataFrame, runs: DataFrame) -> DataFrame:
     """Per project the level that can serve as batch: 1 < distinct values < number of runs.
 
@@ -147,6 +142,16 @@ def unwrap_listing(listing: DataFrame, literal_cols: Sequence[str]) -> DataFrame
     return zipped.select(*keep, *[F.col("__z")[c].alias(c) for c in literal_cols])
 
 
+def searched_experiments(experiments: DataFrame, searched: DataFrame) -> DataFrame:
+    """Experiments that the search also found."""
+    return experiments.join(searched.select("exp_id").distinct(), "exp_id", "left_semi")
+
+
+def unprocessed_runs(manifest: DataFrame, processed: DataFrame) -> DataFrame:
+    """Manifest rows of runs without a result yet; ``processed`` lists the barcodes (run ids) of results."""
+    return manifest.join(processed.select(F.col("barcode").alias("run_id")), "run_id", "left_anti")
+
+
 def project_backend(tables: DataFrame) -> DataFrame:
     """Data source of each project; the smallest when there are several."""
     return tables.groupBy("proj_id").agg(F.min("data_source").alias("data_source"))

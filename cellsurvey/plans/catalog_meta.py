@@ -483,3 +483,50 @@ def transfer_bytes(t: Tables) -> DataFrame:
     size = (F.col("event_id") * 3).cast("string")
     lines = t.events.select("ts", F.concat(F.lit("2021-07-20 14:33:09 URL:https://h/x ["), size, F.lit("/"), size, F.lit('] -> "x" [1]')).alias("line"))
     return lines.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sum(tx.transferred_bytes(F.col("line"))).alias("bytes"))
+
+
+@query("archive_samples", """SELECT DISTINCT c_custkey AS samp_id, c_name AS title, concat(c_mktsegment, '-', c_nationkey) AS proj_id, c_mktsegment AS submission_id FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_nationkey <> 3""")
+def archive_samples(t: Tables) -> DataFrame:
+    return _archive(t)["samples"].select("samp_id", "title", "proj_id", "submission_id")
+
+
+@query("archive_experiments", """SELECT DISTINCT c_custkey AS exp_id, c_name AS lcp, 'RNA-Seq' AS strategy, concat(c_mktsegment, '-', c_nationkey) AS proj_id FROM customer WHERE c_mktsegment <> 'BUILDING' AND c_nationkey <> 3""")
+def archive_experiments(t: Tables) -> DataFrame:
+    return _archive(t)["experiments"].select("exp_id", "lcp", "strategy", "proj_id")
+
+
+@query("searched_experiments", f"WITH {META} SELECT exp_id, samp_id FROM samples WHERE exp_id IN (SELECT n_name FROM nation JOIN supplier ON s_nationkey = n_nationkey WHERE s_acctbal > 5000)")
+def searched_experiments(t: Tables) -> DataFrame:
+    found = t.supplier.filter("s_acctbal > 5000").join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_name").alias("exp_id"))
+    return metadata.searched_experiments(b.samples(t).select("exp_id", "samp_id"), found)
+
+
+@query("unprocessed_runs", f"WITH {META} SELECT run_id, tech FROM runs WHERE run_id NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
+def unprocessed_runs(t: Tables) -> DataFrame:
+    done = t.lineitem.filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("barcode"))
+    return metadata.unprocessed_runs(b.runs(t).select("run_id", "tech"), done)
+
+
+@query("infer_runs", f"""WITH {LENGTHS}, e AS (SELECT o_orderkey AS run_id, concat('E', o_custkey % 40) AS exp_id, concat('S', o_custkey) AS samp_id, o_orderstatus AS data_source, concat('P', o_custkey % 40 % 7) AS proj_id FROM orders),
+t AS (SELECT exp_id, tech FROM (SELECT DISTINCT exp_id, CASE CAST(substr(exp_id, 2) AS INT) % 4 WHEN 0 THEN '10x' WHEN 1 THEN 'smartseq' WHEN 2 THEN 'multiple' ELSE 'unknown' END AS tech FROM e)),
+r AS (SELECT e.*, nreads, read_lengths FROM e JOIN lens USING (run_id)),
+pr AS (SELECT proj_id, count(*) AS nr, count(DISTINCT samp_id) AS ns, count(DISTINCT exp_id) AS ne FROM r GROUP BY ALL),
+bt AS (SELECT run_id, CASE WHEN ns > 1 AND ns < nr THEN samp_id WHEN ne > 1 AND ne < nr THEN exp_id ELSE '0' END AS batch FROM r JOIN pr USING (proj_id)),
+c AS (SELECT r.*, list_filter(read_lengths, lambda x: x IN (24, 26, 28))[1] AS len, list_position(read_lengths, list_max(read_lengths)) AS bio FROM r JOIN t USING (exp_id) WHERE tech = '10x' AND nreads > 1),
+d AS (SELECT *, list_position(read_lengths, len) AS tec FROM c),
+o AS (SELECT run_id, CASE len WHEN 24 THEN '10xv1' WHEN 26 THEN '10xv2' ELSE '10xv3' END AS tech_version, concat(run_id, '_', bio, '.fastq') AS read1, concat(run_id, '_', tec, '.fastq') AS read2, exp_id, samp_id, proj_id, data_source FROM d WHERE len IS NOT NULL AND tec <> bio
+ UNION ALL SELECT run_id, 'smartseq', CASE WHEN nreads > 1 THEN concat(run_id, '_1.fastq') ELSE concat(run_id, '.fastq') END, CASE WHEN nreads > 1 THEN concat(run_id, '_2.fastq') ELSE '-' END, exp_id, samp_id, proj_id, data_source FROM r JOIN t USING (exp_id) WHERE tech = 'smartseq')
+SELECT o.*, '10090' AS taxon, batch FROM o JOIN bt USING (run_id)""")
+def infer_runs(t: Tables) -> DataFrame:
+    """The inference stage from protocol texts to the run table."""
+    from cellsurvey.plans import stages
+
+    number = F.col("o_custkey") % 40
+    base = t.orders.select(
+        F.col("o_orderkey").alias("run_id"), F.concat(F.lit("E"), number.cast("string")).alias("exp_id"), F.concat(F.lit("S"), F.col("o_custkey").cast("string")).alias("samp_id"),
+        F.concat(F.lit("P"), (number % 7).cast("string")).alias("proj_id"), F.lit("10090").alias("taxon"), F.col("o_orderstatus").alias("data_source"))
+    runs = base.join(b.read_lengths(t), "run_id")
+    texts = F.array(*[F.lit(x) for x in ("Chromium kit", "by SMART-Seq", "Drop-seq and chromium", "no method")])
+    experiments = base.select("exp_id").distinct().withColumn("lcp", F.get(texts, (F.substring("exp_id", 2, 9).cast("int") % 4)))
+    samples = base.select("proj_id", "samp_id").distinct().withColumn("attributes", F.lit("same"))
+    return stages.infer_runs(experiments, runs, samples)

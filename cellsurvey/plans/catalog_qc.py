@@ -157,3 +157,33 @@ def common_genes(t: Tables) -> DataFrame:
     )
     counts = rows.groupBy("proj_id", "run_id", "cell_id", "gene_id").agg(F.sum("l_quantity").cast("bigint").alias("n"))
     return cellqc.common_genes(counts, rows.select("proj_id", "run_id", "gene_id"))
+
+
+@query("profile_correlations", f"""WITH {BASE}, ty AS (SELECT proj_id, cell_id, concat('t', cell_id % 3) AS profile_id FROM cells),
+prof AS (SELECT proj_id, profile_id, gene_id, CAST(sum(n) AS DOUBLE) AS y FROM counts JOIN ty USING (proj_id, cell_id) GROUP BY ALL),
+grid AS (SELECT c.proj_id, c.cell_id, p.profile_id, g.gene_id FROM cells c JOIN (SELECT DISTINCT proj_id, profile_id FROM prof) p USING (proj_id) JOIN genes g USING (proj_id)),
+d AS (SELECT proj_id, cell_id, profile_id, coalesce(n, 0) AS x, coalesce(y, 0) AS y FROM grid LEFT JOIN counts USING (proj_id, cell_id, gene_id) LEFT JOIN prof USING (proj_id, profile_id, gene_id))
+SELECT proj_id, cell_id, profile_id, CASE WHEN stddev_pop(x) > 0 AND stddev_pop(y) > 0 THEN round(corr(x, y), 6) END AS correlation FROM d GROUP BY ALL""")
+def profile_correlations(t: Tables) -> DataFrame:
+    """Cells against the summed profile of each cell type."""
+    counts = b.counts(t)
+    types = b.cell_labels(t).select("proj_id", "cell_id", F.col("cell_type").alias("profile_id"))
+    profiles = counts.join(types, ["proj_id", "cell_id"]).groupBy("proj_id", "profile_id", "gene_id").agg(F.sum("n").cast("double").alias("y"))
+    return rounded(cellqc.profile_correlations(counts, b.cells(t), b.genes(t), profiles), "correlation")
+
+
+@query("project_gene_totals", f"WITH {MOMENTS} SELECT gene_id, total_counts, n_cells_by_counts FROM moments WHERE proj_id = 'ASIA'")
+def project_gene_totals(t: Tables) -> DataFrame:
+    """One project only: the filter reaches the scans."""
+    from cellsurvey.operators.metadata import of_projects
+
+    totals = cellqc.gene_totals(of_projects(b.counts(t), "ASIA"), of_projects(b.genes(t), "ASIA"))
+    return totals.select("gene_id", "total_counts", "n_cells_by_counts")
+
+
+@query("cell_components")
+def cell_components(t: Tables) -> DataFrame:
+    """Components of the logged counts of the variable genes of every project (compared with numpy in the tests)."""
+    counts, cells = b.counts(t), b.cells(t)
+    table = stages.gene_table(counts, b.genes(t), cells)
+    return stages.cell_embedding(counts, cells, table, rounds=4)

@@ -66,10 +66,13 @@ def read_run_info(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     ).distinct()
 
 
-def read_search_pages(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Landed search-result pages (JSON) -> distinct ids."""
+def read_search_pages(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:
+    """Landed search-result pages (JSON) -> distinct ids.
+
+    A page that spans lines makes its file unsplittable; pages of one line each read in parallel.
+    """
     schema = "esearchresult struct<count: string, retstart: string, idlist: array<string>>"
-    pages = spark.read.schema(schema).json(path, multiLine=True)
+    pages = spark.read.schema(schema).json(path, multiLine=multi_line)
     return pages.select(F.explode("esearchresult.idlist").alias("uid")).distinct()
 
 
