@@ -171,9 +171,9 @@ def lanes(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- embeddings as enrichment and network
 
 def vectors(t: Tables) -> DataFrame:
-    """One project of cells with 64-dimensional vectors."""
+    """Cells with 64-dimensional vectors; labels split them into three projects."""
     return t.embeddings.select(
-        F.lit("P1").alias("proj_id"), F.col("vec_id").alias("cell_id"),
+        F.concat(F.lit("P"), (F.col("label") % 3).cast("string")).alias("proj_id"), F.col("vec_id").alias("cell_id"),
         F.col("embedding").cast("array<double>").alias("features"), F.col("label"),
     )
 

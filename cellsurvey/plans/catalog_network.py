@@ -13,7 +13,7 @@ from cellsurvey.plans.registry import query, rounded
 from cellsurvey.session import durable
 
 _PAIRS = """
-vec AS (SELECT 'P1' AS proj_id, vec_id AS node, CAST(embedding AS DOUBLE[]) AS f, label FROM embeddings),
+vec AS (SELECT concat('P', label % 3) AS proj_id, vec_id AS node, CAST(embedding AS DOUBLE[]) AS f, label FROM embeddings),
 pairs AS (SELECT a.proj_id, a.node AS src, b.node AS dst, CASE WHEN a.node = b.node THEN 0 ELSE list_distance(a.f, b.f) END AS d FROM vec a JOIN vec b USING (proj_id))
 """
 _KNN = f"""{_PAIRS}, knn AS (SELECT * FROM (SELECT proj_id, src, dst, d, row_number() OVER (PARTITION BY proj_id, src ORDER BY round(d, 12), dst) AS rank FROM pairs WHERE src <> dst) WHERE rank <= 15)"""
@@ -24,7 +24,7 @@ def knn_exact(t: Tables) -> DataFrame:
     return rounded(network.nearest_neighbours(b.vectors(t)).select("cell_id", "neighbour", "distance", "rank"), "distance")
 
 
-_SIM = f"""{_KNN}, mx AS (SELECT max(d) AS m FROM knn), e0 AS (SELECT proj_id, src, dst, 1 - d / m AS w FROM knn, mx),
+_SIM = f"""{_KNN}, mx AS (SELECT proj_id, max(d) AS m FROM knn GROUP BY ALL), e0 AS (SELECT proj_id, src, dst, 1 - d / m AS w FROM knn JOIN mx USING (proj_id)),
 edges AS (SELECT proj_id, src, dst, max(w) AS w FROM (SELECT * FROM e0 UNION ALL SELECT proj_id, dst, src, w FROM e0) GROUP BY ALL)"""
 
 
@@ -33,7 +33,7 @@ def similarity_edges(t: Tables) -> DataFrame:
     return rounded(network.symmetric_edges(network.nearest_neighbours(b.vectors(t))).drop("proj_id"), "w")
 
 
-@query("similarity_weights", f"WITH {_KNN} SELECT src AS cell_id, dst AS neighbour, round(1 - d / max(d) OVER (), 6) AS w FROM knn")
+@query("similarity_weights", f"WITH {_KNN} SELECT src AS cell_id, dst AS neighbour, round(1 - d / max(d) OVER (PARTITION BY proj_id), 6) AS w FROM knn")
 def similarity_weights(t: Tables) -> DataFrame:
     return rounded(network.similarity(network.nearest_neighbours(b.vectors(t))).select("cell_id", "neighbour", "w"), "w")
 
@@ -48,11 +48,12 @@ def rank_standardise(t: Tables) -> DataFrame:
 
 
 _TERMS = f"""
-raw AS (SELECT 'P1' AS proj_id, vec_id AS node, concat(k, '=', v) AS term FROM (SELECT vec_id, unnest(['label', 'copy', 'parity', 'all', 'single']) AS k,
+raw AS (SELECT proj_id, vec_id AS node, concat(k, '=', v) AS term FROM (SELECT concat('P', label % 3) AS proj_id, vec_id, unnest(['label', 'copy', 'parity', 'all', 'single']) AS k,
    unnest([CAST(label AS VARCHAR), CAST(label AS VARCHAR), CAST(vec_id % 2 AS VARCHAR), '1', CAST(vec_id AS VARCHAR)]) AS v FROM embeddings)),
-sig AS (SELECT term, string_agg(CAST(node AS VARCHAR), ',' ORDER BY node) AS s, count(*) AS c FROM raw GROUP BY ALL),
-uniq AS (SELECT min(term) AS term, any_value(c) AS c FROM sig GROUP BY s),
-members AS (SELECT r.* FROM raw r JOIN uniq USING (term) WHERE c > 5 AND c < ceil((SELECT count(*) FROM embeddings) * CAST(0.95 AS DOUBLE)))
+sig AS (SELECT proj_id, term, string_agg(CAST(node AS VARCHAR), ',' ORDER BY node) AS s, count(*) AS c FROM raw GROUP BY ALL),
+uniq AS (SELECT proj_id, min(term) AS term, any_value(c) AS c FROM sig GROUP BY proj_id, s),
+sizes AS (SELECT proj_id, count(DISTINCT node) AS n FROM raw GROUP BY ALL),
+members AS (SELECT r.* FROM raw r JOIN uniq USING (proj_id, term) JOIN sizes USING (proj_id) WHERE c > 5 AND c < ceil(n * CAST(0.95 AS DOUBLE)))
 """
 
 
@@ -69,55 +70,56 @@ def _members(t: Tables) -> DataFrame:
     return network.sized_terms(network.membership(cells, _COLUMNS), cells)
 
 
-@query("distinct_terms", f"WITH {_TERMS} SELECT r.node, r.term FROM raw r JOIN uniq USING (term)")
+@query("distinct_terms", f"WITH {_TERMS} SELECT proj_id, r.node, term FROM raw r JOIN uniq USING (proj_id, term)")
 def distinct_terms(t: Tables) -> DataFrame:
-    return ledger.distinct_terms(network.membership(_cells(t), _COLUMNS)).select("node", "term")
+    return ledger.distinct_terms(network.membership(_cells(t), _COLUMNS)).select("proj_id", "node", "term")
 
 
-@query("term_membership", f"WITH {_TERMS} SELECT node, term FROM members")
+@query("term_membership", f"WITH {_TERMS} SELECT proj_id, node, term FROM members")
 def term_membership(t: Tables) -> DataFrame:
-    return _members(t).select("node", "term")
+    return _members(t).select("proj_id", "node", "term")
 
 
-@query("term_folds", f"WITH {_TERMS} SELECT node, term, CAST((row_number() OVER (ORDER BY node, term) - 1) % 3 AS INT) AS fold FROM members")
+@query("term_folds", f"WITH {_TERMS} SELECT proj_id, node, term, CAST((row_number() OVER (PARTITION BY proj_id ORDER BY node, term) - 1) % 3 AS INT) AS fold FROM members")
 def term_folds(t: Tables) -> DataFrame:
-    return network.with_folds(_members(t), 3).select("node", "term", "fold")
+    return network.with_folds(_members(t), 3).select("proj_id", "node", "term", "fold")
 
 
 def _egad(weights: str) -> str:
     return f"""
-folds AS (SELECT proj_id, node, term, CAST((row_number() OVER (ORDER BY node, term) - 1) % 3 AS INT) AS fold FROM members),
+folds AS (SELECT proj_id, node, term, CAST((row_number() OVER (PARTITION BY proj_id ORDER BY node, term) - 1) % 3 AS INT) AS fold FROM members),
 w AS ({weights}),
-deg AS (SELECT dst AS node, round(sum(w), 10) AS degree FROM w GROUP BY 1),
-terms AS (SELECT DISTINCT term FROM folds),
-votes AS (SELECT w.dst AS node, f.term, g.fold, sum(CASE WHEN f.fold <> g.fold THEN w ELSE 0 END) AS s FROM w JOIN folds f ON w.src = f.node, (SELECT unnest([0, 1, 2]) AS fold) g GROUP BY ALL),
-cand AS (SELECT d.node, t.term, g.fold, degree, o.fold AS own FROM deg d, terms t, (SELECT unnest([0, 1, 2]) AS fold) g LEFT JOIN folds o ON o.node = d.node AND o.term = t.term WHERE o.fold IS NULL OR o.fold = g.fold),
-sc AS (SELECT c.*, round(coalesce(s, 0) / degree, 10) AS score FROM cand c LEFT JOIN votes v ON v.node = c.node AND v.term = c.term AND v.fold = c.fold),
-rk AS (SELECT *, rank() OVER (PARTITION BY term, fold ORDER BY score) + (count(*) OVER (PARTITION BY term, fold, score) - 1) / 2 AS r FROM sc),
-fa AS (SELECT term, fold, count(*) FILTER (own IS NOT NULL) AS np, count(*) FILTER (own IS NULL) AS nn, sum(r) FILTER (own IS NOT NULL) AS rs FROM rk GROUP BY ALL),
+deg AS (SELECT proj_id, dst AS node, round(sum(w), 10) AS degree FROM w GROUP BY ALL),
+terms AS (SELECT DISTINCT proj_id, term FROM folds),
+three AS (SELECT unnest([0, 1, 2]) AS fold),
+votes AS (SELECT w.proj_id, w.dst AS node, f.term, g.fold, sum(CASE WHEN f.fold <> g.fold THEN w ELSE 0 END) AS s FROM w JOIN folds f ON w.src = f.node AND w.proj_id = f.proj_id, three g GROUP BY ALL),
+cand AS (SELECT d.proj_id, d.node, t.term, g.fold, degree, o.fold AS own FROM deg d JOIN terms t USING (proj_id) CROSS JOIN three g LEFT JOIN folds o ON o.proj_id = d.proj_id AND o.node = d.node AND o.term = t.term WHERE o.fold IS NULL OR o.fold = g.fold),
+sc AS (SELECT c.*, round(coalesce(s, 0) / degree, 10) AS score FROM cand c LEFT JOIN votes v ON v.proj_id = c.proj_id AND v.node = c.node AND v.term = c.term AND v.fold = c.fold),
+rk AS (SELECT *, rank() OVER (PARTITION BY proj_id, term, fold ORDER BY score) + (count(*) OVER (PARTITION BY proj_id, term, fold, score) - 1) / 2 AS r FROM sc),
+fa AS (SELECT proj_id, term, fold, count(*) FILTER (own IS NOT NULL) AS np, count(*) FILTER (own IS NULL) AS nn, sum(r) FILTER (own IS NOT NULL) AS rs FROM rk GROUP BY ALL),
 fb AS (SELECT *, (rs / np - (np + 1) / 2) / nn AS auc FROM fa WHERE np > 0 AND nn > 0),
-cv AS (SELECT term, avg(auc) AS auc, sum(abs(auc * np * nn - np * nn / 2) / sqrt(np * nn * (np + nn + 1) / 12)) / sqrt(3) AS z FROM fb GROUP BY ALL),
-dr AS (SELECT *, rank() OVER (ORDER BY degree) + (count(*) OVER (PARTITION BY degree) - 1) / 2 AS r FROM deg),
-nul AS (SELECT term, avg(degree) AS avg_node_degree, (sum(r) / count(*) - (count(*) + 1) / 2) / ((SELECT count(*) FROM deg) - count(*)) AS degree_null_auc FROM folds JOIN dr USING (node) GROUP BY ALL)
-SELECT term, round(auc, 6) AS auc, round(avg_node_degree, 6) AS avg_node_degree, round(degree_null_auc, 6) AS degree_null_auc,
+cv AS (SELECT proj_id, term, avg(auc) AS auc, sum(abs(auc * np * nn - np * nn / 2) / sqrt(np * nn * (np + nn + 1) / 12)) / sqrt(3) AS z FROM fb GROUP BY ALL),
+dr AS (SELECT *, rank() OVER (PARTITION BY proj_id ORDER BY degree) + (count(*) OVER (PARTITION BY proj_id, degree) - 1) / 2 AS r, count(*) OVER (PARTITION BY proj_id) AS n FROM deg),
+nul AS (SELECT proj_id, term, avg(degree) AS avg_node_degree, (sum(r) / count(*) - (count(*) + 1) / 2) / (any_value(n) - count(*)) AS degree_null_auc FROM folds JOIN dr USING (proj_id, node) GROUP BY proj_id, term)
+SELECT proj_id, term, round(auc, 6) AS auc, round(avg_node_degree, 6) AS avg_node_degree, round(degree_null_auc, 6) AS degree_null_auc,
  round(list_sum(list_transform(range(0, 3001), lambda i: (CASE WHEN i = 0 OR i = 3000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * exp(-(z + i * CAST(0.005 AS DOUBLE)) * (z + i * CAST(0.005 AS DOUBLE)) / 2))) * CAST(0.005 AS DOUBLE) / 3 / sqrt(2 * pi()), 6) AS p_value
-FROM cv JOIN nul USING (term)"""
+FROM cv JOIN nul USING (proj_id, term)"""
 
 
-@query("egad", f"WITH {_SIM}, {_TERMS}, {_egad('SELECT src, dst, w FROM edges WHERE src <> dst AND w > 0 UNION ALL SELECT node, node, 1 FROM vec')}")
+@query("egad", f"WITH {_SIM}, {_TERMS}, {_egad('SELECT proj_id, src, dst, w FROM edges WHERE src <> dst AND w > 0 UNION ALL SELECT proj_id, node, node, 1 FROM vec')}")
 def egad(t: Tables) -> DataFrame:
     """Neighbour voting on the kNN network."""
     v = b.vectors(t)
     edges = durable(network.symmetric_edges(network.nearest_neighbours(v)))
     nodes = v.select("proj_id", F.col("cell_id").alias("node"))
-    return rounded(network.neighbour_voting(edges, nodes, _members(t)).drop("proj_id"), "auc", "avg_node_degree", "degree_null_auc", "p_value")
+    return rounded(network.neighbour_voting(edges, nodes, _members(t)), "auc", "avg_node_degree", "degree_null_auc", "p_value")
 
 
-@query("egad_dense", f"WITH {_PAIRS}, {_TERMS}, {_egad('SELECT src, dst, 1 - d / (SELECT max(d) FROM pairs) AS w FROM pairs')}")
+@query("egad_dense", f"WITH {_PAIRS}, {_TERMS}, {_egad('SELECT proj_id, src, dst, 1 - d / max(d) OVER (PARTITION BY proj_id) AS w FROM pairs')}")
 def egad_dense(t: Tables) -> DataFrame:
     """Neighbour voting on the full distance network."""
     d = network.neighbour_voting_dense(b.vectors(t), _members(t))
-    return rounded(d.drop("proj_id"), "auc", "avg_node_degree", "degree_null_auc", "p_value")
+    return rounded(d, "auc", "avg_node_degree", "degree_null_auc", "p_value")
 
 
 @query("corr_minmax", f"""WITH {BASE}, g AS (SELECT proj_id, count(*) AS g FROM genes GROUP BY ALL),
