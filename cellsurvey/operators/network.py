@@ -259,7 +259,7 @@ def _candidate_scores(votes: DataFrame, degree: DataFrame, folds: DataFrame, n_f
     )
 
 
-def neighbour_voting_dense(vectors: DataFrame, members: DataFrame, n_fold: int = 3, block: int = 2048, digits: int = 10) -> DataFrame:
+def neighbour_voting_dense(vectors: DataFrame, members: DataFrame, n_fold: int = 3, block: int = 4096, digits: int = 10) -> DataFrame:
     """Neighbour voting on the full network of weights 1 - distance / largest distance.
 
     A node's votes only need the sum of its distances to the members of each fold, its sum over all
@@ -321,7 +321,7 @@ def neighbour_voting_dense(vectors: DataFrame, members: DataFrame, n_fold: int =
 
 # ---------------------------------------------------------------- pairwise correlation
 
-def correlation_extremes(counts: DataFrame, genes: DataFrame, block: int = 512, value: str = "n") -> DataFrame:
+def correlation_extremes(counts: DataFrame, genes: DataFrame, block: int = 2048, value: str = "n") -> DataFrame:
     """Smallest and largest Pearson correlation of every cell with the other cells of its project.
 
     All genes of the project count, also those silent in both cells. Cells without variance have no
@@ -372,60 +372,98 @@ def correlation_extremes(counts: DataFrame, genes: DataFrame, block: int = 512,
 
 # ---------------------------------------------------------------- components
 
-def components(values: DataFrame, k: int = fixed.N_COMPONENTS, rounds: int = 8, extra: int = 10) -> DataFrame:
+def components(values: DataFrame, k: int = fixed.N_COMPONENTS, rounds: int = 6, extra: int = 10) -> DataFrame:
     """Scores on the k leading components of each project's cell x gene matrix, without centring.
 
     ``values(proj_id, cell_id, gene_id, x)`` holds the non-zeros of the chosen genes. Block power
-    iteration: each round is two sparse products done as joins with sums; only the (genes x k) basis
-    is made orthogonal, per project, in one small group (the gene list of a project). All projects run
-    at once. Columns: ``pc`` array<double> (largest loading of each component positive).
+    iteration over all projects at once: each round is two sparse products, done as joins with sums.
+    Only matrices of (k + extra) x (k + extra) numbers per project are ever brought together.
+    Column ``pc`` array<double>; the loadings of each component sum to a positive number.
     """
     return components_with_basis(values, k, rounds, extra)[0]
 
 
-def components_with_basis(values: DataFrame, k: int, rounds: int = 8, extra: int = 10) -> tuple[DataFrame, DataFrame]:
-    """(scores, basis): the basis also carries the singular values."""
+def components_with_basis(values: DataFrame, k: int, rounds: int = 6, extra: int = 10) -> tuple[DataFrame, DataFrame]:
+    """(scores, singular values): ``s`` array<double> per project."""
     width = k + extra
-    gene_type = values.schema["gene_id"].dataType.simpleString()
-    start = values.select("proj_id", "gene_id").distinct().select(
+    basis = values.select("proj_id", "gene_id").distinct().select(
         "proj_id", "gene_id",
-        F.array(*[F.xxhash64("gene_id", F.lit(j)).cast("double") / float(2 ** 63) for j in range(width)]).alias("v"),
+        F.array(*[F.xxhash64("gene_id", F.lit(j)).cast("double") / float(2 ** 63) for j in range(width)]).alias("z"),
     )
-    schema = f"proj_id string, gene_id {gene_type}, v array<double>, s array<double>"
-
-    def filled(column: pd.Series) -> np.ndarray:
-        """Rows as a matrix; a project with few genes has fewer directions, the rest is empty."""
-        m = np.array([np.asarray(r, dtype=float) for r in column])
-        return m[:, ~np.isnan(m).any(0)]
-
-    def orthogonal(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("gene_id")
-        q, _ = np.linalg.qr(filled(pdf["z"]))
-        return pd.DataFrame({"proj_id": key[0], "gene_id": pdf["gene_id"].to_numpy(), "v": list(q), "s": [np.zeros(0)] * len(pdf)})
-
-    def rotated(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("gene_id")
-        v, z = filled(pdf["v"]), filled(pdf["z"])
-        small = v.T @ z
-        lam, w = np.linalg.eigh((small + small.T) / 2)
-        order = np.argsort(-lam)[:min(k, len(pdf))]
-        basis = v @ w[:, order]
-        sign = np.sign(basis[np.abs(basis).argmax(0), np.arange(basis.shape[1])])
+    basis = _times_matrix(durable(basis), _whitening(basis))
+    for _ in range(rounds):
+        z = durable(_product(values, "gene_id", _product(values, "cell_id", basis, width), width).withColumnRenamed("v", "z"))
+        basis = _times_matrix(z, _whitening(z))
+    basis = durable(basis)
+    y = _product(values, "cell_id", basis, width)
+    z = _product(values, "gene_id", y, width).withColumnRenamed("v", "z")
+    rotation = durable(_rotation(basis.join(z, ["proj_id", "gene_id"]), k))
+    scores = _times_matrix(y.withColumnRenamed("v", "z"), rotation).select("proj_id", "cell_id", F.col("v").alias("pc"))
+    return scores, rotation.select("proj_id", "s")
+
+
+def _product(values: DataFrame, by: str, table: DataFrame, width: int) -> DataFrame:
+    """Sparse matrix times a tall matrix: for each ``by`` the sum of x * v over the other axis."""
+    other = "gene_id" if by == "cell_id" else "cell_id"
+    sums = [F.sum(F.col("x") * F.get("v", F.lit(j))).alias(f"c{j}") for j in range(width)]
+    out = values.join(table.select("proj_id", other, "v"), ["proj_id", other]).groupBy("proj_id", by).agg(*sums)
+    return out.select("proj_id", by, F.array(*[F.col(f"c{j}") for j in range(width)]).alias("v"))
+
+
+def _inner_products(rows: DataFrame, left: str, right: str) -> DataFrame:
+    """(proj_id, at, value): entries of left' right summed over the rows of a project.
+
+    Each Arrow batch is reduced to one small matrix per project before anything is shuffled.
+    """
+    def partial(batches):
+        for pdf in batches:
+            for proj, part in pdf.groupby("proj_id"):
+                a = np.array([np.asarray(r, dtype=float) for r in part["l"]])
+                b = np.array([np.asarray(r, dtype=float) for r in part["r"]])
+                m = (a.T @ b).ravel()
+                yield pd.DataFrame({"proj_id": proj, "at": np.arange(len(m)), "value": m})
+
+    parts = rows.select("proj_id", F.col(left).alias("l"), F.col(right).alias("r")).mapInPandas(
+        partial, "proj_id string, at int, value double")
+    return parts.groupBy("proj_id", "at").agg(F.sum("value").alias("value"))
+
+
+def _square(pdf: pd.DataFrame) -> np.ndarray:
+    m = pdf.sort_values("at")["value"].to_numpy()
+    side = int(round(len(m) ** 0.5))
+    m = m.reshape(side, side)
+    return (m + m.T) / 2
+
+
+def _whitening(rows: DataFrame) -> DataFrame:
+    """Per project the matrix that makes the columns of ``z`` orthonormal; lost directions become 0."""
+    def solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        lam, w = np.linalg.eigh(_square(pdf))
+        good = lam > max(lam.max(), 0.0) * 1e-13
+        scale = np.where(good, 1.0 / np.sqrt(np.where(good, lam, 1.0)), 0.0)
+        return pd.DataFrame({"proj_id": [key[0]], "m": [(w * scale).T.tolist()]})
+
+    return _inner_products(rows, "z", "z").groupBy("proj_id").applyInPandas(solve, "proj_id string, m array<array<double>>")
+
+
+def _rotation(rows: DataFrame, k: int) -> DataFrame:
+    """Rotation of the basis to the k leading components, and their singular values."""
+    def solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        inner = pdf[pdf["at"] >= 0]
+        totals = pdf[pdf["at"] < 0].sort_values("at", ascending=False)["value"].to_numpy()
+        lam, w = np.linalg.eigh(_square(inner))
+        order = np.argsort(-lam)[:k]
+        sign = np.where(totals @ w[:, order] < 0, -1.0, 1.0)
         s = np.sqrt(np.maximum(lam[order], 0.0))
-        return pd.DataFrame({"proj_id": key[0], "gene_id": pdf["gene_id"].to_numpy(), "v": list(basis * sign), "s": [s] * len(pdf)})
+        return pd.DataFrame({"proj_id": [key[0]], "m": [(w[:, order] * sign).T.tolist()], "s": [s.tolist()]})
 
-    def product(by: str, other: str, table: DataFrame, n: int) -> DataFrame:
-        sums = [F.sum(F.col("x") * F.get("v", F.lit(j))).alias(f"c{j}") for j in range(n)]
-        out = values.join(table.select("proj_id", other, "v"), ["proj_id", other]).groupBy("proj_id", by).agg(*sums)
-        return out.select("proj_id", by, F.array(*[F.col(f"c{j}") for j in range(n)]).alias("v"))
+    totals = rows.select("proj_id", F.posexplode("v").alias("j", "x")).groupBy("proj_id", "j").agg(F.sum("x").alias("value"))
+    small = _inner_products(rows, "v", "z").unionByName(
+        totals.select("proj_id", (-1 - F.col("j")).cast("int").alias("at"), "value"))
+    return small.groupBy("proj_id").applyInPandas(solve, "proj_id string, m array<array<double>>, s array<double>")
 
-    basis = durable(start.select("proj_id", "gene_id", F.col("v").alias("z")).groupBy("proj_id").applyInPandas(orthogonal, schema))
-    for _ in range(rounds):
-        y = product("cell_id", "gene_id", basis, width)
-        z = product("gene_id", "cell_id", y, width).withColumnRenamed("v", "z")
-        basis = durable(z.groupBy("proj_id").applyInPandas(orthogonal, schema))
-    y = product("cell_id", "gene_id", basis, width)
-    z = product("gene_id", "cell_id", y, width).withColumnRenamed("v", "z")
-    final = durable(z.join(basis.select("proj_id", "gene_id", "v"), ["proj_id", "gene_id"]).groupBy("proj_id").applyInPandas(rotated, schema))
-    scores = product("cell_id", "gene_id", final, k).select("proj_id", "cell_id", F.array_compact("v").alias("pc"))
-    return scores, final
+
+def _times_matrix(rows: DataFrame, matrix: DataFrame) -> DataFrame:
+    """Multiply the row vectors ``z`` by the transposed rows of the project's small matrix; result in ``v``."""
+    dot = lambda m: F.aggregate(F.zip_with("z", m, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
+    return rows.join(matrix.select("proj_id", "m"), "proj_id").withColumn("v", F.transform("m", dot)).drop("m", "z")

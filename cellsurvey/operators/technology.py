@@ -102,6 +102,26 @@ def chemistry(runs: DataFrame, lengths_col: str = "read_lengths") -> DataFrame:
     )
 
 
+def chemistry_of_reads(reads: DataFrame) -> DataFrame:
+    """The same rule on ``reads(run_id, position, length)``: plain aggregates, no list per run.
+
+    First means smallest position (then smallest length). ``position`` numbers the read files.
+    """
+    known = F.col("length").isin(list(fixed.CHEMISTRY_READ_LENGTHS))
+    version = F.create_map(*[F.lit(x) for kv in fixed.CHEMISTRY_READ_LENGTHS.items() for x in kv])
+    found = reads.groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("nreads"),
+        F.min(F.when(known, F.struct("position", "length"))).alias("t"),
+        F.min(F.struct((-F.col("length")).alias("short"), "position")).alias("b"),
+    ).filter(F.col("nreads") > 1)
+    usable = F.col("t").isNotNull() & (F.col("t.position") != F.col("b.position"))
+    file = lambda n: F.concat(F.col("run_id").cast("string"), F.lit("_"), n.cast("string"), F.lit(".fastq"))
+    return found.select(
+        "run_id", "nreads", F.when(usable, F.element_at(version, F.col("t.length"))).otherwise("10x").alias("tech_version"),
+        file(F.col("b.position")).alias("read1"), F.when(usable, file(F.col("t.position"))).otherwise("-").alias("read2"),
+    )
+
+
 def plate_manifest(runs: DataFrame, tech: DataFrame) -> DataFrame:
     """Read files of plate-based runs: two files when paired, one otherwise."""
     run = F.col("run_id").cast("string")

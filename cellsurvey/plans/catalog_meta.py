@@ -87,8 +87,18 @@ chem AS (SELECT run_id, nreads, CASE WHEN len IS NOT NULL AND tec <> bio THEN CA
 """
 
 
-@query("chemistry_from_reads", f"WITH {_CHEM} SELECT run_id, tech_version, read1, read2 FROM chem")
+@query("chemistry_from_reads", """WITH r AS (SELECT l_orderkey AS run_id, l_linenumber AS p, CAST(l_quantity AS INT) AS q FROM lineitem),
+n AS (SELECT run_id, count(*) AS nreads FROM r GROUP BY ALL HAVING count(*) > 1),
+b AS (SELECT run_id, p AS bp FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY q DESC, p) AS i FROM r) WHERE i = 1),
+t AS (SELECT run_id, p AS tp, q FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY p, q) AS i FROM r WHERE q IN (24, 26, 28)) WHERE i = 1)
+SELECT run_id, nreads, CASE WHEN tp IS NOT NULL AND tp <> bp THEN CASE q WHEN 24 THEN '10xv1' WHEN 26 THEN '10xv2' ELSE '10xv3' END ELSE '10x' END AS tech_version,
+ concat(run_id, '_', bp, '.fastq') AS read1, CASE WHEN tp IS NOT NULL AND tp <> bp THEN concat(run_id, '_', tp, '.fastq') ELSE '-' END AS read2 FROM n JOIN b USING (run_id) LEFT JOIN t USING (run_id)""")
 def chemistry_from_reads(t: Tables) -> DataFrame:
+    return technology.chemistry_of_reads(b.reads(t))
+
+
+@query("chemistry_from_lengths", f"WITH {_CHEM} SELECT run_id, tech_version, read1, read2 FROM chem")
+def chemistry_from_lengths(t: Tables) -> DataFrame:
     return technology.chemistry(b.read_lengths(t)).select("run_id", "tech_version", "read1", "read2")
 
 
@@ -273,13 +283,16 @@ def protocol_listing(t: Tables) -> DataFrame:
                     F.array_join(F.transform("dates", lambda x: F.date_format(x, "yyyy-MM-dd")), ",").alias("dates"), F.array_join("taxa", ",").alias("taxa"))
 
 
-@query("unwrap_listing", """SELECT l_orderkey, CAST(l_linenumber AS VARCHAR) AS line, l_returnflag AS flag FROM lineitem""")
+@query("unwrap_listing", """SELECT l_orderkey, CAST((l_linenumber - 1) % 7 AS VARCHAR) AS slot, max(l_returnflag) AS flag FROM lineitem GROUP BY ALL""")
 def unwrap_listing(t: Tables) -> DataFrame:
-    """Lists per order written as literals, unwrapped again to one row per line."""
-    lists = t.lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_returnflag"))).alias("r"))
+    """Two lists per order (at most seven entries) written as literals, unwrapped again to rows."""
+    slot = F.pmod(F.col("l_linenumber") - 1, F.lit(b.READ_SLOTS))
+    per = t.lineitem.groupBy("l_orderkey").agg(*[F.max(F.when(slot == i, F.col("l_returnflag"))).alias(f"f{i}") for i in range(b.READ_SLOTS)])
+    entries = F.array_compact(F.array(*[F.when(F.col(f"f{i}").isNotNull(), F.struct(F.lit(str(i)).alias("slot"), F.col(f"f{i}").alias("flag"))) for i in range(b.READ_SLOTS)]))
+    lists = per.select("l_orderkey", entries.alias("r"))
     literal = lambda c: F.concat(F.lit("['"), F.array_join(c, "', '"), F.lit("']"))
-    text = lists.select("l_orderkey", literal(F.col("r.l_linenumber").cast("array<string>")).alias("line"), literal(F.col("r.l_returnflag")).alias("flag"))
-    return metadata.unwrap_listing(text, ["line", "flag"])
+    text = lists.select("l_orderkey", literal(F.col("r.slot")).alias("slot"), literal(F.col("r.flag")).alias("flag"))
+    return metadata.unwrap_listing(text, ["slot", "flag"])
 
 
 @query("project_backend", f"WITH {META} SELECT proj_id, min(status) AS data_source FROM runs GROUP BY proj_id")

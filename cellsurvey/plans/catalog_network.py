@@ -135,7 +135,18 @@ def corr_minmax(t: Tables) -> DataFrame:
 def pca_svd(t: Tables) -> DataFrame:
     """Components of the embeddings read as a cell x gene matrix; checked against numpy in the tests."""
     values = t.embeddings.select(
-        F.lit("P1").alias("proj_id"), F.col("vec_id").alias("cell_id"), F.posexplode("embedding").alias("gene_id", "x")
+        F.concat(F.lit("P"), (F.col("label") % 3).cast("string")).alias("proj_id"), F.col("vec_id").alias("cell_id"), F.posexplode("embedding").alias("gene_id", "x")
     ).withColumn("x", F.col("x").cast("double"))
-    scores = network.components(values, k=10, rounds=6)
+    scores = network.components(values, k=10, rounds=4)
     return scores.select("proj_id", "cell_id", *[F.get("pc", F.lit(j)).alias(f"pc{j + 1}") for j in range(10)])
+
+
+@query("component_energy", "SELECT concat('P', label % 3) AS proj_id, vec_id AS cell_id, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), 6) AS energy FROM embeddings")
+def component_energy(t: Tables) -> DataFrame:
+    """With as many components as genes nothing is lost: the squared scores of a cell add up to its squared counts."""
+    values = t.embeddings.select(
+        F.concat(F.lit("P"), (F.col("label") % 3).cast("string")).alias("proj_id"), F.col("vec_id").alias("cell_id"), F.posexplode("embedding").alias("gene_id", "x")
+    ).withColumn("x", F.col("x").cast("double"))
+    scores = network.components(values, k=64, rounds=1, extra=0)
+    square = F.aggregate("pc", F.lit(0.0), lambda acc, x: acc + x * x)
+    return rounded(scores.select("proj_id", "cell_id", square.alias("energy")), "energy")

@@ -124,12 +124,12 @@ def run_info_scan(t: Tables) -> DataFrame:
     return tables.read_run_info(t.spark, path)
 
 
-@query("search_page_scan", "SELECT DISTINCT CAST(l_partkey AS VARCHAR) AS uid FROM lineitem")
+@query("search_page_scan", "SELECT CAST(l_partkey AS VARCHAR) AS uid FROM lineitem UNION SELECT CAST(l_suppkey AS VARCHAR) FROM lineitem")
 def search_page_scan(t: Tables) -> DataFrame:
-    """One result page per order, with the parts as found ids."""
+    """One result page per line item, with its part and supplier as found ids."""
     path = scratch_path(t.spark, "search")
-    pages = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(F.col("l_partkey").cast("string")).alias("idlist"))
-    pages.select(F.struct(F.lit("0").alias("retstart"), "idlist").alias("esearchresult")).write.json(path)
+    found = F.array(F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string"))
+    t.lineitem.select(F.struct(F.lit("0").alias("retstart"), found.alias("idlist")).alias("esearchresult")).write.json(path)
     return tables.read_search_pages(t.spark, path, multi_line=False)
 
 

@@ -39,9 +39,8 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        folder = tempfile.mkdtemp(prefix="cellsurvey-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="cellsurvey-"))
+        folder = sc.getCheckpointDir()
     return folder
 
 

@@ -129,13 +129,13 @@ def test_components(spark):
         c, g = np.nonzero(m)
         rows += [(p, int(i), int(j), float(m[i, j])) for i, j in zip(c, g)]
     values = spark.createDataFrame(rows, "proj_id string, cell_id long, gene_id long, x double")
-    scores, basis = network.components_with_basis(values, k=4, rounds=12)
+    scores, singular = network.components_with_basis(values, k=4, rounds=12)
     got = scores.toPandas()
     for p, m in (("P", x), ("Q", y)):
         u, s, _ = np.linalg.svd(m, full_matrices=False)
         mine = np.stack(got[got.proj_id == p].sort_values("cell_id")["pc"].to_numpy())
         assert np.allclose(np.abs(mine), np.abs(u[:, :4] * s[:4]), atol=1e-3)
-        sv = basis.filter(F.col("proj_id") == p).select("s").first()[0]
+        sv = singular.filter(F.col("proj_id") == p).select("s").first()[0]
         assert np.allclose(sv, s[:4], rtol=1e-5)
 
 
