@@ -180,7 +180,7 @@ def marker_statistics(cpm: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def meta_markers(statistics: DataFrame, min_auroc: float = 0.5, digits: int = 6) -> DataFrame:
+def recurrent_markers(statistics: DataFrame, min_auroc: float = 0.5, digits: int = 10) -> DataFrame:
     """Combine studies: recurrence (studies with AUROC above the bound), mean statistics, rank per type.
 
     Rank orders genes of a (group, type) by recurrence, then mean AUROC, then gene id.

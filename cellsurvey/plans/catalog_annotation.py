@@ -162,10 +162,10 @@ def marker_stats(t: Tables) -> DataFrame:
     return rounded(rounded(d, "mean_in", "mean_out", digits=3), "log2_fold_change", digits=5)
 
 
-@query("meta_markers", f"""WITH {_STATS}, m AS (SELECT grp, cell_type, gene_id, count(*) FILTER (auroc > 0.5) AS recurrence, count(*) AS n_studies, round(avg(auroc), 6) AS mean_auroc FROM st GROUP BY ALL)
+@query("recurrent_markers", f"""WITH {_STATS}, m AS (SELECT grp, cell_type, gene_id, count(*) FILTER (auroc > 0.5) AS recurrence, count(*) AS n_studies, round(avg(auroc), 10) AS mean_auroc FROM st GROUP BY ALL)
 SELECT cell_type, gene_id, recurrence, n_studies, mean_auroc, row_number() OVER (PARTITION BY grp, cell_type ORDER BY recurrence DESC, mean_auroc DESC, gene_id) AS rank FROM m""")
-def meta_markers(t: Tables) -> DataFrame:
-    return annotation.meta_markers(_statistics(t)).select("cell_type", "gene_id", "recurrence", "n_studies", "mean_auroc", "rank")
+def recurrent_markers(t: Tables) -> DataFrame:
+    return annotation.recurrent_markers(_statistics(t)).select("cell_type", "gene_id", "recurrence", "n_studies", "mean_auroc", "rank")
 
 
 @query("top_markers", f"""WITH {_CPM} SELECT cell_type, grp AS "group", gene_id, rank FROM sub_markers WHERE rank <= 100""")

@@ -85,7 +85,7 @@ def term_folds(t: Tables) -> DataFrame:
     return network.with_folds(_members(t), 3).select("proj_id", "node", "term", "fold")
 
 
-def _egad(weights: str) -> str:
+def _voting_sql(weights: str) -> str:
     return f"""
 folds AS (SELECT proj_id, node, term, CAST((row_number() OVER (PARTITION BY proj_id ORDER BY node, term) - 1) % 3 AS INT) AS fold FROM members),
 w AS ({weights}),
@@ -106,8 +106,8 @@ SELECT proj_id, term, round(auc, 6) AS auc, round(avg_node_degree, 6) AS avg_nod
 FROM cv JOIN nul USING (proj_id, term)"""
 
 
-@query("egad", f"WITH {_SIM}, {_TERMS}, {_egad('SELECT proj_id, src, dst, w FROM edges WHERE src <> dst AND w > 0 UNION ALL SELECT proj_id, node, node, 1 FROM vec')}")
-def egad(t: Tables) -> DataFrame:
+@query("neighbour_voting", f"WITH {_SIM}, {_TERMS}, {_voting_sql('SELECT proj_id, src, dst, w FROM edges WHERE src <> dst AND w > 0 UNION ALL SELECT proj_id, node, node, 1 FROM vec')}")
+def neighbour_voting(t: Tables) -> DataFrame:
     """Neighbour voting on the kNN network."""
     v = b.vectors(t)
     edges = durable(network.symmetric_edges(network.nearest_neighbours(v)))
@@ -115,8 +115,8 @@ def egad(t: Tables) -> DataFrame:
     return rounded(network.neighbour_voting(edges, nodes, _members(t)), "auc", "avg_node_degree", "degree_null_auc", "p_value")
 
 
-@query("egad_dense", f"WITH {_PAIRS}, {_TERMS}, {_egad('SELECT proj_id, src, dst, 1 - d / max(d) OVER (PARTITION BY proj_id) AS w FROM pairs')}")
-def egad_dense(t: Tables) -> DataFrame:
+@query("neighbour_voting_dense", f"WITH {_PAIRS}, {_TERMS}, {_voting_sql('SELECT proj_id, src, dst, 1 - d / max(d) OVER (PARTITION BY proj_id) AS w FROM pairs')}")
+def neighbour_voting_dense(t: Tables) -> DataFrame:
     """Neighbour voting on the full distance network."""
     d = network.neighbour_voting_dense(b.vectors(t), _members(t))
     return rounded(d, "auc", "avg_node_degree", "degree_null_auc", "p_value")

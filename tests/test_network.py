@@ -44,7 +44,7 @@ def test_fewer_cells_than_k(spark):
     assert network.nearest_neighbours(v, k=15).count() == 6
 
 
-def egad(w, marks):
+def voting(w, marks):
     """Dense neighbour voting by the definition."""
     n, terms = marks.shape
     x, y = np.nonzero(marks)
@@ -85,7 +85,7 @@ def test_dense_voting(spark, vectors, points, marks, block):
     d = brute(points)
     members = spark.createDataFrame([("P", int(i), f"t{j}") for i, j in zip(*np.nonzero(marks))], "proj_id string, node long, term string")
     got = network.neighbour_voting_dense(vectors, members, block=block).toPandas().sort_values("term")
-    want = egad(1 - d / d.max(), marks)
+    want = voting(1 - d / d.max(), marks)
     assert np.allclose(got[["auc", "avg_node_degree", "degree_null_auc", "p_value"]].to_numpy(dtype=float), want, atol=1e-8)
 
 
@@ -99,7 +99,7 @@ def test_sparse_voting(spark, vectors, points, marks):
     members = spark.createDataFrame([("P", int(i), f"t{j}") for i, j in zip(*np.nonzero(marks))], "proj_id string, node long, term string")
     nodes = vectors.select("proj_id", F.col("cell_id").alias("node"))
     got = network.neighbour_voting(edges, nodes, members).toPandas().sort_values("term")
-    assert np.allclose(got[["auc", "avg_node_degree", "degree_null_auc", "p_value"]].to_numpy(dtype=float), egad(w, marks), atol=1e-8)
+    assert np.allclose(got[["auc", "avg_node_degree", "degree_null_auc", "p_value"]].to_numpy(dtype=float), voting(w, marks), atol=1e-8)
 
 
 @pytest.mark.parametrize("block", [5, 512])
