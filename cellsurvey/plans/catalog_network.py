@@ -133,7 +133,7 @@ def corr_minmax(t: Tables) -> DataFrame:
 
 @query("pca_svd")
 def pca_svd(t: Tables) -> DataFrame:
-    """Components of the embeddings read as a cell x gene matrix; checked against numpy in the tests."""
+    """Components of the embeddings read as a cell x gene matrix; the operator is checked against numpy in the tests."""
     values = t.embeddings.select(
         F.concat(F.lit("P"), (F.col("label") % 3).cast("string")).alias("proj_id"), F.col("vec_id").alias("cell_id"), F.posexplode("embedding").alias("gene_id", "x")
     ).withColumn("x", F.col("x").cast("double"))
