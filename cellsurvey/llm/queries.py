@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellsurvey.llm import decontamination, dialogue, packing, quality, secrets, toxicity, warc
+from cellsurvey.llm import decontamination, dialogue, ngram_join, packing, paragraphs, quality, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +34,11 @@ def op1_secrets(spark: SparkSession, folder: str) -> DataFrame:
         text(spans).alias("spans"), *[count(k) for k in secrets.KINDS[3:]])
 
 
+@query
+def op2_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_classes(table(spark, folder, "documents"))
+
+
 @query
 def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels")).select(
@@ -72,3 +77,8 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return hits.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.encode(F.array_join("items", ","), "UTF-8"), 256).alias("items_sha256"), "contaminated")
+
+
+@query
+def op10_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.repeated_passages(table(spark, folder, "documents"))
