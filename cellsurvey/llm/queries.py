@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellsurvey.llm import decontamination, dialogue, ngram_join, packing, paragraphs, quality, secrets, toxicity, warc
+from cellsurvey.llm import decontamination, dialogue, lm_scoring, ngram_join, packing, paragraphs, quality, secrets, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,6 +66,11 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", *[F.round(f"p_{c}", 6).alias(f"p_{c}") for c in toxicity.CATEGORIES], "is_toxic")
 
 
+@query
+def op7_backoff_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_scoring.backoff_scores(table(spark, folder, "documents"))
+
+
 @query
 def op8_best_fit(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
