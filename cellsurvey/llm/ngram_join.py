@@ -259,3 +259,18 @@ def jaccard_classes(docs: DataFrame, words: int = 5, threshold: float = 0.8, rec
     return signed.select("doc_id", "node", "size").join(named, "node", "left").select(
         "doc_id", F.when(F.col("size") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("copies", F.lit(1)).alias("n_copies"))
+
+
+def keep_one(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``docs`` with one row of each class: that of the smallest id.
+
+    Rows without an id stay, they cannot be referred to. An id goes if none of its rows names a class; an id
+    that has several rows keeps one of each text.
+    """
+    rows = classes.filter("doc_id is not null").groupBy("doc_id").agg(
+        F.bool_and(F.col("doc_id") != F.col("class_id")).alias("goes"), (F.count(F.lit(1)) > 1).alias("repeated"))
+    marked = durable(rows.filter("goes or repeated"))
+    kept = docs.join(marked.filter("goes").select("doc_id"), "doc_id", "left_anti")
+    repeated = marked.filter("repeated and not goes").select("doc_id")
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(
+        kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns))
