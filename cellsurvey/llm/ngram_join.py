@@ -107,7 +107,7 @@ class Forest:
 def compare_chunks(forest: Forest, level: int):
     """Verify all new pairs of two chunks of one trie node (or of one chunk)."""
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         tree, i, j = int(key[0]), int(key[2]), int(key[3])
         pdf = pdf.sort_values("node", kind="stable", ignore_index=True)
         left = np.flatnonzero((pdf["chunk"] == i).to_numpy())
