@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cellsurvey.functions import fixed_values as fixed
 from cellsurvey.functions.text import lookup, mentions, strip_lane
+from cellsurvey.session import durable
 
 
 def technology_of_text(low: Column, phrases: Mapping[str, Sequence[str]] = fixed.TECHNOLOGY_PHRASES) -> Column:
@@ -59,11 +60,19 @@ def classify_texts_legacy(df: DataFrame, id_col: str, text_col: str) -> DataFram
     return texts.select(id_col, legacy_technology_of_text(F.col("__low")).alias("method"))
 
 
-def unmatched_texts(df: DataFrame, text_col: str, phrases: Mapping[str, Sequence[str]] = fixed.LEGACY_PHRASES) -> DataFrame:
-    """Distinct texts that name no technology at all."""
+def unmatched_texts(
+    df: DataFrame, id_col: str, text_col: str, phrases: Mapping[str, Sequence[str]] = fixed.LEGACY_PHRASES
+) -> DataFrame:
+    """Distinct texts that name no technology at all.
+
+    Of each digest the smallest id is kept, so only ids and digests are grouped; the texts of the survivors are then taken
+    from where they lie. Protocols are shared by many experiments, so the survivors are few.
+    """
     every = [p for group in phrases.values() for p in group]
-    lowered = df.select(text_col, F.lower(text_col).alias("__low"))
-    return lowered.filter(~mentions(F.col("__low"), every)).select(text_col).distinct()
+    digest = F.sha2(F.coalesce(text_col, F.lit("")).cast("binary"), 256).alias("__digest")
+    open_ = df.select(id_col, text_col, digest).filter(~mentions(F.lower(text_col), every))
+    once = durable(open_.groupBy("__digest").agg(F.min(id_col).alias(id_col)))
+    return open_.join(once, ["__digest", id_col], "left_semi").select(text_col)
 
 
 def known_technology(df: DataFrame, col: str = "tech_version") -> DataFrame:
@@ -105,7 +114,8 @@ def chemistry(runs: DataFrame, lengths_col: str = "read_lengths") -> DataFrame:
 def chemistry_of_reads(reads: DataFrame) -> DataFrame:
     """The same rule on ``reads(run_id, position, length)``: plain aggregates, no list per run.
 
-    First means smallest position (then smallest length). ``position`` numbers the read files.
+    First means smallest position (then smallest length). ``position`` numbers the read files; reads are told
+    apart by position and length.
     """
     known = F.col("length").isin(list(fixed.CHEMISTRY_READ_LENGTHS))
     version = F.create_map(*[F.lit(x) for kv in fixed.CHEMISTRY_READ_LENGTHS.items() for x in kv])
@@ -114,7 +124,8 @@ def chemistry_of_reads(reads: DataFrame) -> DataFrame:
         F.min(F.when(known, F.struct("position", "length"))).alias("t"),
         F.min(F.struct((-F.col("length")).alias("short"), "position")).alias("b"),
     ).filter(F.col("nreads") > 1)
-    usable = F.col("t").isNotNull() & (F.col("t.position") != F.col("b.position"))
+    same = (F.col("t.position") == F.col("b.position")) & (F.col("t.length") == -F.col("b.short"))
+    usable = F.col("t").isNotNull() & ~same
     file = lambda n: F.concat(F.col("run_id").cast("string"), F.lit("_"), n.cast("string"), F.lit(".fastq"))
     return found.select(
         "run_id", "nreads", F.when(usable, F.element_at(version, F.col("t.length"))).otherwise("10x").alias("tech_version"),

@@ -151,19 +151,17 @@ def reads(t: Tables) -> DataFrame:
     )
 
 
-READ_SLOTS = 7  # reads per spot in the array form
-
-
 def read_lengths(t: Tables) -> DataFrame:
-    """(run_id, nreads, read_lengths): the lengths of a run as an array of at most seven reads.
+    """(run_id, nreads, read_lengths): the lengths of all reads of a run in order of position, length and part.
 
-    Line numbers are dealt to seven slots and the longest line of a slot is its read, so the array is bounded
-    whatever the table holds, and plain aggregates build it.
+    The list of a run is its result row; it holds what the run holds.
     """
-    slot = F.pmod(F.col("position") - 1, F.lit(READ_SLOTS))
-    slots = reads(t).groupBy("run_id").agg(*[F.max(F.when(slot == i, F.col("length"))).alias(f"s{i}") for i in range(READ_SLOTS)])
-    lengths = F.array_compact(F.array(*[F.col(f"s{i}") for i in range(READ_SLOTS)]))
-    return slots.select("run_id", lengths.alias("read_lengths")).withColumn("nreads", F.size("read_lengths"))
+    entry = F.struct("position", "length", "part")
+    listed = t.lineitem.select(
+        F.col("l_orderkey").alias("run_id"), F.col("l_linenumber").alias("position"),
+        F.col("l_quantity").cast("int").alias("length"), F.col("l_partkey").alias("part"),
+    ).groupBy("run_id").agg(F.sort_array(F.collect_list(entry)).alias("reads"))
+    return listed.select("run_id", F.col("reads.length").alias("read_lengths"), F.size("reads").alias("nreads"))
 
 
 def lanes(t: Tables) -> DataFrame:

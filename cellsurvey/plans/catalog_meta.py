@@ -71,7 +71,7 @@ _every = [p for g in PROSE_PHRASES.values() for p in g]
 
 @query("tech_unknown", f"WITH {_EXP} SELECT DISTINCT lcp FROM experiments WHERE NOT {_matches('lcp', _every)}")
 def tech_unknown(t: Tables) -> DataFrame:
-    return technology.unmatched_texts(_experiments(t), "lcp", PROSE_PHRASES)
+    return technology.unmatched_texts(_experiments(t), "exp_id", "lcp", PROSE_PHRASES)
 
 
 @query("known_technology", f"WITH {META} SELECT run_id, tech FROM runs WHERE tech IN ('smartseq', '10xv3', '10xv2', '10xv1')")
@@ -89,10 +89,10 @@ chem AS (SELECT run_id, nreads, CASE WHEN len IS NOT NULL AND tec <> bio THEN CA
 
 @query("chemistry_from_reads", """WITH r AS (SELECT l_orderkey AS run_id, l_linenumber AS p, CAST(l_quantity AS INT) AS q FROM lineitem),
 n AS (SELECT run_id, count(*) AS nreads FROM r GROUP BY ALL HAVING count(*) > 1),
-b AS (SELECT run_id, p AS bp FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY q DESC, p) AS i FROM r) WHERE i = 1),
+b AS (SELECT run_id, p AS bp, q AS bq FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY q DESC, p) AS i FROM r) WHERE i = 1),
 t AS (SELECT run_id, p AS tp, q FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY p, q) AS i FROM r WHERE q IN (24, 26, 28)) WHERE i = 1)
-SELECT run_id, nreads, CASE WHEN tp IS NOT NULL AND tp <> bp THEN CASE q WHEN 24 THEN '10xv1' WHEN 26 THEN '10xv2' ELSE '10xv3' END ELSE '10x' END AS tech_version,
- concat(run_id, '_', bp, '.fastq') AS read1, CASE WHEN tp IS NOT NULL AND tp <> bp THEN concat(run_id, '_', tp, '.fastq') ELSE '-' END AS read2 FROM n JOIN b USING (run_id) LEFT JOIN t USING (run_id)""")
+SELECT run_id, nreads, CASE WHEN tp IS NOT NULL AND (tp <> bp OR q <> bq) THEN CASE q WHEN 24 THEN '10xv1' WHEN 26 THEN '10xv2' ELSE '10xv3' END ELSE '10x' END AS tech_version,
+ concat(run_id, '_', bp, '.fastq') AS read1, CASE WHEN tp IS NOT NULL AND (tp <> bp OR q <> bq) THEN concat(run_id, '_', tp, '.fastq') ELSE '-' END AS read2 FROM n JOIN b USING (run_id) LEFT JOIN t USING (run_id)""")
 def chemistry_from_reads(t: Tables) -> DataFrame:
     return technology.chemistry_of_reads(b.reads(t))
 
@@ -283,16 +283,14 @@ def protocol_listing(t: Tables) -> DataFrame:
                     F.array_join(F.transform("dates", lambda x: F.date_format(x, "yyyy-MM-dd")), ",").alias("dates"), F.array_join("taxa", ",").alias("taxa"))
 
 
-@query("unwrap_listing", """SELECT l_orderkey, CAST((l_linenumber - 1) % 7 AS VARCHAR) AS slot, max(l_returnflag) AS flag FROM lineitem GROUP BY ALL""")
+@query("unwrap_listing", """SELECT l_orderkey, CAST(l_linenumber AS VARCHAR) AS line, l_returnflag AS flag FROM lineitem""")
 def unwrap_listing(t: Tables) -> DataFrame:
-    """Two lists per order (at most seven entries) written as literals, unwrapped again to rows."""
-    slot = F.pmod(F.col("l_linenumber") - 1, F.lit(b.READ_SLOTS))
-    per = t.lineitem.groupBy("l_orderkey").agg(*[F.max(F.when(slot == i, F.col("l_returnflag"))).alias(f"f{i}") for i in range(b.READ_SLOTS)])
-    entries = F.array_compact(F.array(*[F.when(F.col(f"f{i}").isNotNull(), F.struct(F.lit(str(i)).alias("slot"), F.col(f"f{i}").alias("flag"))) for i in range(b.READ_SLOTS)]))
-    lists = per.select("l_orderkey", entries.alias("r"))
+    """Two lists per order, of all its lines, written as literals and unwrapped again to rows."""
+    entry = F.struct(F.col("l_linenumber").cast("string").alias("line"), F.col("l_returnflag").alias("flag"))
+    lists = t.lineitem.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(entry)).alias("r"))
     literal = lambda c: F.concat(F.lit("['"), F.array_join(c, "', '"), F.lit("']"))
-    text = lists.select("l_orderkey", literal(F.col("r.slot")).alias("slot"), literal(F.col("r.flag")).alias("flag"))
-    return metadata.unwrap_listing(text, ["slot", "flag"])
+    text = lists.select("l_orderkey", literal(F.col("r.line")).alias("line"), literal(F.col("r.flag")).alias("flag"))
+    return metadata.unwrap_listing(text, ["line", "flag"])
 
 
 @query("project_backend", f"WITH {META} SELECT proj_id, min(status) AS data_source FROM runs GROUP BY proj_id")
@@ -494,7 +492,7 @@ def html_links_matching(t: Tables) -> DataFrame:
 def transfer_bytes(t: Tables) -> DataFrame:
     """Events written as transfer log lines, read back and summed per day."""
     size = (F.col("event_id") * 3).cast("string")
-    lines = t.events.select("ts", F.concat(F.lit("2021-07-20 14:33:09 URL:https://h/x ["), size, F.lit("/"), size, F.lit('] -> "x" [1]')).alias("line"))
+    lines = t.events.select("ts", F.concat(F.lit("2020-02-03 04:05:06 URL:https://h/x ["), size, F.lit("/"), size, F.lit('] -> "x" [1]')).alias("line"))
     return lines.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.sum(tx.transferred_bytes(F.col("line"))).alias("bytes"))
 
 

@@ -27,7 +27,8 @@ def stream_growth(t: Tables) -> DataFrame:
 def stream_ledger(t: Tables) -> DataFrame:
     """Users seen in the event stream whose customer is not done yet."""
     sink, checkpoint = scratch_path(t.spark, "ledger"), scratch_path(t.spark, "ledger-state")
-    done = t.customer.filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").cast("string").alias("id"))
+    done = scratch_path(t.spark, "done")
+    t.customer.filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").cast("string").alias("id")).write.parquet(done)
     incremental.update_ledger(_events(t).select(F.col("user_id").cast("string").alias("id")), done, sink, checkpoint)
     return incremental.read_ledger(t.spark, sink)
 

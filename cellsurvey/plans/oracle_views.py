@@ -68,6 +68,6 @@ runs AS (SELECT o_orderkey AS run_id, o_custkey AS samp_id, CASE o_orderpriority
 """
 
 LENGTHS = """
-slots AS (SELECT l_orderkey AS run_id, (l_linenumber - 1) % 7 AS slot, max(CAST(l_quantity AS INT)) AS q FROM lineitem GROUP BY ALL),
-lens AS (SELECT run_id, CAST(count(*) AS INT) AS nreads, list(q ORDER BY slot) AS read_lengths FROM slots GROUP BY ALL)
+lens AS (SELECT l_orderkey AS run_id, CAST(count(*) AS INT) AS nreads,
+  list(CAST(l_quantity AS INT) ORDER BY l_linenumber, CAST(l_quantity AS INT), l_partkey) AS read_lengths FROM lineitem GROUP BY ALL)
 """

@@ -2,32 +2,57 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellsurvey.functions.ranking import number_rows
+from cellsurvey.operators.cellqc import common_genes
 from cellsurvey.operators.metadata import batch_directory
 
 
 def _numbered_lines(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """(dir, idx, value): 1-based line numbers of the side files of all matrices at once.
 
-    A text file is read in splits in file order, so (split offset, row in split) orders its lines.
+    A text file is read in splits in file order, so (file, split offset, row in split) orders its lines.
     """
     lines = spark.read.text(f"{path}/{kind}").select(
-        _folder(F.col("_metadata.file_path")).alias("dir"), "value",
+        _result(F.col("_metadata.file_path")).alias("dir"), "value", F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id"),
     )
-    return number_rows(lines, ["dir"], ["at", "id"], "idx").select("dir", "idx", "value")
-
-
-def _folder(path: Column) -> Column:
-    return F.regexp_replace(path, "/[^/]+$", "")
+    return number_rows(lines, ["dir"], ["file", "at", "id"], "idx").select("dir", "idx", "value")
 
 
 def result_name(folder: Column) -> Column:
     """The ``<id>_<tech>_Solo.out`` part of a result path."""
-    return F.regexp_extract(folder, r"([^/]+_Solo\.out)", 1)
+    return F.regexp_extract(folder, r"([^/=]+_Solo\.out)", 1)
+
+
+def _result(path: Column) -> Column:
+    """What names the result a file belongs to: its result folder, else the folder it is in."""
+    return F.coalesce(F.nullif(result_name(path), F.lit("")), F.regexp_replace(path, "/[^/]+$", ""))
+
+
+def _without_size_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drop comments, and of every file the first line that is none; that line is in the split at offset 0."""
+    seen: set[str] = set()
+    for batch in batches:
+        file, at, value = batch.column(0), batch.column(1), batch.column(2)
+        keep = pc.invert(pc.starts_with(value, "%"))
+        first = pc.and_(keep, pc.equal(at, 0))
+        if pc.any(first).as_py():
+            heads = np.zeros(batch.num_rows, bool)
+            names = file.filter(first)
+            for name in pc.unique(names).to_pylist():
+                if name not in seen:
+                    seen.add(name)
+                    heads[np.flatnonzero(first.to_numpy(zero_copy_only=False))[pc.index(names, name).as_py()]] = True
+            keep = pc.and_not(keep, pa.array(heads))
+        yield batch.select(["file", "value"]).filter(keep)
 
 
 def read_matrices(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -35,22 +60,19 @@ def read_matrices(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
     Returns ``counts(dir, gene_id, cell_id, n)``, ``features(dir, idx, gene_id, symbol, source)`` and
     ``barcodes(dir, idx, cell_id)``. Matrix entries are 1-based (gene, cell, count); the comment lines
-    and the size line are skipped. Both side tables are joined by (folder, number).
+    and the size line are skipped in the scan. Both side tables are joined by (result, number).
     """
     features = _numbered_lines(spark, path, "features.tsv").withColumn("p", F.split("value", "\t")).select(
         "dir", "idx", F.get("p", F.lit(0)).alias("gene_id"), F.get("p", F.lit(1)).alias("symbol"), F.get("p", F.lit(2)).alias("source")
     )
     barcodes = _numbered_lines(spark, path, "barcodes.tsv").select("dir", "idx", F.trim("value").alias("cell_id"))
-    # the size line is the first line of a file that is no comment: number the few leading lines only
     raw = spark.read.text(f"{path}/matrix.mtx").select(
-        _folder(F.col("_metadata.file_path")).alias("dir"), "value",
-        F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id"),
-    ).filter(~F.startswith("value", F.lit("%")))
-    size_line = raw.groupBy("dir").agg(F.min(F.struct("at", "id")).alias("s")).select("dir", F.col("s.id").alias("id"))
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value"
+    ).mapInArrow(_without_size_line, "file string, value string")
     parts = F.split(F.trim("value"), r"\s+")
-    entries = raw.join(size_line, ["dir", "id"], "left_anti").select(
-        "dir", F.get(parts, F.lit(0)).cast("bigint").alias("g"), F.get(parts, F.lit(1)).cast("bigint").alias("c"),
-        F.get(parts, F.lit(2)).cast("bigint").alias("n"),
+    entries = raw.select(
+        _result(F.col("file")).alias("dir"), F.get(parts, F.lit(0)).cast("bigint").alias("g"),
+        F.get(parts, F.lit(1)).cast("bigint").alias("c"), F.get(parts, F.lit(2)).cast("bigint").alias("n"),
     )
     counts = (
         entries.join(features.select("dir", F.col("idx").alias("g"), "gene_id"), ["dir", "g"])
@@ -61,13 +83,17 @@ def read_matrices(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 
 def project_counts(matrices: dict[str, DataFrame], proj_id: Column) -> DataFrame:
-    """Counts of several runs under each other; cells are named apart by their result."""
-    name = result_name(F.col("dir"))
-    ident, tech, run = batch_directory(name, proj_id)
-    return matrices["counts"].select(
+    """Counts of several runs under each other, for the genes that all runs of a project list.
+
+    Cells are named apart by their result.
+    """
+    ident, tech, run = batch_directory(result_name(F.col("dir")), proj_id)
+    counts = matrices["counts"].select(
         proj_id.alias("proj_id"), ident.alias("batch"), tech.alias("tech"),
         F.coalesce(run, F.col("cell_id")).alias("run_id"), F.concat_ws("-", "cell_id", ident).alias("cell_id"), "gene_id", "n",
     )
+    listed = matrices["features"].select(proj_id.alias("proj_id"), F.col("dir").alias("run_id"), "gene_id")
+    return common_genes(counts, listed)
 
 
 def with_gene_info(features: DataFrame, annotation: DataFrame) -> DataFrame:
@@ -84,7 +110,7 @@ def read_aligner_stats(spark: SparkSession, path: str) -> DataFrame:
         parts = F.split("v", sep, 2)
         return lines.select(
             F.trim(F.get(parts, F.lit(0))).alias("stat"), F.trim(F.get(parts, F.lit(1))).alias("value"),
-            F.lit(name).alias("stat_source"), F.regexp_extract("f", r"([^/]+)_Solo\.out", 1).alias("accession"),
+            F.lit(name).alias("stat_source"), F.regexp_extract("f", r"([^/=]+)_Solo\.out", 1).alias("accession"),
         )
     return (
         source("Barcodes.stats", "barcode", r"\s+")

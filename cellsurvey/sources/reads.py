@@ -2,29 +2,43 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_lengths(spark: SparkSession, path: str) -> DataFrame:
-    """(file, length): the length of the first read of every file.
+def _first_reads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The line after the first ``@`` line of every file; both are in the split at offset 0."""
+    done, waiting = set(), None
+    for batch in batches:
+        files, lengths = [], []
+        file, at, value = batch.columns
+        if pc.any(pc.equal(at, 0)).as_py():
+            for name, offset, line in zip(file.to_pylist(), at.to_pylist(), value.to_pylist()):
+                if waiting == name:
+                    files.append(name)
+                    lengths.append(len(line))
+                    done.add(name)
+                    waiting = None
+                elif offset == 0 and name not in done and line.startswith("@"):
+                    waiting = name
+        yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(lengths, pa.int32())], names=["file", "length"])
+
 
-    The second line of a file is its first sequence. The first two lines are found with an aggregate over
-    (split offset, row number), so no file is collected.
-    """
+def read_lengths(spark: SparkSession, path: str) -> DataFrame:
+    """(file, length): the length of the first read of every file, in one narrow scan."""
     lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), "value",
-        F.struct(F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id")).alias("p"),
-    )
-    first = lines.filter(F.startswith("value", F.lit("@"))).groupBy("file").agg(F.min("p").alias("head"))
-    after = lines.join(first, "file").filter(F.col("p") > F.col("head"))
-    return after.groupBy("file").agg(F.length(F.min_by("value", "p")).alias("length"))
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+    return lines.mapInArrow(_first_reads, "file string, length int")
 
 
 def run_read_lengths(spark: SparkSession, path: str) -> DataFrame:
     """(run_id, nreads, read_lengths) from files named ``<run>_<n>.fastq``."""
     named = read_lengths(spark, path).select(
-        F.regexp_extract("file", r"([^/]+?)(?:_(\d+))?\.fastq", 1).alias("run_id"),
+        F.regexp_extract("file", r"([^/=]+?)(?:_(\d+))?\.fastq", 1).alias("run_id"),
         F.coalesce(F.regexp_extract("file", r"_(\d+)\.fastq", 1).try_cast("int"), F.lit(1)).alias("n"), "length",
     )
     per_run = named.groupBy("run_id").agg(F.sort_array(F.collect_list(F.struct("n", "length"))).alias("r"))  # a few files

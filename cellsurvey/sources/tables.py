@@ -16,14 +16,22 @@ _META_TYPES = {
 }
 
 
+# the landed tables quote as spreadsheets do: quotes are doubled, and a quoted field may hold tabs and line feeds.
+# A file with such fields cannot be split, so they are read once and kept as Parquet.
+_QUOTED = {"quote": '"', "escape": '"', "multiLine": True}
+
+
 def read_metadata(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], typed: bool = True) -> DataFrame:
-    """Tab-separated metadata: a leading row-number column is dropped, ``#`` lines skipped.
+    """Tab-separated metadata: columns are bound by the names in the header, ``#`` lines skipped.
 
-    Everything is read as text, missing text becomes ''; with ``typed`` the numeric and date columns
-    are cast, and what does not parse becomes NULL.
+    The unnamed row-number column and others not asked for are left out. Files of one path share a header. Everything
+    is read as text, missing text becomes ''; with ``typed`` the numeric and date columns are cast, and what
+    does not parse becomes NULL.
     """
-    schema = T.StructType([T.StructField("row", T.StringType())] + [T.StructField(c, T.StringType()) for c in columns])
-    raw = spark.read.csv(path, sep="\t", header=True, comment="#", schema=schema, enforceSchema=True).drop("row")
+    raw = None
+    for one in [path] if isinstance(path, str) else path:
+        part = spark.read.csv(one, sep="\t", header=True, comment="#", **_QUOTED).select(*columns)
+        raw = part if raw is None else raw.unionByName(part)
     text = [c for c in columns if not (typed and c in _META_TYPES)]
     out = raw.na.fill("", text)
     if typed:
@@ -84,16 +92,20 @@ def read_listing_links(spark: SparkSession, path: str, pattern: str = "/") -> Da
 
 def read_archive_manifest(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """Archive manifest: files with a checksum, each once."""
-    return spark.read.csv(path, sep="\t", header=True).filter(F.col("md5").isNotNull()).dropDuplicates()
+    return spark.read.csv(path, sep="\t", header=True, **_QUOTED).filter(F.col("md5").isNotNull()).dropDuplicates()
 
 
 def download_manifest(spark: SparkSession, paths: Sequence[str], columns: Sequence[str] = ("file_id", "md5", "size", "urls", "sample_id")) -> DataFrame:
     """The columns the download client needs, from several manifests."""
-    return spark.read.csv(list(paths), sep="\t", header=True).select(*columns)
+    out = None
+    for path in paths:  # each with its own order of columns
+        part = spark.read.csv(path, sep="\t", header=True, **_QUOTED).select(*columns)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def read_spreadsheet(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, sep="\t", header=True)
+    return spark.read.csv(path, sep="\t", header=True, **_QUOTED)
 
 
 def spreadsheet_locations(sheet: DataFrame, column: str = "Data location") -> DataFrame:

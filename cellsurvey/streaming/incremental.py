@@ -38,15 +38,22 @@ def _into(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def update_ledger(todo: DataFrame, done: DataFrame, sink: str, checkpoint: str, key: str = "id") -> None:
+def update_ledger(todo: DataFrame, done_path: str, sink: str, checkpoint: str, key: str = "id") -> None:
     """Append the ids of the to-do stream that are new and not done.
 
-    Repeated ids are removed by streaming state; ``done`` is read afresh in every batch.
+    No streaming state is kept: in every batch, the done table is listed and read anew and the ids of earlier batches
+    are read back from the sink. A batch that is run again replaces its own folder, which it does not look at.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.join(done.select(key), key, "left_anti").write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
-
-    run_available(todo.select(key).dropDuplicates([key]), write, checkpoint)
+        spark = batch.sparkSession
+        fresh = batch.distinct().join(spark.read.parquet(done_path).select(key), key, "left_anti")
+        if batch_id > 0:
+            schema = f"`{key}` {batch.schema[key].dataType.simpleString()}, batch_id bigint"
+            known = spark.read.schema(schema).parquet(sink).filter(F.col("batch_id") < batch_id)
+            fresh = fresh.join(known.select(key), key, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+
+    run_available(todo.select(key), write, checkpoint)
 
 
 def read_ledger(spark: SparkSession, sink: str, key: str = "id") -> DataFrame:

@@ -32,10 +32,27 @@ def test_metadata_scan(spark, tmp_path):
     assert text.run_size == "" and text.tot_spots == "10"
 
 
+def test_metadata_text(spark, tmp_path):
+    """Quotes, tabs and line feeds in fields; columns in another order in the second file; fields not asked for."""
+    a = put(tmp_path / "a.tsv", '\tproj_id\ttitle\tabstract\n0\tP1\t"a ""b"" c"\t"one\ttwo\nthree"\n1\tP2\t\t"x"\n')
+    b = put(tmp_path / "b.tsv", "\tabstract\textra\ttitle\tproj_id\n0\tabs\te\tt\tP3\n")
+    got = rows(tables.read_metadata(spark, [a, b], ["proj_id", "title", "abstract"]), "proj_id", "title", "abstract")
+    assert got == [("P1", 'a "b" c', "one\ttwo\nthree"), ("P2", "", "x"), ("P3", "t", "abs")]
+
+
+def test_withdrawn_run_rejects_its_project(spark, tmp_path):
+    body = [PACKAGE.format(e=e, p=p, ext="", lib="", title="", runs=RUN.format(r="R" + e, e=e, alts="", more=more))
+            for e, p, more in (("X1", "P1", ""), ("X2", "P1", 'unavailable="true"'), ("X3", "P2", ""))]
+    f = put(tmp_path / "set.xml", "<EXPERIMENT_PACKAGE_SET>" + "\n".join(body) + "</EXPERIMENT_PACKAGE_SET>")
+    found = packages.read_packages(spark, f)
+    assert rows(packages.runs(packages.available(found)), "run_id") == [("RX3",)]
+    assert rows(packages.runs(packages.available(found, level="package")), "run_id") == [("RX1",), ("RX3",)]
+
+
 def test_id_list(spark, tmp_path):
-    a = put(tmp_path / "a.txt", "# head\nERP114364   # trailing\n\n  SRP1\n")
+    a = put(tmp_path / "a.txt", "# head\nERP000001   # trailing\n\n  SRP1\n")
     b = put(tmp_path / "b.txt", "SRP2\n")
-    assert rows(tables.read_id_list(spark, a, b, str(tmp_path / "none.txt")), "id") == [("ERP114364",), ("SRP1",), ("SRP2",)]
+    assert rows(tables.read_id_list(spark, a, b, str(tmp_path / "none.txt")), "id") == [("ERP000001",), ("SRP1",), ("SRP2",)]
     assert tables.read_id_list(spark, str(tmp_path / "none.txt")).count() == 0
 
 
@@ -64,8 +81,8 @@ def test_listing_manifest_and_spreadsheet(spark, tmp_path):
 
 
 def test_transfer_log(spark, tmp_path):
-    f = put(tmp_path / "log", '2021-07-20 14:33:09 URL:https://h/SRR1 [17019750/17019750] -> "SRR1.sra" [1]\nnoise\n2021-07-20 15:00:00 URL:x [5/5] -> "y" [1]\n')
-    assert [r.bytes for r in tables.read_transfer_log(spark, f).collect()] == [17019755]
+    f = put(tmp_path / "log", '2020-02-03 04:05:06 URL:https://h/SRR1 [12345/12345] -> "SRR1.sra" [1]\nnoise\n2020-02-03 07:00:00 URL:x [5/5] -> "y" [1]\n')
+    assert [r.bytes for r in tables.read_transfer_log(spark, f).collect()] == [12350]
 
 
 PACKAGE = """<EXPERIMENT_PACKAGE>

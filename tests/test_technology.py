@@ -16,7 +16,7 @@ def test_text_rules(spark):
         assert {r.exp_id: r.tech for r in got} == want
     legacy = technology.classify_texts_legacy(df, "exp_id", "lcp").collect()
     assert {r.exp_id: r.method for r in legacy} == {0: "isSome10x", 1: "isSS", 2: "smarter", 3: "isSome10x", 4: "Unknown", 5: "Unknown", 6: "isSome10x"}
-    assert {r.lcp for r in technology.unmatched_texts(df, "lcp").collect()} == {"nothing"}
+    assert {r.lcp for r in technology.unmatched_texts(df, "exp_id", "lcp").collect()} == {"nothing"}
 
 
 @pytest.mark.parametrize("lengths,want", [
@@ -100,3 +100,16 @@ def test_stage_outcome(spark):
     df = spark.createDataFrame([("A", True), ("A", True), ("B", True), ("B", False), ("C", False)], "proj_id string, ok boolean")
     got = {r.seen: (r.done, r.partial) for r in ledger.stage_outcome(df).collect()}
     assert got == {"A": ("A", None), "B": (None, "B"), "C": (None, None)}
+
+
+def test_array_rule_and_read_rule_agree(spark):
+    """On every run of the table, and no read is missing from the lists."""
+    from cellsurvey.plans import bindings as b
+
+    t = b.Tables(spark, "/root/testdata/sf0.01")
+    lists = b.read_lengths(t)
+    assert lists.agg(F.sum(F.size("read_lengths"))).first()[0] == t.lineitem.count()
+    array = technology.chemistry(lists).select("run_id", "tech_version")
+    reads = technology.chemistry_of_reads(b.reads(t)).select("run_id", F.col("tech_version").alias("other"))
+    both = array.join(reads, "run_id", "full")
+    assert both.count() == array.count() and both.filter("not tech_version <=> other").count() == 0
