@@ -11,6 +11,7 @@ from cellsurvey.functions import fixed_values as fixed
 from cellsurvey.functions.frames import ratio
 from cellsurvey.functions.ranking import number_rows, running_totals, with_neighbours
 from cellsurvey.functions.text import safe_name
+from cellsurvey.session import durable
 
 CELL = ["proj_id", "cell_id"]
 
@@ -36,11 +37,9 @@ def marker_scores(cpm: DataFrame, cells: DataFrame, markers: DataFrame, max_rank
 
 
 def marker_enrichment(scores: DataFrame) -> DataFrame:
-    """Score relative to the mean score of the cell over the types of the same group."""
-    mean = scores.groupBy(*CELL, "group").agg(F.avg("score").alias("__mean"))
-    return scores.join(mean, [*CELL, "group"]).withColumn(
-        "enrichment", F.coalesce(ratio(F.col("score"), F.col("__mean")), F.lit(0.0))
-    ).drop("__mean")
+    """Score relative to the mean score of the cell over the types of the same group (few rows for each cell)."""
+    mean = F.avg("score").over(Window.partitionBy(*CELL, "group"))
+    return scores.withColumn("enrichment", F.coalesce(ratio(F.col("score"), mean), F.lit(0.0)))
 
 
 def assign_cells(scores: DataFrame, classes: DataFrame | None = None, digits: int = 9) -> DataFrame:
@@ -94,7 +93,7 @@ def _ranked_pairs(enrichment: DataFrame, value: str) -> DataFrame:
 
 def pr_curve(enrichment: DataFrame, value: str = "value") -> DataFrame:
     """Precision-recall curve of each project: position P, distinct cells TP, recall and precision."""
-    n_cells = enrichment.select(*CELL).distinct().groupBy("proj_id").agg(F.count(F.lit(1)).alias("n_cells"))
+    n_cells = durable(enrichment.select(*CELL).distinct().groupBy("proj_id").agg(F.count(F.lit(1)).alias("n_cells")))
     tp, p = F.col("new_before") + F.col("new"), F.col("one_before") + 1
     return _ranked_pairs(enrichment, value).join(n_cells, "proj_id").select(
         *CELL, "cell_type", "value", "first_seen", tp.alias("TP"), p.alias("P"),
@@ -163,13 +162,14 @@ def marker_statistics(cpm: DataFrame, labels: DataFrame) -> DataFrame:
         F.sum(F.col("t.hits") * F.col("cpm")).alias("sum_in"),
     )
     overall = inside.groupBy(*group).agg(F.sum("hits").alias("hits_all"), F.sum("sum_in").alias("sum_all"))
-    types = sizes.join(group_sizes, ["proj_id", "group"])
+    types = durable(sizes.join(group_sizes, ["proj_id", "group"]))  # a row per type
     grid = overall.join(types, ["proj_id", "group"]).filter(F.col("n_all") > F.col("n_in"))
     full = grid.join(inside, [*group, "cell_type"], "left").na.fill(0, ["hits", "ranks", "sum_in"])
     n_in, n_out = F.col("n_in"), F.col("n_all") - F.col("n_in")
     zeros = F.col("n_all") - F.col("hits_all")
     total = F.col("ranks") + zeros * F.col("hits") + (n_in - F.col("hits")) * (zeros + 1) / 2
-    mean_in, mean_out = F.col("sum_in") / n_in, (F.col("sum_all") - F.col("sum_in")) / n_out
+    # a difference of sums can fall below 0 by rounding
+    mean_in, mean_out = F.col("sum_in") / n_in, F.greatest(F.col("sum_all") - F.col("sum_in"), F.lit(0.0)) / n_out
     return full.select(
         "proj_id", "group", "cell_type", "gene_id",
         ((total / n_in - (n_in + 1) / 2) / n_out).alias("auroc"),

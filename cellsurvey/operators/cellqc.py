@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cellsurvey.functions import fixed_values as fixed
 from cellsurvey.functions.frames import ratio
+from cellsurvey.session import durable
 
 CELL = ["proj_id", "cell_id"]
 GENE = ["proj_id", "gene_id"]
@@ -44,7 +45,7 @@ def gene_moments(counts: DataFrame, genes: DataFrame, cells: DataFrame) -> DataF
         F.sum("n").alias("total_counts"), F.count(F.lit(1)).alias("n_cells_by_counts"),
         F.sum(n * n).alias("sum_squares"),
     )
-    n_cells = cells.groupBy("proj_id").agg(F.count(F.lit(1)).alias("n_cells"))
+    n_cells = durable(cells.groupBy("proj_id").agg(F.count(F.lit(1)).alias("n_cells")))
     s, q, c = F.col("total_counts").cast("double"), F.col("sum_squares").cast("double"), F.col("n_cells")
     return (
         genes.join(t, GENE, "left").na.fill(0, ["total_counts", "n_cells_by_counts", "sum_squares"])
@@ -269,7 +270,7 @@ def cell_metrics(
     project = [F.count(F.lit(1)).alias("g")] + [F.count(F.when(F.col(s), 1)).alias(f"size_{s}") for s in sets]
     if "corr" in want:
         project += [F.sum("mean").alias("mean_sum"), F.sum(F.col("mean") * F.col("mean")).alias("mean_squares")]
-    per_project = genes.groupBy("proj_id").agg(*project)
+    per_project = durable(genes.groupBy("proj_id").agg(*project))
 
     joined = cells.select(*CELL).join(per_project, "proj_id").join(per_cell, CELL, "left").na.fill(
         0, ["total", "k"] + [f"hits_{s}" for s in sets]

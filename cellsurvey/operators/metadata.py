@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cellsurvey.functions import fixed_values as fixed
 from cellsurvey.functions.ranking import number_rows
 from cellsurvey.functions.text import base_name, list_literal, strip_lane
+from cellsurvey.session import durable
 
 
 def of_projects(df: DataFrame, *proj_ids: str) -> DataFrame:
@@ -54,7 +55,7 @@ def impute_batch(samples: DataFrame, runs: DataFrame) -> DataFrame:
     bags = samples.select("proj_id", "samp_id", "attributes").dropDuplicates(["proj_id", "samp_id"])
     return (
         runs.select("run_id", "proj_id", "samp_id", "exp_id")
-        .join(batch_profile(samples, runs).select("proj_id", "level"), "proj_id", "left")
+        .join(durable(batch_profile(samples, runs).select("proj_id", "level")), "proj_id", "left")
         .join(bags, ["proj_id", "samp_id"], "left")
         .select(
             "run_id", "proj_id", F.coalesce("level", F.lit("none")).alias("level"),

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellsurvey.functions import fixed_values as fixed
@@ -28,7 +28,7 @@ CELL = ["proj_id", "cell_id"]
 
 def _place(rows: DataFrame, cells: DataFrame, block: int) -> DataFrame:
     """Give every row the block of its cell; the number of blocks follows the project's size."""
-    n = cells.groupBy("proj_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("__blocks"))
+    n = durable(cells.groupBy("proj_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("__blocks")))
     return rows.join(n, "proj_id").withColumn("__block", F.pmod(F.xxhash64("cell_id"), F.col("__blocks")).cast("int"))
 
 
@@ -114,7 +114,8 @@ def nearest_neighbours(vectors: DataFrame, k: int = fixed.N_NEIGHBOURS, block: i
 
 def symmetric_edges(neighbours: DataFrame) -> DataFrame:
     """Neighbour lists -> undirected weighted edges, both directions, weight 1 - distance / largest distance."""
-    largest = neighbours.groupBy("proj_id").agg(F.max("distance").alias("__max"))
+    neighbours = durable(neighbours)  # read twice, and the search is the dear part
+    largest = durable(neighbours.groupBy("proj_id").agg(F.max("distance").alias("__max")))
     weighted = neighbours.join(largest, "proj_id").select(
         "proj_id", F.col("cell_id").alias("src"), F.col("neighbour").alias("dst"),
         F.when(F.col("__max") > 0, 1 - F.col("distance") / F.col("__max")).otherwise(1.0).alias("w"),
@@ -125,7 +126,8 @@ def symmetric_edges(neighbours: DataFrame) -> DataFrame:
 
 def similarity(edges: DataFrame, distance: str = "distance") -> DataFrame:
     """1 - distance / largest distance of the project."""
-    largest = edges.groupBy("proj_id").agg(F.max(distance).alias("__max"))
+    edges = durable(edges)
+    largest = durable(edges.groupBy("proj_id").agg(F.max(distance).alias("__max")))
     return edges.join(largest, "proj_id").withColumn(
         "w", F.when(F.col("__max") > 0, 1 - F.col(distance) / F.col("__max")).otherwise(1.0)
     ).drop("__max")
@@ -136,7 +138,7 @@ def rank_standardise(edges: DataFrame, value: str = "w", missing: float = 0.5) -
     finite = F.col(value).isNotNull() & ~F.isnan(value) & (F.abs(value) != float("inf"))
     known = edges.filter(finite)
     ranks = tie_histogram(known, ["proj_id"], value)
-    top = ranks.groupBy("proj_id").agg((F.max("rank") - 1).alias("__top"))
+    top = durable(ranks.groupBy("proj_id").agg((F.max("rank") - 1).alias("__top")))
     scores = ranks.join(top, "proj_id").select(
         "proj_id", value, F.when(F.col("__top") > 0, (F.col("rank") - 1) / F.col("__top")).alias("standardised")
     )
@@ -328,7 +330,7 @@ def correlation_extremes(counts: DataFrame, genes: DataFrame, block: int = 2048,
     correlation.
     """
     id_type = counts.schema["cell_id"].dataType.simpleString()
-    n_genes = genes.groupBy("proj_id").agg(F.count(F.lit(1)).alias("g"))
+    n_genes = durable(genes.groupBy("proj_id").agg(F.count(F.lit(1)).alias("g")))
     rows = counts.select(*CELL, "gene_id", F.col(value).cast("double").alias("x")).join(n_genes, "proj_id")
     cells = counts.select(*CELL).distinct()
 
@@ -372,34 +374,118 @@ def correlation_extremes(counts: DataFrame, genes: DataFrame, block: int = 2048,
 
 # ---------------------------------------------------------------- components
 
-def components(values: DataFrame, k: int = fixed.N_COMPONENTS, rounds: int = 6, extra: int = 10) -> DataFrame:
+def components(values: DataFrame, k: int = fixed.N_COMPONENTS, tol: float = 1e-7, most_rounds: int = 60) -> DataFrame:
     """Scores on the k leading components of each project's cell x gene matrix, without centring.
 
-    ``values(proj_id, cell_id, gene_id, x)`` holds the non-zeros of the chosen genes. Block power
-    iteration over all projects at once: each round is two sparse products, done as joins with sums.
-    Only matrices of (k + extra) x (k + extra) numbers per project are ever brought together.
-    Column ``pc`` array<double>; the loadings of each component sum to a positive number.
+    ``values(proj_id, cell_id, gene_id, x)`` holds the non-zeros of the chosen genes. Column ``pc`` array<double>; the
+    loadings of each component sum to a positive number. See ``components_with_basis``.
     """
-    return components_with_basis(values, k, rounds, extra)[0]
+    return components_with_basis(values, k, tol, most_rounds)[0]
 
 
-def components_with_basis(values: DataFrame, k: int, rounds: int = 6, extra: int = 10) -> tuple[DataFrame, DataFrame]:
-    """(scores, singular values): ``s`` array<double> per project."""
-    width = k + extra
-    basis = values.select("proj_id", "gene_id").distinct().select(
+def components_with_basis(values: DataFrame, k: int, tol: float = 1e-7, most_rounds: int = 60) -> tuple[DataFrame, DataFrame]:
+    """(scores, singular values): ``s`` array<double> per project, by a block Krylov method over all projects at once.
+
+    A round multiplies a block of k directions with the matrix and its transpose (two sparse products, done as joins
+    with sums), adds it to the basis and takes the best k combinations of all. The next directions are what these
+    leave over. It ends when that is below ``tol`` of the largest eigenvalue for every component of every project, which puts
+    singular values within about tol squared, and raises if ``most_rounds`` do not get there. A basis of more than eight
+    blocks is reduced to its leading half. Only matrices of the basis' width per project are ever brought together.
+    """
+    values = durable(values.select("proj_id", "cell_id", "gene_id", "x"))  # read twice a round
+    block = durable(_times(values.select("proj_id", "gene_id").distinct().select(
         "proj_id", "gene_id",
-        F.array(*[F.xxhash64("gene_id", F.lit(j)).cast("double") / float(2 ** 63) for j in range(width)]).alias("z"),
-    )
-    basis = _times_matrix(durable(basis), _whitening(basis))
-    for _ in range(rounds):
-        z = durable(_product(values, "gene_id", _product(values, "cell_id", basis, width), width).withColumnRenamed("v", "z"))
-        basis = _times_matrix(z, _whitening(z))
-    basis = durable(basis)
-    y = _product(values, "cell_id", basis, width)
-    z = _product(values, "gene_id", y, width).withColumnRenamed("v", "z")
-    rotation = durable(_rotation(basis.join(z, ["proj_id", "gene_id"]), k))
-    scores = _times_matrix(y.withColumnRenamed("v", "z"), rotation).select("proj_id", "cell_id", F.col("v").alias("pc"))
-    return scores, rotation.select("proj_id", "s")
+        F.array(*[F.xxhash64("gene_id", F.lit(j)).cast("double") / float(2 ** 63) for j in range(k)]).alias("z")), "z", "z"))
+    basis, held = None, 0
+    for _ in range(most_rounds):
+        image = _gram_product(values, block, k)
+        joined = image if basis is None else basis.join(
+            image.select("proj_id", "gene_id", F.col("z").alias("z2"), F.col("v").alias("v2")), ["proj_id", "gene_id"]
+        ).select("proj_id", "gene_id", F.concat("z", "z2").alias("z"), F.concat("v", "v2").alias("v"))
+        held += k
+        joined = durable(joined)
+        small = durable(_ritz(joined, k, keep=4 * k if held >= 8 * k else held))
+        held = min(held, 4 * k) if held >= 8 * k else held
+        basis = durable(joined.join(small.select("proj_id", "m"), "proj_id").select(
+            "proj_id", "gene_id", _dots("m", "z").alias("z"), _dots("m", "v").alias("v")))
+        if not small.filter(~(F.col("residual") <= tol)).count():
+            break
+        # what the leading combinations leave over, made orthogonal to the basis and to each other
+        rest = basis.join(small.select("proj_id", "theta"), "proj_id").select(
+            "proj_id", "gene_id", "z",
+            F.zip_with(F.zip_with(F.slice("v", 1, k), F.slice("z", 1, k), lambda v, z: F.struct(v.alias("v"), z.alias("z"))), F.slice("theta", 1, k),
+                       lambda p, t: p["v"] - t * p["z"]).alias("r"))
+        block = durable(_times(durable(_against(durable(rest))), "z", "z"))
+    else:
+        raise ValueError(f"components not found in {most_rounds} rounds")
+    leading = basis.select("proj_id", "gene_id", F.slice("z", 1, k).alias("v"))
+    y = _product(values, "cell_id", leading, k)
+    signs = small.join(
+        leading.select("proj_id", F.posexplode("v").alias("j", "x")).groupBy("proj_id", "j").agg(F.sum("x").alias("t"))
+        .groupBy("proj_id").agg(F.array_sort(F.collect_list(F.struct("j", "t"))).alias("totals")), "proj_id"
+    ).select("proj_id", F.col("totals.t").alias("t"), F.transform(F.slice("theta", 1, k), lambda x: F.sqrt(F.greatest(x, F.lit(0.0)))).alias("s"))
+    signs = durable(signs)
+    scores = y.join(signs.select("proj_id", "t"), "proj_id").select(
+        "proj_id", "cell_id", F.zip_with("v", "t", lambda v, t: F.when(t < 0, -v).otherwise(v)).alias("pc"))
+    return scores, signs.select("proj_id", "s")
+
+
+def _gram_product(values: DataFrame, block: DataFrame, width: int) -> DataFrame:
+    """(proj_id, gene_id, z, v): the block and its image under the transposed matrix times the matrix."""
+    rows = block.select("proj_id", "gene_id", F.col("z").alias("v"))
+    image = _product(values, "gene_id", _product(values, "cell_id", rows, width), width)
+    return block.join(image, ["proj_id", "gene_id"])
+
+
+def _dots(matrix: str, vector: str) -> Column:
+    dot = lambda m: F.aggregate(F.zip_with(F.col(vector), m, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
+    return F.transform(F.col(matrix), dot)
+
+
+def _times(rows: DataFrame, left: str, name: str) -> DataFrame:
+    """Columns of ``left`` made orthonormal."""
+    return rows.join(durable(_whitening(rows.withColumnRenamed(left, "z"))), "proj_id").select("proj_id", "gene_id", _dots("m", left).alias(name))
+
+
+def _against(rest: DataFrame) -> DataFrame:
+    """(proj_id, gene_id, z): the remainders ``r`` without their parts along the orthonormal ``z``, taken off twice."""
+    for _ in range(2):
+        parts = _inner_products(rest, "z", "r")
+        width = durable(parts.groupBy("proj_id").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("p"))).select("proj_id", F.col("p.value").alias("p"))
+        # p[i * k + j] is the inner product of basis vector i and remainder j
+        rest = rest.join(width, "proj_id").select(
+            "proj_id", "gene_id", "z",
+            F.transform("r", lambda x, j: x - F.aggregate(
+                F.transform("z", lambda z, i: z * F.get("p", i * F.size("r") + j)), F.lit(0.0), lambda a, b: a + b)).alias("r"))
+        rest = durable(rest)
+    return rest.select("proj_id", "gene_id", F.col("r").alias("z"))
+
+
+def _ritz(rows: DataFrame, k: int, keep: int) -> DataFrame:
+    """Per project: rotation ``m`` to the best ``keep`` combinations, their ``theta``, and the largest relative residual of the first k."""
+    def solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        part = lambda name: _square(pdf[pdf["kind"] == name])
+        norm, image, square = part("zz"), part("zv"), part("vv")
+        lam, w = np.linalg.eigh(norm)
+        good = lam > max(lam.max(), 0.0) * 1e-10
+        base = w[:, good] / np.sqrt(lam[good])
+        theta, u = np.linalg.eigh(base.T @ image @ base)
+        order = np.argsort(-theta)[:keep]
+        m = np.zeros((len(norm), keep))
+        m[:, :len(order)] = base @ u[:, order]
+        full = np.zeros(keep)
+        full[:len(order)] = theta[order]
+        left = np.einsum("ij,ik,kj->j", m[:, :k], square, m[:, :k]) - full[:k] ** 2
+        # squares cancel down to the rounding of the largest
+        residual = np.sqrt(np.maximum(left, 0.0).max()) / max(full[0], 1e-300)
+        exhausted = good.sum() <= len(norm) - k  # the last block brought nothing new
+        return pd.DataFrame({"proj_id": [key[0]], "m": [m.T.tolist()], "theta": [full.tolist()], "residual": [0.0 if exhausted else residual]})
+
+    kinds = None
+    for name, left, right in (("zz", "z", "z"), ("zv", "z", "v"), ("vv", "v", "v")):
+        one = _inner_products(rows, left, right).withColumn("kind", F.lit(name))
+        kinds = one if kinds is None else kinds.unionByName(one)
+    return kinds.groupBy("proj_id").applyInPandas(solve, "proj_id string, m array<array<double>>, theta array<double>, residual double")
 
 
 def _product(values: DataFrame, by: str, table: DataFrame, width: int) -> DataFrame:
@@ -444,26 +530,3 @@ def _whitening(rows: DataFrame) -> DataFrame:
         return pd.DataFrame({"proj_id": [key[0]], "m": [(w * scale).T.tolist()]})
 
     return _inner_products(rows, "z", "z").groupBy("proj_id").applyInPandas(solve, "proj_id string, m array<array<double>>")
-
-
-def _rotation(rows: DataFrame, k: int) -> DataFrame:
-    """Rotation of the basis to the k leading components, and their singular values."""
-    def solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        inner = pdf[pdf["at"] >= 0]
-        totals = pdf[pdf["at"] < 0].sort_values("at", ascending=False)["value"].to_numpy()
-        lam, w = np.linalg.eigh(_square(inner))
-        order = np.argsort(-lam)[:k]
-        sign = np.where(totals @ w[:, order] < 0, -1.0, 1.0)
-        s = np.sqrt(np.maximum(lam[order], 0.0))
-        return pd.DataFrame({"proj_id": [key[0]], "m": [(w[:, order] * sign).T.tolist()], "s": [s.tolist()]})
-
-    totals = rows.select("proj_id", F.posexplode("v").alias("j", "x")).groupBy("proj_id", "j").agg(F.sum("x").alias("value"))
-    small = _inner_products(rows, "v", "z").unionByName(
-        totals.select("proj_id", (-1 - F.col("j")).cast("int").alias("at"), "value"))
-    return small.groupBy("proj_id").applyInPandas(solve, "proj_id string, m array<array<double>>, s array<double>")
-
-
-def _times_matrix(rows: DataFrame, matrix: DataFrame) -> DataFrame:
-    """Multiply the row vectors ``z`` by the transposed rows of the project's small matrix; result in ``v``."""
-    dot = lambda m: F.aggregate(F.zip_with("z", m, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-    return rows.join(matrix.select("proj_id", "m"), "proj_id").withColumn("v", F.transform("m", dot)).drop("m", "z")

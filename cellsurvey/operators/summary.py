@@ -11,6 +11,7 @@ from cellsurvey.functions import fixed_values as fixed
 from cellsurvey.functions.frames import long_form, ratio
 from cellsurvey.functions.ranking import average_rank, average_rank_window, exact_median
 from cellsurvey.functions.text import strip_chemistry
+from cellsurvey.session import durable
 
 
 # ---------------------------------------------------------------- header box
@@ -162,11 +163,12 @@ def histogram(
     ``shared`` are the group columns the breaks carry. The last bin includes its upper edge. Rows are
     merged to bins map side, so the size of a group does not matter.
     """
+    breaks = durable(breaks)  # a row per statistic (and group): of known size, so the cells are not exchanged by statistic
     keys = [*group, "stat"]
     width = (F.col("hi") - F.col("lo")) / n_bins
     place = F.floor((F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * n_bins) + 1
     inside = (F.col("value") >= F.col("lo")) & (F.col("value") <= F.col("hi"))
-    hits = (
+    hits = durable(
         long.join(breaks, [*shared, "stat"]).filter(inside)
         .groupBy(*keys, F.least(place, F.lit(n_bins).cast("bigint")).cast("int").alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))

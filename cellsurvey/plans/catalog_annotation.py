@@ -155,9 +155,9 @@ def _statistics(t: Tables) -> DataFrame:
     return annotation.marker_statistics(cellqc.counts_per_million(b.counts(t)), b.cell_labels(t))
 
 
-@query("marker_stats", f"""WITH {_STATS} SELECT proj_id, cell_type, gene_id, round(auroc, 6) AS auroc, round(mean_in, 3) AS mean_in, round(abs(mean_out), 3) AS mean_out, round(lfc, 5) AS log2_fold_change, round(detection_in, 6) AS detection_in, round(detection_out, 6) AS detection_out FROM st""")
+@query("marker_stats", f"""WITH {_STATS} SELECT proj_id, cell_type, gene_id, round(auroc, 6) AS auroc, round(mean_in, 3) AS mean_in, round(greatest(mean_out, 0), 3) AS mean_out, round(lfc, 5) AS log2_fold_change, round(detection_in, 6) AS detection_in, round(detection_out, 6) AS detection_out FROM st""")
 def marker_stats(t: Tables) -> DataFrame:
-    d = _statistics(t).drop("group").withColumn("mean_out", F.abs("mean_out"))
+    d = _statistics(t).drop("group")
     d = rounded(d, "auroc", "detection_in", "detection_out")
     return rounded(rounded(d, "mean_in", "mean_out", digits=3), "log2_fold_change", digits=5)
 

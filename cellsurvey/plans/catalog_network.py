@@ -137,7 +137,7 @@ def pca_svd(t: Tables) -> DataFrame:
     values = t.embeddings.select(
         F.concat(F.lit("P"), (F.col("label") % 3).cast("string")).alias("proj_id"), F.col("vec_id").alias("cell_id"), F.posexplode("embedding").alias("gene_id", "x")
     ).withColumn("x", F.col("x").cast("double"))
-    scores = network.components(values, k=10, rounds=4)
+    scores = network.components(values, k=10)
     return scores.select("proj_id", "cell_id", *[F.get("pc", F.lit(j)).alias(f"pc{j + 1}") for j in range(10)])
 
 
@@ -147,6 +147,6 @@ def component_energy(t: Tables) -> DataFrame:
     values = t.embeddings.select(
         F.concat(F.lit("P"), (F.col("label") % 3).cast("string")).alias("proj_id"), F.col("vec_id").alias("cell_id"), F.posexplode("embedding").alias("gene_id", "x")
     ).withColumn("x", F.col("x").cast("double"))
-    scores = network.components(values, k=64, rounds=1, extra=0)
+    scores = network.components(values, k=64)
     square = F.aggregate("pc", F.lit(0.0), lambda acc, x: acc + x * x)
     return rounded(scores.select("proj_id", "cell_id", square.alias("energy")), "energy")

@@ -186,4 +186,4 @@ def cell_components(t: Tables) -> DataFrame:
     """Components of the logged counts of the variable genes of every project; the operator is compared with numpy in the tests."""
     counts, cells = b.counts(t), b.cells(t)
     table = stages.gene_table(counts, b.genes(t), cells)
-    return stages.cell_embedding(counts, cells, table, rounds=4)
+    return stages.cell_embedding(counts, cells, table)

@@ -31,7 +31,7 @@ def cell_table(
 
 
 def cell_embedding(
-    counts: DataFrame, cells: DataFrame, genes: DataFrame, k: int = fixed.N_COMPONENTS, rounds: int = 8
+    counts: DataFrame, cells: DataFrame, genes: DataFrame, k: int = fixed.N_COMPONENTS, tol: float = 1e-7
 ) -> DataFrame:
     """Components of the logged counts of the variable genes; at most one less than the cells of a project.
 
@@ -43,7 +43,7 @@ def cell_embedding(
         .select("proj_id", "cell_id", "gene_id", F.log1p("n").alias("x"))
     )
     n_cells = cells.groupBy("proj_id").agg(F.count(F.lit(1)).alias("c"))
-    scores = network.components(values, k, rounds)
+    scores = network.components(values, k, tol)
     limit = F.least(F.lit(k).cast("bigint"), F.col("c") - 1).cast("int")
     empty = F.array_repeat(F.lit(0.0), limit)  # cells without a variable gene sit at the origin
     return cells.select("proj_id", "cell_id").join(n_cells, "proj_id").join(scores, ["proj_id", "cell_id"], "left").select(

@@ -129,14 +129,38 @@ def test_components(spark):
         c, g = np.nonzero(m)
         rows += [(p, int(i), int(j), float(m[i, j])) for i, j in zip(c, g)]
     values = spark.createDataFrame(rows, "proj_id string, cell_id long, gene_id long, x double")
-    scores, singular = network.components_with_basis(values, k=4, rounds=12)
+    scores, singular = network.components_with_basis(values, k=4)
     got = scores.toPandas()
     for p, m in (("P", x), ("Q", y)):
         u, s, _ = np.linalg.svd(m, full_matrices=False)
         mine = np.stack(got[got.proj_id == p].sort_values("cell_id")["pc"].to_numpy())
-        assert np.allclose(np.abs(mine), np.abs(u[:, :4] * s[:4]), atol=1e-3)
+        assert np.allclose(np.abs(mine), np.abs(u[:, :4] * s[:4]), atol=1e-6)
         sv = singular.filter(F.col("proj_id") == p).select("s").first()[0]
-        assert np.allclose(sv, s[:4], rtol=1e-5)
+        assert np.allclose(sv, s[:4], rtol=1e-9)
+
+
+def test_registered_components_against_numpy(spark):
+    """All singular values and scores of the query's own input."""
+    import __spark_entry__ as entry
+
+    folder = "/root/testdata/sf0.001"
+    got = entry.queries()["pca_svd"](spark, folder).toPandas()
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet").toPandas()
+    for p in range(3):
+        own = vectors[vectors.label % 3 == p].sort_values("vec_id")
+        m = np.stack(own["embedding"].to_numpy()).astype(float)
+        u, s, vt = np.linalg.svd(m, full_matrices=False)
+        mine = got[got.proj_id == f"P{p}"].sort_values("cell_id")[[f"pc{j + 1}" for j in range(10)]].to_numpy()
+        assert np.allclose(np.linalg.norm(mine, axis=0), s[:10], rtol=1e-6)
+        signs = np.where(vt[:10].sum(axis=1) < 0, -1, 1)
+        assert np.allclose(mine, u[:, :10] * s[:10] * signs, atol=1e-4)
+
+
+def test_components_that_do_not_converge(spark):
+    rng = np.random.default_rng(1)
+    rows = [("P", i, j, float(rng.normal())) for i in range(40) for j in range(40)]
+    with pytest.raises(ValueError):
+        network.components(spark.createDataFrame(rows, "proj_id string, cell_id long, gene_id long, x double"), k=2, most_rounds=2)
 
 
 def test_rank_standardise_edges(spark):
