@@ -3,7 +3,8 @@
 Paragraphs (lines of at least ``least_words`` words) are sets of five-word shingles. Bands of a MinHash signature are tuned
 so that a pair at the threshold collides in one of them with probability ``recall``; colliding paragraphs are verified by
 exact Jaccard similarity and clustered by connected components. So that passages are found that begin or end inside
-a paragraph, its sentences are pieces as well, matched by equality.
+a paragraph, its sentences are pieces as well, matched by equality; sentences of more than ``longest_sentence`` words are cut
+at words chosen by hash, which are the same wherever the passage stands.
 
 A piece is repeated if its cluster occurs in two documents or more. The document with the smallest id keeps it, the others
 may lose it. Repeated pieces of a document that touch, or leave at most ``gap`` words between them, form one passage;
@@ -56,18 +57,22 @@ def layout(text: bytes) -> tuple[list[bytes], list[tuple[int, int]]]:
     return words, lines
 
 
-def sentences(words: list[bytes], first: int, last: int) -> Iterator[tuple[int, int]]:
-    """Word intervals of the sentences of a line."""
+def sentences(words: list[bytes], hashes: np.ndarray, first: int, last: int, least: int, longest: int) -> Iterator[tuple[int, int]]:
+    """Word intervals of the sentences of a line, long ones cut."""
     start = first
     for i in range(first, last):
-        if words[i][-1] in _ENDS:
-            yield start, i + 1
+        if i + 1 == last or words[i][-1] in _ENDS:
+            if i + 1 - start > longest:
+                for cut in np.flatnonzero(hashes[start : i + 1] % np.uint64(8) == 0) + (start + 1):
+                    if cut - start >= least:
+                        yield start, int(cut)
+                        start = int(cut)
+            if start <= i:
+                yield start, i + 1
             start = i + 1
-    if start < last:
-        yield start, last
 
 
-def _cutter(least_words: int, least_sentence: int, hashes: int, seed: int):
+def _cutter(least_words: int, least_sentence: int, longest_sentence: int, hashes: int, seed: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, family = WordHashes(), hash_family(hashes, seed)
         for batch in slices(batches, 128):
@@ -81,7 +86,7 @@ def _cutter(least_words: int, least_sentence: int, hashes: int, seed: int):
                     if b - a >= least_words:
                         s = paragraph_set(h[a:b])
                         out.append((doc_id, xxhash.xxh3_128_digest(s.tobytes()), None, a, b, minhash(s, family).view(np.int32)))
-                    for x, y in sentences(words, a, b):
+                    for x, y in sentences(words, h, a, b, least_sentence, longest_sentence):
                         if y - x >= least_sentence:
                             out.append((doc_id, None, xxhash.xxh3_64_intdigest(b" ".join(words[x:y])) - (1 << 63), x, y, None))
             if out:
@@ -172,11 +177,11 @@ def near_paragraphs(docs: DataFrame, nodes: DataFrame, rows: int, bands: int, th
 
 
 def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999, least_words: int = 20,
-                      least_sentence: int = 6, least_span: int = 30, gap: int = 8, chunk: int = 512, seed: int = 2) -> DataFrame:
+                      least_sentence: int = 6, longest_sentence: int = 30, least_span: int = 30, gap: int = 8, chunk: int = 512, seed: int = 2) -> DataFrame:
     """(doc_id, first_word, last_word (exclusive), n_words, n_removed, kept_doc_id) of every repeated passage."""
     rows, bands = tune_bands(threshold, recall)
     pieces = durable(own_columns(docs, "doc_id", "text").filter("doc_id is not null").mapInArrow(
-        _cutter(least_words, least_sentence, rows * bands, seed), _PIECES))
+        _cutter(least_words, least_sentence, longest_sentence, rows * bands, seed), _PIECES))
     lines, parts = pieces.filter("node is not null"), pieces.filter("node is null")
     nodes = durable(lines.groupBy("node").agg(
         F.min("doc_id").alias("keep"), F.max("doc_id").alias("other"), F.first("signature").alias("signature")))

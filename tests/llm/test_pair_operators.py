@@ -153,6 +153,9 @@ def passage_documents():
         t = list(near)
         t[i] = word()
         docs[i] += "\n" + " ".join(t) + "\n" + line(25)
+    bare = line(70)  # no sentence ends, in the middle of other words
+    for i in (24, 26):
+        docs[i] += f"\n{line(17)} {bare} {line(23)}"
     docs[30] += "\nshort boilerplate line"
     docs[31] += "\nshort boilerplate line"
     docs[32] = docs[33] = f"{line(25)}\n{line(25)}"
@@ -165,8 +168,8 @@ def test_passages(spark, chunk):
     rows = [*docs.items(), (33, docs[33]), (None, docs[3]), (100, None), (101, "")]
     found = paragraphs.repeated_passages(frame(spark, rows), chunk=chunk).collect()
     by = {r.doc_id: r for r in found}
-    assert set(by) == {3, 8, 12, 5, 9, 20, 21, 22, 32, 33} and len(found) == len(by)
-    assert {i for i, r in by.items() if r.n_removed > 0} == {8, 12, 9, 21, 22, 33}
+    assert set(by) == {3, 8, 12, 5, 9, 20, 21, 22, 24, 26, 32, 33} and len(found) == len(by)
+    assert {i for i, r in by.items() if r.n_removed > 0} == {8, 12, 9, 21, 22, 26, 33}
     assert by[8].kept_doc_id == by[12].kept_doc_id == 3 and by[22].kept_doc_id == 20 and by[9].kept_doc_id == 5
     assert " ".join(docs[8].split()[by[8].first_word : by[8].last_word]) == docs[3].split("\n")[-1] and by[8].n_removed == 60
     assert by[9].n_words == 63 and by[33].n_removed == 50
