@@ -182,14 +182,17 @@ def study_labels(t: Tables) -> DataFrame:
 
 # ---------------------------------------------------------------- whole stages
 
-@query("annotation_quality", f"""WITH {_SUB}, {_ASSIGN_CLASS},
+_QUALITY = f"""{_SUB}, {_ASSIGN_CLASS},
 ce AS (SELECT proj_id, cell_id, cell_type, CASE WHEN avg(score) OVER w <> 0 THEN score / avg(score) OVER w ELSE 0 END AS v FROM cls WINDOW w AS (PARTITION BY proj_id, cell_id, grp)),
 se AS (SELECT proj_id, cell_id, cell_type, CASE WHEN avg(score) OVER w <> 0 THEN score / avg(score) OVER w ELSE 0 END AS v FROM sub WINDOW w AS (PARTITION BY proj_id, cell_id, grp)),
 allv AS (SELECT 'class_pr' AS k, * FROM ce UNION ALL SELECT 'subclass_pr', * FROM se UNION ALL SELECT 'subclass_pr_hier', proj_id, cell_id, cell_type, CASE WHEN contains(cell_type, predicted) THEN v ELSE 0 END FROM se JOIN class_pred USING (proj_id, cell_id)),
 f AS (SELECT *, row_number() OVER (PARTITION BY k, proj_id, cell_id ORDER BY v DESC, cell_type) = 1 AS f FROM allv),
 r AS (SELECT *, row_number() OVER w AS p, sum(CAST(f AS INT)) OVER w AS tp FROM f WINDOW w AS (PARTITION BY k, proj_id ORDER BY v DESC, cell_id, cell_type ROWS UNBOUNDED PRECEDING)),
 a AS (SELECT k, proj_id, sum((tp / p + CASE WHEN p = 1 THEN 1 ELSE (tp - 1) / (p - 1) END) / 2) / count(*) AS area FROM r WHERE f GROUP BY ALL)
-SELECT proj_id, round(max(area) FILTER (k = 'class_pr'), 6) AS class_pr, round(max(area) FILTER (k = 'subclass_pr'), 6) AS subclass_pr, round(max(area) FILTER (k = 'subclass_pr_hier'), 6) AS subclass_pr_hier FROM a GROUP BY proj_id""")
+"""
+
+
+@query("annotation_quality", f"""WITH {_QUALITY}SELECT proj_id, round(max(area) FILTER (k = 'class_pr'), 6) AS class_pr, round(max(area) FILTER (k = 'subclass_pr'), 6) AS subclass_pr, round(max(area) FILTER (k = 'subclass_pr_hier'), 6) AS subclass_pr_hier FROM a GROUP BY proj_id""")
 def annotation_quality(t: Tables) -> DataFrame:
     """The annotation stage and the areas under its three curves."""
     from cellsurvey.plans import stages
@@ -198,15 +201,18 @@ def annotation_quality(t: Tables) -> DataFrame:
     return rounded(stages.annotation_quality(stage), "class_pr", "subclass_pr", "subclass_pr_hier")
 
 
-@query("project_summary", f"""WITH {_CPM}, t AS (SELECT c.proj_id, c.cell_id, coalesce(sum(n), 0) AS tc, count(n) AS ng FROM cells c LEFT JOIN counts USING (proj_id, cell_id) GROUP BY ALL),
-s AS (SELECT *, row_number() OVER (PARTITION BY proj_id ORDER BY tc) AS i, count(*) OVER (PARTITION BY proj_id) AS k FROM t)
-SELECT proj_id, count(*) AS n_cells, round(avg(tc), 6) AS total_counts, round(avg(ng), 6) AS n_genes_by_counts,
- round((count(*) + 1 - 2 * CAST(sum(tc * (k - i + 1)) AS DOUBLE) / CAST(sum(tc) AS DOUBLE)) / count(*), 6) AS dataset_gini FROM s GROUP BY proj_id""")
+@query("project_summary", f"""WITH {_QUALITY}, t AS (SELECT c.proj_id, c.cell_id, coalesce(sum(n), 0) AS tc, count(n) AS ng FROM cells c LEFT JOIN counts USING (proj_id, cell_id) GROUP BY ALL),
+s AS (SELECT *, row_number() OVER (PARTITION BY proj_id ORDER BY tc) AS i, count(*) OVER (PARTITION BY proj_id) AS k FROM t),
+m AS (SELECT proj_id, count(*) AS n_cells, round(avg(tc), 6) AS total_counts, round(avg(ng), 6) AS n_genes_by_counts,
+ round((count(*) + 1 - 2 * CAST(sum(tc * (k - i + 1)) AS DOUBLE) / CAST(sum(tc) AS DOUBLE)) / count(*), 6) AS dataset_gini FROM s GROUP BY proj_id),
+q AS (SELECT proj_id, round(max(area) FILTER (k = 'class_pr'), 6) AS class_pr, round(max(area) FILTER (k = 'subclass_pr'), 6) AS subclass_pr, round(max(area) FILTER (k = 'subclass_pr_hier'), 6) AS subclass_pr_hier FROM a GROUP BY proj_id)
+SELECT * FROM m LEFT JOIN q USING (proj_id)""")
 def project_summary(t: Tables) -> DataFrame:
+    """Means, Gini of the project and the areas under its three annotation curves."""
     from cellsurvey.plans import stages
     from cellsurvey.session import durable
 
     totals = durable(cellqc.cell_totals(b.counts(t), b.cells(t)))
-    quality = totals.select("proj_id").distinct()
+    quality = stages.annotation_quality(stages.annotate(b.counts(t), b.cells(t), b.class_markers(t), b.markers(t)))
     d = stages.project_summary(totals, totals, quality, ["total_counts", "n_genes_by_counts"]).drop("log_gini")
-    return rounded(d, "total_counts", "n_genes_by_counts", "dataset_gini")
+    return rounded(d, "total_counts", "n_genes_by_counts", "dataset_gini", "class_pr", "subclass_pr", "subclass_pr_hier")

@@ -44,9 +44,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_written: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder for a written intermediate table."""
-    return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    _written.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove the intermediate tables written so far, once the results that read them have been used."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def durable(df: DataFrame) -> DataFrame:
