@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,24 +33,38 @@ def _place(rows: DataFrame, cells: DataFrame, block: int) -> DataFrame:
     return rows.join(n, "proj_id").withColumn("__block", F.pmod(F.xxhash64("cell_id"), F.col("__blocks")).cast("int"))
 
 
+def _packed(rows: pd.DataFrame) -> bytes:
+    """The rows of a block as one compressed Arrow stream."""
+    table, sink = pa.Table.from_pandas(rows, preserve_index=False), pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
 def _on_block_pairs(placed: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """Run ``fn(left, right, same)`` on every unordered pair of blocks of a project."""
+    """Run ``fn(left, right, same)`` on every unordered pair of blocks of a project.
+
+    A block is packed into one row first, so what is sent to the pairs is rows in the square of the blocks, not of the cells.
+    """
     columns = [c for c in placed.columns if c not in ("__block", "__blocks")]
-    own = F.col("__block")
-    pairs = F.transform(F.sequence(F.lit(0), F.col("__blocks") - 1), lambda other: F.struct(
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"proj_id": [key[0]], "block": [key[1]], "blocks": [pdf["__blocks"].iloc[0]], "data": [_packed(pdf[columns])]})
+
+    packed = durable(placed.groupBy("proj_id", "__block").applyInPandas(pack, "proj_id string, block int, blocks int, data binary"))
+    own = F.col("block")
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
         F.least(own, other).alias("bi"), F.greatest(own, other).alias("bj"), (other < own).alias("second")
     ))
-    sent = placed.select(*columns, F.explode(pairs).alias("__pair")).select(*columns, "__pair.*")
-    names = [part.split()[0] for part in schema.split(", ")]
+    sent = packed.select("proj_id", "data", F.explode(pairs).alias("p")).select("proj_id", "data", "p.*")
 
     def task(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         same = bool(key[1] == key[2])
-        second = pdf["second"].to_numpy(dtype=bool)
-        left = pdf[~second]
-        right = left if same else pdf[second]
-        if len(left) == 0 or len(right) == 0:
-            return pd.DataFrame(columns=names)
-        out = fn(left, right, same)
+        blocks = {bool(second): pa.ipc.open_stream(data).read_pandas() for second, data in zip(pdf["second"], pdf["data"])}
+        if False not in blocks or not (same or True in blocks):
+            return pd.DataFrame(columns=names)  # a block without cells
+        out = fn(blocks[False], blocks[False] if same else blocks[True], same)
         out.insert(0, "proj_id", key[0])
         return out
 
