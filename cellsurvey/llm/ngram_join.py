@@ -9,7 +9,7 @@ there are, and the join stops as soon as the share found reaches ``recall``.
 
 Equal sets are one node with a number of copies, so copies are never expanded into pairs. A trie node of at most
 ``small`` sets gives its pairs, which are compared by signature (those far from the threshold go) and then exactly. A
-larger one is cut by hash into chunks of about ``chunk`` sets; a task compares two chunks and returns counts of links and a spanning
+larger one is cut by hash into chunks of about ``chunk`` sets and ``chunk_shingles`` shingles; a task compares two chunks and returns counts of links and a spanning
 forest, at most one row per set. So no group is ever gathered whole, and no pairs of a large group are written.
 
 Words are what stands between white space, as they are. NULL and empty texts have no shingles and no links; fewer words
@@ -84,9 +84,11 @@ def _shingler(words: int):
 class Forest:
     """Parameters of a join, and what follows from them."""
 
-    def __init__(self, words: int, threshold: float, recall: float, trees: int, depth: int, small: int, chunk: int, seed: int):
+    def __init__(self, words: int, threshold: float, recall: float, trees: int, depth: int, small: int, chunk: int,
+                 chunk_shingles: int, seed: int):
         self.words, self.threshold, self.recall = words, threshold, recall
-        self.trees, self.depth, self.small, self.chunk, self.seed = trees, depth, small, chunk, seed
+        self.trees, self.depth, self.small, self.seed = trees, depth, small, seed
+        self.chunk, self.chunk_shingles = chunk, chunk_shingles
 
     def found(self, similarity, level: int):
         """Probability that a pair has shared a prefix of this length in some tree; works on columns too."""
@@ -184,9 +186,9 @@ def spanning(n: int, left: np.ndarray, right: np.ndarray, linked: np.ndarray) ->
 def _level(forest: Forest, docs: DataFrame, nodes: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
     """Of the pairs first seen at this level: (node, links, pairs, weight) sums, and edges (a, b)."""
     trees = F.sequence(F.lit(0), F.lit(forest.trees - 1))
-    keys = nodes.select("node", F.posexplode(F.transform(trees, lambda t: F.xxhash64(t, forest.prefix("label", t, level)))).alias("tree", "key"))
-    sizes = keys.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = durable(keys.join(sizes, ["tree", "key"]))
+    keys = nodes.select("node", "size", F.posexplode(F.transform(trees, lambda t: F.xxhash64(t, forest.prefix("label", t, level)))).alias("tree", "key"))
+    sizes = keys.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("sum")).filter("n > 1")
+    members = durable(keys.drop("size").join(sizes, ["tree", "key"]))
     hot = durable(members.filter(F.col("n") > forest.small).groupBy("node").agg(F.sort_array(F.collect_set("tree")).alias("hot")))  # of at most ``trees`` values
     lists = members.filter(F.col("n") <= forest.small).groupBy("tree", "key").agg(F.sort_array(F.collect_list("node")).alias("m"))
     pairs = lists.select(F.explode(F.flatten(F.transform(
@@ -217,7 +219,7 @@ def _level(forest: Forest, docs: DataFrame, nodes: DataFrame, level: int) -> tup
         .filter(F.col("common") >= forest.threshold * union - 1e-9)
         .select("a", "b", "c_a", "c_b", (1 / forest.found(F.col("common") / union, level)).alias("weight")))
     # large trie nodes: every set goes to the pairs of chunks its own chunk is in
-    chunks = F.ceil(F.col("n") / forest.chunk).cast("int")
+    chunks = F.greatest(F.ceil(F.col("n") / forest.chunk), F.ceil(F.col("sum") / forest.chunk_shingles)).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     dealt = (
         members.filter(F.col("n") > forest.small).withColumn("chunks", chunks).withColumn("chunk", own)
@@ -233,10 +235,10 @@ def _level(forest: Forest, docs: DataFrame, nodes: DataFrame, level: int) -> tup
     return counts, edges
 
 
-def jaccard_classes(docs: DataFrame, words: int = 5, threshold: float = 0.8, recall: float = 0.9999, trees: int = 20,
-                    depth: int = 6, small: int = 24, chunk: int = 512, seed: int = 1) -> DataFrame:
+def jaccard_classes(docs: DataFrame, words: int = 5, threshold: float = 0.8, recall: float = 0.9999, trees: int = 12,
+                    depth: int = 4, small: int = 24, chunk: int = 1024, chunk_shingles: int = 400_000, seed: int = 1) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, n_links (rows with similarity >= threshold), n_copies (equal sets)."""
-    forest = Forest(words, threshold, recall, trees, depth, small, chunk, seed)
+    forest = Forest(words, threshold, recall, trees, depth, small, chunk, chunk_shingles, seed)
     signed = durable(own_columns(docs, "doc_id", "text").mapInArrow(
         _signer(words, trees * depth, seed), "doc_id bigint, node binary, size bigint, label array<int>"))
     nodes = durable(
