@@ -5,7 +5,7 @@ trie of its labels, so the sets that share a prefix of length d are one node at
 longest prefixes and shortens them level by level. At each level only pairs are looked at that share a prefix in some
 tree for the first time, and every one is verified on the whole shingle sets. A link of similarity J is found down to
 level d with probability 1 - (1 - J^d)^trees; weighting each verified link by the inverse of that estimates how many
-there are, and the join stops as soon as the share found reaches ``recall``.
+there are, and the join stops as soon as the share found reaches ``recall``, at the latest where a link at the threshold does.
 
 Equal sets are one node with a number of copies, so copies are never expanded into pairs. A trie node of at most
 ``small`` sets gives its pairs, which are compared by signature (those far from the threshold go) and then exactly. A
@@ -94,6 +94,10 @@ class Forest:
         """Probability that a pair has shared a prefix of this length in some tree; works on columns too."""
         return 1 - (1 - similarity**level) ** self.trees
 
+    def weights(self) -> dict[str, int]:
+        """Column -> level: sums of 1 / chance to be found down to that level, over verified links."""
+        return {f"w{level}": level for level in range(1, self.depth + 1)}
+
     def least_matches(self) -> int:
         """Equal signature values below which a pair at the threshold falls with a probability under 1e-9."""
         n = self.trees * self.depth
@@ -116,7 +120,7 @@ def compare_chunks(forest: Forest, level: int):
         right = np.flatnonzero((pdf["chunk"] == j).to_numpy())
         labels = np.stack(list(pdf["label"])).reshape(len(pdf), forest.trees, forest.depth)
         new = np.ones((len(left), len(right)), bool)
-        owner = np.full(new.shape, -1)
+        owner = np.full(new.shape, -1, np.int16)
         hot = np.zeros((len(pdf), forest.trees), bool)
         for row, trees in enumerate(pdf["hot"]):
             hot[row, trees] = True
@@ -135,23 +139,26 @@ def compare_chunks(forest: Forest, level: int):
         size = pdf["size"].to_numpy()
         union = size[left][:, None] + size[right][None, :] - common
         linked = new & (common >= forest.threshold * union - 1e-9)
-        weight = np.where(linked, 1 / forest.found(common / union, level), 0)
+        similarity = np.where(linked, common / np.maximum(union, 1), 1.0)
         copies = pdf["copies"].to_numpy()
-        links, share = np.zeros(len(pdf), np.int64), np.zeros(len(pdf))
+        links = np.zeros(len(pdf), np.int64)
         np.add.at(links, left, (linked * copies[right][None, :]).sum(axis=1))
         np.add.at(links, right, (linked * copies[left][:, None]).sum(axis=0))
-        np.add.at(share, left, weight.sum(axis=1))
         pairs = np.zeros(len(pdf), np.int64)
         np.add.at(pairs, left, linked.sum(axis=1))
         root = spanning(len(pdf), left, right, linked)
         nodes = pdf["node"].to_numpy()
-        out = pd.DataFrame({"node": nodes, "root": nodes[root], "links": links, "pairs": pairs, "weight": share})
+        out = pd.DataFrame({"node": nodes, "root": nodes[root], "links": links, "pairs": pairs})
+        for name, to in forest.weights().items():
+            share = np.zeros(len(pdf))
+            np.add.at(share, left, np.where(linked, 1 / forest.found(similarity, to), 0).sum(axis=1))
+            out[name] = share
         return out[out["links"] > 0]
 
     return run
 
 
-def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, width: int = 8192) -> np.ndarray:
+def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, width: int = 2048) -> np.ndarray:
     """Sizes of all intersections, as products of 0/1 matrices over slices of the shared shingles."""
     rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     values, columns, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -166,6 +173,7 @@ def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, w
         has = np.zeros((len(sets), width), np.float32)
         has[rows[a:b], columns[a:b] - start] = 1
         out += has[left] @ has[right].T
+        del has
     return out
 
 
@@ -184,7 +192,7 @@ def spanning(n: int, left: np.ndarray, right: np.ndarray, linked: np.ndarray) ->
 
 
 def _level(forest: Forest, docs: DataFrame, nodes: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
-    """Of the pairs first seen at this level: (node, links, pairs, weight) sums, and edges (a, b)."""
+    """Of the pairs first seen at this level: (node, links, pairs, w1, ...) sums, and edges (a, b)."""
     trees = F.sequence(F.lit(0), F.lit(forest.trees - 1))
     keys = nodes.select("node", "size", F.posexplode(F.transform(trees, lambda t: F.xxhash64(t, forest.prefix("label", t, level)))).alias("tree", "key"))
     sizes = keys.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("sum")).filter("n > 1")
@@ -217,7 +225,7 @@ def _level(forest: Forest, docs: DataFrame, nodes: DataFrame, level: int) -> tup
     near = durable(
         close.join(of("a"), "a").join(of("b"), "b").withColumn("common", common)
         .filter(F.col("common") >= forest.threshold * union - 1e-9)
-        .select("a", "b", "c_a", "c_b", (1 / forest.found(F.col("common") / union, level)).alias("weight")))
+        .select("a", "b", "c_a", "c_b", *[(1 / forest.found(F.col("common") / union, to)).alias(name) for name, to in forest.weights().items()]))
     # large trie nodes: every set goes to the pairs of chunks its own chunk is in
     chunks = F.greatest(F.ceil(F.col("n") / forest.chunk), F.ceil(F.col("sum") / forest.chunk_shingles)).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
@@ -227,16 +235,17 @@ def _level(forest: Forest, docs: DataFrame, nodes: DataFrame, level: int) -> tup
         .select("tree", "key", "node", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")))
     blocks = durable(
         dealt.join(sets, "node").groupBy("tree", "key", "i", "j")
-        .applyInPandas(compare_chunks(forest, level), "node binary, root binary, links bigint, pairs bigint, weight double"))
-    counts = blocks.select("node", "links", "pairs", "weight").union(
-        near.select("a", "c_b", F.lit(1).cast("bigint"), "weight")).union(
-        near.select("b", "c_a", F.lit(0).cast("bigint"), F.lit(0.0)))
+        .applyInPandas(compare_chunks(forest, level), "node binary, root binary, links bigint, pairs bigint, " + ", ".join(f"{w} double" for w in forest.weights())))
+    names = list(forest.weights())
+    counts = blocks.select("node", "links", "pairs", *names).union(
+        near.select("a", "c_b", F.lit(1).cast("bigint"), *names)).union(
+        near.select("b", "c_a", F.lit(0).cast("bigint"), *[F.lit(0.0) for _ in names]))
     edges = near.select("a", "b").union(blocks.filter("node <> root").select("node", "root"))
     return counts, edges
 
 
 def jaccard_classes(docs: DataFrame, words: int = 5, threshold: float = 0.8, recall: float = 0.9999, trees: int = 12,
-                    depth: int = 4, small: int = 24, chunk: int = 1024, chunk_shingles: int = 400_000, seed: int = 1) -> DataFrame:
+                    depth: int = 4, small: int = 24, chunk: int = 768, chunk_shingles: int = 400_000, seed: int = 1) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, n_links (rows with similarity >= threshold), n_copies (equal sets)."""
     forest = Forest(words, threshold, recall, trees, depth, small, chunk, chunk_shingles, seed)
     signed = durable(own_columns(docs, "doc_id", "text").mapInArrow(
@@ -248,8 +257,8 @@ def jaccard_classes(docs: DataFrame, words: int = 5, threshold: float = 0.8, rec
     for level in range(depth, 0, -1):
         c, e = _level(forest, docs, nodes, level)
         counts, edges = (c, e) if counts is None else (counts.union(c), edges.union(e))
-        pairs, weight = counts.agg(F.sum("pairs"), F.sum("weight")).first()
-        if not pairs or pairs >= recall * weight:
+        pairs, weight = counts.agg(F.sum("pairs"), F.sum(f"w{level}")).first()  # all links found so far, by their chance so far
+        if forest.found(threshold, level) >= recall or (pairs and pairs >= recall * weight):
             break
     linked = counts.groupBy("node").agg(F.sum("links").alias("links"))
     roots = connected_components(edges)
