@@ -13,6 +13,7 @@ are moved. NULL text is an empty document (the end id alone); repeated rows are
 from __future__ import annotations
 
 import base64
+import json
 import math
 import os
 import zlib
@@ -48,18 +49,22 @@ class Encoder:
     def __init__(self, file: str, ranks_file: str, longest: int = 1_000_000):
         import public_tokenizers
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.slow = Tokenizer.from_file(file)
-        special = {t.content: i for i, t in self.slow.get_added_tokens_decoder().items()}
+        with open(file, encoding="utf-8") as description:
+            special = {t["content"]: t["id"] for t in json.load(description)["added_tokens"]}
         with open(ranks_file, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
-        self.longest = longest
+        self.file, self.longest = file, longest
+
+    def slow(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.file)  # kept by nobody: it is large and hardly ever needed
 
     def __call__(self, text: str) -> bytes:
         if len(text) > self.longest:
-            ids = self.slow.encode(text, add_special_tokens=False).ids
+            ids = self.slow().encode(text, add_special_tokens=False).ids
         else:
             ids = self.fast.encode(text, allowed_special="all")
         return np.array(ids, "<u4").tobytes()
