@@ -34,8 +34,10 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _SUM, _OPEN, _HEAVY_USE, _HEAVY_COUNT = range(4)
 
 _BASE = "doc_id bigint, n_words bigint, base double, words array<bigint>, own array<int>, uses array<int>"
-_BLOCK = ("bucket int, doc_ids array<bigint>, keys array<bigint>, docs array<int>, n array<int>, delta array<float>, "
-          "at array<int>, left array<bigint>, right array<bigint>, own_left array<int>, own_right array<int>")
+# keys once per block, with the number of documents that hold each; then document, count and gain of every occurrence
+_BLOCK = ("bucket int, doc_ids array<bigint>, keys array<bigint>, sizes array<int>, docs array<smallint>, n array<int>, delta array<float>, "
+          "at array<int>, left array<bigint>, right array<bigint>, own_left array<int>, own_right array<int>, "
+          "marked array<bigint>, marked_n array<bigint>")
 _OUT = "kind int, doc_id bigint, key bigint, n bigint, own int, value double"
 
 
@@ -141,25 +143,28 @@ def _blocks(model: Unigrams, buckets: int):
         bucket = (keys >> np.uint64(20)) % np.uint64(buckets)
         doc_ids = np.array([-1 if i is None else i for i in ids], np.int64), np.array([i is None for i in ids])
         doc_ids = pa.array(doc_ids[0], mask=doc_ids[1])
-        by_bucket = np.argsort(np.where(heavy, buckets, bucket).astype(np.int64), kind="stable")
-        edges = np.searchsorted(np.where(heavy, buckets, bucket).astype(np.int64)[by_bucket], np.arange(buckets + 2))
+        place = np.where(heavy, buckets, bucket).astype(np.int64)
+        by_bucket = np.argsort(place, kind="stable")
+        edges = np.searchsorted(place[by_bucket], np.arange(buckets + 2))
+        # of heavy pairs only the count goes to their bucket
         marks = np.flatnonzero(heavy & np.r_[True, keys[1:] != keys[:-1]])
         totals = np.add.reduceat(n, starts)[np.searchsorted(starts, marks)] if len(marks) else np.empty(0, np.int64)
         for b in range(buckets + 1):
             at = by_bucket[edges[b] : edges[b + 1]]
-            mine = marks[bucket[marks] == b] if b < buckets else marks[:0]
-            if not len(at) and not len(mine):
+            mine = bucket[marks] == b if b < buckets else np.zeros(len(marks), bool)
+            if not len(at) and not mine.any():
                 continue
-            # markers (document -1) carry the count of a heavy pair to its bucket
-            k = np.r_[keys[at], keys[mine]]
+            k = keys[at]
+            first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.empty(0, np.int64)
             open_at = np.flatnonzero(is_open[at])
             yield (
-                b if b < buckets else buckets + int(keys[0] % np.uint64(buckets)), doc_ids, k.view(np.int64), np.r_[doc[at], np.full(len(mine), -1)],
-                np.r_[n[at], totals[bucket[marks] == b]] if b < buckets else n[at], np.r_[delta[at], np.zeros(len(mine))], open_at,
-                left[at][open_at].view(np.int64), right[at][open_at].view(np.int64), own_left[at][open_at], own_right[at][open_at])
+                b if b < buckets else buckets + int(keys[0] % np.uint64(buckets)), doc_ids, k[first].view(np.int64), np.diff(np.r_[first, len(k)]),
+                doc[at], n[at], delta[at], open_at, left[at][open_at].view(np.int64), right[at][open_at].view(np.int64),
+                own_left[at][open_at], own_right[at][open_at], keys[marks[mine]].view(np.int64), totals[mine])
 
     def batch_of(row: tuple) -> pa.RecordBatch:
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        types = (pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int32(), pa.float32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(),
+                 pa.int64(), pa.int64())
         lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c.cast(t) if isinstance(c, pa.Array) else pa.array(np.asarray(c), t))
                  for c, t in zip(row[1:], types)]
         return pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int32()), *lists], names=[c.split()[0] for c in _BLOCK.split(", ")])
@@ -193,20 +198,20 @@ def _score_buckets(buckets: int):
              column(own, pa.int32()), column(value, pa.float64())], names=names)
 
     def score(blocks: list[dict]) -> Iterator[pa.RecordBatch]:
-        keys = np.concatenate([b["keys"] for b in blocks])
-        n = np.concatenate([b["n"] for b in blocks])
+        marked = np.concatenate([b["marked"] for b in blocks])
+        keys = np.concatenate([*[b["keys"] for b in blocks], marked])
+        totals = [np.add.reduceat(b["n"], np.cumsum(b["sizes"]) - b["sizes"]) if len(b["keys"]) else np.empty(0) for b in blocks]
         _, place = np.unique(keys, return_inverse=True)
-        count = np.bincount(place, weights=n)[place]
-        marker = np.concatenate([b["docs"] for b in blocks]) < 0
-        if marker.any():
-            marked, first = np.unique(keys[marker], return_index=True)
-            yield rows(_HEAVY_COUNT, None, marked, None, None, count[marker][first])
+        count = np.bincount(place, weights=np.concatenate([*totals, *[b["marked_n"] for b in blocks]]))[place]
+        if len(marked):
+            once, first = np.unique(marked, return_index=True)
+            yield rows(_HEAVY_COUNT, None, once, None, None, count[len(keys) - len(marked) :][first])
         start = 0
         for b in blocks:
             size = len(b["keys"])
-            c, m, docs = count[start : start + size], b["n"], b["docs"]
+            c, m, docs = np.repeat(count[start : start + size], b["sizes"]), b["n"], b["docs"]
             start += size
-            found = (c > m) & (docs >= 0)
+            found = c > m
             value = np.where(found, m * (np.log(np.where(found, c - m, 1)) - b["delta"]), 0.0)
             sums = np.bincount(docs[found], weights=value[found], minlength=len(b["doc_ids"]))
             some = np.flatnonzero(np.bincount(docs[found], minlength=len(sums)))
@@ -230,7 +235,8 @@ def _score_buckets(buckets: int):
                 block = {name: batch.column(k)[i].values for k, name in enumerate(batch.schema.names) if k}
                 block = {k: v if k == "doc_ids" else v.to_numpy() for k, v in block.items()}
                 if bucket >= buckets:
-                    yield rows(_HEAVY_USE, block["doc_ids"].take(pa.array(block["docs"])), block["keys"], block["n"], None, block["delta"])
+                    yield rows(
+                        _HEAVY_USE, block["doc_ids"].take(pa.array(block["docs"])), np.repeat(block["keys"], block["sizes"]), block["n"], None, block["delta"])
                 else:
                     held.append(block)
         if held:
