@@ -2,12 +2,17 @@
 
 Paragraphs (lines of at least ``least_words`` words) are sets of five-word shingles. Bands of a MinHash signature are tuned
 so that a pair at the threshold collides in one of them with probability ``recall``; colliding paragraphs are verified by
-exact Jaccard similarity and clustered by connected components. So that passages are found that begin or end inside
-a paragraph, its sentences are pieces as well, matched by equality; sentences of more than ``longest_sentence`` words are cut
-at words chosen by hash, which are the same wherever the passage stands.
+exact Jaccard similarity and clustered by connected components. Sentences of a paragraph are pieces as well, matched by
+equality; those of more than ``longest_sentence`` words are cut at words chosen by hash.
+
+So that passages are found wherever they begin and end, and whatever their lines and sentences are, anchors are chosen over
+the whole text: of every ``w`` consecutive runs of ``k`` words the one with the smallest hash, k + w - 1 = ``least_span``. Two
+documents that share ``least_span`` words in a row share an anchor in them, and further ones touch (w <= k). Where a run of
+repeated anchors ends, fewer than ``w`` words can be missing; there the text is read once more and the anchor grown
+word by word as long as another document continues in the same way. So equal passages of ``least_span`` words are found whole.
 
 A piece is repeated if its cluster occurs in two documents or more. The document with the smallest id keeps it, the others
-may lose it. Repeated pieces of a document that touch, or leave at most ``gap`` words between them, form one passage;
+may lose it; words count as removed if any repeated piece over them is kept by another document. Repeated pieces of a document that touch, or leave at most ``gap`` words between them, form one passage;
 passages of at least ``least_span`` words are returned, those that are kept too (with nothing to remove).
 
 NULL and empty texts have no pieces; documents without an id cannot be named and are left out; repeated rows of one document are no
@@ -24,13 +29,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellsurvey.llm.common import WordHashes, own_columns, raw, shingles, slices
+from cellsurvey.llm.common import WordHashes, mixed, own_columns, raw, shingles, slices
 from cellsurvey.llm.components import connected_components
 from cellsurvey.llm.ngram_join import hash_family, intersections, minhash, spanning
 from cellsurvey.session import durable
 
 _SHINGLE = 5
-_PIECES = "doc_id bigint, node binary, sentence bigint, first int, last int, signature array<int>"
+_PIECES = "doc_id bigint, node binary, sentence bigint, first int, last int, signature array<int>, anchor boolean"
+_GROWN = "key bigint, doc_id bigint, first int, last int, edge boolean"
+_BASE = 0x9E3779B97F4A7C15
 _ENDS = frozenset(b".!?")
 
 
@@ -72,16 +79,51 @@ def sentences(words: list[bytes], hashes: np.ndarray, first: int, last: int, lea
             start = i + 1
 
 
-def _cutter(least_words: int, least_sentence: int, longest_sentence: int, hashes: int, seed: int):
+class Runs:
+    """Hashes of any runs of consecutive words of one text."""
+
+    def __init__(self, hashes: np.ndarray):
+        power = lambda base: np.cumprod(np.r_[np.uint64(1), np.full(len(hashes), base, np.uint64)])
+        self.words, self.inverse = len(hashes), power(pow(_BASE, -1, 1 << 64))
+        self.sums = np.r_[np.uint64(0), np.cumsum(hashes * power(_BASE)[:-1])]
+
+    def of(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        return mixed((self.sums[last] - self.sums[first]) * self.inverse[first] + (last - first).astype(np.uint64)).view(np.int64)
+
+
+def _sliding(best: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
+    done = 1
+    while done < width:
+        step = min(done, width - done)
+        x, done = best(x[:-step], x[step:]), done + step
+    return x
+
+
+def anchors(runs: Runs, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first words, hashes) of the runs of k words that have the smallest hash of w consecutive ones."""
+    if runs.words < k + w - 1:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    first = np.arange(runs.words - k + 1)
+    h = runs.of(first, first + k)
+    edge = np.full(w - 1, np.iinfo(np.int64).min)
+    chosen = np.flatnonzero(_sliding(np.maximum, np.r_[edge, _sliding(np.minimum, h, w), edge], w) == h)
+    return chosen, h[chosen]
+
+
+def _cutter(least_words: int, least_sentence: int, longest_sentence: int, hashes: int, seed: int, k: int, w: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, family = WordHashes(), hash_family(hashes, seed)
         for batch in slices(batches, 128):
-            out = []
+            out, ids, firsts, keys = [], [], [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), raw(batch.column(1))):
                 if not text:
                     continue
                 words, lines = layout(text)
                 h = table.of(words)
+                first, key = anchors(Runs(h), k, w)
+                ids.append(np.full(len(first), doc_id))
+                firsts.append(first.astype(np.int32))
+                keys.append(key)
                 for a, b in lines:
                     if b - a >= least_words:
                         s = paragraph_set(h[a:b])
@@ -89,14 +131,69 @@ def _cutter(least_words: int, least_sentence: int, longest_sentence: int, hashes
                     for x, y in sentences(words, h, a, b, least_sentence, longest_sentence):
                         if y - x >= least_sentence:
                             out.append((doc_id, None, xxhash.xxh3_64_intdigest(b" ".join(words[x:y])) - (1 << 63), x, y, None))
+            types = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
+            names = [c.split()[0] for c in _PIECES.split(", ")]
             if out:
-                types = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(zip(*out), types)], pa.array(np.zeros(len(out), bool))], names=names)
+            if ids:
+                first = np.concatenate(firsts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), types)], names=[c.split()[0] for c in _PIECES.split(", ")])
+                    [pa.array(np.concatenate(ids), pa.int64()), pa.nulls(len(first), types[1]), pa.array(np.concatenate(keys)), pa.array(first),
+                     pa.array(first + np.int32(k)), pa.nulls(len(first), types[5]), pa.array(np.ones(len(first), bool))], names=names)
 
     return cut
 
 
+def _grower(k: int, w: int):
+    """(doc_id, text, places) -> the anchors at the places, longer by 1 to w - 1 words to the left or to the right."""
+
+    def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, more = WordHashes(), np.arange(1, w)
+        for batch in slices(batches, 128):
+            out = []
+            offsets = batch.column(2).offsets.to_numpy()
+            places = batch.column(2).flatten()
+            columns = [places.field(n).to_numpy(zero_copy_only=False) for n in range(6)]
+            for row, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), raw(batch.column(1)))):
+                runs = Runs(table.of(text.split()))
+                p, key, left, right, head, tail = (c[offsets[row] - offsets[0] : offsets[row + 1] - offsets[0]] for c in columns)
+                p = p.astype(np.int64)
+                here = np.flatnonzero(p + k <= runs.words)
+                here = here[runs.of(p[here], p[here] + k) == key[here]]  # another row of this id may have another text
+                for side, edge, sign in ((left, head, -1), (right, tail, 1)):
+                    at = here[side[here]]
+                    i, e = np.nonzero((p[at][:, None] >= more) if sign < 0 else (p[at][:, None] + k + more <= runs.words))
+                    first = p[at][i] - (more[e] if sign < 0 else 0)
+                    last = p[at][i] + k + (more[e] if sign > 0 else 0)
+                    out.append((runs.of(first, last), np.full(len(i), doc_id), first.astype(np.int32), last.astype(np.int32), edge[at][i].astype(bool)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=[c.split()[0] for c in _GROWN.split(", ")])
+
+    return grow
+
+
+def _repeated(pieces: DataFrame, key: str) -> DataFrame:
+    """(key, kept) of what occurs in two documents or more."""
+    return pieces.groupBy(key).agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("other")).filter("kept <> other").drop("other")
+
+
+def grown_anchors(docs: DataFrame, found: DataFrame, k: int, w: int) -> DataFrame:
+    """(doc_id, first, last, kept): repeated anchors at the ends of runs of such, with the words around them that are repeated too."""
+    by_place = Window.partitionBy("doc_id").orderBy("first")  # bounded by the document's own length
+    placed = durable(
+        found.select("doc_id", "first", "last", "sentence").distinct()
+        .withColumn("head", F.coalesce(F.col("first") > F.lag("last").over(by_place), F.lit(True)))
+        .withColumn("tail", F.coalesce(F.lead("first").over(by_place) > F.col("last"), F.lit(True))))
+    # all places of an anchor that ends a run somewhere
+    ends = placed.filter("head or tail").groupBy("sentence").agg(F.max("head").alias("left"), F.max("tail").alias("right"))
+    places = placed.join(ends, "sentence").groupBy("doc_id").agg(
+        F.collect_list(F.struct("first", "sentence", "left", "right", "head", "tail")).alias("places"))
+    grown = durable(
+        own_columns(docs, "doc_id", "text").filter("text is not null").join(places, "doc_id")
+        .select("doc_id", "text", "places").mapInArrow(_grower(k, w), _GROWN))
+    return grown.filter("edge").join(_repeated(grown, "key"), "key").select("doc_id", "first", "last", "kept")
+
+
 def _shingler(least_words: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordHashes()
@@ -180,8 +277,10 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
                       least_sentence: int = 6, longest_sentence: int = 30, least_span: int = 30, gap: int = 8, chunk: int = 512, seed: int = 2) -> DataFrame:
     """(doc_id, first_word, last_word (exclusive), n_words, n_removed, kept_doc_id) of every repeated passage."""
     rows, bands = tune_bands(threshold, recall)
+    w = (least_span + 1) // 2
+    k = least_span + 1 - w
     pieces = durable(own_columns(docs, "doc_id", "text").filter("doc_id is not null").mapInArrow(
-        _cutter(least_words, least_sentence, longest_sentence, rows * bands, seed), _PIECES))
+        _cutter(least_words, least_sentence, longest_sentence, rows * bands, seed, k, w), _PIECES))
     lines, parts = pieces.filter("node is not null"), pieces.filter("node is null")
     nodes = durable(lines.groupBy("node").agg(
         F.min("doc_id").alias("keep"), F.max("doc_id").alias("other"), F.first("signature").alias("signature")))
@@ -189,17 +288,19 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
     placed = nodes.select("node", "keep", "other").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     clusters = placed.groupBy("root").agg(F.min("keep").alias("kept"), F.max("other").alias("other")).filter("kept <> other")
     owner = durable(placed.select("node", "root").join(clusters.select("root", "kept"), "root").select("node", "kept"))
-    twice = durable(parts.groupBy("sentence").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("other")).filter("kept <> other").drop("other"))
+    twice = durable(parts.join(_repeated(parts, "sentence"), "sentence").select("doc_id", "first", "last", "kept", "sentence", "anchor"))
     found = (
         lines.join(owner, "node").select("doc_id", "first", "last", "kept")
-        .union(parts.join(twice, "sentence").select("doc_id", "first", "last", "kept")))
+        .union(twice.select("doc_id", "first", "last", "kept"))
+        .union(grown_anchors(docs, twice.filter("anchor"), k, w)))
     # a document's pieces are bounded by its own length
     by_place = Window.partitionBy("doc_id").orderBy("first", "last", "kept")
     reach = F.max("last").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
     islands = (
         found.withColumn("reach", reach)
         .withColumn("new", (F.col("reach").isNull() | (F.col("first") > F.col("reach") + gap)).cast("int"))
-        .withColumn("fresh", F.greatest(F.lit(0), F.col("last") - F.greatest("first", F.coalesce("reach", "first"))))
+        .withColumn("lost", F.max(F.when(F.col("kept") != F.col("doc_id"), F.col("last"))).over(by_place.rowsBetween(Window.unboundedPreceding, -1)))
+        .withColumn("fresh", F.greatest(F.lit(0), F.col("last") - F.greatest("first", F.coalesce("lost", "first"))))
         .withColumn("island", F.sum("new").over(by_place)))
     return (
         islands.groupBy("doc_id", "island")

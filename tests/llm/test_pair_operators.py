@@ -176,6 +176,45 @@ def test_passages(spark, chunk):
     assert paragraphs.repeated_passages(frame(spark, rows).limit(0)).count() == 0
 
 
+def equal_runs(docs, least):
+    """Document -> positions inside runs of ``least`` words or more that another document has too."""
+    runs = collections.defaultdict(set)
+    for i, t in docs.items():
+        w = t.split()
+        for k in range(len(w) - least + 1):
+            runs[tuple(w[k : k + least])].add((i, k))
+    out = collections.defaultdict(set)
+    for places in runs.values():
+        if len({i for i, _ in places}) > 1:
+            for i, k in places:
+                out[i].update(range(k, k + least))
+    return out
+
+
+def check_passages(spark, docs, least=30):
+    """Exactly the equal runs are found (the texts have no near ones)."""
+    want = equal_runs(docs, least)
+    got = collections.defaultdict(set)
+    for r in paragraphs.repeated_passages(frame(spark, docs.items())).collect():
+        got[r.doc_id].update(range(r.first_word, r.last_word))
+    assert got == want
+    return want
+
+
+def test_passages_inside_lines(spark):
+    rng = random.Random(4)
+    word = lambda: f"p{rng.randrange(100_000)}"
+    for stops in (0.0, 0.1):  # without and with sentence ends
+        line = lambda n: " ".join(word() + "." * (rng.random() < stops) for _ in range(n))
+        docs = {}
+        for i in range(0, 240, 3):
+            passage = line(rng.choice([30, 31, 45]) if i < 60 else rng.randint(51, 60))
+            docs |= {i + j: f"{line(rng.randint(1, 40))} {passage} {line(rng.randint(1, 40))}\n{line(25)}" for j in range(2)}
+            docs[i + 2] = line(50)
+        want = check_passages(spark, docs)
+        assert len(want) == 160
+
+
 def test_passage_query(spark):
     """Every line of 30 words or more that two documents share exactly is inside a passage of each, and all else is near such a line."""
     docs = dict(spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect())
