@@ -215,6 +215,18 @@ def test_passages_inside_lines(spark):
         assert len(want) == 160
 
 
+def test_passages_of_short_lines(spark):
+    """Lists, verse, dialogue: no line and no sentence is long enough for a piece of its own."""
+    rng = random.Random(6)
+    docs = {}
+    for i, (per, sep) in enumerate([(5, "\n"), (1, "\n"), (3, ". "), (5, "!\n"), (2, "?\n\n")]):
+        text = lambda n: sep.join(" ".join(f"q{rng.randrange(100_000)}" for _ in range(per)) for _ in range(n // per))
+        passage = text(60)
+        docs |= {10 * i + j: f"{text(20)}{sep}{passage}{sep}{text(30)}" for j in range(3)}
+    want = check_passages(spark, docs)
+    assert len(want) == 15 and all(len(v) >= 60 for v in want.values())
+
+
 def test_passage_query(spark):
     """Every line of 30 words or more that two documents share exactly is inside a passage of each, and all else is near such a line."""
     docs = dict(spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect())
