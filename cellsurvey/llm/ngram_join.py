@@ -4,8 +4,8 @@ Texts are sets of ``words``-word shingles. Every set has ``trees`` labels of ``d
 trie of its labels, so the sets that share a prefix of length d are one node at level d. The join starts with the
 longest prefixes and shortens them level by level. At each level only pairs are looked at that share a prefix in some
 tree for the first time, and every one is verified on the whole shingle sets. A link of similarity J is found down to
-level d with probability 1 - (1 - J^d)^trees; weighting each verified link by the inverse of that estimates how many
-there are, and the join stops as soon as the share found reaches ``recall``, at the latest where a link at the threshold does.
+level d with probability 1 - (1 - J^d)^trees, and the join goes down to the level where that reaches ``recall`` for a link
+at the threshold. So the chance to find a link depends on its own similarity alone, not on what else the table holds.
 
 Equal sets are one node with a number of copies, so copies are never expanded into pairs. A trie node of at most
 ``small`` sets gives its pairs, which are compared by signature (those far from the threshold go) and then exactly. A
@@ -91,12 +91,13 @@ class Forest:
         self.chunk, self.chunk_shingles = chunk, chunk_shingles
 
     def found(self, similarity, level: int):
-        """Probability that a pair has shared a prefix of this length in some tree; works on columns too."""
+        """Probability that a pair has shared a prefix of this length in some tree."""
         return 1 - (1 - similarity**level) ** self.trees
 
-    def weights(self) -> dict[str, int]:
-        """Column -> level: sums of 1 / chance to be found down to that level, over verified links."""
-        return {f"w{level}": level for level in range(1, self.depth + 1)}
+    def levels(self) -> list[int]:
+        """Prefix lengths to go through, down to the first at which a link at the threshold is found with the target recall."""
+        enough = [d for d in range(1, self.depth + 1) if self.found(self.threshold, d) >= self.recall]
+        return list(range(self.depth, max(enough, default=1) - 1, -1))
 
     def least_matches(self) -> int:
         """Equal signature values below which a pair at the threshold falls with a probability under 1e-9."""
@@ -139,20 +140,13 @@ def compare_chunks(forest: Forest, level: int):
         size = pdf["size"].to_numpy()
         union = size[left][:, None] + size[right][None, :] - common
         linked = new & (common >= forest.threshold * union - 1e-9)
-        similarity = np.where(linked, common / np.maximum(union, 1), 1.0)
         copies = pdf["copies"].to_numpy()
         links = np.zeros(len(pdf), np.int64)
         np.add.at(links, left, (linked * copies[right][None, :]).sum(axis=1))
         np.add.at(links, right, (linked * copies[left][:, None]).sum(axis=0))
-        pairs = np.zeros(len(pdf), np.int64)
-        np.add.at(pairs, left, linked.sum(axis=1))
         root = spanning(len(pdf), left, right, linked)
         nodes = pdf["node"].to_numpy()
-        out = pd.DataFrame({"node": nodes, "root": nodes[root], "links": links, "pairs": pairs})
-        for name, to in forest.weights().items():
-            share = np.zeros(len(pdf))
-            np.add.at(share, left, np.where(linked, 1 / forest.found(similarity, to), 0).sum(axis=1))
-            out[name] = share
+        out = pd.DataFrame({"node": nodes, "root": nodes[root], "links": links})
         return out[out["links"] > 0]
 
     return run
@@ -192,7 +186,7 @@ def spanning(n: int, left: np.ndarray, right: np.ndarray, linked: np.ndarray) ->
 
 
 def _level(forest: Forest, docs: DataFrame, nodes: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
-    """Of the pairs first seen at this level: (node, links, pairs, w1, ...) sums, and edges (a, b)."""
+    """Of the pairs first seen at this level: (node, links) counts, and edges (a, b)."""
     trees = F.sequence(F.lit(0), F.lit(forest.trees - 1))
     keys = nodes.select("node", "size", F.posexplode(F.transform(trees, lambda t: F.xxhash64(t, forest.prefix("label", t, level)))).alias("tree", "key"))
     sizes = keys.groupBy("tree", "key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("sum")).filter("n > 1")
@@ -225,7 +219,7 @@ def _level(forest: Forest, docs: DataFrame, nodes: DataFrame, level: int) -> tup
     near = durable(
         close.join(of("a"), "a").join(of("b"), "b").withColumn("common", common)
         .filter(F.col("common") >= forest.threshold * union - 1e-9)
-        .select("a", "b", "c_a", "c_b", *[(1 / forest.found(F.col("common") / union, to)).alias(name) for name, to in forest.weights().items()]))
+        .select("a", "b", "c_a", "c_b"))
     # large trie nodes: every set goes to the pairs of chunks its own chunk is in
     chunks = F.greatest(F.ceil(F.col("n") / forest.chunk), F.ceil(F.col("sum") / forest.chunk_shingles)).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
@@ -235,11 +229,8 @@ def _level(forest: Forest, docs: DataFrame, nodes: DataFrame, level: int) -> tup
         .select("tree", "key", "node", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")))
     blocks = durable(
         dealt.join(sets, "node").groupBy("tree", "key", "i", "j")
-        .applyInPandas(compare_chunks(forest, level), "node binary, root binary, links bigint, pairs bigint, " + ", ".join(f"{w} double" for w in forest.weights())))
-    names = list(forest.weights())
-    counts = blocks.select("node", "links", "pairs", *names).union(
-        near.select("a", "c_b", F.lit(1).cast("bigint"), *names)).union(
-        near.select("b", "c_a", F.lit(0).cast("bigint"), *[F.lit(0.0) for _ in names]))
+        .applyInPandas(compare_chunks(forest, level), "node binary, root binary, links bigint"))
+    counts = blocks.select("node", "links").union(near.select("a", "c_b")).union(near.select("b", "c_a"))
     edges = near.select("a", "b").union(blocks.filter("node <> root").select("node", "root"))
     return counts, edges
 
@@ -254,12 +245,9 @@ def jaccard_classes(docs: DataFrame, words: int = 5, threshold: float = 0.8, rec
         signed.filter("size > 0").groupBy("node")
         .agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first"), F.first("size").alias("size"), F.first("label").alias("label")))
     counts, edges = None, None
-    for level in range(depth, 0, -1):
+    for level in forest.levels():
         c, e = _level(forest, docs, nodes, level)
         counts, edges = (c, e) if counts is None else (counts.union(c), edges.union(e))
-        pairs, weight = counts.agg(F.sum("pairs"), F.sum(f"w{level}")).first()  # all links found so far, by their chance so far
-        if forest.found(threshold, level) >= recall or (pairs and pairs >= recall * weight):
-            break
     linked = counts.groupBy("node").agg(F.sum("links").alias("links"))
     roots = connected_components(edges)
     known = durable(

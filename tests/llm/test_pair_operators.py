@@ -108,6 +108,30 @@ def test_join_query_against_brute_force(spark):
     assert {r.doc_id: (r.class_id, r.n_links) for r in rows} == {i: (want[i], count[i]) for i in ids}
 
 
+def test_join_beside_a_hot_group(spark):
+    """Links at the threshold are found beside a large group of very similar texts, which alone would reach any share of all links."""
+    rng = random.Random(9)
+    word = lambda: f"z{rng.randrange(1_000_000)}"
+    hot, texts = [word() for _ in range(200)], []
+    for _ in range(400):
+        t = list(hot)
+        t[-1] = word()
+        texts.append(" ".join(t))
+    n = len(texts)
+    for _ in range(3000):  # 84 shingles, 75 of them in both: 75 / 93 = 0.806
+        t = [word() for _ in range(88)]
+        texts += [" ".join(t), " ".join([*t[:79], *[word() for _ in range(9)]])]
+    rows = {r.doc_id: r for r in ngram_join.jaccard_classes(frame(spark, enumerate(texts))).collect()}
+    assert [i for i in range(n, len(texts)) if rows[i].n_links != 1] == []
+    assert all(rows[i].n_links == n - 1 for i in range(n))
+
+
+def test_join_levels():
+    for recall in (0.99, 0.9999, 0.999999):
+        forest = ngram_join.Forest(5, 0.8, recall, 12, 4, 24, 768, 400_000, 1)
+        assert forest.levels()[0] == 4 and forest.found(0.8, forest.levels()[-1]) >= recall
+
+
 def test_join_edges_of_input(spark):
     docs = frame(spark, [(7, "a b c d e f"), (7, "a b c d e f"), (None, "a b c d e f"), (None, "x"), (9, None)])
     rows = sorted(ngram_join.jaccard_classes(docs).collect(), key=str)
