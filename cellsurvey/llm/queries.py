@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellsurvey.llm import decontamination, dialogue, lm_scoring, ngram_join, packing, paragraphs, quality, secrets, toxicity, warc
+from cellsurvey.llm import (
+    decontamination, dialogue, html_text, lexical_search, lm_scoring, ngram_join, packing, paragraphs, quality, secrets, spelling, toxicity, warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +89,19 @@ def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return paragraphs.repeated_passages(table(spark, folder, "documents"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variant_groups(table(spark, folder, "documents"), drop_one_in=97)
+
+
+@query
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    index = lexical_search.build_index(table(spark, folder, "documents"))
+    return lexical_search.rank_documents(index, table(spark, folder, "benchmark"))
+
+
+@query
+def op13_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract_text(table(spark, folder, "pages"))
