@@ -13,6 +13,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -67,7 +68,7 @@ class Page:
         self.parents: list[int] = [-1]
         self.noise: list[bool] = [False]
         self.pieces: list[tuple[int, str | None]] = []  # (node, text), or (node, None) where a block begins or ends
-        self._open = [0]
+        self._open, self._n_open = [0], Counter()  # the open nodes, and how many there are of each tag
         self._read(source)
 
     def _read(self, source: str) -> None:
@@ -92,7 +93,7 @@ class Page:
                 over = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(source, at)
                 at = over.end() if over else end
                 self._close(name)
-            elif name in _VOID or (found[3].endswith("/") and name not in _INLINE and name not in _TEXT_BLOCKS and name in ("path", "circle", "rect", "use")):
+            elif name in _VOID:
                 self._close(name)
 
     def _text(self, text: str) -> None:
@@ -101,10 +102,13 @@ class Page:
     def _pop_to(self, depth: int) -> None:
         while len(self._open) > depth:
             node = self._open.pop()
+            self._n_open[self.tags[node]] -= 1
             if self.tags[node] not in _INLINE:
                 self.pieces.append((node, None))
 
     def _end_open(self, names: frozenset[str], stops: frozenset[str]) -> None:
+        if not any(self._n_open[name] for name in names):
+            return
         for depth in range(len(self._open) - 1, 0, -1):
             tag = self.tags[self._open[depth]]
             if tag in names:
@@ -134,9 +138,12 @@ class Page:
         elif name == "br":
             self.pieces.append((node, " "))
         self._open.append(node)
+        self._n_open[name] += 1
 
     def _close(self, name: str) -> None:
         inline = name in _INLINE
+        if not self._n_open[name]:
+            return
         for depth in range(len(self._open) - 1, 0, -1):
             tag = self.tags[self._open[depth]]
             if tag == name:

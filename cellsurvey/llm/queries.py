@@ -102,6 +102,28 @@ def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.rank_documents(index, table(spark, folder, "benchmark"))
 
 
+ORACLES["op12_lexical_search"] = r"""
+WITH docs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM docs GROUP BY ALL),
+lens AS (SELECT doc_id, count(*) AS n FROM docs GROUP BY ALL),
+totals AS (SELECT count(*) AS nd, sum(n)::BIGINT AS nt FROM lens),
+norms AS (SELECT doc_id, 75 + (25 * n * nd) // nt AS m FROM lens, totals),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(nd) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, totals GROUP BY term),
+uses AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL),
+scores AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM uses JOIN weights USING (term) JOIN tf USING (term) JOIN norms USING (doc_id) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 20
+"""
+
+
 @query
 def op13_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract_text(table(spark, folder, "pages"))
