@@ -20,6 +20,7 @@ from cellsurvey.functions import fixed_values as fixed
 from cellsurvey.functions.numeric import normal_upper_tail
 from cellsurvey.functions.ranking import average_rank, number_rows, running_totals, tie_histogram
 from cellsurvey.operators.ledger import distinct_terms
+from cellsurvey.operators.neighbours import approximate_neighbours
 from cellsurvey.session import durable
 
 CELL = ["proj_id", "cell_id"]
@@ -85,12 +86,14 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- nearest neighbours
 
-def nearest_neighbours(vectors: DataFrame, k: int = fixed.N_NEIGHBOURS, block: int = 2048) -> DataFrame:
-    """The k nearest other cells of every cell (ties: smallest id), exact.
+def nearest_neighbours(vectors: DataFrame, k: int = fixed.N_NEIGHBOURS, block: int = 2048, method: str = "exact") -> DataFrame:
+    """The k nearest other cells of every cell (ties: smallest id), exact; with ``method="lsh"`` nearly so, by linear work.
 
     ``vectors(proj_id, cell_id, features array<double>)``. A task keeps k candidates per cell and block
     pair; the candidates of one cell are then cut to k.
     """
+    if method != "exact":
+        return approximate_neighbours(vectors, k)
     id_type = vectors.schema["cell_id"].dataType.simpleString()
 
     def top(ids: np.ndarray, own: np.ndarray, other: np.ndarray, a: np.ndarray, b: np.ndarray, dist: np.ndarray):

@@ -24,6 +24,17 @@ def knn_exact(t: Tables) -> DataFrame:
     return rounded(network.nearest_neighbours(b.vectors(t)).select("cell_id", "neighbour", "distance", "rank"), "distance")
 
 
+@query("knn_recall", f"""WITH {_KNN}, sizes AS (SELECT proj_id, count(*) AS n FROM vec GROUP BY ALL)
+SELECT proj_id, count(*) AS n_found, CAST(sum(CAST(rank AS BIGINT)) AS BIGINT) AS rank_sum, true AS recalled FROM knn JOIN sizes USING (proj_id) GROUP BY ALL""")
+def knn_recall(t: Tables) -> DataFrame:
+    """Approximate neighbours against the exact ones: as many rows with the same ranks, and nine of ten are the same cells."""
+    v = b.vectors(t)
+    exact = network.nearest_neighbours(v).select("proj_id", "cell_id", "neighbour", F.lit(1).alias("hit"))
+    found = network.nearest_neighbours(v, method="lsh").join(exact, ["proj_id", "cell_id", "neighbour"], "left")
+    return found.groupBy("proj_id").agg(
+        F.count(F.lit(1)).alias("n_found"), F.sum("rank").cast("bigint").alias("rank_sum"), (F.count("hit") >= 0.9 * F.count(F.lit(1))).alias("recalled"))
+
+
 _SIM = f"""{_KNN}, mx AS (SELECT proj_id, max(d) AS m FROM knn GROUP BY ALL), e0 AS (SELECT proj_id, src, dst, 1 - d / m AS w FROM knn JOIN mx USING (proj_id)),
 edges AS (SELECT proj_id, src, dst, max(w) AS w FROM (SELECT * FROM e0 UNION ALL SELECT proj_id, dst, src, w FROM e0) GROUP BY ALL)"""
 
