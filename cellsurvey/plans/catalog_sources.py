@@ -311,6 +311,38 @@ def fastq_lengths(t: Tables) -> DataFrame:
     return found.select("run_id", "nreads", F.array_join(F.col("read_lengths").cast("array<string>"), ",").alias("read_lengths"))
 
 
+_READS = """r AS (SELECT concat('SRR', s_nationkey) AS run_id, CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS n, CAST(l_quantity AS INT) AS q,
+ row_number() OVER (PARTITION BY s_nationkey, l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity) AS i FROM lineitem JOIN supplier ON l_suppkey = s_suppkey)"""
+
+
+def _archives(t: Tables) -> str:
+    """All lines written as reads, a tar archive per nation with a gzipped FASTQ member per flag."""
+    path = scratch_path(t.spark, "archives")
+    n = F.when(F.col("l_returnflag") == "A", "1").when(F.col("l_returnflag") == "N", "2").otherwise("3")
+    run, size = F.concat(F.lit("SRR"), F.col("s_nationkey").cast("string")), F.col("l_quantity").cast("int")
+    sinks.write_archives(t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).select(
+        F.concat(run, F.lit(".fastq.tar")).alias("archive"), F.concat(run, F.lit("_"), n, F.lit(".fastq.gz")).alias("member"),
+        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity").alias("ord"),
+        F.concat(F.lit("@r"), F.col("l_orderkey").cast("string"), F.lit("\n"), F.repeat(F.lit("A"), size), F.lit("\n+\n"), F.repeat(F.lit("@"), size)).alias("value")), path)
+    return f"{path}/*.tar"
+
+
+@query("archive_fastq_lengths", f"""WITH {_READS}
+SELECT run_id, CAST(count(*) AS INT) AS nreads, string_agg(CAST(q AS VARCHAR), ',' ORDER BY n) AS read_lengths FROM r WHERE i = 1 GROUP BY run_id""")
+def archive_fastq_lengths(t: Tables) -> DataFrame:
+    """Read lengths out of archives."""
+    found = reads.archive_read_lengths(t.spark, _archives(t))
+    return found.select("run_id", "nreads", F.array_join(F.col("read_lengths").cast("array<string>"), ",").alias("read_lengths"))
+
+
+@query("archive_read_roles", f"""WITH {_READS}
+SELECT concat(run_id, '.fastq.tar') AS archive, max(concat(run_id, '_', n, '.fastq.gz')) FILTER (q BETWEEN 24 AND 28) AS tech_read,
+ max(concat(run_id, '_', n, '.fastq.gz')) FILTER (q > 30) AS bio_read FROM r WHERE i = 1 GROUP BY run_id""")
+def archive_read_roles(t: Tables) -> DataFrame:
+    """Which member of an archive holds barcodes and which the sequence."""
+    return reads.paired_members(reads.archive_members(t.spark, _archives(t))).select(F.regexp_extract("archive", "([^/]+)$", 1).alias("archive"), "tech_read", "bio_read")
+
+
 _NOTE = """concat('"', o_orderpriority, '"', chr(9), chr(10), 'x')"""
 
 

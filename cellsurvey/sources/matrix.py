@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,21 +10,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellsurvey.functions.ranking import number_rows
 from cellsurvey.operators.cellqc import common_genes
 from cellsurvey.operators.metadata import batch_directory
-
-
-def _numbered_lines(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """(dir, idx, value): 1-based line numbers of the side files of all matrices at once.
-
-    A text file is read in splits in file order, so (file, split offset, row in split) orders its lines.
-    """
-    lines = spark.read.text(f"{path}/{kind}").select(
-        _result(F.col("_metadata.file_path")).alias("dir"), "value", F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("id"),
-    )
-    return number_rows(lines, ["dir"], ["file", "at", "id"], "idx").select("dir", "idx", "value")
+from cellsurvey.session import durable
+from cellsurvey.sources import files
 
 
 def result_name(folder: Column) -> Column:
@@ -37,48 +26,128 @@ def _result(path: Column) -> Column:
     return F.coalesce(F.nullif(result_name(path), F.lit("")), F.regexp_replace(path, "/[^/]+$", ""))
 
 
-def _without_size_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Drop comments, and of every file the first line that is none; that line is in the split at offset 0."""
-    seen: set[str] = set()
+def _result_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per result: its matrix, feature and barcode files, each in name order; small, whatever the matrices hold."""
+    names = ("matrix.mtx", "features.tsv", "barcodes.tsv")
+    found = None
+    for name in names:
+        part = files.listing(spark, f"{path}/{name}").select(_result(F.col("file")).alias("dir"), F.lit(name.split(".")[0]).alias("kind"), "file", "length")
+        found = part if found is None else found.unionByName(part)
+    of = lambda kind: F.sort_array(F.collect_list(F.when(F.col("kind") == kind, F.struct("file", "length")))).alias(kind)
+    return durable(found.groupBy("dir").agg(of("matrix"), of("features"), of("barcodes")))
+
+
+def _lines(uris: Iterable[str]) -> Iterator[pa.Array]:
+    """The lines of text files under each other, some at a time; a last line feed ends a line, it does not begin one."""
+    for uri in uris:
+        rest = b""
+        with files.open_file(uri) as f:
+            while data := f.read(1 << 24):
+                whole, _, rest = (rest + data).rpartition(b"\n") if b"\n" in data else (None, None, rest + data)
+                if whole is not None:
+                    yield pa.array(whole.split(b"\n"), pa.binary()).cast(pa.string())
+        if rest:
+            yield pa.array([rest], pa.binary()).cast(pa.string())
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(dir, files) -> (dir, idx, value): 1-based line numbers; a side file is read from front to back by one task, so nothing is sorted."""
+    for batch in batches:
+        for folder, uris in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            before = 0
+            for lines in _lines(uris):
+                for start in range(0, len(lines), 65_536):
+                    part = lines[start : start + 65_536]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([folder] * len(part), pa.string()), pa.array(np.arange(before + 1, before + 1 + len(part))), part], names=["dir", "idx", "value"])
+                    before += len(part)
+
+
+def _column(uris: list[str], trim: bool) -> pa.Array:
+    """First field of every line of a side file."""
+    parts = [pc.list_element(pc.split_pattern(lines, "\t", max_splits=1), 0) for lines in _lines(uris)]
+    whole = pa.chunked_array(parts, pa.string()).combine_chunks()
+    return pc.utf8_trim_whitespace(whole) if trim else whole
+
+
+def _header_end(f) -> int:
+    """Where the entries begin: after the comments and the size line."""
+    f.seek(0)
+    data, at = f.read(1 << 16), 0
+    while True:
+        end = data.find(b"\n", at)
+        if end < 0:
+            more = f.read(1 << 16)
+            if not more:
+                return len(data)
+            data += more
+        elif data.startswith(b"%", at):
+            at = end + 1
+        else:
+            return end + 1
+
+
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Entries of parts of matrix files with the names their numbers stand for; the side files are read where they are used."""
+    held, genes, cells = None, None, None
     for batch in batches:
-        file, at, value = batch.column(0), batch.column(1), batch.column(2)
-        keep = pc.invert(pc.starts_with(value, "%"))
-        first = pc.and_(keep, pc.equal(at, 0))
-        if pc.any(first).as_py():
-            heads = np.zeros(batch.num_rows, bool)
-            names = file.filter(first)
-            for name in pc.unique(names).to_pylist():
-                if name not in seen:
-                    seen.add(name)
-                    heads[np.flatnonzero(first.to_numpy(zero_copy_only=False))[pc.index(names, name).as_py()]] = True
-            keep = pc.and_not(keep, pa.array(heads))
-        yield batch.select(["file", "value"]).filter(keep)
-
-
-def read_matrices(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+        for row in batch.to_pylist():
+            if held != row["dir"]:
+                held, genes, cells = row["dir"], _column(row["features"], False), _column(row["barcodes"], True)
+            with files.open_file(row["file"]) as f:
+                start = max(row["start"], _header_end(f) if row["first"] else 0)
+                if start > row["start"] or start == 0:
+                    f.seek(start)
+                else:  # the line that crosses the border belongs to the part before
+                    f.seek(start - 1)
+                    _next_line(f)
+                while f.tell() < row["end"]:
+                    data = f.read(min(1 << 22, row["end"] - f.tell()))
+                    numbers = _integers(data + (b"" if data.endswith(b"\n") else _next_line(f)))
+                    g, c, n = numbers.T
+                    known = (g >= 1) & (g <= len(genes)) & (c >= 1) & (c <= len(cells))
+                    g, c, n = g[known], c[known], n[known]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([held] * len(n), pa.string()), genes.take(pa.array(g - 1)), cells.take(pa.array(c - 1)), pa.array(n)],
+                        names=["dir", "gene_id", "cell_id", "n"])
+
+
+def _next_line(f) -> bytes:
+    """From here to the end of the line; small reads, lines are short."""
+    out = b""
+    while data := f.read(256):
+        end = data.find(b"\n")
+        if end >= 0:
+            f.seek(f.tell() - len(data) + end + 1)
+            return out + data[: end + 1]
+        out += data
+    return out
+
+
+def _integers(data: bytes) -> np.ndarray:
+    """Three whole numbers a line, apart by any white space."""
+    return np.array(data.split(), dtype=np.int64).reshape(-1, 3)
+
+
+def read_matrices(spark: SparkSession, path: str, split: int = 64 << 20) -> dict[str, DataFrame]:
     """All MatrixMarket results under ``path`` (a pattern of matrix folders).
 
     Returns ``counts(dir, gene_id, cell_id, n)``, ``features(dir, idx, gene_id, symbol, source)`` and
     ``barcodes(dir, idx, cell_id)``. Matrix entries are 1-based (gene, cell, count); the comment lines
-    and the size line are skipped in the scan. Both side tables are joined by (result, number).
+    and the size line are skipped. A task reads ``split`` bytes of a matrix and the two side files of its result, which are no
+    larger than the lists of genes and cells of one run, and resolves the numbers there; entries are never exchanged.
     """
-    features = _numbered_lines(spark, path, "features.tsv").withColumn("p", F.split("value", "\t")).select(
+    results = _result_files(spark, path)
+    side = lambda kind: files.one_per_task(results.select("dir", F.col(f"{kind}.file"))).mapInArrow(_numbered, "dir string, idx bigint, value string")
+    features = side("features").withColumn("p", F.split("value", "\t")).select(
         "dir", "idx", F.get("p", F.lit(0)).alias("gene_id"), F.get("p", F.lit(1)).alias("symbol"), F.get("p", F.lit(2)).alias("source")
     )
-    barcodes = _numbered_lines(spark, path, "barcodes.tsv").select("dir", "idx", F.trim("value").alias("cell_id"))
-    raw = spark.read.text(f"{path}/matrix.mtx").select(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value"
-    ).mapInArrow(_without_size_line, "file string, value string")
-    parts = F.split(F.trim("value"), r"\s+")
-    entries = raw.select(
-        _result(F.col("file")).alias("dir"), F.get(parts, F.lit(0)).cast("bigint").alias("g"),
-        F.get(parts, F.lit(1)).cast("bigint").alias("c"), F.get(parts, F.lit(2)).cast("bigint").alias("n"),
-    )
-    counts = (
-        entries.join(features.select("dir", F.col("idx").alias("g"), "gene_id"), ["dir", "g"])
-        .join(barcodes.select("dir", F.col("idx").alias("c"), "cell_id"), ["dir", "c"])
-        .select("dir", "gene_id", "cell_id", "n")
-    )
+    barcodes = side("barcodes").select("dir", "idx", F.trim("value").alias("cell_id"))
+    parts = results.select("dir", F.posexplode("matrix").alias("i", "m"), F.col("features.file").alias("features"), F.col("barcodes.file").alias("barcodes")).select(
+        "dir", "features", "barcodes", F.col("m.file").alias("file"), (F.col("i") == 0).alias("first"), F.col("m.length").alias("length"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("m.length") - 1, F.lit(0)), F.lit(split).cast("bigint"))).alias("start"))
+    parts = parts.withColumn("end", F.least(F.col("start") + split, F.col("length")))
+    counts = files.one_per_task(parts).mapInArrow(_entries, "dir string, gene_id string, cell_id string, n bigint")
     return {"counts": counts, "features": features, "barcodes": barcodes}
 
 

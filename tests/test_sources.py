@@ -1,13 +1,16 @@
 """Readers and writers on small files made here."""
 
 import gzip
+import io
+import tarfile
 import json
 
 import pytest
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cellsurvey.functions import fixed_values as fixed
-from cellsurvey.sources import matrix, packages, reads, sinks, tables
+from cellsurvey.sources import files, matrix, packages, reads, sinks, tables
 
 
 def put(path, text):
@@ -171,6 +174,83 @@ def test_gene_tables(spark, tmp_path):
     assert rows(matrix.read_markers(spark, str(tmp_path / "mk.csv.gz")), "gene", "rank") == [("g", 1)]
 
 
+def test_matrix_parts(spark, tmp_path):
+    """Every border between parts, long comments, side files without a last line feed, numbers without a name."""
+    d = tmp_path / "SRR7_10xv2_Solo.out"
+    d.mkdir()
+    entries = [(g, c, g * c) for c in range(1, 8) for g in range(1, 14, c)]
+    put(d / "matrix.mtx", "%%MatrixMarket\n% " + "x" * 90 + f"\n13 7 {len(entries)}\n" + "".join(f"{g}{' ' * (1 + g % 2)}{c}\t{n}\n" for g, c, n in entries) + "99 1 5\n1 99 5")
+    put(d / "features.tsv", "\n".join(f"G{i}\ts{i}\tx" for i in range(1, 14)))
+    put(d / "barcodes.tsv", "".join(f"C{i}\n" for i in range(1, 8)))
+    want = sorted((f"G{g}", f"C{c}", n) for g, c, n in entries)
+    for split in (1, 7, 100, 1 << 20):
+        m = matrix.read_matrices(spark, str(d), split)
+        assert rows(m["counts"], "gene_id", "cell_id", "n") == want
+        plan = m["counts"]._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Join" not in plan and plan.index("MapInArrow") < plan.index("Exchange")  # of parts, before they are read
+    assert rows(m["features"], "idx", "gene_id")[-1] == (13, "G13") and m["barcodes"].count() == 7
+
+
+def tar_of(path, members, mode="w"):
+    with tarfile.open(path, mode) as tar:
+        for name, data in members:
+            about = tarfile.TarInfo(name)
+            about.size = len(data)
+            tar.addfile(about, io.BytesIO(data))
+
+
+def test_archives(spark, tmp_path):
+    fastq = lambda n, reads=1: "".join(f"@r{i}\n{'A' * n}\n+\n{'@' * n}\n" for i in range(reads)).encode()
+    members = [("SRR1_2.fastq.gz", gzip.compress(fastq(98, 20_000))), ("SRR1_1.fastq", fastq(26)), ("SRR1_3.fastq.gz", gzip.compress(b""))]
+    tar_of(tmp_path / "a.tar", members)
+    tar_of(tmp_path / "b.tar.gz", [(n.replace("RR1", "RR2"), d) for n, d in members], "w:gz")
+    tar_of(tmp_path / "c.tar", [])
+    (tmp_path / "d.tar").write_bytes((tmp_path / "a.tar").read_bytes()[:700])
+    (tmp_path / "e.tar").write_bytes(b"no archive")
+    found = reads.archive_members(spark, str(tmp_path))
+    by = {}
+    for r in found.orderBy("archive", "at").collect():
+        by.setdefault(r.archive[-5:].lstrip("/"), []).append((r.member, r.length, r.problem is None))
+    assert by["a.tar"] == [("SRR1_2.fastq.gz", 98, True), ("SRR1_1.fastq", 26, True), ("SRR1_3.fastq.gz", None, False)]
+    assert [x[1:] for x in by["ar.gz"]] == [x[1:] for x in by["a.tar"]]
+    assert "c.tar" not in by and not any(x[2] for x in by["d.tar"] + by["e.tar"])
+    lengths = {r.run_id: (r.nreads, r.read_lengths) for r in reads.archive_read_lengths(spark, str(tmp_path)).collect()}
+    assert lengths == {"SRR1": (2, [26, 98]), "SRR2": (2, [26, 98])}
+    roles = {r.archive[-5:]: (r.tech_read, r.bio_read) for r in reads.paired_members(found).collect()}
+    assert roles["a.tar"] == roles["a.tar"] == ("SRR1_1.fastq", "SRR1_2.fastq.gz")
+
+
+def test_archive_skips_contents(tmp_path, monkeypatch):
+    """Of a plain archive only headers and the beginning of each member are read."""
+    import random
+    big = gzip.compress(b"@r\nACGT\n+\nIIII\n" + random.Random(1).randbytes(3_000_000))
+    tar_of(tmp_path / "big.tar", [(f"S_{i}.fastq.gz", big) for i in range(3)])
+    seen = []
+    real = files.open_file
+
+    class Counting:
+        def __init__(self, f):
+            self.f = f
+
+        def read(self, n=-1):
+            data = self.f.read(n)
+            seen.append(len(data))
+            return data
+
+        def __getattr__(self, name):
+            return getattr(self.f, name)
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *a):
+            self.f.close()
+
+    monkeypatch.setattr(files, "open_file", lambda uri: Counting(real(uri)))
+    out = list(reads._peek([pa.RecordBatch.from_pydict({"file": [str(tmp_path / "big.tar")]})]))
+    assert out[0].column(3).to_pylist() == [4, 4, 4] and sum(seen) < 1_500_000 < 9_000_000
+
+
 def test_fastq_lengths(spark, tmp_path):
     put(tmp_path / "SRR1_1.fastq", "@r1\nACGT\n+\nIIII\n@r2\nACGTACGT\n+\nIIIIIIII\n")
     put(tmp_path / "SRR1_2.fastq", "@r1\n" + "A" * 98 + "\n+\n" + "@" * 98 + "\n")
