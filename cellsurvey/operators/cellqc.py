@@ -236,6 +236,8 @@ def cell_metrics(
     sets = list(sets)
     want = set(parts)
     carry = ["gene_id", "proj_id"] + sets + (["mean"] if "corr" in want else [])
+    if "corr" in want:
+        genes = durable(genes.select(*carry))  # means are aggregates of the counts, and read twice
     source = counts
     if len(carry) > 2:
         source = counts.join(genes.select(*carry), GENE)
@@ -336,10 +338,10 @@ def common_genes(counts: DataFrame, features: DataFrame) -> DataFrame:
 
     ``features(proj_id, run_id, gene_id)`` are the gene lists of the runs.
     """
+    features = durable(features.select("proj_id", "run_id", "gene_id").distinct())  # read twice
     n_runs = features.select("proj_id", "run_id").distinct().groupBy("proj_id").agg(F.count(F.lit(1)).alias("n_runs"))
     shared = (
-        features.select("proj_id", "run_id", "gene_id").distinct()
-        .groupBy("proj_id", "gene_id").agg(F.count(F.lit(1)).alias("n_lists"))
+        features.groupBy("proj_id", "gene_id").agg(F.count(F.lit(1)).alias("n_lists"))
         .join(n_runs, "proj_id").filter(F.col("n_lists") == F.col("n_runs")).select("proj_id", "gene_id")
     )
-    return counts.join(shared, ["proj_id", "gene_id"], "left_semi")
+    return counts.join(durable(shared), ["proj_id", "gene_id"], "left_semi")  # a list of genes: its size decides the join

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from cellsurvey.functions import fixed_values as fixed
 from cellsurvey.functions.numeric import normal_upper_tail
 from cellsurvey.functions.ranking import average_rank, number_rows, running_totals, tie_histogram
+from cellsurvey.operators.decomposition import components, components_with_basis  # noqa: F401
 from cellsurvey.operators.ledger import distinct_terms
 from cellsurvey.operators.neighbours import approximate_neighbours
 from cellsurvey.session import durable
@@ -388,163 +389,3 @@ def correlation_extremes(counts: DataFrame, genes: DataFrame, block: int = 2048,
     ext = found.groupBy(*CELL).agg(F.min("lo").alias("min_corr"), F.max("hi").alias("max_corr"))
     known = lambda c: F.when(F.abs(c) != float("inf"), F.col(c)).alias(c)
     return ext.select(*CELL, known("min_corr"), known("max_corr"))
-
-
-# ---------------------------------------------------------------- components
-
-def components(values: DataFrame, k: int = fixed.N_COMPONENTS, tol: float = 1e-7, most_rounds: int = 60) -> DataFrame:
-    """Scores on the k leading components of each project's cell x gene matrix, without centring.
-
-    ``values(proj_id, cell_id, gene_id, x)`` holds the non-zeros of the chosen genes. Column ``pc`` array<double>; the
-    loadings of each component sum to a positive number. See ``components_with_basis``.
-    """
-    return components_with_basis(values, k, tol, most_rounds)[0]
-
-
-def components_with_basis(values: DataFrame, k: int, tol: float = 1e-7, most_rounds: int = 60) -> tuple[DataFrame, DataFrame]:
-    """(scores, singular values): ``s`` array<double> per project, by a block Krylov method over all projects at once.
-
-    A round multiplies a block of k directions with the matrix and its transpose (two sparse products, done as joins
-    with sums), adds it to the basis and takes the best k combinations of all. The next directions are what these
-    leave over. It ends when that is below ``tol`` of the largest eigenvalue for every component of every project, which puts
-    singular values within about tol squared, and raises if ``most_rounds`` do not get there. A basis of more than eight
-    blocks is reduced to its leading half. Only matrices of the basis' width per project are ever brought together.
-    """
-    values = durable(values.select("proj_id", "cell_id", "gene_id", "x"))  # read twice a round
-    block = durable(_times(values.select("proj_id", "gene_id").distinct().select(
-        "proj_id", "gene_id",
-        F.array(*[F.xxhash64("gene_id", F.lit(j)).cast("double") / float(2 ** 63) for j in range(k)]).alias("z")), "z", "z"))
-    basis, held = None, 0
-    for _ in range(most_rounds):
-        image = _gram_product(values, block, k)
-        joined = image if basis is None else basis.join(
-            image.select("proj_id", "gene_id", F.col("z").alias("z2"), F.col("v").alias("v2")), ["proj_id", "gene_id"]
-        ).select("proj_id", "gene_id", F.concat("z", "z2").alias("z"), F.concat("v", "v2").alias("v"))
-        held += k
-        joined = durable(joined)
-        small = durable(_ritz(joined, k, keep=4 * k if held >= 8 * k else held))
-        held = min(held, 4 * k) if held >= 8 * k else held
-        basis = durable(joined.join(small.select("proj_id", "m"), "proj_id").select(
-            "proj_id", "gene_id", _dots("m", "z").alias("z"), _dots("m", "v").alias("v")))
-        if not small.filter(~(F.col("residual") <= tol)).count():
-            break
-        # what the leading combinations leave over, made orthogonal to the basis and to each other
-        rest = basis.join(small.select("proj_id", "theta"), "proj_id").select(
-            "proj_id", "gene_id", "z",
-            F.zip_with(F.zip_with(F.slice("v", 1, k), F.slice("z", 1, k), lambda v, z: F.struct(v.alias("v"), z.alias("z"))), F.slice("theta", 1, k),
-                       lambda p, t: p["v"] - t * p["z"]).alias("r"))
-        block = durable(_times(durable(_against(durable(rest))), "z", "z"))
-    else:
-        raise ValueError(f"components not found in {most_rounds} rounds")
-    leading = basis.select("proj_id", "gene_id", F.slice("z", 1, k).alias("v"))
-    y = _product(values, "cell_id", leading, k)
-    signs = small.join(
-        leading.select("proj_id", F.posexplode("v").alias("j", "x")).groupBy("proj_id", "j").agg(F.sum("x").alias("t"))
-        .groupBy("proj_id").agg(F.array_sort(F.collect_list(F.struct("j", "t"))).alias("totals")), "proj_id"
-    ).select("proj_id", F.col("totals.t").alias("t"), F.transform(F.slice("theta", 1, k), lambda x: F.sqrt(F.greatest(x, F.lit(0.0)))).alias("s"))
-    signs = durable(signs)
-    scores = y.join(signs.select("proj_id", "t"), "proj_id").select(
-        "proj_id", "cell_id", F.zip_with("v", "t", lambda v, t: F.when(t < 0, -v).otherwise(v)).alias("pc"))
-    return scores, signs.select("proj_id", "s")
-
-
-def _gram_product(values: DataFrame, block: DataFrame, width: int) -> DataFrame:
-    """(proj_id, gene_id, z, v): the block and its image under the transposed matrix times the matrix."""
-    rows = block.select("proj_id", "gene_id", F.col("z").alias("v"))
-    image = _product(values, "gene_id", _product(values, "cell_id", rows, width), width)
-    return block.join(image, ["proj_id", "gene_id"])
-
-
-def _dots(matrix: str, vector: str) -> Column:
-    dot = lambda m: F.aggregate(F.zip_with(F.col(vector), m, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-    return F.transform(F.col(matrix), dot)
-
-
-def _times(rows: DataFrame, left: str, name: str) -> DataFrame:
-    """Columns of ``left`` made orthonormal."""
-    return rows.join(durable(_whitening(rows.withColumnRenamed(left, "z"))), "proj_id").select("proj_id", "gene_id", _dots("m", left).alias(name))
-
-
-def _against(rest: DataFrame) -> DataFrame:
-    """(proj_id, gene_id, z): the remainders ``r`` without their parts along the orthonormal ``z``, taken off twice."""
-    for _ in range(2):
-        parts = _inner_products(rest, "z", "r")
-        width = durable(parts.groupBy("proj_id").agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("p"))).select("proj_id", F.col("p.value").alias("p"))
-        # p[i * k + j] is the inner product of basis vector i and remainder j
-        rest = rest.join(width, "proj_id").select(
-            "proj_id", "gene_id", "z",
-            F.transform("r", lambda x, j: x - F.aggregate(
-                F.transform("z", lambda z, i: z * F.get("p", i * F.size("r") + j)), F.lit(0.0), lambda a, b: a + b)).alias("r"))
-        rest = durable(rest)
-    return rest.select("proj_id", "gene_id", F.col("r").alias("z"))
-
-
-def _ritz(rows: DataFrame, k: int, keep: int) -> DataFrame:
-    """Per project: rotation ``m`` to the best ``keep`` combinations, their ``theta``, and the largest relative residual of the first k."""
-    def solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        part = lambda name: _square(pdf[pdf["kind"] == name])
-        norm, image, square = part("zz"), part("zv"), part("vv")
-        lam, w = np.linalg.eigh(norm)
-        good = lam > max(lam.max(), 0.0) * 1e-10
-        base = w[:, good] / np.sqrt(lam[good])
-        theta, u = np.linalg.eigh(base.T @ image @ base)
-        order = np.argsort(-theta)[:keep]
-        m = np.zeros((len(norm), keep))
-        m[:, :len(order)] = base @ u[:, order]
-        full = np.zeros(keep)
-        full[:len(order)] = theta[order]
-        left = np.einsum("ij,ik,kj->j", m[:, :k], square, m[:, :k]) - full[:k] ** 2
-        # squares cancel down to the rounding of the largest
-        residual = np.sqrt(np.maximum(left, 0.0).max()) / max(full[0], 1e-300)
-        exhausted = good.sum() <= len(norm) - k  # the last block brought nothing new
-        return pd.DataFrame({"proj_id": [key[0]], "m": [m.T.tolist()], "theta": [full.tolist()], "residual": [0.0 if exhausted else residual]})
-
-    kinds = None
-    for name, left, right in (("zz", "z", "z"), ("zv", "z", "v"), ("vv", "v", "v")):
-        one = _inner_products(rows, left, right).withColumn("kind", F.lit(name))
-        kinds = one if kinds is None else kinds.unionByName(one)
-    return kinds.groupBy("proj_id").applyInPandas(solve, "proj_id string, m array<array<double>>, theta array<double>, residual double")
-
-
-def _product(values: DataFrame, by: str, table: DataFrame, width: int) -> DataFrame:
-    """Sparse matrix times a tall matrix: for each ``by`` the sum of x * v over the other axis."""
-    other = "gene_id" if by == "cell_id" else "cell_id"
-    sums = [F.sum(F.col("x") * F.get("v", F.lit(j))).alias(f"c{j}") for j in range(width)]
-    out = values.join(table.select("proj_id", other, "v"), ["proj_id", other]).groupBy("proj_id", by).agg(*sums)
-    return out.select("proj_id", by, F.array(*[F.col(f"c{j}") for j in range(width)]).alias("v"))
-
-
-def _inner_products(rows: DataFrame, left: str, right: str) -> DataFrame:
-    """(proj_id, at, value): entries of left' right summed over the rows of a project.
-
-    Each Arrow batch is reduced to one small matrix per project before anything is shuffled.
-    """
-    def partial(batches):
-        for pdf in batches:
-            for proj, part in pdf.groupby("proj_id"):
-                a = np.array([np.asarray(r, dtype=float) for r in part["l"]])
-                b = np.array([np.asarray(r, dtype=float) for r in part["r"]])
-                m = (a.T @ b).ravel()
-                yield pd.DataFrame({"proj_id": proj, "at": np.arange(len(m)), "value": m})
-
-    parts = rows.select("proj_id", F.col(left).alias("l"), F.col(right).alias("r")).mapInPandas(
-        partial, "proj_id string, at int, value double")
-    return parts.groupBy("proj_id", "at").agg(F.sum("value").alias("value"))
-
-
-def _square(pdf: pd.DataFrame) -> np.ndarray:
-    m = pdf.sort_values("at")["value"].to_numpy()
-    side = int(round(len(m) ** 0.5))
-    m = m.reshape(side, side)
-    return (m + m.T) / 2
-
-
-def _whitening(rows: DataFrame) -> DataFrame:
-    """Per project the matrix that makes the columns of ``z`` orthonormal; lost directions become 0."""
-    def solve(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        lam, w = np.linalg.eigh(_square(pdf))
-        good = lam > max(lam.max(), 0.0) * 1e-13
-        scale = np.where(good, 1.0 / np.sqrt(np.where(good, lam, 1.0)), 0.0)
-        return pd.DataFrame({"proj_id": [key[0]], "m": [(w * scale).T.tolist()]})
-
-    return _inner_products(rows, "z", "z").groupBy("proj_id").applyInPandas(solve, "proj_id string, m array<array<double>>")

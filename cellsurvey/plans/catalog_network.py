@@ -152,6 +152,27 @@ def pca_svd(t: Tables) -> DataFrame:
     return scores.select("proj_id", "cell_id", *[F.get("pc", F.lit(j)).alias(f"pc{j + 1}") for j in range(10)])
 
 
+_GRAM = """WITH RECURSIVE v AS (SELECT concat('P', label % 3) AS proj_id, vec_id AS cell_id, CAST(embedding AS DOUBLE[]) AS f FROM embeddings),
+long AS (SELECT proj_id, cell_id, unnest(f) AS x, generate_subscripts(f, 1) AS i FROM v),
+gram AS (SELECT proj_id, i, list(g ORDER BY j) AS row FROM (SELECT a.proj_id, a.i, b.i AS j, sum(a.x * b.x) AS g FROM long a JOIN long b USING (proj_id, cell_id) GROUP BY ALL) GROUP BY ALL),
+g AS (SELECT proj_id, list(row ORDER BY i) AS m, max(i) AS n FROM gram GROUP BY ALL),
+p(proj_id, m, steps) AS (
+  SELECT proj_id, m, 0 FROM g UNION ALL
+  SELECT proj_id, list_transform(m, lambda r: list_transform(m, lambda c: list_dot_product(r, c) / list_max(list_transform(m, lambda q: list_dot_product(q, q))))), steps + 1 FROM p WHERE steps < 16),
+raw AS (SELECT p.proj_id, list_transform(p.m, lambda r: list_sum(r)) AS u FROM p WHERE steps = 16),
+lead AS (SELECT proj_id, list_transform(u, lambda x: x / sqrt(list_dot_product(u, u)) * (CASE WHEN list_sum(u) < 0 THEN -1 ELSE 1 END)) AS u FROM raw)
+"""
+
+
+@query("leading_component", _GRAM + """SELECT proj_id, cell_id, round(list_dot_product(f, u), 4) AS pc1, round(sqrt(sum(list_dot_product(f, u) ** 2) OVER (PARTITION BY proj_id)), 4) AS s1 FROM v JOIN lead USING (proj_id)""")
+def leading_component(t: Tables) -> DataFrame:
+    """Score on the first component and its singular value; the SQL squares the Gram matrix until only the leading direction is left."""
+    values = t.embeddings.select(
+        F.concat(F.lit("P"), (F.col("label") % 3).cast("string")).alias("proj_id"), F.col("vec_id").alias("cell_id"), F.posexplode("embedding").alias("gene_id", "x"))
+    scores, singular = network.components_with_basis(values, k=10)
+    return rounded(scores.join(singular, "proj_id").select("proj_id", "cell_id", F.get("pc", F.lit(0)).alias("pc1"), F.get("s", F.lit(0)).alias("s1")), "pc1", "s1", digits=4)
+
+
 @query("component_energy", "SELECT concat('P', label % 3) AS proj_id, vec_id AS cell_id, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE))), 6) AS energy FROM embeddings")
 def component_energy(t: Tables) -> DataFrame:
     """With as many components as genes nothing is lost: the squared scores of a cell add up to its squared counts."""
