@@ -94,7 +94,7 @@ def fit(features: list[np.ndarray], earlier: np.ndarray, y: np.ndarray, dimensio
     share = y.mean() if len(y) else 0.0
     if share in (0.0, 1.0):
         return None
-    n, at = len(y), np.concatenate(features)
+    n, at = len(y), np.concatenate([np.empty(0, np.int32), *features])
     doc = np.repeat(np.arange(n, dtype=np.int32), [len(f) for f in features])
     # masks instead of numbers over all occurrences, which are by far the most memory here
     seen, hits = np.bincount(at, minlength=dimensions), np.bincount(at[(y > 0)[doc]], minlength=dimensions)
@@ -102,7 +102,7 @@ def fit(features: list[np.ndarray], earlier: np.ndarray, y: np.ndarray, dimensio
     ratio[(seen < 2) | (ratio < least_ratio)] = 0
     used = (ratio != 0)[at]
     ids, at = np.unique(at[used], return_inverse=True)
-    doc, scale = doc[used], ratio[ids][at]
+    doc, scale, at = doc[used], ratio[ids][at].astype(np.float32), at.astype(np.int32)
     dense = np.column_stack([np.ones(n), earlier])
     w, d = np.zeros(len(ids)), np.zeros(dense.shape[1])
     d[0] = np.log(share / (1 - share))
@@ -144,8 +144,11 @@ def _labelled(dimensions: int):
 
 
 def train(docs: DataFrame, labels: DataFrame, dimensions: int = 1 << 18, folds: int = 3, max_train: int = 16_000,
-          false_positives: float = 0.001, cut_range: tuple[float, float] = (0.2, 0.5)) -> Chain:
-    """Fit the chain. A round per category; its fold models and the final one are fitted side by side."""
+          false_positives: float = 0.001, cut_range: tuple[float, float] = (0.2, 0.5), least_ratio: float = 0.3) -> Chain:
+    """Fit the chain. A round per category; its fold models and the final one are fitted side by side.
+
+    Features that no model can use, by counts over the training documents, go before the documents are dealt to the folds.
+    """
     known = durable(
         own_columns(labels, "doc_id", "toxic").filter("doc_id is not null and toxic is not null")
         .groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
@@ -157,13 +160,14 @@ def train(docs: DataFrame, labels: DataFrame, dimensions: int = 1 << 18, folds:
         (F.col("is_toxic") & F.col("has_insult")).cast("double").alias("insult"),
         (F.col("is_toxic") & ~F.col("has_insult")).cast("double").alias("veiled"),
         F.col("is_toxic").cast("double").alias("toxic")))
+    rows = durable(rows.mapInArrow(_kept(_telling(rows, folds, least_ratio), dimensions), rows.schema))
     models: list[Model | None] = []
     for i, category in enumerate(CATEGORIES):
         earlier = [f"p_{c}" for c in CATEGORIES[:i]]
         rounds = durable(
             rows.withColumn("held", F.explode(F.sequence(F.lit(0), F.lit(folds))))  # fold that is held out; the last: none
             .groupBy("held").applyInPandas(
-                _round(category, earlier, folds, dimensions),
+                _round(category, earlier, folds, dimensions, least_ratio),
                 ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
                 + f", p_{category} double, ids array<int>, weights array<double>, dense array<double>"))
         found = rounds.filter("dense is not null").select("ids", "weights", "dense").first()  # of a fixed number of features
@@ -175,7 +179,46 @@ def train(docs: DataFrame, labels: DataFrame, dimensions: int = 1 << 18, folds:
     return Chain(models, dimensions, min(high, max(low, cut if cut is not None else high)))
 
 
-def _round(category: str, earlier: list[str], folds: int, dimensions: int):
+def _telling(rows: DataFrame, folds: int, least_ratio: float) -> np.ndarray:
+    """Features that some fold's model of some category gives a weight: the rule of ``fit`` on counts per feature and fold.
+
+    At most one row per feature number comes back, whatever the documents are.
+    """
+    with_, kinds = range(folds), CATEGORIES
+    inside = lambda j, c: F.sum(F.when(F.col("fold") == j, F.col(c)).otherwise(0))
+    sizes = rows.select("fold", F.lit(1.0).alias("seen"), *kinds).agg(
+        *[inside(j, c).alias(f"{c}{j}") for j in with_ for c in ("seen", *kinds)]).first().asDict()
+    counts = rows.select("fold", *kinds, F.lit(1.0).alias("seen"), F.explode("features").alias("id")).groupBy("id").agg(
+        *[inside(j, c).alias(f"{c}{j}") for j in with_ for c in ("seen", *kinds)])
+    useful = F.lit(False)
+    for held in range(folds + 1):
+        trained = [j for j in with_ if j != held]
+        total = lambda c: sum((F.col(f"{c}{j}") for j in trained), F.lit(0.0))
+        n = sum(sizes[f"seen{j}"] or 0 for j in trained)
+        for c in kinds:
+            share = sum(sizes[f"{c}{j}"] or 0 for j in trained) / n if n else 0.0
+            if 0 < share < 1:
+                useful = useful | ((total("seen") >= 2) & (F.log((total(c) + share) / (share * (total("seen") + 1))) >= least_ratio - 1e-9))
+    return np.array([r[0] for r in counts.filter(useful).select("id").collect()], np.int32)
+
+
+def _kept(ids: np.ndarray, dimensions: int):
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.zeros(dimensions, bool)
+        wanted[ids] = True
+        for batch in batches:
+            lists = batch.column("features")
+            values = lists.flatten().to_numpy(zero_copy_only=False)
+            ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            use = wanted[values]
+            before = np.concatenate([[0], np.cumsum(use)])[ends].astype(np.int32)
+            new = pa.ListArray.from_arrays(pa.array(before), pa.array(values[use], pa.int32()))
+            yield pa.RecordBatch.from_arrays([new if name == "features" else batch.column(name) for name in batch.schema.names], names=batch.schema.names)
+
+    return keep
+
+
+def _round(category: str, earlier: list[str], folds: int, dimensions: int, least_ratio: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         held = int(pdf.pop("held").iloc[0])
         pdf = pdf.sort_values("doc_id", kind="stable", ignore_index=True)
@@ -183,7 +226,7 @@ def _round(category: str, earlier: list[str], folds: int, dimensions: int):
         train_rows = pdf[inside]
         model = fit(
             list(train_rows["features"]), train_rows[earlier].to_numpy(float).reshape(len(train_rows), len(earlier)),
-            train_rows[category].to_numpy(float), dimensions)
+            train_rows[category].to_numpy(float), dimensions, least_ratio=least_ratio)
         if held == folds:
             empty = {c: [None] for c in [*pdf.columns, f"p_{category}"]}
             parts = {"ids": [None if model is None else model.ids], "weights": [None if model is None else model.weights],
