@@ -2,7 +2,7 @@
 
 For every participant of a conversation the dialogue is rendered with that speaker as ``assistant``, the others as
 ``user`` with their name, and the system turns as they are. The mask of a rendering lists the code-point spans of the
-assistant's words: those a model would be trained on.
+assistant's words and of the mark that ends them: what a model would be trained on.
 
 A conversation of any length is rendered in parts of ``turns_per_part`` turns; the parts of a perspective joined in order
 are the whole rendering, and offsets of masks count from its beginning. Turns are ordered by (turn, speaker, text) with
@@ -25,7 +25,7 @@ OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 def rotate(turns: DataFrame, speaker: str = "role", system: str = "system", turns_per_part: int = 256) -> DataFrame:
     """(conv_id, perspective, part, text, mask array<struct<start, end>>, n_turns)."""
     said = own_columns(turns, "conv_id", "turn", speaker, "text").select(
-        "conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv"), "turn",
+        "conv_id", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")).alias("conv"), "turn",
         F.coalesce(speaker, F.lit(system)).alias("speaker"), F.coalesce("text", F.lit("")).alias("text"))
     # a conversation can hold a third of all turns: positions come from ranges of rows, not from a window over it
     numbered = durable(running_totals(said.withColumn("one", F.lit(1).cast("bigint")), ["conv"], ["turn", "speaker", "text"], ["one"]))

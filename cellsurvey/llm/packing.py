@@ -135,12 +135,14 @@ def best_fit(lengths: np.ndarray, size: int, most_pieces: int, most_cost: float,
     return bins, offsets
 
 
-def pack(docs: DataFrame, size: int = 2048, most_pieces: int = 1024, most_cost: float | None = None, end_id: int = 0,
+def pack(docs: DataFrame, size: int = 2048, most_pieces: int | None = None, most_cost: float | None = None, end_id: int = 0,
          tokenizer: str | None = None, group_pieces: int = 16_384) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of all pieces.
 
-    Every capacity must admit one full piece: ``most_cost`` is ``size ** 2`` unless given and not below it.
+    Every capacity must admit one full piece: ``most_cost`` is ``size ** 2`` unless given and not below it. ``most_pieces`` is ``size``
+    unless given, which no sequence can exceed. Groups are dealt by place in the written table, so equal rows spread over all of them.
     """
+    most_pieces = size if most_pieces is None else most_pieces
     most_cost = float(most_cost or size * size)
     if most_cost < size * size or most_pieces < 1:
         raise ValueError("a capacity does not admit one full piece")
@@ -154,5 +156,5 @@ def pack(docs: DataFrame, size: int = 2048, most_pieces: int = 1024, most_cost:
         return rows
 
     return (
-        cut.withColumn("__group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+        cut.withColumn("__group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))
         .groupBy("__group").applyInPandas(place, _PLACED))

@@ -20,12 +20,12 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellsurvey.llm.common import own_columns
 from cellsurvey.session import durable, scratch_path
+from cellsurvey.sources import files
 
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 _DATE = b"2000-01-01T00:00:00Z"  # pages carry no date, and equal input shall give equal archives
@@ -73,8 +73,8 @@ def _writer(folder: str):
         out, name, at = None, f"{folder}/{uuid.uuid4().hex}.warc.gz", 0
         for batch in batches:
             if out is None and batch.num_rows:
-                files, path = pyarrow.fs.FileSystem.from_uri(name)
-                out = files.open_output_stream(path, compression=None)
+                store, path = files.store_of(name)
+                out = store.open_output_stream(path, compression=None)
             rows = {k: [] for k in ("id", "url", "digest", "kind", "at", "size")}
             for page_id, url, html, digest, refers in zip(*[batch.column(i).to_pylist() for i in range(5)]):
                 payload = b"" if html is None else html.encode()
@@ -107,7 +107,7 @@ def write_archives(pages: DataFrame, min_revisit: int = 100) -> DataFrame:
         "page_id", "url", "html", "digest",
         F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
     folder = scratch_path(pages.sparkSession, "warc")
-    folder = folder if "://" in folder else f"file://{folder}"
+    folder = files.qualified(pages.sparkSession, folder)  # the same store for every task
     make_folder(pages, folder)
     return durable(placed.mapInArrow(_writer(folder), _INDEX))
 
@@ -120,8 +120,7 @@ def make_folder(df: DataFrame, folder: str) -> None:
 
 def _reader(gap: int, most: int):
     def fetch(run: list[tuple]) -> pa.RecordBatch:
-        files, path = pyarrow.fs.FileSystem.from_uri(run[0][0])
-        with files.open_input_file(path) as source:
+        with files.open_file(run[0][0]) as source:
             start = run[0][1]
             data = source.read_at(run[-1][1] + run[-1][2] - start, start)
         rows = []
