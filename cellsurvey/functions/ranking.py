@@ -103,7 +103,7 @@ def exact_median(df: DataFrame, group: Sequence[str], value: str, name: str = "m
     """Exact median per group: middle of the value histogram, found by running counts."""
     hist = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("n"))
     run = running_totals(hist, group, [value], ["n"])
-    totals = hist.groupBy(*group).agg(F.sum("n").alias("total"))
+    totals = durable(hist.groupBy(*group).agg(F.sum("n").alias("total")))  # of known size
     low, high = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
     holds = lambda k: (F.col("n_before") < k) & (k <= F.col("n_before") + F.col("n"))
     return (

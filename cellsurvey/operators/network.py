@@ -8,7 +8,7 @@ sums or extremes per cell), never the pairs.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -43,18 +43,45 @@ def _packed(rows: pd.DataFrame) -> bytes:
     return sink.getvalue().to_pybytes()
 
 
-def _on_block_pairs(placed: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """Run ``fn(left, right, same)`` on every unordered pair of blocks of a project.
-
-    A block is packed into one row first, so what is sent to the pairs is rows in the square of the blocks, not of the cells.
-    """
+def _pack_blocks(placed: DataFrame) -> DataFrame:
+    """(proj_id, block, blocks, data): a row per block, so what is sent on is rows in the square of the blocks, not of the cells."""
     columns = [c for c in placed.columns if c not in ("__block", "__blocks")]
-    names = [part.split()[0] for part in schema.split(", ")]
 
     def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"proj_id": [key[0]], "block": [key[1]], "blocks": [pdf["__blocks"].iloc[0]], "data": [_packed(pdf[columns])]})
 
-    packed = durable(placed.groupBy("proj_id", "__block").applyInPandas(pack, "proj_id string, block int, blocks int, data binary"))
+    return durable(placed.groupBy("proj_id", "__block").applyInPandas(pack, "proj_id string, block int, blocks int, data binary"))
+
+
+def _on_block_strips(placed: DataFrame, fn: Callable, schema: str, strip: int) -> DataFrame:
+    """Run ``fn(own, partners)`` for every block and every strip of ``strip`` partner blocks (itself among them) of its project.
+
+    The partners come one after the other, so a task can sum over all of them and a cell leaves once per strip, not once per block pair.
+    """
+    packed = _pack_blocks(placed)
+    strips = F.ceil(F.col("blocks") / F.lit(strip)).cast("int")
+    owners = packed.select("proj_id", "data", F.col("block").alias("bi"), F.explode(F.sequence(F.lit(0), strips - 1)).alias("strip"), F.lit(-1).alias("partner"))
+    partners = packed.select(
+        "proj_id", "data", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("bi"),
+        F.floor(F.col("block") / F.lit(strip)).cast("int").alias("strip"), F.col("block").alias("partner"))
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def task(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("partner")
+        if pdf["partner"].iloc[0] >= 0 or len(pdf) < 2:
+            return pd.DataFrame(columns=names)  # a block without cells
+        read = (pa.ipc.open_stream(data).read_pandas() for data in pdf["data"])
+        out = fn(next(read), read)
+        out.insert(0, "proj_id", key[0])
+        return out
+
+    return owners.unionByName(partners).groupBy("proj_id", "bi", "strip").applyInPandas(task, schema)
+
+
+def _on_block_pairs(placed: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """Run ``fn(left, right, same)`` on every unordered pair of blocks of a project."""
+    names = [part.split()[0] for part in schema.split(", ")]
+    packed = _pack_blocks(placed)
     own = F.col("block")
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(
         F.least(own, other).alias("bi"), F.greatest(own, other).alias("bj"), (other < own).alias("second")
@@ -280,11 +307,12 @@ def _candidate_scores(votes: DataFrame, degree: DataFrame, folds: DataFrame, n_f
     )
 
 
-def neighbour_voting_dense(vectors: DataFrame, members: DataFrame, n_fold: int = 3, block: int = 4096, digits: int = 10) -> DataFrame:
+def neighbour_voting_dense(vectors: DataFrame, members: DataFrame, n_fold: int = 3, block: int = 4096, digits: int = 10, strip: int = 16) -> DataFrame:
     """Neighbour voting on the full network of weights 1 - distance / largest distance.
 
     A node's votes only need the sum of its distances to the members of each fold, its sum over all
-    nodes and the largest distance. These are summed per block pair; the n x n network never exists.
+    nodes and the largest distance. A task sums them over a strip of ``strip`` partner blocks, so what is exchanged is
+    cells x codes x strips; the n x n network never exists.
     """
     id_type = vectors.schema["cell_id"].dataType.simpleString()
     folds = durable(with_folds(members, n_fold))
@@ -294,32 +322,34 @@ def neighbour_voting_dense(vectors: DataFrame, members: DataFrame, n_fold: int =
     )
     rows = vectors.select(*CELL, "features").join(coded, CELL, "left")
 
-    def sums(own: pd.DataFrame, other: pd.DataFrame, dist: np.ndarray) -> pd.DataFrame:
-        lists = [np.asarray(c, dtype=int) if c is not None else np.array([], dtype=int) for c in other["codes"]]
-        flat = np.concatenate(lists) if lists else np.array([], dtype=int)
-        codes, place = np.unique(flat, return_inverse=True)
-        marks = np.zeros((len(other), len(codes) + 1))
-        marks[:, -1] = 1.0
-        marks[np.repeat(np.arange(len(other)), [len(x) for x in lists]), place] = 1.0
-        total = dist @ marks
-        every = np.append(codes, -1)
-        n, m = total.shape
+    def sums(own: pd.DataFrame, partners: Iterable[pd.DataFrame]) -> pd.DataFrame:
+        a = np.stack(own["features"].to_numpy())
+        total, far = np.zeros((len(own), 1)), np.full(len(own), -1.0)  # over all cells first, then per code
+        used = {0}
+        for other in partners:
+            dist = _distances(a, np.stack(other["features"].to_numpy()))
+            lists = [np.asarray(c, dtype=int) if c is not None else np.array([], dtype=int) for c in other["codes"]]
+            flat = np.concatenate(lists)
+            if flat.max(initial=-1) + 2 > total.shape[1]:
+                total = np.pad(total, ((0, 0), (0, flat.max() + 2 - total.shape[1])))
+            marks = np.zeros((len(other), total.shape[1]))
+            marks[:, 0] = 1.0
+            marks[np.repeat(np.arange(len(other)), [len(x) for x in lists]), flat + 1] = 1.0
+            total += dist @ marks
+            used.update((flat + 1).tolist())
+            far = np.maximum(far, dist.max(1))
+        columns = np.array(sorted(used))
+        n, m = len(own), len(columns)
         largest = np.full((n, m), -1.0)
-        largest[:, -1] = dist.max(1)
+        largest[:, 0] = far
         return pd.DataFrame({
-            "cell_id": np.repeat(own["cell_id"].to_numpy(), m), "code": np.tile(every, n).astype("int32"),
-            "d": total.ravel(), "far": largest.ravel(),
+            "cell_id": np.repeat(own["cell_id"].to_numpy(), m), "code": np.tile(columns - 1, n).astype("int32"),
+            "d": total[:, columns].ravel(), "far": largest.ravel(),
         })
 
-    def task(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
-        dist = _distances(np.stack(left["features"].to_numpy()), np.stack(right["features"].to_numpy()))
-        if same:
-            return sums(left, right, dist)
-        return pd.concat([sums(left, right, dist), sums(right, left, dist.T)], ignore_index=True)
-
-    found = _on_block_pairs(_place(rows, vectors, block), task, f"proj_id string, cell_id {id_type}, code int, d double, far double")
+    found = _on_block_strips(_place(rows, vectors, block), sums, f"proj_id string, cell_id {id_type}, code int, d double, far double", strip)
     summed = durable(found.groupBy(*CELL, "code").agg(F.sum("d").alias("d"), F.max("far").alias("far")))
-    scale = summed.filter(F.col("code") == -1).groupBy("proj_id").agg(F.max("far").alias("largest"), F.count(F.lit(1)).alias("n_nodes"))
+    scale = durable(summed.filter(F.col("code") == -1).groupBy("proj_id").agg(F.max("far").alias("largest"), F.count(F.lit(1)).alias("n_nodes")))
     weight = lambda count, d: count - F.when(F.col("largest") > 0, d / F.col("largest")).otherwise(0.0)
     degree = summed.filter(F.col("code") == -1).join(scale, "proj_id").select(
         "proj_id", F.col("cell_id").alias("node"), F.round(weight(F.col("n_nodes"), F.col("d")), digits).alias("degree")

@@ -42,7 +42,7 @@ def cell_embedding(
         counts.join(variable, ["proj_id", "gene_id"], "left_semi")
         .select("proj_id", "cell_id", "gene_id", F.log1p("n").alias("x"))
     )
-    n_cells = cells.groupBy("proj_id").agg(F.count(F.lit(1)).alias("c"))
+    n_cells = durable(cells.groupBy("proj_id").agg(F.count(F.lit(1)).alias("c")))  # of known size
     scores = network.components(values, k, tol)
     limit = F.least(F.lit(k).cast("bigint"), F.col("c") - 1).cast("int")
     empty = F.array_repeat(F.lit(0.0), limit)  # cells without a variable gene sit at the origin

@@ -173,3 +173,24 @@ def test_term_limits_are_exclusive(spark):
     cells = spark.createDataFrame([("P", i, "a" if i < 5 else "b", "x") for i in range(11)], "proj_id string, cell_id long, t string, u string")
     kept = network.sized_terms(network.membership(cells, ["t", "u"]), cells, min_count=5, max_share=0.95)
     assert {r.term for r in kept.select("term").distinct().collect()} == {"t=b"}
+
+
+def test_strips_bound_what_is_exchanged(spark, monkeypatch):
+    """Partner blocks of a strip are summed in the task: rows are cells x codes x strips, and the result does not depend on the cut."""
+    rng = np.random.default_rng(8)
+    cells = [("P", i, rng.normal(size=4).tolist()) for i in range(120)]
+    vectors = spark.createDataFrame(cells, "proj_id string, cell_id long, features array<double>")
+    members = spark.createDataFrame([("P", i, f"t{i % 3}") for i in range(120)], "proj_id string, node long, term string")
+    seen = []
+    real = network._on_block_strips
+
+    def spy(placed, fn, schema, strip):
+        found = network.durable(real(placed, fn, schema, strip))
+        seen.append(found.count())
+        return found
+
+    monkeypatch.setattr(network, "_on_block_strips", spy)
+    results = [network.neighbour_voting_dense(vectors, members, block=10, strip=strip).toPandas().sort_values("term", ignore_index=True) for strip in (1, 4, 100)]
+    for other in results[1:]:
+        assert np.allclose(results[0].drop(columns=["proj_id", "term"]).astype(float), other.drop(columns=["proj_id", "term"]).astype(float))
+    assert seen[2] == 120 * 10 and seen[1] <= 120 * 10 * 3 < seen[0]
