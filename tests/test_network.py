@@ -180,7 +180,7 @@ def test_strips_bound_what_is_exchanged(spark, monkeypatch):
     rng = np.random.default_rng(8)
     cells = [("P", i, rng.normal(size=4).tolist()) for i in range(120)]
     vectors = spark.createDataFrame(cells, "proj_id string, cell_id long, features array<double>")
-    members = spark.createDataFrame([("P", i, f"t{i % 3}") for i in range(120)], "proj_id string, node long, term string")
+    members = spark.createDataFrame([("P", i, f"t{i // 40}") for i in range(120)], "proj_id string, node long, term string")
     seen = []
     real = network._on_block_strips
 
