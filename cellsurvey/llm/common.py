@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -54,6 +56,15 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
+def release_memory() -> None:
+    """Give what earlier work of this reused worker has freed back to the machine; pools and arenas would keep it for themselves."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def raw(column: pa.Array) -> list[bytes | None]:
     """UTF-8 of a text column."""
     return column.cast(pa.binary()).to_pylist()

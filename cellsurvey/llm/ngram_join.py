@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellsurvey.llm.common import WordHashes, own_columns, raw, shingles, slices
+from cellsurvey.llm.common import WordHashes, own_columns, raw, release_memory, shingles, slices
 from cellsurvey.llm.components import connected_components
 from cellsurvey.session import durable
 
@@ -65,6 +65,8 @@ def _signer(words: int, count: int, seed: int):
                 [batch.column(0).cast(pa.int64()), pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.int64()),
                  pa.array([r[2] for r in rows], pa.list_(pa.int32()))],
                 names=["doc_id", "node", "size", "label"])
+        table.clear()
+        release_memory()
 
     return sign
 
@@ -77,6 +79,8 @@ def _shingler(words: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_digest(s) for s in found], pa.binary()), pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))],
                 names=["node", "shingles"])
+        table.clear()
+        release_memory()
 
     return cut
 

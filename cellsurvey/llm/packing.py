@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellsurvey.llm.common import own_columns, slices
+from cellsurvey.llm.common import own_columns, release_memory, slices
 from cellsurvey.session import durable
 
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -76,6 +76,7 @@ _ENCODERS: dict[str, Encoder] = {}  # of this worker, kept between tasks
 def _piecer(tokenizer: str | None, size: int, end_id: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
+        release_memory()
         file = tokenizer or tokenizer_file()
         encode = _ENCODERS.get(file) or _ENCODERS.setdefault(file, Encoder(file, file.removesuffix(".json") + ".tiktoken"))
         end = np.array([end_id], "<u4").tobytes()

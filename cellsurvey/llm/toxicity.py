@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellsurvey.llm.common import own_columns, slices
+from cellsurvey.llm.common import own_columns, release_memory, slices
 from cellsurvey.session import durable
 
 #: fixed values: common English insults
@@ -139,6 +139,8 @@ def _labelled(dimensions: int):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.list_(pa.int32())), pa.array([_ANY_INSULT in f for f in found]), batch.column(2)],
                 names=["doc_id", "features", "insult", "toxic"])
+        table.clear()
+        release_memory()
 
     return make
 
@@ -257,6 +259,8 @@ def _scorer(chain: Chain, at: int):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *[pa.array(c, pa.float64()) for c in columns]],
                 names=[*batch.schema.names, *[f"p_{c}" for c in CATEGORIES]])
+        table.clear()
+        release_memory()
 
     return run
 
