@@ -4,12 +4,16 @@ The model is made of the unigram and bigram counts of all documents. A document
 are taken off first. A word after another scores C(v w) / C(v) if the pair occurs in another document, else
 ``backoff`` * C(w) / N; the first word C(w) / N; a count of 0 stands as ``unseen``. The score is the sum of the logarithms.
 
-All documents count. Bigrams are partitioned by hash: a task packs its occurrences, sorted by key, into one row per bucket
-and block of documents, and a bucket sums its keys over all blocks and returns one partial sum per document. What an
-occurrence adds if its pair is found is worked out before, from the counts of frequent words: those are at most ``frequent``
-and go with the tasks; terms of other words are left open and joined with the whole unigram table afterwards. A pair that
-a sixteenth of a block's documents hold would swell its bucket: of such pairs only counts go there, and the
-occurrences are joined with them in the end, as rows that a skewed join can split.
+All documents count. Texts are exploded to one row for every pair of a document, and the rows are partitioned by the hash of
+the pair once; there they meet their count, so that the count table and the rows that are joined with it lie in the same
+partition and neither moves again. Found pairs are summed per document before they leave the partition. What a pair adds if
+it is found is worked out before, from the counts of frequent words: those are at most ``frequent`` and go with the tasks;
+terms of other words are left open and joined with the whole unigram table afterwards.
+
+A hot pair, one that occurs ``hot_rows`` times or more, would swell its partition. Tasks watch for such pairs while they count
+words (with a table of bounded size, of which the rare pairs are dropped: a pair it loses is not hot). Rows of hot pairs are
+dealt to many partitions, counted by a sum with map-side combination, and joined with those counts at the end, as rows that
+a skewed join can split. There are at most 2^20 hot pairs, because the limit rises with the corpus beyond 2^38 words.
 
 Words stand between white space, A-Z lowered. NULL and empty texts score 0; the rows of one id (NULL is one) are parts of one document
 whose scores are added, each scored by all other rows; texts of any length are scored whole.
@@ -22,233 +26,165 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellsurvey.llm.common import WordHashes, mixed, own_columns, raw, slices
+from cellsurvey.llm.common import WordHashes, mixed, own_columns, raw, release_memory, slices
 from cellsurvey.session import durable
 
-_BLOCK_DOCS, _BLOCK_WORDS = 4096, 1_000_000
-_HEAVY = 16  # a pair in this fraction of a block's documents is counted apart
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_SUM, _OPEN, _HEAVY_USE, _HEAVY_COUNT = range(4)
+_WATCHED = 1 << 18  # pairs that a task remembers while it looks for hot ones
 
-_BASE = "doc_id bigint, n_words bigint, base double, words array<bigint>, own array<int>, uses array<int>"
-# keys once per block, with the number of documents that hold each; then document, count and gain of every occurrence
-_BLOCK = ("bucket int, doc_ids array<bigint>, keys array<bigint>, sizes array<int>, docs array<smallint>, n array<int>, delta array<float>, "
-          "at array<int>, left array<bigint>, right array<bigint>, own_left array<int>, own_right array<int>, "
-          "marked array<bigint>, marked_n array<bigint>")
-_OUT = "kind int, doc_id bigint, key bigint, n bigint, own int, value double"
+_COUNTS = "word bigint, pair bigint, n bigint"
+# a pair of a document, a document as a whole (with ``n_words``; gain is its score if no pair is found), or an open word of it
+_ROWS = "doc_id bigint, key bigint, n int, gain double, hot bigint, n_words bigint, open struct<left:bigint,own_left:int,right:bigint,own_right:int>"
+_OPEN = pa.struct([("left", pa.int64()), ("own_left", pa.int32()), ("right", pa.int64()), ("own_right", pa.int32())])
 
 
-class Unigrams:
-    """Counts of the frequent words, sorted by hash."""
+def _hashed(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    table = WordHashes()
+    for batch in slices(batches, 128):
+        yield batch, [table.of(t.lower().split()) if t else np.empty(0, np.uint64) for t in raw(batch.column(column))]
+    release_memory()
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, total: int, backoff: float, unseen: float):
-        self.hashes, self.counts, self.total, self.backoff, self.unseen = hashes, counts, total, backoff, unseen
 
-    def of(self, words: np.ndarray) -> np.ndarray:
-        """Counts; -1 where the word is not among the frequent ones."""
-        if not len(self.hashes):
-            return np.full(len(words), -1)
-        at = np.searchsorted(self.hashes, words)
-        at[at == len(self.hashes)] = 0
-        return np.where(self.hashes[at] == words, self.counts[at], -1)
+def _pairs(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the first words of pairs, and the pairs' hashes."""
+    at = np.flatnonzero(doc[1:] == doc[:-1])
+    return at, mixed(h[at] * _FACTOR + h[at + 1])
 
-    def document(self, h: np.ndarray):
-        """Distinct words, place of each word among them, own counts, log of the counts elsewhere (0 if open), open."""
-        words, place, own = np.unique(h, return_inverse=True, return_counts=True)
-        counts = self.of(words)
-        is_open = counts < 0
-        logs = np.where(is_open, 0.0, np.log(np.maximum(counts - own, self.unseen)))
-        return words, place, own, logs, is_open
 
-    def rest(self, n: int) -> float:
-        """Logarithm of the words in all other documents."""
-        return math.log(max(self.total - n, 1))
+class Tally:
+    """Counts of 64-bit keys, compacted now and then."""
 
+    def __init__(self):
+        self.keys, self.counts, self.held = [], [], 0
 
-def _hashed(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[list, list[np.ndarray]]]:
-    table = WordHashes()
-    for batch in slices(batches):
-        ids = batch.column(0).to_pylist() if column else []
-        yield ids, [table.of(t.lower().split()) if t else np.empty(0, np.uint64) for t in raw(batch.column(column))]
-
+    def add(self, keys: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.counts.append(np.ones(len(keys), np.int64))
+        self.held += len(keys)
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, counts, held = [], [], 0
+    def compact(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, place = np.unique(np.concatenate(self.keys), return_inverse=True)
+        counts = np.bincount(place, weights=np.concatenate(self.counts)).astype(np.int64)
+        self.keys, self.counts, self.held = [keys], [counts], len(keys)
+        return keys, counts
 
-    def compact():
-        w, at = np.unique(np.concatenate(words), return_inverse=True)
-        return w, np.bincount(at, weights=np.concatenate(counts)).astype(np.int64)
+    def keep(self, most: int) -> None:
+        """Only the most frequent keys."""
+        if self.held > most:
+            best = np.argpartition(self.counts[0], -most)[-most:]
+            self.keys, self.counts, self.held = [self.keys[0][best]], [self.counts[0][best]], most
 
-    for _, docs in _hashed(batches, 0):
-        w, n = np.unique(np.concatenate(docs), return_counts=True)
-        words.append(w)
-        counts.append(n)
-        held += len(w)
-        if held > 1_000_000:  # else a task would hold the words of all its documents
-            w, n = compact()
-            words, counts, held = [w], [n], len(w)
-            if held > 500_000:
-                yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n)], names=["word", "n"])
-                words, counts, held = [], [], 0
-    if words:
-        w, n = compact()
-        yield pa.RecordBatch.from_arrays([pa.array(w.view(np.int64)), pa.array(n)], names=["word", "n"])
 
+def _count(least_pair: int):
+    """Counts of the words of a task, and of the pairs it may call hot."""
 
-def _bases(model: Unigrams):
-    """What a document scores if no pair is found; words that are not frequent are listed with their uses."""
+    def out(words: bool, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        keys, none = pa.array(keys.view(np.int64)), pa.nulls(len(keys), pa.int64())
+        return pa.RecordBatch.from_arrays([keys, none, pa.array(n)] if words else [none, keys, pa.array(n)], names=["word", "pair", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, docs in _hashed(batches, 1):
-            rows = []
-            for doc_id, h in zip(ids, docs):
-                n = len(h)
-                if n == 0:
-                    rows.append((doc_id, 0, 0.0, [], [], []))
-                    continue
-                words, place, own, logs, is_open = model.document(h)
-                base = logs[place].sum() - n * model.rest(n) + (n - 1) * math.log(model.backoff)
-                rows.append((doc_id, n, base, words[is_open].view(np.int64), own[is_open], own[is_open]))
-            types = (pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=[c.split()[0] for c in _BASE.split(", ")])
+        words, pairs = Tally(), Tally()
+        for _, docs in _hashed(batches, 0):
+            h = np.concatenate(docs)
+            words.add(h)
+            pairs.add(_pairs(h, np.repeat(np.arange(len(docs)), [len(d) for d in docs]))[1])
+            if words.held > 1_000_000:
+                found = words.compact()
+                if words.held > 500_000:
+                    yield out(True, *found)
+                    words = Tally()
+            if pairs.held > 1_000_000 + _WATCHED:
+                pairs.compact()
+                pairs.keep(_WATCHED)
+        if words.held:
+            yield out(True, *words.compact())
+        if pairs.held:
+            keys, n = pairs.compact()
+            yield out(False, keys[n >= least_pair], n[n >= least_pair])
 
     return run
 
 
-def _blocks(model: Unigrams, buckets: int):
-    """Bigram occurrences of blocks of documents, packed by bucket; heavy pairs in buckets of their own behind the others."""
-
-    def occurrences(h: np.ndarray):
-        words, place, own, logs, is_open = model.document(h)
-        keys = mixed(h[:-1] * _FACTOR + h[1:])
-        keys, first, n = np.unique(keys, return_index=True, return_counts=True)
-        a, b = place[first], place[first + 1]
-        # found instead of backed off: - log C(v) in place of log backoff + log C(w) - log N
-        delta = logs[a] + math.log(model.backoff) + logs[b] - model.rest(len(h))
-        left, right = np.where(is_open[a], words[a], 0), np.where(is_open[b], words[b], 0)
-        return keys, n, delta, left, right, own[a], own[b], is_open[a] | is_open[b]
-
-    def pack(ids: list, parts: list) -> Iterator[tuple]:
-        doc = np.repeat(np.arange(len(parts), dtype=np.int32), [len(p[0]) for p in parts])
-        keys, n, delta, left, right, own_left, own_right, is_open = (np.concatenate(c) for c in zip(*parts))
-        order = np.argsort(keys, kind="stable")
-        keys, doc, n, delta, left, right, own_left, own_right, is_open = (
-            c[order] for c in (keys, doc, n, delta, left, right, own_left, own_right, is_open))
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        sizes = np.diff(np.r_[starts, len(keys)])
-        heavy = np.repeat((sizes >= max(64, len(ids) // _HEAVY)) & ~np.logical_or.reduceat(is_open, starts), sizes)
-        bucket = (keys >> np.uint64(20)) % np.uint64(buckets)
-        doc_ids = np.array([-1 if i is None else i for i in ids], np.int64), np.array([i is None for i in ids])
-        doc_ids = pa.array(doc_ids[0], mask=doc_ids[1])
-        place = np.where(heavy, buckets, bucket).astype(np.int64)
-        by_bucket = np.argsort(place, kind="stable")
-        edges = np.searchsorted(place[by_bucket], np.arange(buckets + 2))
-        # of heavy pairs only the count goes to their bucket
-        marks = np.flatnonzero(heavy & np.r_[True, keys[1:] != keys[:-1]])
-        totals = np.add.reduceat(n, starts)[np.searchsorted(starts, marks)] if len(marks) else np.empty(0, np.int64)
-        for b in range(buckets + 1):
-            at = by_bucket[edges[b] : edges[b + 1]]
-            mine = bucket[marks] == b if b < buckets else np.zeros(len(marks), bool)
-            if not len(at) and not mine.any():
-                continue
-            k = keys[at]
-            first = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.empty(0, np.int64)
-            open_at = np.flatnonzero(is_open[at])
-            yield (
-                b if b < buckets else buckets + int(keys[0] % np.uint64(buckets)), doc_ids, k[first].view(np.int64), np.diff(np.r_[first, len(k)]),
-                doc[at], n[at], delta[at], open_at, left[at][open_at].view(np.int64), right[at][open_at].view(np.int64),
-                own_left[at][open_at], own_right[at][open_at], keys[marks[mine]].view(np.int64), totals[mine])
-
-    def batch_of(row: tuple) -> pa.RecordBatch:
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.int16(), pa.int32(), pa.float32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(),
-                 pa.int64(), pa.int64())
-        lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c.cast(t) if isinstance(c, pa.Array) else pa.array(np.asarray(c), t))
-                 for c, t in zip(row[1:], types)]
-        return pa.RecordBatch.from_arrays([pa.array([row[0]], pa.int32()), *lists], names=[c.split()[0] for c in _BLOCK.split(", ")])
+class Model:
+    """Counts of the frequent words, sorted by hash, and the hot pairs."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, parts, held = [], [], 0
-        for some, docs in _hashed(batches, 1):
-            for doc_id, h in zip(some, docs):
-                if len(h) > 1:
-                    ids.append(doc_id)
-                    parts.append(occurrences(h))
-                    held += len(parts[-1][0])
-                if held >= _BLOCK_WORDS or len(ids) >= _BLOCK_DOCS:
-                    yield from map(batch_of, pack(ids, parts))
-                    ids, parts, held = [], [], 0
-        if ids:
-            yield from map(batch_of, pack(ids, parts))
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, hot: np.ndarray, total: int, backoff: float, unseen: float):
+        self.hashes, self.counts, self.hot = hashes, counts, hot
+        self.total, self.backoff, self.unseen = total, backoff, unseen
 
-    return run
+    def of(self, words: np.ndarray) -> np.ndarray:
+        """Counts; -1 where the word is not among the frequent ones."""
+        if not len(self.hashes):
+            return np.full(len(words), -1)
+        at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == words, self.counts[at], -1)
 
 
-def _score_buckets(buckets: int):
-    """Rows sorted by bucket -> partial sums, open terms, and counts and uses of heavy pairs."""
-    names = [c.split()[0] for c in _OUT.split(", ")]
-
-    def rows(kind, doc_id, key, n, own, value) -> pa.RecordBatch:
-        size = len(doc_id if doc_id is not None else key)
-        column = lambda c, t: pa.nulls(size, t) if c is None else (c.cast(t) if isinstance(c, pa.Array) else pa.array(np.asarray(c), t))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(size, kind), pa.int32()), column(doc_id, pa.int64()), column(key, pa.int64()), column(n, pa.int64()),
-             column(own, pa.int32()), column(value, pa.float64())], names=names)
-
-    def score(blocks: list[dict]) -> Iterator[pa.RecordBatch]:
-        marked = np.concatenate([b["marked"] for b in blocks])
-        keys = np.concatenate([*[b["keys"] for b in blocks], marked])
-        totals = [np.add.reduceat(b["n"], np.cumsum(b["sizes"]) - b["sizes"]) if len(b["keys"]) else np.empty(0) for b in blocks]
-        _, place = np.unique(keys, return_inverse=True)
-        count = np.bincount(place, weights=np.concatenate([*totals, *[b["marked_n"] for b in blocks]]))[place]
-        if len(marked):
-            once, first = np.unique(marked, return_index=True)
-            yield rows(_HEAVY_COUNT, None, once, None, None, count[len(keys) - len(marked) :][first])
-        start = 0
-        for b in blocks:
-            size = len(b["keys"])
-            c, m, docs = np.repeat(count[start : start + size], b["sizes"]), b["n"], b["docs"]
-            start += size
-            found = c > m
-            value = np.where(found, m * (np.log(np.where(found, c - m, 1)) - b["delta"]), 0.0)
-            sums = np.bincount(docs[found], weights=value[found], minlength=len(b["doc_ids"]))
-            some = np.flatnonzero(np.bincount(docs[found], minlength=len(sums)))
-            yield rows(_SUM, b["doc_ids"].take(pa.array(some)), None, None, None, sums[some])
-            at = b["at"][found[b["at"]]]
-            is_found = found[b["at"]]
-            for word, own in (("left", "own_left"), ("right", "own_right")):
-                w, o = b[word][is_found], b[own][is_found]
-                used = w != 0
-                yield rows(_OPEN, b["doc_ids"].take(pa.array(docs[at][used])), w[used], -m[at][used], o[used], None)
+def _explode(model: Model):
+    """(doc_id, text) -> rows of the documents' pairs, of the documents, and of their open words."""
+
+    def rows(doc_id, key, n, gain=None, hot=None, n_words=None, opened=None) -> pa.RecordBatch:
+        size = len(key)
+        columns = [doc_id, pa.array(key.view(np.int64)), pa.array(n, pa.int32()), pa.nulls(size, pa.float64()) if gain is None else pa.array(gain),
+                   pa.nulls(size, pa.int64()) if hot is None else hot, pa.nulls(size, pa.int64()) if n_words is None else pa.array(n_words, pa.int64()),
+                   pa.nulls(size, _OPEN) if opened is None else opened]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "n", "gain", "hot", "n_words", "open"])
+
+    def open_words(left, own_left, right, own_right, is_null) -> pa.Array:
+        columns = [pa.array(c, t, mask=m) for c, t, m in zip((left, own_left, right, own_right), [f.type for f in _OPEN], (left == 0, left == 0, right == 0, right == 0))]
+        return pa.StructArray.from_arrays(columns, fields=list(_OPEN), mask=pa.array(is_null))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, current = [], None
-        for batch in batches:
-            for i in range(batch.num_rows):
-                bucket = batch.column(0)[i].as_py()
-                if held and bucket != current:
-                    yield from score(held)
-                    held = []
-                current = bucket
-                block = {name: batch.column(k)[i].values for k, name in enumerate(batch.schema.names) if k}
-                block = {k: v if k == "doc_ids" else v.to_numpy() for k, v in block.items()}
-                if bucket >= buckets:
-                    yield rows(
-                        _HEAVY_USE, block["doc_ids"].take(pa.array(block["docs"])), np.repeat(block["keys"], block["sizes"]), block["n"], None, block["delta"])
-                else:
-                    held.append(block)
-        if held:
-            yield from score(held)
+        done = 0
+        for batch, docs in _hashed(batches, 1):
+            ids, size = batch.column(0), np.array([len(d) for d in docs])
+            h, doc = np.concatenate(docs), np.repeat(np.arange(len(docs)), size)
+            spread = mixed(np.arange(done, done + len(docs), dtype=np.uint64))  # rows that need no partition of their own
+            done += len(docs)
+            words, word = np.unique(h, return_inverse=True)
+            own_word, place, own = np.unique(doc * max(1, len(words)) + word, return_inverse=True, return_counts=True)
+            owner, own_word = own_word // max(1, len(words)), own_word % max(1, len(words))
+            counts = model.of(words)[own_word]
+            is_open = counts < 0
+            logs = np.where(is_open, 0.0, np.log(np.maximum(counts - own, model.unseen)))  # of the counts elsewhere
+            name = np.where(is_open, words[own_word] if len(words) else np.empty(0, np.uint64), np.uint64(0)).view(np.int64)
+            rest = np.log(np.maximum(model.total - size, 1))
+            base = np.bincount(doc, weights=logs[place], minlength=len(docs)) - size * rest + np.maximum(size - 1, 0) * math.log(model.backoff)
+            yield rows(ids, spread, np.zeros(len(docs)), gain=base, n_words=size)
+            if is_open.any():
+                none = np.zeros(is_open.sum(), np.int64)
+                yield rows(ids.take(pa.array(owner[is_open])), mixed(words[own_word[is_open]] + spread[owner[is_open]]), -own[is_open],
+                           opened=open_words(name[is_open], own[is_open], none, none, none == 1))
+            at, pair = _pairs(h, doc)
+            if not len(at):
+                continue
+            _, first, n = np.unique(mixed(pair + spread[doc[at]]), return_index=True, return_counts=True)
+            order = np.argsort(first)  # a document's rows stay together
+            first, n = first[order], n[order]
+            pair, at = pair[first], at[first]
+            left, right, of = place[at], place[at + 1], doc[at]
+            # found instead of backed off: - log C(v) in place of log backoff + log C(w) - log N
+            gain = logs[left] + math.log(model.backoff) + logs[right] - rest[of]
+            key, hot = pair, None
+            if len(model.hot):
+                where = np.minimum(np.searchsorted(model.hot, pair), len(model.hot) - 1)
+                is_hot = model.hot[where] == pair
+                key = np.where(is_hot, mixed(pair + spread[of]), pair)
+                hot = pa.array(pair.view(np.int64), mask=~is_hot)
+            shut = ~(is_open[left] | is_open[right])
+            opened = None if shut.all() else open_words(name[left], own[left], name[right], own[right], shut)
+            yield rows(ids.take(pa.array(of)), key, n, gain=gain, hot=hot, opened=opened)
 
     return run
 
 
-def backoff_scores(docs: DataFrame, backoff: float = 0.4, unseen: float = 0.5, frequent: int = 1 << 19, bucket_words: int = 3_000_000) -> DataFrame:
-    """(doc_id, n_words, log_score, mean_log_score)."""
-    read = own_columns(docs, "doc_id", "text")
-    words = durable(read.select("text").mapInArrow(_count_words, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
+def _model(read: DataFrame, backoff: float, unseen: float, frequent: int, hot_rows: int) -> tuple[Model, DataFrame]:
+    """The shipped part of the model, and the whole unigram table."""
+    counted = durable(read.select("text").mapInArrow(_count(min(64, hot_rows)), _COUNTS).groupBy("word", "pair").agg(F.sum("n").alias("n")))
+    words = counted.filter("word is not null").select("word", "n")
     # the lowest power of two such that at most ``frequent`` words occur as often
     levels = words.groupBy(F.floor(F.log2("n")).alias("level")).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).collect()
     kept, cut = 0, 64
@@ -258,27 +194,44 @@ def backoff_scores(docs: DataFrame, backoff: float = 0.4, unseen: float = 0.5, f
         kept, cut = kept + size, level
     total = sum(n for _, _, n in levels)
     top = words.filter(F.col("n") >= F.lit(2.0**cut)).toPandas()
-    order = np.argsort(top["word"].to_numpy(np.int64).view(np.uint64))
-    model = Unigrams(top["word"].to_numpy(np.int64).view(np.uint64)[order], top["n"].to_numpy(np.int64)[order], total, backoff, unseen)
-    buckets = max(1, math.ceil(total / bucket_words))
-    base = durable(read.mapInArrow(_bases(model), _BASE))
-    packed = read.mapInArrow(_blocks(model, buckets), _BLOCK).repartition(2 * buckets, "bucket").sortWithinPartitions("bucket")
-    parts = durable(packed.mapInArrow(_score_buckets(buckets), _OUT))
-
-    opened = (
-        base.select("doc_id", F.explode(F.arrays_zip("words", "own", "uses")).alias("w"))
-        .select("doc_id", F.col("w.words").alias("word"), F.col("w.own").alias("own"), F.col("w.uses").cast("bigint").alias("n"))
-        .union(parts.filter(F.col("kind") == _OPEN).select("doc_id", F.col("key").alias("word"), "own", "n"))
-        .join(words.withColumnRenamed("n", "count"), "word")
-        .select("doc_id", (F.col("n") * F.log(F.greatest(F.col("count") - F.col("own"), F.lit(unseen)))).alias("value")))
-    counts = parts.filter(F.col("kind") == _HEAVY_COUNT).select("key", F.col("value").alias("count"))
-    heavy = (
-        parts.filter(F.col("kind") == _HEAVY_USE).select("doc_id", "key", "n", "value").join(counts, "key").filter("count > n")
-        .select("doc_id", (F.col("n") * (F.log(F.col("count") - F.col("n")) - F.col("value"))).alias("value")))
+    hashes = top["word"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    # each is counted less often than it occurs or as often, so there are at most total / limit
+    limit = max(hot_rows, total >> 20)
+    hot = counted.filter(F.col("pair").isNotNull() & (F.col("n") >= limit)).select("pair").toPandas()["pair"].to_numpy(np.int64)
+    return Model(hashes[order], top["n"].to_numpy(np.int64)[order], np.sort(hot.view(np.uint64)), total, backoff, unseen), words
+
+
+def backoff_scores(docs: DataFrame, backoff: float = 0.4, unseen: float = 0.5, frequent: int = 1 << 19, hot_rows: int = 1 << 18,
+                   part_rows: int = 1_500_000) -> DataFrame:
+    """(doc_id, n_words, log_score, mean_log_score)."""
+    read = own_columns(docs, "doc_id", "text")
+    model, words = _model(read, backoff, unseen, frequent, hot_rows)
+    exploded = read.mapInArrow(_explode(model), _ROWS).repartition(max(1, math.ceil(model.total / part_rows)), "key")
+    is_pair, is_hot = F.col("gain").isNotNull() & F.col("n_words").isNull(), F.col("hot").isNotNull()
+    here = is_pair & ~is_hot
+    gained = lambda count: F.col("n") * (F.log(count - F.col("n")) - F.col("gain"))
+    # hot pairs and open words stay rows; everything else is a sum
+    apart = F.when(is_hot | F.col("open").isNotNull(), F.struct("hot", "n", F.when(is_hot, F.col("gain")).alias("gain"), "open"))
+    sums = durable(
+        exploded.withColumn("count", F.sum("n").over(Window.partitionBy("key")))
+        .filter(~here | (F.col("count") > F.col("n")))
+        .select("doc_id", apart.alias("apart"), "n_words", F.when(here, gained(F.col("count"))).when(F.col("n_words").isNotNull(), F.col("gain")).alias("value"))
+        .groupBy("doc_id", "apart").agg(F.sum("n_words").alias("n_words"), F.sum("value").alias("value"), F.count(F.lit(1)).alias("times")))
+    rest = sums.filter("apart is not null").select("doc_id", "times", "apart.*")
+    hot = rest.filter("hot is not null")
+    counts = durable(hot.groupBy("hot").agg(F.sum(F.col("n") * F.col("times")).alias("count")))
+    found = hot.join(counts, "hot").filter(F.col("count") > F.col("n"))
+    opened = rest.filter("hot is null").select("doc_id", "times", "n", "open").union(found.filter("open is not null").select("doc_id", "times", "n", "open"))
+    uses = opened.select("doc_id", (F.col("n") * F.col("times")).alias("n"), F.explode(F.array(
+        F.struct(F.col("open.left").alias("word"), F.col("open.own_left").alias("own")),
+        F.struct(F.col("open.right").alias("word"), F.col("open.own_right").alias("own")))).alias("use"))
+    terms = (
+        uses.select("doc_id", "n", "use.*").filter("word is not null").join(words.withColumnRenamed("n", "count"), "word")
+        .select("doc_id", (-F.col("n") * F.log(F.greatest(F.col("count") - F.col("own"), F.lit(unseen)))).alias("value")))
     zero = F.lit(0).cast("bigint")
     return (
-        base.select("doc_id", "n_words", F.col("base").alias("value"))
-        .union(parts.filter(F.col("kind") == _SUM).select("doc_id", zero, "value"))
-        .union(opened.select("doc_id", zero, "value")).union(heavy.select("doc_id", zero, "value"))
-        .groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), F.sum("value").alias("log_score"))
+        sums.select("doc_id", "n_words", "value")
+        .union(found.select("doc_id", zero, F.col("times") * gained(F.col("count")))).union(terms.select("doc_id", zero, "value"))
+        .groupBy("doc_id").agg(F.coalesce(F.sum("n_words"), zero).alias("n_words"), F.coalesce(F.sum("value"), F.lit(0.0)).alias("log_score"))
         .withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words"))))

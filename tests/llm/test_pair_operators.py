@@ -293,18 +293,18 @@ def brute_scores(rows, alpha=0.4, unseen=0.5):
     return out
 
 
-@pytest.mark.parametrize("frequent,bucket_words", [(1 << 19, 3_000_000), (20, 5000), (0, 2000)])
-def test_scores(spark, frequent, bucket_words):
+@pytest.mark.parametrize("frequent,hot_rows,part_rows", [(1 << 19, 1 << 18, 3_000_000), (20, 30, 5000), (0, 5, 2000)])
+def test_scores(spark, frequent, hot_rows, part_rows):
     rng = random.Random(3)
     words = [f"W{int(rng.paretovariate(0.6))}" for _ in range(500)]
     rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 80)))) for i in range(400)]
     rows += [(1000 + i, f"the of x{i % 7} the of") for i in range(300)]  # a pair most documents hold
     rows += [(900, None), (901, ""), (None, "a b c"), (None, "a b"), (902, "hot pair hot pair"), (903, "one"), (904, "x " * 20_000), (902, "hot pair")]
-    got = {r.doc_id: r for r in lm_scoring.backoff_scores(frame(spark, rows), frequent=frequent, bucket_words=bucket_words).collect()}
+    got = {r.doc_id: r for r in lm_scoring.backoff_scores(frame(spark, rows), frequent=frequent, hot_rows=hot_rows, part_rows=part_rows).collect()}
     want = brute_scores(rows)
     assert set(got) == set(want)
-    for i in want:  # terms are moved with 24-bit mantissas
-        assert got[i].log_score == pytest.approx(want[i], rel=1e-5, abs=1e-4)
+    for i in want:
+        assert got[i].log_score == pytest.approx(want[i], rel=1e-10, abs=1e-8)
     assert got[904].n_words == 20_000 and got[900].mean_log_score is None
     assert lm_scoring.backoff_scores(frame(spark, rows).limit(0)).count() == 0
 
@@ -313,7 +313,7 @@ def test_score_query(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()]
     want = brute_scores(docs)
     for r in queries.QUERIES["op7_backoff_scores"](spark, FOLDER).collect():
-        assert r.log_score == pytest.approx(want[r.doc_id], rel=1e-5, abs=1e-3)
+        assert r.log_score == pytest.approx(want[r.doc_id], rel=1e-10, abs=1e-8)
 
 
 # ------------------------------------------------------------------------------------------------ packing
