@@ -6,9 +6,9 @@ are taken off first. A word after another scores C(v w) / C(v) if the pair occur
 
 All documents count. Texts are exploded to one row for every pair of a document, and the rows are partitioned by the hash of
 the pair once; there they meet their count, so that the count table and the rows that are joined with it lie in the same
-partition and neither moves again. Found pairs are summed per document before they leave the partition. What a pair adds if
-it is found is worked out before, from the counts of frequent words: those are at most ``frequent`` and go with the tasks;
-terms of other words are left open and joined with the whole unigram table afterwards.
+partition and neither moves again. Words among the ``frequent`` ones are named by their places, so that a row takes few bytes
+and the words' counts are looked up by place in a table of at most ``frequent`` rows; other words stay open and are joined with the
+whole unigram table. Found pairs are summed per document before they leave the partition.
 
 A hot pair, one that occurs ``hot_rows`` times or more, would swell its partition. Tasks watch for such pairs while they count
 words (with a table of bounded size, of which the rare pairs are dropped: a pair it loses is not hot). Rows of hot pairs are
@@ -25,6 +25,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,9 +37,11 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _WATCHED = 1 << 18  # pairs that a task remembers while it looks for hot ones
 
 _COUNTS = "word bigint, pair bigint, n bigint"
-# a pair of a document, a document as a whole (with ``n_words``; gain is its score if no pair is found), or an open word of it
-_ROWS = "doc_id bigint, key bigint, n int, gain double, hot bigint, n_words bigint, open struct<left:bigint,own_left:int,right:bigint,own_right:int>"
-_OPEN = pa.struct([("left", pa.int64()), ("own_left", pa.int32()), ("right", pa.int64()), ("own_right", pa.int32())])
+# a pair of a document (``key`` names two frequent words, or is a hash), a document as a whole (with ``n_words``; ``gain`` is its
+# score if no pair is found), or an open word of it
+_OTHER = pa.struct([("hot", pa.int64()), ("gain", pa.float64()), ("left", pa.int64()), ("right", pa.int64()), ("n_words", pa.int64())])
+_ROWS = ("doc_id bigint, key bigint, n int, own_left int, own_right int, size int, "
+         "other struct<hot:bigint,gain:double,left:bigint,right:bigint,n_words:bigint>")
 
 
 def _hashed(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -55,27 +58,40 @@ def _pairs(h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Tally:
-    """Counts of 64-bit keys, compacted now and then."""
+    """Counts of 64-bit keys; ``raw`` keys are counted together."""
 
     def __init__(self):
-        self.keys, self.counts, self.held = [], [], 0
+        self.raw, self.n_raw, self.keys, self.counts, self.held = [], 0, [], [], 0
 
-    def add(self, keys: np.ndarray) -> None:
+    def add(self, keys: np.ndarray) -> bool:
+        """True if there is something new to compact."""
+        self.raw.append(keys)
+        self.n_raw += len(keys)
+        return self.n_raw >= 1 << 20 and self.count()
+
+    def count(self) -> bool:
+        keys, counts = np.unique(np.concatenate(self.raw), return_counts=True)
         self.keys.append(keys)
-        self.counts.append(np.ones(len(keys), np.int64))
-        self.held += len(keys)
+        self.counts.append(counts)
+        self.raw, self.n_raw, self.held = [], 0, self.held + len(keys)
+        return True
 
     def compact(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.raw:
+            self.count()
         keys, place = np.unique(np.concatenate(self.keys), return_inverse=True)
         counts = np.bincount(place, weights=np.concatenate(self.counts)).astype(np.int64)
         self.keys, self.counts, self.held = [keys], [counts], len(keys)
         return keys, counts
 
     def keep(self, most: int) -> None:
-        """Only the most frequent keys."""
-        if self.held > most:
-            best = np.argpartition(self.counts[0], -most)[-most:]
-            self.keys, self.counts, self.held = [self.keys[0][best]], [self.counts[0][best]], most
+        """Only keys that occur twice, and of them the most frequent."""
+        keys, counts = self.compact() if len(self.keys) > 1 else (self.keys[0], self.counts[0])
+        keys, counts = keys[counts > 1], counts[counts > 1]
+        if len(keys) > most:
+            best = np.argpartition(counts, -most)[-most:]
+            keys, counts = keys[best], counts[best]
+        self.keys, self.counts, self.held = [keys], [counts], len(keys)
 
 
 def _count(least_pair: int):
@@ -86,22 +102,26 @@ def _count(least_pair: int):
         return pa.RecordBatch.from_arrays([keys, none, pa.array(n)] if words else [none, keys, pa.array(n)], names=["word", "pair", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, pairs = Tally(), Tally()
+        words, pairs, some = Tally(), Tally(), Tally()
         for _, docs in _hashed(batches, 0):
             h = np.concatenate(docs)
-            words.add(h)
-            pairs.add(_pairs(h, np.repeat(np.arange(len(docs)), [len(d) for d in docs]))[1])
-            if words.held > 1_000_000:
+            if words.add(h) and words.held > 1_000_000:
                 found = words.compact()
                 if words.held > 500_000:
                     yield out(True, *found)
                     words = Tally()
-            if pairs.held > 1_000_000 + _WATCHED:
-                pairs.compact()
-                pairs.keep(_WATCHED)
-        if words.held:
+            if some.add(_pairs(h, np.repeat(np.arange(len(docs)), [len(d) for d in docs]))[1]):
+                some.keep(_WATCHED)
+                pairs.keys += some.keys
+                pairs.counts += some.counts
+                pairs.held += some.held
+                some = Tally()
+                if pairs.held > 4 * _WATCHED:
+                    pairs.keep(_WATCHED)
+        if words.held or words.raw:
             yield out(True, *words.compact())
-        if pairs.held:
+        pairs.raw = some.raw
+        if pairs.held or pairs.raw:
             keys, n = pairs.compact()
             yield out(False, keys[n >= least_pair], n[n >= least_pair])
 
@@ -116,48 +136,53 @@ class Model:
         self.total, self.backoff, self.unseen = total, backoff, unseen
 
     def of(self, words: np.ndarray) -> np.ndarray:
-        """Counts; -1 where the word is not among the frequent ones."""
+        """Places among the frequent words; -1 for others."""
         if not len(self.hashes):
             return np.full(len(words), -1)
         at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == words, self.counts[at], -1)
+        return np.where(self.hashes[at] == words, at, -1)
+
+    def is_hot(self, pairs: np.ndarray) -> np.ndarray:
+        if not len(self.hot):
+            return np.zeros(len(pairs), bool)
+        return self.hot[np.minimum(np.searchsorted(self.hot, pairs), len(self.hot) - 1)] == pairs
 
 
 def _explode(model: Model):
     """(doc_id, text) -> rows of the documents' pairs, of the documents, and of their open words."""
 
-    def rows(doc_id, key, n, gain=None, hot=None, n_words=None, opened=None) -> pa.RecordBatch:
-        size = len(key)
-        columns = [doc_id, pa.array(key.view(np.int64)), pa.array(n, pa.int32()), pa.nulls(size, pa.float64()) if gain is None else pa.array(gain),
-                   pa.nulls(size, pa.int64()) if hot is None else hot, pa.nulls(size, pa.int64()) if n_words is None else pa.array(n_words, pa.int64()),
-                   pa.nulls(size, _OPEN) if opened is None else opened]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "n", "gain", "hot", "n_words", "open"])
+    def rows(doc_id, key, n, own_left=None, own_right=None, size=None, **other) -> pa.RecordBatch:
+        length = len(key)
+        ints = [pa.nulls(length, pa.int32()) if c is None else pa.array(c, pa.int32()) for c in (own_left, own_right, size)]
+        struct = pa.nulls(length, _OTHER)
+        if other:
+            is_null = other.pop("is_null", None)
+            fields = [other.get(f.name, pa.nulls(length, f.type)) for f in _OTHER]
+            struct = pa.StructArray.from_arrays(fields, fields=list(_OTHER), mask=None if is_null is None else pa.array(is_null))
+        return pa.RecordBatch.from_arrays([doc_id, pa.array(key.view(np.int64)), pa.array(n, pa.int32()), *ints, struct], names=[c.split()[0] for c in _ROWS.split(", ")])
 
-    def open_words(left, own_left, right, own_right, is_null) -> pa.Array:
-        columns = [pa.array(c, t, mask=m) for c, t, m in zip((left, own_left, right, own_right), [f.type for f in _OPEN], (left == 0, left == 0, right == 0, right == 0))]
-        return pa.StructArray.from_arrays(columns, fields=list(_OPEN), mask=pa.array(is_null))
+    named = lambda hashes, is_open: pa.array(hashes.view(np.int64), mask=~is_open)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done = 0
         for batch, docs in _hashed(batches, 1):
             ids, size = batch.column(0), np.array([len(d) for d in docs])
             h, doc = np.concatenate(docs), np.repeat(np.arange(len(docs)), size)
-            spread = mixed(np.arange(done, done + len(docs), dtype=np.uint64))  # rows that need no partition of their own
+            spread = mixed(np.arange(done, done + len(docs), dtype=np.uint64))  # for rows that need no partition of their own
             done += len(docs)
             words, word = np.unique(h, return_inverse=True)
             own_word, place, own = np.unique(doc * max(1, len(words)) + word, return_inverse=True, return_counts=True)
             owner, own_word = own_word // max(1, len(words)), own_word % max(1, len(words))
-            counts = model.of(words)[own_word]
-            is_open = counts < 0
-            logs = np.where(is_open, 0.0, np.log(np.maximum(counts - own, model.unseen)))  # of the counts elsewhere
-            name = np.where(is_open, words[own_word] if len(words) else np.empty(0, np.uint64), np.uint64(0)).view(np.int64)
-            rest = np.log(np.maximum(model.total - size, 1))
-            base = np.bincount(doc, weights=logs[place], minlength=len(docs)) - size * rest + np.maximum(size - 1, 0) * math.log(model.backoff)
-            yield rows(ids, spread, np.zeros(len(docs)), gain=base, n_words=size)
+            rank = model.of(words)[own_word]
+            is_open, name = rank < 0, words[own_word]
+            # logarithms of the counts elsewhere
+            logs = np.where(is_open, 0.0, np.log(np.maximum((model.counts[rank] if len(model.counts) else 0) - own, model.unseen)))
+            base = np.bincount(doc, weights=logs[place], minlength=len(docs)) - size * np.log(np.maximum(model.total - size, 1))
+            base += np.maximum(size - 1, 0) * math.log(model.backoff)
+            yield rows(ids, spread, np.zeros(len(docs)), gain=pa.array(base), n_words=pa.array(size, pa.int64()))
             if is_open.any():
-                none = np.zeros(is_open.sum(), np.int64)
-                yield rows(ids.take(pa.array(owner[is_open])), mixed(words[own_word[is_open]] + spread[owner[is_open]]), -own[is_open],
-                           opened=open_words(name[is_open], own[is_open], none, none, none == 1))
+                who, what = owner[is_open], name[is_open]
+                yield rows(ids.take(pa.array(who)), mixed(what + spread[who]), -own[is_open], own_left=own[is_open], left=pa.array(what.view(np.int64)))
             at, pair = _pairs(h, doc)
             if not len(at):
                 continue
@@ -166,17 +191,15 @@ def _explode(model: Model):
             first, n = first[order], n[order]
             pair, at = pair[first], at[first]
             left, right, of = place[at], place[at + 1], doc[at]
-            # found instead of backed off: - log C(v) in place of log backoff + log C(w) - log N
-            gain = logs[left] + math.log(model.backoff) + logs[right] - rest[of]
-            key, hot = pair, None
-            if len(model.hot):
-                where = np.minimum(np.searchsorted(model.hot, pair), len(model.hot) - 1)
-                is_hot = model.hot[where] == pair
-                key = np.where(is_hot, mixed(pair + spread[of]), pair)
-                hot = pa.array(pair.view(np.int64), mask=~is_hot)
-            shut = ~(is_open[left] | is_open[right])
-            opened = None if shut.all() else open_words(name[left], own[left], name[right], own[right], shut)
-            yield rows(ids.take(pa.array(of)), key, n, gain=gain, hot=hot, opened=opened)
+            opened, hot = is_open[left] | is_open[right], model.is_hot(pair)
+            # the two words by their places, which take fewer bytes than a hash; hashes are negative
+            key = np.where(opened, pair | np.uint64(1 << 63), (rank[left] * len(model.hashes) + rank[right]).astype(np.uint64))
+            key = np.where(hot, mixed(pair + spread[of]) | np.uint64(1 << 63), key)
+            other = {}
+            if (opened | hot).any():
+                other = dict(hot=named(pair, hot), gain=pa.array(logs[left] + logs[right]), left=named(name[left], is_open[left]),
+                             right=named(name[right], is_open[right]), is_null=~(opened | hot))
+            yield rows(ids.take(pa.array(of)), key, n, own[left], own[right], size[of], **other)
 
     return run
 
@@ -207,31 +230,41 @@ def backoff_scores(docs: DataFrame, backoff: float = 0.4, unseen: float = 0.5, f
     """(doc_id, n_words, log_score, mean_log_score)."""
     read = own_columns(docs, "doc_id", "text")
     model, words = _model(read, backoff, unseen, frequent, hot_rows)
+    # counts of the frequent words by place: at most ``frequent`` rows
+    ranks = durable(read.sparkSession.createDataFrame(pd.DataFrame({"rank": np.arange(len(model.counts)), "n": model.counts}), "rank bigint, n bigint"))
+    left, right = ranks.toDF("l", "left_n"), ranks.toDF("r", "right_n")
+    size = F.lit(max(1, len(model.hashes)))
     exploded = read.mapInArrow(_explode(model), _ROWS).repartition(max(1, math.ceil(model.total / part_rows)), "key")
-    is_pair, is_hot = F.col("gain").isNotNull() & F.col("n_words").isNull(), F.col("hot").isNotNull()
-    here = is_pair & ~is_hot
-    gained = lambda count: F.col("n") * (F.log(count - F.col("n")) - F.col("gain"))
+    log_of = lambda count, own: F.log(F.greatest(count - own, F.lit(unseen)))
+    # found instead of backed off: log C(v w) - log C(v) in place of log backoff + log C(w) - log N
+    gained = lambda count, logs: F.col("n") * (F.log(count - F.col("n")) - logs - math.log(backoff) + F.log(F.greatest(F.lit(model.total) - F.col("size"), F.lit(1))))
+    plain, is_hot, is_word = F.col("other").isNull(), F.col("other.hot").isNotNull(), F.col("n") < 0
+    is_doc = F.col("other.n_words").isNotNull()
     # hot pairs and open words stay rows; everything else is a sum
-    apart = F.when(is_hot | F.col("open").isNotNull(), F.struct("hot", "n", F.when(is_hot, F.col("gain")).alias("gain"), "open"))
+    apart = F.when(is_hot | F.col("other.left").isNotNull() | F.col("other.right").isNotNull(), F.struct(
+        "other.hot", "n", "size", F.when(is_hot, F.col("other.gain")).alias("gain"), "other.left", "own_left", "other.right", "own_right"))
+    logs = F.coalesce("other.gain", log_of(F.col("left_n"), F.col("own_left")) + log_of(F.col("right_n"), F.col("own_right")))
     sums = durable(
         exploded.withColumn("count", F.sum("n").over(Window.partitionBy("key")))
-        .filter(~here | (F.col("count") > F.col("n")))
-        .select("doc_id", apart.alias("apart"), "n_words", F.when(here, gained(F.col("count"))).when(F.col("n_words").isNotNull(), F.col("gain")).alias("value"))
+        .filter(is_doc | is_hot | is_word | (F.col("count") > F.col("n")))
+        .withColumn("l", F.when(plain, F.floor(F.col("key") / size))).withColumn("r", F.when(plain, F.col("key") % size))
+        .join(left, "l", "left").join(right, "r", "left")
+        .select("doc_id", apart.alias("apart"), "other.n_words",
+                F.when(is_doc, F.col("other.gain")).when(is_hot | is_word, F.lit(None)).otherwise(gained(F.col("count"), logs)).alias("value"))
         .groupBy("doc_id", "apart").agg(F.sum("n_words").alias("n_words"), F.sum("value").alias("value"), F.count(F.lit(1)).alias("times")))
     rest = sums.filter("apart is not null").select("doc_id", "times", "apart.*")
     hot = rest.filter("hot is not null")
     counts = durable(hot.groupBy("hot").agg(F.sum(F.col("n") * F.col("times")).alias("count")))
     found = hot.join(counts, "hot").filter(F.col("count") > F.col("n"))
-    opened = rest.filter("hot is null").select("doc_id", "times", "n", "open").union(found.filter("open is not null").select("doc_id", "times", "n", "open"))
-    uses = opened.select("doc_id", (F.col("n") * F.col("times")).alias("n"), F.explode(F.array(
-        F.struct(F.col("open.left").alias("word"), F.col("open.own_left").alias("own")),
-        F.struct(F.col("open.right").alias("word"), F.col("open.own_right").alias("own")))).alias("use"))
+    opened = rest.filter("hot is null").drop("hot").unionByName(found.drop("hot", "count"))
     terms = (
-        uses.select("doc_id", "n", "use.*").filter("word is not null").join(words.withColumnRenamed("n", "count"), "word")
-        .select("doc_id", (-F.col("n") * F.log(F.greatest(F.col("count") - F.col("own"), F.lit(unseen)))).alias("value")))
+        opened.select("doc_id", (F.col("n") * F.col("times")).alias("n"), F.explode(F.array(
+            F.struct(F.col("left").alias("word"), F.col("own_left").alias("own")), F.struct(F.col("right").alias("word"), F.col("own_right").alias("own")))).alias("use"))
+        .select("doc_id", "n", "use.*").filter("word is not null").join(words.withColumnRenamed("n", "count"), "word")
+        .select("doc_id", (-F.col("n") * log_of(F.col("count"), F.col("own"))).alias("value")))
     zero = F.lit(0).cast("bigint")
     return (
         sums.select("doc_id", "n_words", "value")
-        .union(found.select("doc_id", zero, F.col("times") * gained(F.col("count")))).union(terms.select("doc_id", zero, "value"))
+        .union(found.select("doc_id", zero, F.col("times") * gained(F.col("count"), F.col("gain")))).union(terms.select("doc_id", zero, "value"))
         .groupBy("doc_id").agg(F.coalesce(F.sum("n_words"), zero).alias("n_words"), F.coalesce(F.sum("value"), F.lit(0.0)).alias("log_score"))
         .withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words"))))
