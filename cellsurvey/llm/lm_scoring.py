@@ -37,11 +37,13 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _WATCHED = 1 << 18  # pairs that a task remembers while it looks for hot ones
 
 _COUNTS = "word bigint, pair bigint, n bigint"
-# a pair of a document (``key`` names two frequent words, or is a hash), a document as a whole (with ``n_words``; ``gain`` is its
-# score if no pair is found), or an open word of it
-_OTHER = pa.struct([("hot", pa.int64()), ("gain", pa.float64()), ("left", pa.int64()), ("right", pa.int64()), ("n_words", pa.int64())])
-_ROWS = ("doc_id bigint, key bigint, n int, own_left int, own_right int, size int, "
-         "other struct<hot:bigint,gain:double,left:bigint,right:bigint,n_words:bigint>")
+# A pair of two frequent words is one number: their places, the uses in the document (6 bits), and the own counts of the words (9 bits each).
+# ``other`` holds what does not fit, and documents as a whole (``gain`` is their score if no pair is found) and open words.
+_OTHER = pa.struct([("key", pa.int64()), ("n", pa.int32()), ("hot", pa.int64()), ("gain", pa.float64()), ("left", pa.int64()), ("own_left", pa.int32()),
+                    ("right", pa.int64()), ("own_right", pa.int32()), ("n_words", pa.int64())])
+_ROWS = ("doc_id bigint, size int, item bigint, other struct<key:bigint,n:int,hot:bigint,gain:double,left:bigint,own_left:int,right:bigint,"
+         "own_right:int,n_words:bigint>")
+_USES, _OWN, _MOST_FREQUENT = 6, 9, 1 << 19
 
 
 def _hashed(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -151,15 +153,14 @@ class Model:
 def _explode(model: Model):
     """(doc_id, text) -> rows of the documents' pairs, of the documents, and of their open words."""
 
-    def rows(doc_id, key, n, own_left=None, own_right=None, size=None, **other) -> pa.RecordBatch:
-        length = len(key)
-        ints = [pa.nulls(length, pa.int32()) if c is None else pa.array(c, pa.int32()) for c in (own_left, own_right, size)]
-        struct = pa.nulls(length, _OTHER)
+    def rows(doc_id, size, item=None, is_null=None, **other) -> pa.RecordBatch:
+        struct = pa.nulls(len(size), _OTHER)
         if other:
-            is_null = other.pop("is_null", None)
-            fields = [other.get(f.name, pa.nulls(length, f.type)) for f in _OTHER]
+            fields = [other[f.name] if isinstance(other.get(f.name), pa.Array) else pa.array(other[f.name], f.type) if f.name in other else pa.nulls(len(size), f.type)
+                      for f in _OTHER]
             struct = pa.StructArray.from_arrays(fields, fields=list(_OTHER), mask=None if is_null is None else pa.array(is_null))
-        return pa.RecordBatch.from_arrays([doc_id, pa.array(key.view(np.int64)), pa.array(n, pa.int32()), *ints, struct], names=[c.split()[0] for c in _ROWS.split(", ")])
+        item = pa.array(np.zeros(len(size), np.int64) if item is None else item)
+        return pa.RecordBatch.from_arrays([doc_id, pa.array(size, pa.int32()), item, struct], names=["doc_id", "size", "item", "other"])
 
     named = lambda hashes, is_open: pa.array(hashes.view(np.int64), mask=~is_open)
 
@@ -179,10 +180,10 @@ def _explode(model: Model):
             logs = np.where(is_open, 0.0, np.log(np.maximum((model.counts[rank] if len(model.counts) else 0) - own, model.unseen)))
             base = np.bincount(doc, weights=logs[place], minlength=len(docs)) - size * np.log(np.maximum(model.total - size, 1))
             base += np.maximum(size - 1, 0) * math.log(model.backoff)
-            yield rows(ids, spread, np.zeros(len(docs)), gain=pa.array(base), n_words=pa.array(size, pa.int64()))
+            yield rows(ids, size, key=spread.view(np.int64), n=np.zeros(len(docs)), gain=base, n_words=size)
             if is_open.any():
                 who, what = owner[is_open], name[is_open]
-                yield rows(ids.take(pa.array(who)), mixed(what + spread[who]), -own[is_open], own_left=own[is_open], left=pa.array(what.view(np.int64)))
+                yield rows(ids.take(pa.array(who)), size[who], key=mixed(what + spread[who]).view(np.int64), n=-own[is_open], left=what.view(np.int64), own_left=own[is_open])
             at, pair = _pairs(h, doc)
             if not len(at):
                 continue
@@ -192,14 +193,17 @@ def _explode(model: Model):
             pair, at = pair[first], at[first]
             left, right, of = place[at], place[at + 1], doc[at]
             opened, hot = is_open[left] | is_open[right], model.is_hot(pair)
-            # the two words by their places, which take fewer bytes than a hash; hashes are negative
+            # hashes stand below 0, places above
             key = np.where(opened, pair | np.uint64(1 << 63), (rank[left] * len(model.hashes) + rank[right]).astype(np.uint64))
-            key = np.where(hot, mixed(pair + spread[of]) | np.uint64(1 << 63), key)
+            key = np.where(hot, mixed(pair + spread[of]) | np.uint64(1 << 63), key).view(np.int64)
+            own_left, own_right = own[left], own[right]
+            apart = opened | hot | (n >> _USES > 0) | (np.maximum(own_left, own_right) >> _OWN > 0)
+            item = np.where(apart, 0, ((key << _USES | n) << _OWN | own_left) << _OWN | own_right)
             other = {}
-            if (opened | hot).any():
-                other = dict(hot=named(pair, hot), gain=pa.array(logs[left] + logs[right]), left=named(name[left], is_open[left]),
-                             right=named(name[right], is_open[right]), is_null=~(opened | hot))
-            yield rows(ids.take(pa.array(of)), key, n, own[left], own[right], size[of], **other)
+            if apart.any():
+                other = dict(is_null=~apart, key=key, n=n, hot=named(pair, hot), gain=logs[left] + logs[right], left=named(name[left], is_open[left]),
+                             own_left=own_left, right=named(name[right], is_open[right]), own_right=own_right)
+            yield rows(ids.take(pa.array(of)), size[of], item, **other)
 
     return run
 
@@ -228,13 +232,20 @@ def _model(read: DataFrame, backoff: float, unseen: float, frequent: int, hot_ro
 def backoff_scores(docs: DataFrame, backoff: float = 0.4, unseen: float = 0.5, frequent: int = 1 << 19, hot_rows: int = 1 << 18,
                    part_rows: int = 1_500_000) -> DataFrame:
     """(doc_id, n_words, log_score, mean_log_score)."""
+    if frequent > _MOST_FREQUENT:
+        raise ValueError(f"frequent: {_MOST_FREQUENT} at most")
     read = own_columns(docs, "doc_id", "text")
     model, words = _model(read, backoff, unseen, frequent, hot_rows)
-    # counts of the frequent words by place: at most ``frequent`` rows
-    ranks = durable(read.sparkSession.createDataFrame(pd.DataFrame({"rank": np.arange(len(model.counts)), "n": model.counts}), "rank bigint, n bigint"))
+    # counts of the frequent words by place: 2^19 rows at most, so it may be sent to all executors
+    ranks = F.broadcast(durable(read.sparkSession.createDataFrame(pd.DataFrame({"rank": np.arange(len(model.counts)), "n": model.counts}), "rank bigint, n bigint")))
     left, right = ranks.toDF("l", "left_n"), ranks.toDF("r", "right_n")
-    size = F.lit(max(1, len(model.hashes)))
-    exploded = read.mapInArrow(_explode(model), _ROWS).repartition(max(1, math.ceil(model.total / part_rows)), "key")
+    size, packed = F.lit(max(1, len(model.hashes))), _USES + 2 * _OWN
+    key = F.coalesce("other.key", F.shiftright("item", packed))
+    bits = lambda at, width: F.shiftright("item", at).bitwiseAND((1 << width) - 1).cast("int")
+    counted = (
+        read.mapInArrow(_explode(model), _ROWS).repartition(max(1, math.ceil(model.total / part_rows)), key)
+        .withColumn("key", key).withColumn("n", F.coalesce("other.n", bits(2 * _OWN, _USES)))
+        .withColumn("count", F.sum("n").over(Window.partitionBy("key"))))
     log_of = lambda count, own: F.log(F.greatest(count - own, F.lit(unseen)))
     # found instead of backed off: log C(v w) - log C(v) in place of log backoff + log C(w) - log N
     gained = lambda count, logs: F.col("n") * (F.log(count - F.col("n")) - logs - math.log(backoff) + F.log(F.greatest(F.lit(model.total) - F.col("size"), F.lit(1))))
@@ -242,11 +253,10 @@ def backoff_scores(docs: DataFrame, backoff: float = 0.4, unseen: float = 0.5, f
     is_doc = F.col("other.n_words").isNotNull()
     # hot pairs and open words stay rows; everything else is a sum
     apart = F.when(is_hot | F.col("other.left").isNotNull() | F.col("other.right").isNotNull(), F.struct(
-        "other.hot", "n", "size", F.when(is_hot, F.col("other.gain")).alias("gain"), "other.left", "own_left", "other.right", "own_right"))
-    logs = F.coalesce("other.gain", log_of(F.col("left_n"), F.col("own_left")) + log_of(F.col("right_n"), F.col("own_right")))
+        "other.hot", "n", "size", F.when(is_hot, F.col("other.gain")).alias("gain"), "other.left", "other.own_left", "other.right", "other.own_right"))
+    logs = F.coalesce("other.gain", log_of(F.col("left_n"), bits(_OWN, _OWN)) + log_of(F.col("right_n"), bits(0, _OWN)))
     sums = durable(
-        exploded.withColumn("count", F.sum("n").over(Window.partitionBy("key")))
-        .filter(is_doc | is_hot | is_word | (F.col("count") > F.col("n")))
+        counted.filter(is_doc | is_hot | is_word | (F.col("count") > F.col("n")))
         .withColumn("l", F.when(plain, F.floor(F.col("key") / size))).withColumn("r", F.when(plain, F.col("key") % size))
         .join(left, "l", "left").join(right, "r", "left")
         .select("doc_id", apart.alias("apart"), "other.n_words",
