@@ -37,13 +37,14 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _WATCHED = 1 << 18  # pairs that a task remembers while it looks for hot ones
 
 _COUNTS = "word bigint, pair bigint, n bigint"
-# A pair of two frequent words is one number: their places, the uses in the document (6 bits), and the own counts of the words (9 bits each).
-# ``other`` holds what does not fit, and documents as a whole (``gain`` is their score if no pair is found) and open words.
+# A pair of two frequent words is one number: their places, the uses in the document (6 bits), and the own counts of the words (8 bits each);
+# ``items`` are all that a document sends to one partition. ``other`` holds what does not fit, and documents as a whole (``gain`` is
+# their score if no pair is found) and open words.
 _OTHER = pa.struct([("key", pa.int64()), ("n", pa.int32()), ("hot", pa.int64()), ("gain", pa.float64()), ("left", pa.int64()), ("own_left", pa.int32()),
                     ("right", pa.int64()), ("own_right", pa.int32()), ("n_words", pa.int64())])
-_ROWS = ("doc_id bigint, size int, item bigint, other struct<key:bigint,n:int,hot:bigint,gain:double,left:bigint,own_left:int,right:bigint,"
+_ROWS = ("part int, doc_id bigint, size int, items array<bigint>, other struct<key:bigint,n:int,hot:bigint,gain:double,left:bigint,own_left:int,right:bigint,"
          "own_right:int,n_words:bigint>")
-_USES, _OWN, _MOST_FREQUENT = 6, 9, 1 << 19
+_USES, _OWN, _MOST_FREQUENT = 6, 8, 1 << 20
 
 
 def _hashed(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -133,8 +134,8 @@ def _count(least_pair: int):
 class Model:
     """Counts of the frequent words, sorted by hash, and the hot pairs."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, hot: np.ndarray, total: int, backoff: float, unseen: float):
-        self.hashes, self.counts, self.hot = hashes, counts, hot
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, hot: np.ndarray, cut: int, total: int, backoff: float, unseen: float):
+        self.hashes, self.counts, self.hot, self.cut = hashes, counts, hot, cut
         self.total, self.backoff, self.unseen = total, backoff, unseen
 
     def of(self, words: np.ndarray) -> np.ndarray:
@@ -150,17 +151,18 @@ class Model:
         return self.hot[np.minimum(np.searchsorted(self.hot, pairs), len(self.hot) - 1)] == pairs
 
 
-def _explode(model: Model):
+def _explode(model: Model, parts: int):
     """(doc_id, text) -> rows of the documents' pairs, of the documents, and of their open words."""
 
-    def rows(doc_id, size, item=None, is_null=None, **other) -> pa.RecordBatch:
-        struct = pa.nulls(len(size), _OTHER)
-        if other:
-            fields = [other[f.name] if isinstance(other.get(f.name), pa.Array) else pa.array(other[f.name], f.type) if f.name in other else pa.nulls(len(size), f.type)
-                      for f in _OTHER]
-            struct = pa.StructArray.from_arrays(fields, fields=list(_OTHER), mask=None if is_null is None else pa.array(is_null))
-        item = pa.array(np.zeros(len(size), np.int64) if item is None else item)
-        return pa.RecordBatch.from_arrays([doc_id, pa.array(size, pa.int32()), item, struct], names=["doc_id", "size", "item", "other"])
+    part_of = lambda key: (mixed(key.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
+
+    def row_batch(part, doc_id, size, items, other) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(part), doc_id, pa.array(size, pa.int32()), items, other], names=["part", "doc_id", "size", "items", "other"])
+
+    def others(doc_id, size, **fields) -> pa.RecordBatch:
+        values = [pa.nulls(len(size), f.type) if f.name not in fields else fields[f.name] if isinstance(fields[f.name], pa.Array) else pa.array(fields[f.name], f.type)
+                  for f in _OTHER]
+        return row_batch(part_of(fields["key"]), doc_id, size, pa.nulls(len(size), pa.list_(pa.int64())), pa.StructArray.from_arrays(values, fields=list(_OTHER)))
 
     named = lambda hashes, is_open: pa.array(hashes.view(np.int64), mask=~is_open)
 
@@ -176,14 +178,18 @@ def _explode(model: Model):
             owner, own_word = own_word // max(1, len(words)), own_word % max(1, len(words))
             rank = model.of(words)[own_word]
             is_open, name = rank < 0, words[own_word]
+            # if all other words occur once, no other document holds them
+            once = is_open if model.cut <= 2 else np.zeros(len(rank), bool)
+            is_open &= ~once
             # logarithms of the counts elsewhere
-            logs = np.where(is_open, 0.0, np.log(np.maximum((model.counts[rank] if len(model.counts) else 0) - own, model.unseen)))
+            elsewhere = np.where(once, 0, (model.counts[rank] if len(model.counts) else 0) - own)
+            logs = np.where(is_open, 0.0, np.log(np.maximum(elsewhere, model.unseen)))
             base = np.bincount(doc, weights=logs[place], minlength=len(docs)) - size * np.log(np.maximum(model.total - size, 1))
             base += np.maximum(size - 1, 0) * math.log(model.backoff)
-            yield rows(ids, size, key=spread.view(np.int64), n=np.zeros(len(docs)), gain=base, n_words=size)
+            yield others(ids, size, key=spread.view(np.int64), n=np.zeros(len(docs)), gain=base, n_words=size)
             if is_open.any():
                 who, what = owner[is_open], name[is_open]
-                yield rows(ids.take(pa.array(who)), size[who], key=mixed(what + spread[who]).view(np.int64), n=-own[is_open], left=what.view(np.int64), own_left=own[is_open])
+                yield others(ids.take(pa.array(who)), size[who], key=mixed(what + spread[who]).view(np.int64), n=-own[is_open], left=what.view(np.int64), own_left=own[is_open])
             at, pair = _pairs(h, doc)
             if not len(at):
                 continue
@@ -192,18 +198,30 @@ def _explode(model: Model):
             first, n = first[order], n[order]
             pair, at = pair[first], at[first]
             left, right, of = place[at], place[at + 1], doc[at]
+            if once.any():
+                some = ~(once[left] | once[right])
+                n, pair, left, right, of = n[some], pair[some], left[some], right[some], of[some]
             opened, hot = is_open[left] | is_open[right], model.is_hot(pair)
             # hashes stand below 0, places above
             key = np.where(opened, pair | np.uint64(1 << 63), (rank[left] * len(model.hashes) + rank[right]).astype(np.uint64))
             key = np.where(hot, mixed(pair + spread[of]) | np.uint64(1 << 63), key).view(np.int64)
             own_left, own_right = own[left], own[right]
             apart = opened | hot | (n >> _USES > 0) | (np.maximum(own_left, own_right) >> _OWN > 0)
-            item = np.where(apart, 0, ((key << _USES | n) << _OWN | own_left) << _OWN | own_right)
-            other = {}
             if apart.any():
-                other = dict(is_null=~apart, key=key, n=n, hot=named(pair, hot), gain=logs[left] + logs[right], left=named(name[left], is_open[left]),
-                             own_left=own_left, right=named(name[right], is_open[right]), own_right=own_right)
-            yield rows(ids.take(pa.array(of)), size[of], item, **other)
+                x, l, r = np.flatnonzero(apart), left[apart], right[apart]
+                yield others(ids.take(pa.array(of[x])), size[of[x]], key=key[x], n=n[x], hot=named(pair[x], hot[x]), gain=logs[l] + logs[r],
+                             left=named(name[l], is_open[l]), own_left=own[l], right=named(name[r], is_open[r]), own_right=own[r])
+            x = np.flatnonzero(~apart)
+            if not len(x):
+                continue
+            part = part_of(key[x])
+            order = np.lexsort((of[x], part))
+            x, part = x[order], part[order]
+            starts = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (of[x][1:] != of[x][:-1])])
+            item = ((key[x] << _USES | n[x]) << _OWN | own_left[x]) << _OWN | own_right[x]
+            doc_of = of[x][starts]
+            yield row_batch(part[starts], ids.take(pa.array(doc_of)), size[doc_of],
+                            pa.ListArray.from_arrays(pa.array(np.r_[starts, len(x)], pa.int32()), pa.array(item)), pa.nulls(len(starts), _OTHER))
 
     return run
 
@@ -212,40 +230,42 @@ def _model(read: DataFrame, backoff: float, unseen: float, frequent: int, hot_ro
     """The shipped part of the model, and the whole unigram table."""
     counted = durable(read.select("text").mapInArrow(_count(min(64, hot_rows)), _COUNTS).groupBy("word", "pair").agg(F.sum("n").alias("n")))
     words = counted.filter("word is not null").select("word", "n")
-    # the lowest power of two such that at most ``frequent`` words occur as often
-    levels = words.groupBy(F.floor(F.log2("n")).alias("level")).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).collect()
-    kept, cut = 0, 64
+    # the lowest count (beyond 64: power of two) such that at most ``frequent`` words occur as often
+    step = F.when(F.col("n") < 64, F.col("n")).otherwise(F.pow(F.lit(2.0), F.floor(F.log2("n"))).cast("bigint"))
+    levels = words.groupBy(step.alias("level")).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).collect()
+    kept, cut = 0, 1 << 62
     for level, size, _ in sorted(levels, reverse=True):
         if kept + size > frequent:
             break
         kept, cut = kept + size, level
     total = sum(n for _, _, n in levels)
-    top = words.filter(F.col("n") >= F.lit(2.0**cut)).toPandas()
+    top = words.filter(F.col("n") >= cut).toPandas()
     hashes = top["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     # each is counted less often than it occurs or as often, so there are at most total / limit
     limit = max(hot_rows, total >> 20)
     hot = counted.filter(F.col("pair").isNotNull() & (F.col("n") >= limit)).select("pair").toPandas()["pair"].to_numpy(np.int64)
-    return Model(hashes[order], top["n"].to_numpy(np.int64)[order], np.sort(hot.view(np.uint64)), total, backoff, unseen), words
+    return Model(hashes[order], top["n"].to_numpy(np.int64)[order], np.sort(hot.view(np.uint64)), cut, total, backoff, unseen), words
 
 
-def backoff_scores(docs: DataFrame, backoff: float = 0.4, unseen: float = 0.5, frequent: int = 1 << 19, hot_rows: int = 1 << 18,
+def backoff_scores(docs: DataFrame, backoff: float = 0.4, unseen: float = 0.5, frequent: int = 1 << 20, hot_rows: int = 1 << 18,
                    part_rows: int = 1_500_000) -> DataFrame:
     """(doc_id, n_words, log_score, mean_log_score)."""
     if frequent > _MOST_FREQUENT:
         raise ValueError(f"frequent: {_MOST_FREQUENT} at most")
     read = own_columns(docs, "doc_id", "text")
     model, words = _model(read, backoff, unseen, frequent, hot_rows)
-    # counts of the frequent words by place: 2^19 rows at most, so it may be sent to all executors
+    # counts of the frequent words by place: 2^20 rows at most, so it may be sent to all executors
     ranks = F.broadcast(durable(read.sparkSession.createDataFrame(pd.DataFrame({"rank": np.arange(len(model.counts)), "n": model.counts}), "rank bigint, n bigint")))
     left, right = ranks.toDF("l", "left_n"), ranks.toDF("r", "right_n")
+    parts = max(1, math.ceil(model.total / part_rows))
     size, packed = F.lit(max(1, len(model.hashes))), _USES + 2 * _OWN
     key = F.coalesce("other.key", F.shiftright("item", packed))
     bits = lambda at, width: F.shiftright("item", at).bitwiseAND((1 << width) - 1).cast("int")
     counted = (
-        read.mapInArrow(_explode(model), _ROWS).repartition(max(1, math.ceil(model.total / part_rows)), key)
-        .withColumn("key", key).withColumn("n", F.coalesce("other.n", bits(2 * _OWN, _USES)))
-        .withColumn("count", F.sum("n").over(Window.partitionBy("key"))))
+        read.mapInArrow(_explode(model, parts), _ROWS).repartitionById(parts, "part")
+        .select("part", "doc_id", "size", "other", F.explode_outer("items").alias("item")).withColumn("key", key).withColumn("n", F.coalesce("other.n", bits(2 * _OWN, _USES)))
+        .withColumn("count", F.sum("n").over(Window.partitionBy("part", "key"))))
     log_of = lambda count, own: F.log(F.greatest(count - own, F.lit(unseen)))
     # found instead of backed off: log C(v w) - log C(v) in place of log backoff + log C(w) - log N
     gained = lambda count, logs: F.col("n") * (F.log(count - F.col("n")) - logs - math.log(backoff) + F.log(F.greatest(F.lit(model.total) - F.col("size"), F.lit(1))))

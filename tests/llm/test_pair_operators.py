@@ -293,7 +293,7 @@ def brute_scores(rows, alpha=0.4, unseen=0.5):
     return out
 
 
-@pytest.mark.parametrize("frequent,hot_rows,part_rows", [(1 << 19, 1 << 18, 3_000_000), (20, 30, 5000), (0, 5, 2000)])
+@pytest.mark.parametrize("frequent,hot_rows,part_rows", [(1 << 20, 1 << 18, 3_000_000), (20, 30, 5000), (60, 1 << 18, 5000), (0, 5, 2000)])
 def test_scores(spark, frequent, hot_rows, part_rows):
     rng = random.Random(3)
     words = [f"W{int(rng.paretovariate(0.6))}" for _ in range(500)]
