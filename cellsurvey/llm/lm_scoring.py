@@ -25,7 +25,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -239,13 +238,13 @@ def _model(read: DataFrame, backoff: float, unseen: float, frequent: int, hot_ro
             break
         kept, cut = kept + size, level
     total = sum(n for _, _, n in levels)
-    top = words.filter(F.col("n") >= cut).toPandas()
-    hashes = top["word"].to_numpy(np.int64).view(np.uint64)
+    top = words.filter(F.col("n") >= cut).toArrow()
+    hashes = top.column("word").to_numpy().astype(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     # each is counted less often than it occurs or as often, so there are at most total / limit
     limit = max(hot_rows, total >> 20)
-    hot = counted.filter(F.col("pair").isNotNull() & (F.col("n") >= limit)).select("pair").toPandas()["pair"].to_numpy(np.int64)
-    return Model(hashes[order], top["n"].to_numpy(np.int64)[order], np.sort(hot.view(np.uint64)), cut, total, backoff, unseen), words
+    hot = counted.filter(F.col("pair").isNotNull() & (F.col("n") >= limit)).select("pair").toArrow().column("pair").to_numpy().astype(np.int64)
+    return Model(hashes[order], top.column("n").to_numpy().astype(np.int64)[order], np.sort(hot.view(np.uint64)), cut, total, backoff, unseen), words
 
 
 def backoff_scores(docs: DataFrame, backoff: float = 0.4, unseen: float = 0.5, frequent: int = 1 << 20, hot_rows: int = 1 << 18,
@@ -256,7 +255,7 @@ def backoff_scores(docs: DataFrame, backoff: float = 0.4, unseen: float = 0.5, f
     read = own_columns(docs, "doc_id", "text")
     model, words = _model(read, backoff, unseen, frequent, hot_rows)
     # counts of the frequent words by place: 2^20 rows at most, so it may be sent to all executors
-    ranks = F.broadcast(durable(read.sparkSession.createDataFrame(pd.DataFrame({"rank": np.arange(len(model.counts)), "n": model.counts}), "rank bigint, n bigint")))
+    ranks = F.broadcast(durable(read.sparkSession.createDataFrame(pa.table({"rank": np.arange(len(model.counts)), "n": model.counts}))))
     left, right = ranks.toDF("l", "left_n"), ranks.toDF("r", "right_n")
     parts = max(1, math.ceil(model.total / part_rows))
     size, packed = F.lit(max(1, len(model.hashes))), _USES + 2 * _OWN
