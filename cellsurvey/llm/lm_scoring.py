@@ -248,7 +248,7 @@ def _model(read: DataFrame, backoff: float, unseen: float, frequent: int, hot_ro
 
 
 def backoff_scores(docs: DataFrame, backoff: float = 0.4, unseen: float = 0.5, frequent: int = 1 << 20, hot_rows: int = 1 << 18,
-                   part_rows: int = 1_500_000) -> DataFrame:
+                   part_rows: int = 3_000_000) -> DataFrame:
     """(doc_id, n_words, log_score, mean_log_score)."""
     if frequent > _MOST_FREQUENT:
         raise ValueError(f"frequent: {_MOST_FREQUENT} at most")
