@@ -21,22 +21,25 @@ def of_projects(df: DataFrame, *proj_ids: str) -> DataFrame:
 def batch_profile(samples: DataFrame, runs: DataFrame) -> DataFrame:
     """Per project the level that can serve as batch: 1 < distinct values < number of runs.
 
-    Attribute bags come as strings. Distinct (project, value) pairs are built before counting, so
-    a project holding much of the table is merged before it meets its own key.
+    Attribute bags come as strings. The candidate columns are unpivoted, so that both tables are read once; equal values are merged
+    before they are counted, so a project holding much of the table is merged before it meets its own key. Rows without a
+    project are profiled as one.
     """
-    def distinct_per_project(df: DataFrame, col: str, name: str) -> DataFrame:
-        return (
-            df.select("proj_id", col).filter(F.col(col).isNotNull()).distinct()
-            .groupBy("proj_id").agg(F.count(F.lit(1)).alias(name))
-        )
-    n_runs = runs.groupBy("proj_id").agg(F.count(F.lit(1)).alias("n_runs"))
+    def values(df: DataFrame, **columns: str) -> DataFrame:
+        pairs = [F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("value")) for kind, c in columns.items()]
+        return df.select("proj_id", F.explode(F.array(*pairs)).alias("v")).select("proj_id", "v.*")
+
+    merged = (
+        values(samples, sample="samp_id", bag="attributes").union(values(runs, experiment="exp_id"))
+        .groupBy("proj_id", "kind", "value").agg(F.count(F.lit(1)).alias("rows"))
+    )
+    distinct_of = lambda kind: F.count_if((F.col("kind") == kind) & F.col("value").isNotNull())
     joined = (
-        samples.select("proj_id").distinct()
-        .join(distinct_per_project(samples, "samp_id", "n_samples"), "proj_id", "left")
-        .join(distinct_per_project(samples, "attributes", "n_bags"), "proj_id", "left")
-        .join(distinct_per_project(runs, "exp_id", "n_experiments"), "proj_id", "left")
-        .join(n_runs, "proj_id", "left")
-        .na.fill(0)
+        merged.groupBy("proj_id").agg(
+            distinct_of("sample").alias("n_samples"), distinct_of("bag").alias("n_bags"), distinct_of("experiment").alias("n_experiments"),
+            F.coalesce(F.sum(F.when(F.col("kind") == "experiment", F.col("rows"))), F.lit(0)).alias("n_runs"),
+            F.max(F.col("kind") == "sample").alias("sampled"))
+        .filter("sampled").drop("sampled")
     )
     fits = lambda c: (F.col(c) > 1) & (F.col(c) < F.col("n_runs"))
     level = (
