@@ -22,23 +22,26 @@ repetition; texts of any length are cut whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellsurvey.llm.common import WordHashes, mixed, own_columns, raw, shingles, slices
 from cellsurvey.llm.components import connected_components
-from cellsurvey.llm.ngram_join import hash_family, intersections, minhash, spanning
+from cellsurvey.llm.ngram_join import hash_family, intersections, spanning
 from cellsurvey.session import durable
 
 _SHINGLE = 5
-_PIECES = "doc_id bigint, node binary, sentence bigint, first int, last int, signature array<int>, anchor boolean"
+_PIECES = "doc_id bigint, node binary, sentence bigint, first int, last int, signature array<int>, anchor boolean, common boolean"
 _GROWN = "key bigint, doc_id bigint, first int, last int, edge boolean"
 _BASE = 0x9E3779B97F4A7C15
-_ENDS = frozenset(b".!?")
+_NAMES = (np.uint64(0x94D049BB133111EB), np.uint64(0xC2B2AE3D27D4EB4F))
+_ENDS = np.isin(np.arange(256), list(b".!?"))  # a sentence ends with a word of such a last byte
+_LAST_BYTE = itemgetter(-1)
+_BLOCK, _SHARE = 1 << 18, 2048  # a task marks what makes up a 2048th or more of a block of its pieces
 
 
 def tune_bands(threshold: float, recall: float, most_hashes: int = 32) -> tuple[int, int]:
@@ -50,42 +53,87 @@ def tune_bands(threshold: float, recall: float, most_hashes: int = 32) -> tuple[
     raise ValueError("no banding reaches this recall")
 
 
-def paragraph_set(hashes: np.ndarray) -> np.ndarray:
-    return np.unique(shingles(hashes, _SHINGLE))
-
-
-def layout(text: bytes) -> tuple[list[bytes], list[tuple[int, int]]]:
-    """Words of a text and the word intervals of its lines."""
-    words, lines = [], []
-    for line in text.split(b"\n"):
-        if found := line.split():
-            lines.append((len(words), len(words) + len(found)))
-            words += found
-    return words, lines
-
-
-def sentences(words: list[bytes], hashes: np.ndarray, first: int, last: int, least: int, longest: int) -> Iterator[tuple[int, int]]:
-    """Word intervals of the sentences of a line, long ones cut."""
-    start = first
-    for i in range(first, last):
-        if i + 1 == last or words[i][-1] in _ENDS:
-            if i + 1 - start > longest:
-                for cut in np.flatnonzero(hashes[start : i + 1] % np.uint64(8) == 0) + (start + 1):
-                    if cut - start >= least:
-                        yield start, int(cut)
-                        start = int(cut)
-            if start <= i:
-                yield start, i + 1
-            start = i + 1
+def paragraph_sets(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every word interval (not empty): its distinct shingles, sorted and laid end to end, where each set begins, and 16 bytes that name the set."""
+    size = np.maximum(last - first - _SHINGLE + 1, 1)
+    owner = np.repeat(np.arange(len(first)), size)
+    values = np.r_[shingles(hashes, _SHINGLE), np.zeros(_SHINGLE, np.uint64)][np.arange(len(owner)) + np.repeat(first - (np.cumsum(size) - size), size)]
+    begin = np.cumsum(size) - size
+    for i in np.flatnonzero(last - first < _SHINGLE):
+        values[begin[i]] = shingles(hashes[first[i] : last[i]], _SHINGLE)[0]
+    order = np.lexsort((values, owner))
+    values, new = values[order], np.ones(len(order), bool)
+    new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    begin = np.searchsorted(np.flatnonzero(new), begin)
+    values = values[new]
+    name = np.stack([np.add.reduceat(mixed(values ^ salt), begin) for salt in _NAMES], axis=1) if len(begin) else np.empty((0, 2), np.uint64)
+    return values, begin, np.ascontiguousarray(name)
+
+
+def _names(name: np.ndarray) -> pa.Array:
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(name), [None, pa.py_buffer(name.tobytes())]).cast(pa.binary())
+
+
+def signatures(values: np.ndarray, begin: np.ndarray, family: tuple[np.ndarray, np.ndarray]) -> pa.Array:
+    """MinHash signatures of the sets that begin at the places, 32 bits a function."""
+    out = np.empty((len(begin), len(family[0])), np.uint32)
+    for k, (scale, shift) in enumerate(zip(*family)):
+        out[:, k] = np.minimum.reduceat(values * scale + shift, begin) >> np.uint64(32)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(begin) + 1, dtype=np.int32) * np.int32(len(family[0]))), pa.array(out.view(np.int32).ravel()))
+
+
+def layout(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Words of the texts one after another, the number of words up to the end of each line, and of each text."""
+    words, lines, ends = [], [], []
+    for text in texts:
+        for line in text.split(b"\n"):
+            if found := line.split():
+                words += found
+                lines.append(len(words))
+        ends.append(len(words))
+    return words, np.array(lines, np.int64), np.array(ends, np.int64)
+
+
+def sentences(words: list[bytes], hashes: np.ndarray, lines: np.ndarray, least: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word intervals of the sentences of all lines, long ones cut."""
+    if not words:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    stop = _ENDS[np.fromiter(map(_LAST_BYTE, words), np.uint8, len(words))]
+    stop[lines - 1] = True
+    last = np.flatnonzero(stop) + 1
+    first = np.r_[0, last[:-1]]
+    long = np.flatnonzero(last - first > longest)
+    more = []
+    for i in long:
+        start = first[i]
+        for cut in np.flatnonzero(hashes[start : last[i]] % np.uint64(8) == 0) + (start + 1):
+            if cut - start >= least:
+                more.append((start, cut))
+                start = cut
+        more.append((start, last[i]))
+    if more:
+        cut = np.array(more)
+        first, last = np.r_[np.delete(first, long), cut[:, 0]], np.r_[np.delete(last, long), cut[:, 1]]
+    keep = last - first >= least
+    return first[keep], last[keep]
+
+
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]  # of the base and of its inverse
+
+
+def _power(which: int, size: int) -> np.ndarray:
+    if len(_powers[which]) < size:
+        base = _BASE if which == 0 else pow(_BASE, -1, 1 << 64)
+        _powers[which] = np.cumprod(np.r_[np.uint64(1), np.full(size, base, np.uint64)])
+    return _powers[which][:size]
 
 
 class Runs:
-    """Hashes of any runs of consecutive words of one text."""
+    """Hashes of any runs of consecutive words of one text, or of several laid end to end."""
 
     def __init__(self, hashes: np.ndarray):
-        power = lambda base: np.cumprod(np.r_[np.uint64(1), np.full(len(hashes), base, np.uint64)])
-        self.words, self.inverse = len(hashes), power(pow(_BASE, -1, 1 << 64))
-        self.sums = np.r_[np.uint64(0), np.cumsum(hashes * power(_BASE)[:-1])]
+        self.words, self.inverse = len(hashes), _power(1, len(hashes) + 1)
+        self.sums = np.r_[np.uint64(0), np.cumsum(hashes * _power(0, len(hashes)))]
 
     def of(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         return mixed((self.sums[last] - self.sums[first]) * self.inverse[first] + (last - first).astype(np.uint64)).view(np.int64)
@@ -99,47 +147,64 @@ def _sliding(best: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
     return x
 
 
-def anchors(runs: Runs, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first words, hashes) of the runs of k words that have the smallest hash of w consecutive ones."""
+def anchors(runs: Runs, ends: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first words, hashes) of the runs of k words that have the smallest hash of w consecutive ones, in texts that end at ``ends``."""
     if runs.words < k + w - 1:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     first = np.arange(runs.words - k + 1)
     h = runs.of(first, first + k)
-    edge = np.full(w - 1, np.iinfo(np.int64).min)
-    chosen = np.flatnonzero(_sliding(np.maximum, np.r_[edge, _sliding(np.minimum, h, w), edge], w) == h)
+    lowest = np.iinfo(np.int64).min
+    edge = np.full(w - 1, lowest)
+    least = _sliding(np.minimum, h, w)
+    starts = np.arange(len(least))
+    least[starts + (k + w - 1) > ends[np.searchsorted(ends, starts, "right")]] = lowest  # not inside one text
+    chosen = np.flatnonzero(_sliding(np.maximum, np.r_[edge, least, edge], w) == h)
     return chosen, h[chosen]
 
 
 def _cutter(least_words: int, least_sentence: int, longest_sentence: int, hashes: int, seed: int, k: int, w: int):
+    names = [c.split()[0] for c in _PIECES.split(", ")]
+
+    def parts(waiting: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        doc_id, key, first, last, anchor = (np.concatenate(c) for c in zip(*waiting))
+        _, number, count = np.unique(key, return_inverse=True, return_counts=True)
+        common = count[number] >= _BLOCK // _SHARE
+        return pa.RecordBatch.from_arrays(
+            [pa.array(doc_id, pa.int64()), pa.nulls(len(key), pa.binary()), pa.array(key), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)),
+             pa.nulls(len(key), pa.list_(pa.int32())), pa.array(anchor), pa.array(common)], names=names)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, family = WordHashes(), hash_family(hashes, seed)
-        for batch in slices(batches, 128):
-            out, ids, firsts, keys = [], [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), raw(batch.column(1))):
-                if not text:
-                    continue
-                words, lines = layout(text)
-                h = table.of(words)
-                first, key = anchors(Runs(h), k, w)
-                ids.append(np.full(len(first), doc_id))
-                firsts.append(first.astype(np.int32))
-                keys.append(key)
-                for a, b in lines:
-                    if b - a >= least_words:
-                        s = paragraph_set(h[a:b])
-                        out.append((doc_id, xxhash.xxh3_128_digest(s.tobytes()), None, a, b, minhash(s, family).view(np.int32)))
-                    for x, y in sentences(words, h, a, b, least_sentence, longest_sentence):
-                        if y - x >= least_sentence:
-                            out.append((doc_id, None, xxhash.xxh3_64_intdigest(b" ".join(words[x:y])) - (1 << 63), x, y, None))
-            types = (pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()))
-            names = [c.split()[0] for c in _PIECES.split(", ")]
-            if out:
-                yield pa.RecordBatch.from_arrays([*[pa.array(c, t) for c, t in zip(zip(*out), types)], pa.array(np.zeros(len(out), bool))], names=names)
-            if ids:
-                first = np.concatenate(firsts)
+        waiting, rows = [], 0
+        for batch in slices(batches, 64):
+            batch = batch.filter(batch.column(1).is_valid())
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            words, lines, ends = layout(raw(batch.column(1)))
+            if not words:
+                continue
+            h = table.of(words)
+            runs, begins = Runs(h), np.r_[0, ends[:-1]]
+            place = lambda at: np.searchsorted(ends, at, "right")
+            a, key = anchors(runs, ends, k, w)
+            x, y = sentences(words, h, lines, least_sentence, longest_sentence)
+            for first, last, key, kind in ((a, a + k, key, True), (x, y, ~runs.of(x, y), False)):  # a sentence is not taken for an anchor
+                doc = place(first)
+                waiting.append((ids[doc], key, first - begins[doc], last - begins[doc], np.full(len(first), kind)))
+                rows += len(first)
+            if rows >= _BLOCK:
+                yield parts(waiting)
+                waiting, rows = [], 0
+            first = np.r_[0, lines[:-1]]
+            wide = lines - first >= least_words
+            if wide.any():
+                first, last = first[wide], lines[wide]
+                values, begin, name = paragraph_sets(h, first, last)
+                doc, n = place(first), len(first)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(ids), pa.int64()), pa.nulls(len(first), types[1]), pa.array(np.concatenate(keys)), pa.array(first),
-                     pa.array(first + np.int32(k)), pa.nulls(len(first), types[5]), pa.array(np.ones(len(first), bool))], names=names)
+                    [pa.array(ids[doc], pa.int64()), _names(name), pa.nulls(n, pa.int64()), pa.array((first - begins[doc]).astype(np.int32)),
+                     pa.array((last - begins[doc]).astype(np.int32)), signatures(values, begin, family), pa.array(np.zeros(n, bool)), pa.array(np.zeros(n, bool))], names=names)
+        if rows:
+            yield parts(waiting)
 
     return cut
 
@@ -177,6 +242,22 @@ def _repeated(pieces: DataFrame, key: str) -> DataFrame:
     return pieces.groupBy(key).agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("other")).filter("kept <> other").drop("other")
 
 
+def repeated_parts(parts: DataFrame) -> DataFrame:
+    """The parts whose hash occurs in two documents or more, with the smallest id among these.
+
+    The parts are moved once, by their hash. What some task marked as common is aggregated before it is moved instead, and
+    joined with the few results, so that no key, however frequent, meets in one task.
+    """
+    common = durable(parts.filter("common").select("sentence").distinct())
+    frequent = parts.join(common, "sentence", "left_semi")
+    columns = ["doc_id", "first", "last", "kept", "sentence", "anchor"]
+    by_hash = Window.partitionBy("sentence")
+    rest = (
+        parts.join(common, "sentence", "left_anti").select("sentence", "doc_id", "first", "last", "anchor")
+        .withColumn("kept", F.min("doc_id").over(by_hash)).withColumn("other", F.max("doc_id").over(by_hash)).filter("kept <> other"))
+    return rest.select(*columns).union(frequent.join(durable(_repeated(frequent, "sentence")), "sentence").select(*columns))
+
+
 def grown_anchors(docs: DataFrame, found: DataFrame, k: int, w: int) -> DataFrame:
     """(doc_id, first, last, kept): repeated anchors at the ends of runs of such, with the words around them that are repeated too."""
     by_place = Window.partitionBy("doc_id").orderBy("first")  # bounded by the document's own length
@@ -197,17 +278,14 @@ def grown_anchors(docs: DataFrame, found: DataFrame, k: int, w: int) -> DataFram
 def _shingler(least_words: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = WordHashes()
-        for batch in slices(batches, 128):
-            nodes, sets = [], []
-            for text in raw(batch.column(0)):
-                words, lines = layout(text)
-                h = table.of(words)
-                for a, b in lines:
-                    if b - a >= least_words:
-                        s = paragraph_set(h[a:b])
-                        nodes.append(xxhash.xxh3_128_digest(s.tobytes()))
-                        sets.append(s.view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
+        for batch in slices(batches, 64):
+            words, lines, _ = layout(raw(batch.column(0)))
+            first = np.r_[0, lines[:-1]].astype(np.int64)[: len(lines)]
+            wide = lines - first >= least_words
+            if wide.any():
+                values, begin, name = paragraph_sets(table.of(words), first[wide], lines[wide])
+                sets = pa.ListArray.from_arrays(pa.array(np.r_[begin, len(values)].astype(np.int32)), pa.array(values.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([_names(name), sets], names=["node", "shingles"])
 
     return cut
 
@@ -288,11 +366,12 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
     placed = nodes.select("node", "keep", "other").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     clusters = placed.groupBy("root").agg(F.min("keep").alias("kept"), F.max("other").alias("other")).filter("kept <> other")
     owner = durable(placed.select("node", "root").join(clusters.select("root", "kept"), "root").select("node", "kept"))
-    twice = durable(parts.join(_repeated(parts, "sentence"), "sentence").select("doc_id", "first", "last", "kept", "sentence", "anchor"))
+    twice = durable(repeated_parts(parts))
     found = (
         lines.join(owner, "node").select("doc_id", "first", "last", "kept")
         .union(twice.select("doc_id", "first", "last", "kept"))
-        .union(grown_anchors(docs, twice.filter("anchor"), k, w)))
+        .union(grown_anchors(docs, twice.filter("anchor"), k, w))
+        .distinct())  # repeated rows of a document, before it is put together
     # a document's pieces are bounded by its own length
     by_place = Window.partitionBy("doc_id").orderBy("first", "last", "kept")
     reach = F.max("last").over(by_place.rowsBetween(Window.unboundedPreceding, -1))
