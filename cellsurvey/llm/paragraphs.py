@@ -22,11 +22,10 @@ repetition; texts of any length are cut whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellsurvey.llm.common import WordHashes, mixed, own_columns, raw, shingles, slices
@@ -36,14 +35,21 @@ from cellsurvey.session import durable
 
 _SHINGLE = 5
 _PIECES = "doc_id bigint, node binary, sentence bigint, first int, last int, signature array<int>, anchor boolean, common boolean"
-_GROWN = "key bigint, doc_id bigint, first int, last int, edge boolean"
+_GROWN = "key bigint, doc_id bigint, place bigint, common boolean"  # place: first word, words and a one, of edges alone
 _BASE = 0x9E3779B97F4A7C15
 _NAMES = (np.uint64(0x94D049BB133111EB), np.uint64(0xC2B2AE3D27D4EB4F))
-_ENDS = np.isin(np.arange(256), list(b".!?"))  # a sentence ends with a word of such a last byte
-_LAST_BYTE = itemgetter(-1)
+_ENDS = frozenset(b".!?")  # last bytes of words that end a sentence
 _BLOCK, _SHARE = 1 << 18, 2048  # a task marks what makes up a 2048th or more of a block of its pieces
 
 
+class MarkedHashes(WordHashes):
+    """Hashes of words of which the lowest bit says whether a word may end a sentence."""
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = super().__missing__(word) & ~1 | (word[-1] in _ENDS)
+        return value
+
+
 def tune_bands(threshold: float, recall: float, most_hashes: int = 32) -> tuple[int, int]:
     """(rows, bands): the longest rows for which few enough hashes reach the recall at the threshold."""
     for rows in range(most_hashes, 0, -1):
@@ -94,11 +100,9 @@ def layout(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return words, np.array(lines, np.int64), np.array(ends, np.int64)
 
 
-def sentences(words: list[bytes], hashes: np.ndarray, lines: np.ndarray, least: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
+def sentences(hashes: np.ndarray, lines: np.ndarray, least: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
     """Word intervals of the sentences of all lines, long ones cut."""
-    if not words:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    stop = _ENDS[np.fromiter(map(_LAST_BYTE, words), np.uint8, len(words))]
+    stop = (hashes & np.uint64(1)).astype(bool)
     stop[lines - 1] = True
     last = np.flatnonzero(stop) + 1
     first = np.r_[0, last[:-1]]
@@ -106,7 +110,7 @@ def sentences(words: list[bytes], hashes: np.ndarray, lines: np.ndarray, least:
     more = []
     for i in long:
         start = first[i]
-        for cut in np.flatnonzero(hashes[start : last[i]] % np.uint64(8) == 0) + (start + 1):
+        for cut in np.flatnonzero((hashes[start : last[i]] >> np.uint64(8)) % np.uint64(8) == 0) + (start + 1):
             if cut - start >= least:
                 more.append((start, cut))
                 start = cut
@@ -162,19 +166,23 @@ def anchors(runs: Runs, ends: np.ndarray, k: int, w: int) -> tuple[np.ndarray, n
     return chosen, h[chosen]
 
 
+def _marks(key: np.ndarray) -> pa.Array:
+    """Which rows of a block have a key that makes up a large part of it."""
+    _, number, count = np.unique(key, return_inverse=True, return_counts=True)
+    return pa.array(count[number] >= _BLOCK // _SHARE)
+
+
 def _cutter(least_words: int, least_sentence: int, longest_sentence: int, hashes: int, seed: int, k: int, w: int):
     names = [c.split()[0] for c in _PIECES.split(", ")]
 
     def parts(waiting: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         doc_id, key, first, last, anchor = (np.concatenate(c) for c in zip(*waiting))
-        _, number, count = np.unique(key, return_inverse=True, return_counts=True)
-        common = count[number] >= _BLOCK // _SHARE
         return pa.RecordBatch.from_arrays(
             [pa.array(doc_id, pa.int64()), pa.nulls(len(key), pa.binary()), pa.array(key), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)),
-             pa.nulls(len(key), pa.list_(pa.int32())), pa.array(anchor), pa.array(common)], names=names)
+             pa.nulls(len(key), pa.list_(pa.int32())), pa.array(anchor), _marks(key)], names=names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, family = WordHashes(), hash_family(hashes, seed)
+        table, family = MarkedHashes(), hash_family(hashes, seed)
         waiting, rows = [], 0
         for batch in slices(batches, 64):
             batch = batch.filter(batch.column(1).is_valid())
@@ -186,7 +194,7 @@ def _cutter(least_words: int, least_sentence: int, longest_sentence: int, hashes
             runs, begins = Runs(h), np.r_[0, ends[:-1]]
             place = lambda at: np.searchsorted(ends, at, "right")
             a, key = anchors(runs, ends, k, w)
-            x, y = sentences(words, h, lines, least_sentence, longest_sentence)
+            x, y = sentences(h, lines, least_sentence, longest_sentence)
             for first, last, key, kind in ((a, a + k, key, True), (x, y, ~runs.of(x, y), False)):  # a sentence is not taken for an anchor
                 doc = place(first)
                 waiting.append((ids[doc], key, first - begins[doc], last - begins[doc], np.full(len(first), kind)))
@@ -213,9 +221,15 @@ def _grower(k: int, w: int):
     """(doc_id, text, places) -> the anchors at the places, longer by 1 to w - 1 words to the left or to the right."""
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, more = WordHashes(), np.arange(1, w)
+        table, more = MarkedHashes(), np.arange(1, w)
+        out: list[tuple[np.ndarray, ...]] = []
+        rows = 0
+
+        def block() -> pa.RecordBatch:
+            columns = [np.concatenate(c) for c in zip(*out)]
+            return pa.RecordBatch.from_arrays([*map(pa.array, columns), _marks(columns[0])], names=[c.split()[0] for c in _GROWN.split(", ")])
+
         for batch in slices(batches, 128):
-            out = []
             offsets = batch.column(2).offsets.to_numpy()
             places = batch.column(2).flatten()
             columns = [places.field(n).to_numpy(zero_copy_only=False) for n in range(6)]
@@ -230,9 +244,13 @@ def _grower(k: int, w: int):
                     i, e = np.nonzero((p[at][:, None] >= more) if sign < 0 else (p[at][:, None] + k + more <= runs.words))
                     first = p[at][i] - (more[e] if sign < 0 else 0)
                     last = p[at][i] + k + (more[e] if sign > 0 else 0)
-                    out.append((runs.of(first, last), np.full(len(i), doc_id), first.astype(np.int32), last.astype(np.int32), edge[at][i].astype(bool)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=[c.split()[0] for c in _GROWN.split(", ")])
+                    out.append((runs.of(first, last), np.full(len(i), doc_id), np.where(edge[at][i].astype(bool), first << 24 | (last - first) << 1 | 1, 0)))
+                    rows += len(i)
+            if rows >= _BLOCK:
+                yield block()
+                out, rows = [], 0
+        if rows:
+            yield block()
 
     return grow
 
@@ -242,20 +260,21 @@ def _repeated(pieces: DataFrame, key: str) -> DataFrame:
     return pieces.groupBy(key).agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("other")).filter("kept <> other").drop("other")
 
 
-def repeated_parts(parts: DataFrame) -> DataFrame:
-    """The parts whose hash occurs in two documents or more, with the smallest id among these.
+def with_keeper(rows: DataFrame, key: str, wanted: Column | None = None) -> DataFrame:
+    """The (wanted) rows whose key occurs in two documents or more, with the smallest id among these as ``kept``.
 
-    The parts are moved once, by their hash. What some task marked as common is aggregated before it is moved instead, and
+    The rows are moved once, by their key. What some task marked as common is aggregated before it is moved instead, and
     joined with the few results, so that no key, however frequent, meets in one task.
     """
-    common = durable(parts.filter("common").select("sentence").distinct())
-    frequent = parts.join(common, "sentence", "left_semi")
-    columns = ["doc_id", "first", "last", "kept", "sentence", "anchor"]
-    by_hash = Window.partitionBy("sentence")
+    wanted = F.lit(True) if wanted is None else wanted
+    common = durable(rows.filter("common").select(key).distinct())
+    frequent = rows.join(common, key, "left_semi").drop("common")
+    by_key = Window.partitionBy(key)
     rest = (
-        parts.join(common, "sentence", "left_anti").select("sentence", "doc_id", "first", "last", "anchor")
-        .withColumn("kept", F.min("doc_id").over(by_hash)).withColumn("other", F.max("doc_id").over(by_hash)).filter("kept <> other"))
-    return rest.select(*columns).union(frequent.join(durable(_repeated(frequent, "sentence")), "sentence").select(*columns))
+        rows.join(common, key, "left_anti").drop("common")
+        .withColumn("kept", F.min("doc_id").over(by_key)).withColumn("other", F.max("doc_id").over(by_key))
+        .filter((F.col("kept") != F.col("other")) & wanted).drop("other"))
+    return rest.unionByName(frequent.filter(wanted).join(durable(_repeated(frequent, key)), key))
 
 
 def grown_anchors(docs: DataFrame, found: DataFrame, k: int, w: int) -> DataFrame:
@@ -266,18 +285,20 @@ def grown_anchors(docs: DataFrame, found: DataFrame, k: int, w: int) -> DataFram
         .withColumn("head", F.coalesce(F.col("first") > F.lag("last").over(by_place), F.lit(True)))
         .withColumn("tail", F.coalesce(F.lead("first").over(by_place) > F.col("last"), F.lit(True))))
     # all places of an anchor that ends a run somewhere
-    ends = placed.filter("head or tail").groupBy("sentence").agg(F.max("head").alias("left"), F.max("tail").alias("right"))
+    ends = durable(placed.filter("head or tail").groupBy("sentence").agg(F.max("head").alias("left"), F.max("tail").alias("right")))
     places = placed.join(ends, "sentence").groupBy("doc_id").agg(
         F.collect_list(F.struct("first", "sentence", "left", "right", "head", "tail")).alias("places"))
     grown = durable(
         own_columns(docs, "doc_id", "text").filter("text is not null").join(places, "doc_id")
         .select("doc_id", "text", "places").mapInArrow(_grower(k, w), _GROWN))
-    return grown.filter("edge").join(_repeated(grown, "key"), "key").select("doc_id", "first", "last", "kept")
+    first = F.shiftright("place", 24)
+    return with_keeper(grown, "key", F.col("place") != 0).select(
+        "doc_id", first.cast("int").alias("first"), (first + F.shiftright("place", 1) % (1 << 23)).cast("int").alias("last"), "kept")
 
 
 def _shingler(least_words: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordHashes()
+        table = MarkedHashes()
         for batch in slices(batches, 64):
             words, lines, _ = layout(raw(batch.column(0)))
             first = np.r_[0, lines[:-1]].astype(np.int64)[: len(lines)]
@@ -339,12 +360,16 @@ def near_paragraphs(docs: DataFrame, nodes: DataFrame, rows: int, bands: int, th
     texts = own_columns(docs, "doc_id", "text").filter("text is not null").join(
         nodes.join(wanted, "node").select(F.col("keep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
     sets = texts.mapInArrow(_shingler(least_words), "node binary, shingles array<bigint>").join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    # every paragraph goes to the pairs of chunks of its bucket that its own chunk is in
+    # buckets of two are pairs: one that collides in several bands is compared once
+    pairs = members.filter("n = 2").groupBy("band", "key").agg(F.sort_array(F.collect_list("node")).alias("m")).select("m").distinct().select(
+        F.lit(-1).alias("band"), F.xxhash64("m").alias("key"), F.explode("m").alias("node"), F.lit(0).alias("chunk"), F.lit(0).alias("i"), F.lit(0).alias("j"))
+    # every other paragraph goes to the pairs of chunks of its bucket that its own chunk is in
     dealt = (
-        members.withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int"))
+        members.filter("n > 2").withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int"))
         .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
         .select("band", "key", "node", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-        .select("band", "key", "node", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")))
+        .select("band", "key", "node", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+        .unionByName(pairs))
     blocks = (
         dealt.join(sets, "node").select("band", "key", "i", "j", "chunk", "node", "shingles")
         .repartition("band", "key", "i", "j").sortWithinPartitions("band", "key", "i", "j"))
@@ -366,7 +391,7 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
     placed = nodes.select("node", "keep", "other").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     clusters = placed.groupBy("root").agg(F.min("keep").alias("kept"), F.max("other").alias("other")).filter("kept <> other")
     owner = durable(placed.select("node", "root").join(clusters.select("root", "kept"), "root").select("node", "kept"))
-    twice = durable(repeated_parts(parts))
+    twice = durable(with_keeper(parts.drop("node", "signature"), "sentence"))
     found = (
         lines.join(owner, "node").select("doc_id", "first", "last", "kept")
         .union(twice.select("doc_id", "first", "last", "kept"))
