@@ -45,7 +45,7 @@ def _packed(rows: pd.DataFrame) -> bytes:
 
 def _pack_blocks(placed: DataFrame) -> DataFrame:
     """(proj_id, block, blocks, data): a row per block, so what is sent on is rows in the square of the blocks, not of the cells."""
-    columns = [c for c in placed.columns if c not in ("__block", "__blocks")]
+    columns = [c for c in placed.columns if c not in ("proj_id", "__block", "__blocks")]
 
     def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"proj_id": [key[0]], "block": [key[1]], "blocks": [pdf["__blocks"].iloc[0]], "data": [_packed(pdf[columns])]})
@@ -372,6 +372,57 @@ def neighbour_voting_dense(vectors: DataFrame, members: DataFrame, n_fold: int =
 
 # ---------------------------------------------------------------- pairwise correlation
 
+_Entries = tuple[np.ndarray, np.ndarray, np.ndarray, int]  # gene numbers, places of the cells, values, number of cells
+
+
+def _by_gene(entries: _Entries) -> _Entries:
+    """Entries in the order of genes; of a (gene, cell) named twice the last one counts."""
+    gene, place, x, n = entries
+    key = gene * n + place
+    order = np.argsort(key, kind="stable")
+    order = order[np.r_[np.diff(key[order]) != 0, np.ones(min(1, len(key)), dtype=bool)]]
+    return gene[order], place[order], x[order], n
+
+
+def _products(left: _Entries, right: _Entries, most: int = 1 << 21, width: int = 1024) -> np.ndarray:
+    """Dot products of all cells of two blocks over their genes.
+
+    A gene costs the entries it has on one side times those on the other, so the work follows what the cells have in common and
+    not the length of the gene list. Only genes that most cells have are multiplied densely, ``width`` at a time.
+    """
+    (ga, pa, xa, n), (gb, pb, xb, m) = _by_gene(left), _by_gene(right)
+    dot = np.zeros((n, m))
+    if not len(ga) or not len(gb):
+        return dot
+    size = int(max(ga[-1], gb[-1])) + 1
+    fa, fb = np.bincount(ga, minlength=size), np.bincount(gb, minlength=size)
+    common = fa * fb
+    dense = np.nonzero(common * 32 > n * m)[0]
+    for s in range(0, len(dense), width):
+        at = np.full(size, -1)
+        at[dense[s:s + width]] = np.arange(len(dense[s:s + width]))
+        sides = []
+        for gene, place, x, cells in ((ga, pa, xa, n), (gb, pb, xb, m)):
+            slab, here = np.zeros((cells, width)), at[gene] >= 0
+            slab[place[here], at[gene[here]]] = x[here]
+            sides.append(slab)
+        dot += sides[0] @ sides[1].T
+    common[dense] = 0
+    mine = np.nonzero(common[ga])[0]  # entries with a partner, and how many it has
+    first, partners = (np.cumsum(fb) - fb)[ga[mine]], fb[ga[mine]]
+    upto = np.cumsum(partners)
+    flat, start = dot.reshape(-1), 0
+    while start < len(mine):
+        done = upto[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(upto, done + most, "right")))
+        count = partners[start:stop]
+        i = np.repeat(mine[start:stop], count)
+        j = np.arange(len(i)) + np.repeat(first[start:stop] - (upto[start:stop] - count - done), count)
+        flat += np.bincount(pa[i] * m + pb[j], xa[i] * xb[j], n * m)
+        start = stop
+    return dot
+
+
 def correlation_extremes(counts: DataFrame, genes: DataFrame, block: int = 2048, value: str = "n") -> DataFrame:
     """Smallest and largest Pearson correlation of every cell with the other cells of its project.
 
@@ -392,28 +443,20 @@ def correlation_extremes(counts: DataFrame, genes: DataFrame, block: int = 2048,
         g = float(left["g"].iloc[0])
         ia, pa, xa, sa, qa = profile(left)
         ib, pb, xb, sb, qb = profile(right)
-        _, code = np.unique(np.concatenate([left["gene_id"].to_numpy(), right["gene_id"].to_numpy()]), return_inverse=True)
-        ga, gb = code[:len(left)], code[len(left):]
-        dot = np.zeros((len(ia), len(ib)))
-        for s in range(0, int(code.max()) + 1, 4096):  # dense slices of the gene axis
-            a, b = np.zeros((len(ia), 4096)), np.zeros((len(ib), 4096))
-            m = (ga >= s) & (ga < s + 4096)
-            a[pa[m], ga[m] - s] = xa[m]
-            m = (gb >= s) & (gb < s + 4096)
-            b[pb[m], gb[m] - s] = xb[m]
-            dot += a @ b.T
+        code, _ = pd.factorize(np.concatenate([left["gene_id"].to_numpy(), right["gene_id"].to_numpy()]), use_na_sentinel=False)
+        r = _products((code[:len(left)], pa, xa, len(ia)), (code[len(left):], pb, xb, len(ib)))
         va, vb = g * qa - sa * sa, g * qb - sb * sb
         with np.errstate(divide="ignore", invalid="ignore"):
-            r = (g * dot - np.outer(sa, sb)) / np.sqrt(np.outer(va, vb))
+            r *= g
+            r -= np.outer(sa, sb)
+            r /= np.sqrt(np.outer(va, vb))
         r[~(va > 0), :] = np.nan
         r[:, ~(vb > 0)] = np.nan
         if same:
             r[ia[:, None] == ib[None, :]] = np.nan
-        lo, hi = np.where(np.isnan(r), np.inf, r), np.where(np.isnan(r), -np.inf, r)
-        out = pd.DataFrame({"cell_id": ia, "lo": lo.min(1), "hi": hi.max(1)})
-        if not same:
-            out = pd.concat([out, pd.DataFrame({"cell_id": ib, "lo": lo.min(0), "hi": hi.max(0)})], ignore_index=True)
-        return out
+        ends = lambda ids, axis: pd.DataFrame({
+            "cell_id": ids, "lo": np.fmin.reduce(r, axis, initial=np.inf), "hi": np.fmax.reduce(r, axis, initial=-np.inf)})
+        return ends(ia, 1) if same else pd.concat([ends(ia, 1), ends(ib, 0)], ignore_index=True)
 
     found = _on_block_pairs(_place(rows, cells, block), task, f"proj_id string, cell_id {id_type}, lo double, hi double")
     ext = found.groupBy(*CELL).agg(F.min("lo").alias("min_corr"), F.max("hi").alias("max_corr"))

@@ -120,6 +120,30 @@ def test_correlation_extremes(spark, block):
     assert got["min_corr"].isna()[3] and got["max_corr"].isna()[3]
 
 
+def test_products_follow_common_genes(monkeypatch):
+    """Long gene lists are not laid out densely: the largest array is a slab of popular genes, the product or a run of partners."""
+    rng = np.random.default_rng(3)
+    n, m, genes = 30, 20, 200_000
+    side = lambda cells: (np.r_[rng.integers(0, genes, 40_000), np.tile(np.arange(3), cells)], np.r_[rng.integers(0, cells, 40_000), np.repeat(np.arange(cells), 3)])
+    (ga, pa), (gb, pb) = side(n), side(m)
+    xa, xb = rng.integers(1, 9, len(ga)).astype(float), rng.integers(1, 9, len(gb)).astype(float)
+    a, b = np.zeros((n, genes)), np.zeros((m, genes))
+    a[pa, ga], b[pb, gb] = xa, xb  # of an entry named twice the last one counts
+    sizes = []
+    real = np.zeros
+
+    def zeros(shape, *args, **kw):
+        sizes.append(int(np.prod(shape)))
+        return real(shape, *args, **kw)
+
+    monkeypatch.setattr(network.np, "zeros", zeros)
+    got = [network._products((ga, pa, xa, n), (gb, pb, xb, m), most=most, width=2) for most in (1, 7, 1 << 21)]
+    assert max(sizes) <= n * m
+    assert all(np.array_equal(g, a @ b.T) for g in got)
+    none = np.array([], dtype=int)
+    assert not network._products((none, none, none.astype(float), 0), (gb, pb, xb, m)).size
+
+
 def test_components(spark):
     rng = np.random.default_rng(9)
     x = rng.poisson(1.0, (50, 30)).astype(float) @ np.diag(np.linspace(3, 0.2, 30))
