@@ -103,13 +103,15 @@ def _on_block_pairs(placed: DataFrame, fn: Callable, schema: str) -> DataFrame:
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Euclidean distances; pairs too close for the product form are computed from their difference."""
     aa, bb = (a * a).sum(1), (b * b).sum(1)
-    squared = aa[:, None] + bb[None, :] - 2.0 * (a @ b.T)
-    close = squared < 1e-6 * (aa[:, None] + bb[None, :])
-    i, j = np.nonzero(close)
+    scale, squared = aa[:, None] + bb[None, :], a @ b.T  # the only two arrays of all pairs
+    squared *= -2.0
+    squared += scale
+    scale *= 1e-6
+    i, j = np.nonzero(squared < scale)
     for s in range(0, len(i), 65536):
         d = a[i[s:s + 65536]] - b[j[s:s + 65536]]
         squared[i[s:s + 65536], j[s:s + 65536]] = (d * d).sum(1)
-    return np.sqrt(np.maximum(squared, 0.0))
+    return np.sqrt(np.maximum(squared, 0.0, out=squared), out=squared)
 
 
 # ---------------------------------------------------------------- nearest neighbours
@@ -307,12 +309,14 @@ def _candidate_scores(votes: DataFrame, degree: DataFrame, folds: DataFrame, n_f
     )
 
 
-def neighbour_voting_dense(vectors: DataFrame, members: DataFrame, n_fold: int = 3, block: int = 4096, digits: int = 10, strip: int = 16) -> DataFrame:
+def neighbour_voting_dense(
+    vectors: DataFrame, members: DataFrame, n_fold: int = 3, block: int = 4096, digits: int = 10, strip: int = 16, rows_at_once: int = 256,
+) -> DataFrame:
     """Neighbour voting on the full network of weights 1 - distance / largest distance.
 
     A node's votes only need the sum of its distances to the members of each fold, its sum over all
     nodes and the largest distance. A task sums them over a strip of ``strip`` partner blocks, so what is exchanged is
-    cells x codes x strips; the n x n network never exists.
+    cells x codes x strips; the n x n network never exists, and of a pair of blocks only the distances of ``rows_at_once`` cells do.
     """
     id_type = vectors.schema["cell_id"].dataType.simpleString()
     folds = durable(with_folds(members, n_fold))
@@ -327,7 +331,7 @@ def neighbour_voting_dense(vectors: DataFrame, members: DataFrame, n_fold: int =
         total, far = np.zeros((len(own), 1)), np.full(len(own), -1.0)  # over all cells first, then per code
         used = {0}
         for other in partners:
-            dist = _distances(a, np.stack(other["features"].to_numpy()))
+            b = np.stack(other["features"].to_numpy())
             lists = [np.asarray(c, dtype=int) if c is not None else np.array([], dtype=int) for c in other["codes"]]
             flat = np.concatenate(lists)
             if flat.max(initial=-1) + 2 > total.shape[1]:
@@ -335,9 +339,11 @@ def neighbour_voting_dense(vectors: DataFrame, members: DataFrame, n_fold: int =
             marks = np.zeros((len(other), total.shape[1]))
             marks[:, 0] = 1.0
             marks[np.repeat(np.arange(len(other)), [len(x) for x in lists]), flat + 1] = 1.0
-            total += dist @ marks
             used.update((flat + 1).tolist())
-            far = np.maximum(far, dist.max(1))
+            for s in range(0, len(a), rows_at_once):
+                dist = _distances(a[s:s + rows_at_once], b)
+                total[s:s + rows_at_once] += dist @ marks
+                far[s:s + rows_at_once] = np.maximum(far[s:s + rows_at_once], dist.max(1))
         columns = np.array(sorted(used))
         n, m = len(own), len(columns)
         largest = np.full((n, m), -1.0)

@@ -1,6 +1,7 @@
 """Networks against brute force, with hot copies and many blocks."""
 
 import math
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -89,6 +90,21 @@ def test_dense_voting(spark, vectors, points, marks, block):
     assert np.allclose(got[["auc", "avg_node_degree", "degree_null_auc", "p_value"]].to_numpy(dtype=float), want, atol=1e-8)
 
 
+def test_distances_hold_two_arrays_of_all_pairs():
+    a, b = np.random.default_rng(1).normal(size=(2, 600, 4))
+    tracemalloc.start()
+    got = network._distances(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2.5 * got.nbytes and np.allclose(got, np.sqrt(((a[:, None] - b[None]) ** 2).sum(-1)))
+
+
+def test_dense_voting_does_not_depend_on_the_rows_at_once(spark, vectors, marks):
+    members = spark.createDataFrame([("P", int(i), f"t{j}") for i, j in zip(*np.nonzero(marks))], "proj_id string, node long, term string")
+    one, all_ = (network.neighbour_voting_dense(vectors, members, rows_at_once=r).toPandas().sort_values("term", ignore_index=True) for r in (7, 1000))
+    pd.testing.assert_frame_equal(one, all_)
+
+
 def test_sparse_voting(spark, vectors, points, marks):
     edges = network.symmetric_edges(network.nearest_neighbours(vectors, k=4))
     w = np.zeros((60, 60))
