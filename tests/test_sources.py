@@ -135,6 +135,27 @@ def test_packages(package_set):
     assert rows(packages.experiment_projects(package_set), "exp_id", "proj_id") == [("X1", "P1"), ("X2", "P1"), ("X3", "P2")]
 
 
+def test_package_files_are_read_in_parts(spark, tmp_path):
+    """One file, many tasks; cuts anywhere; comments, CDATA and a declared prolog do no harm."""
+    body = [PACKAGE.format(e=f"X{i}", p=f"P{i % 3}", ext="", lib="<LIBRARY_STRATEGY><![CDATA[a<b]]></LIBRARY_STRATEGY>", title="<!-- no title -->", runs=RUN.format(r=f"R{i}", e=f"X{i}", alts="", more="")) for i in range(40)]
+    f = put(tmp_path / "set.xml", '<?xml version="1.0"?>\n<EXPERIMENT_PACKAGE_SET>' + "\n".join(body) + "</EXPERIMENT_PACKAGE_SET>\n")
+    want = rows(packages.runs(packages.read_packages(spark, f, whole_files=True)), "run_id", "exp_id", "proj_id", "file_url")
+    default = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (997, 4096, 5003):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            found = packages.read_packages(spark, f)
+            assert found.rdd.getNumPartitions() > 5
+            assert rows(packages.runs(found), "run_id", "exp_id", "proj_id", "file_url") == want and len(want) == 40
+            assert {r.strategy for r in packages.experiments(found).collect()} == {"a<b"}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", default)
+    odd = put(tmp_path / "odd.xml", "<EXPERIMENT_PACKAGE_SET><!-- <EXPERIMENT_PACKAGE></EXPERIMENT_PACKAGE> -->" + body[0] + "</EXPERIMENT_PACKAGE_SET>")
+    with pytest.raises(Exception, match="whole_files"):
+        packages.read_packages(spark, odd).collect()
+    assert len(packages.read_packages(spark, odd, whole_files=True).collect()) == 1
+
+
 def test_matrix_market(spark, tmp_path):
     for run in ("SRR1_10xv2", "SRP9_smartseq"):
         d = tmp_path / f"{run}_Solo.out" / "Gene" / "filtered"
