@@ -4,7 +4,7 @@
 zeros are never stored, they enter through closed forms.
 
 Most cell metrics only depend on how often each count value occurs in the cell. So the counts are
-first merged to (cell, value) rows, map side, and everything after works on that histogram. A cell
+first merged to (cell, value) rows, and everything after works on that histogram. A cell
 with T reads has at most sqrt(2 T) different values (k different positive integers add up to at
 least k (k + 1) / 2), so the window over one cell stays small however many genes the cell has.
 """
@@ -22,6 +22,7 @@ from cellsurvey.session import durable
 
 CELL = ["proj_id", "cell_id"]
 GENE = ["proj_id", "gene_id"]
+_FLAGS = 62  # gene sets to a number
 
 
 # ---------------------------------------------------------------- totals and moments
@@ -224,8 +225,8 @@ def cell_metrics(
 ) -> DataFrame:
     """All metrics of every cell from one pass over the counts.
 
-    One join with the gene table, one map-side aggregation to the value histogram, one shuffle by
-    cell. ``parts`` picks the metrics:
+    One join with the gene table and one shuffle by cell; the value histogram and the sums over it are made where the cell lies.
+    ``parts`` picks the metrics:
 
     totals  total_counts, n_genes_by_counts
     gini    gini, log1p_gini
@@ -235,14 +236,20 @@ def cell_metrics(
     """
     sets = list(sets)
     want = set(parts)
-    carry = ["gene_id", "proj_id"] + sets + (["mean"] if "corr" in want else [])
-    if "corr" in want:
-        genes = durable(genes.select(*carry))  # means are aggregates of the counts, and read twice
-    source = counts
-    if len(carry) > 2:
-        source = counts.join(genes.select(*carry), GENE)
-    extra = [F.count(F.when(F.col(s), 1)).alias(f"in_{s}") for s in sets]
-    if "corr" in want:
+    means = ["mean"] if "corr" in want else []
+    if means:
+        genes = durable(genes.select(*GENE, *sets, *means))  # means are aggregates of the counts, and read twice
+    source = counts.select(*GENE, "cell_id", "n")
+    packed = [F.lit(0).cast("bigint")] * -(-len(sets) // _FLAGS)  # all sets of a gene in a few numbers
+    for i, s in enumerate(sets):
+        packed[i // _FLAGS] += F.when(F.col(s), F.lit(1 << i % _FLAGS).cast("bigint")).otherwise(0)
+    if sets or means:
+        source = source.join(genes.select(*GENE, *[p.alias(f"__flags{j}") for j, p in enumerate(packed)], *means), GENE)
+    # rows go to their cell as they are: (cell, value) rarely repeats within a part of (cell, gene), so merging before would hold nearly all rows
+    source = source.drop("gene_id").repartition(*CELL)
+    member = lambda i: F.col(f"__flags{i // _FLAGS}").bitwiseAND(F.lit(1 << i % _FLAGS).cast("bigint")) != 0
+    extra = [F.count(F.when(member(i), 1)).alias(f"in_{s}") for i, s in enumerate(sets)]
+    if means:
         extra.append(F.sum("mean").alias("means"))
     hist = value_histogram(source, extra)
 

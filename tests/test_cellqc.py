@@ -1,5 +1,7 @@
 """Cell metrics against dense recomputation, and the edge cases of the definitions."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -63,6 +65,22 @@ def test_metrics(frames, dense):
     assert np.allclose(got["pct_counts_every"][1:], 100.0) and got["log1p_total_counts_none"].eq(0).all()
 
 
+def test_many_sets_and_rows_that_go_to_their_cell_once(spark, frames):
+    """More sets than flags of one number; the rows are merged by value where the cell lies, not before."""
+    counts, cells = (frames[0], frames[1])
+    genes = counts.select("proj_id", "gene_id").distinct()
+    names = [f"s{i}" for i in range(130)]
+    genes = genes.select("*", *[F.when(F.col("gene_id") % 7 != 3, F.col("gene_id") % (i + 2) == 0).alias(s) for i, s in enumerate(names)])
+    found = cellqc.cell_metrics(counts, cells, genes, names, parts=("share",), top=())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan and not re.search(r"hashpartitioning\(proj_id#\d+\w*, cell_id#\d+\w*, v#", plan)
+    sums = counts.join(genes, ["proj_id", "gene_id"]).groupBy("proj_id", "cell_id").agg(
+        *[(F.coalesce(F.sum(F.when(F.col(s), F.col("n"))), F.lit(0)) * 100.0 / F.sum("n")).alias(s) for s in names])
+    want = {(r.proj_id, r.cell_id): r for r in sums.collect()}
+    got = [r for r in found.collect() if (r.proj_id, r.cell_id) in want]
+    assert got and all(abs(r[f"pct_counts_{s}"] - want[r.proj_id, r.cell_id][s]) < 1e-9 for r in got for s in names)
+
+
 def test_gini_is_scale_free(frames):
     counts, cells, genes = frames
     a = by_cell(cellqc.gini_per_cell(counts, cells, genes))
