@@ -241,6 +241,27 @@ def test_archives(spark, tmp_path):
     assert roles["a.tar"] == roles["a.tar"] == ("SRR1_1.fastq", "SRR1_2.fastq.gz")
 
 
+def test_archives_are_written_in_slices(spark, tmp_path):
+    """Lines of one archive are sorted and packed by many tasks; their order and the members stay."""
+    archive = F.when(F.col("id") % 10 == 0, "SRR2.tar").otherwise("SRR1.tar")
+    member = F.concat(F.substring(archive, 1, 4), F.when(F.col("id") % 3 == 0, "_1.fastq.gz").otherwise("_2.fastq.gz"))
+    lines = spark.range(5000).select(archive.alias("archive"), member.alias("member"), F.struct((-F.col("id")).alias("o")).alias("ord"),
+                                     F.concat(F.lit("é"), F.col("id").cast("string")).alias("value"))
+    written = sinks.write_archives(lines.union(lines.filter("ord.o > -30")), str(tmp_path / "a"), slice_rows=400)
+    assert {tuple(r) for r in written.collect()} == {("SRR1.tar", 2), ("SRR2.tar", 2)}
+    members = 0
+    for name, own in (("SRR1", lambda i: i % 10), ("SRR2", lambda i: i % 10 == 0)):
+        with tarfile.open(tmp_path / "a" / f"{name}.tar") as tar:
+            assert tar.getnames() == [f"{name}_1.fastq.gz", f"{name}_2.fastq.gz"]
+            for at, of in enumerate((lambda i: i % 3 == 0, lambda i: i % 3)):
+                packed = tar.extractfile(f"{name}_{at + 1}.fastq.gz").read()
+                members += packed.count(b"\x1f\x8b\x08\x00")
+                got = gzip.decompress(packed).decode().splitlines()
+                assert got == [f"é{i}" for i in range(4999, -1, -1) for _ in range(2 if i < 30 else 1) if own(i) and of(i)]
+    assert members > 4  # gzip streams: no task held an archive, or a member, whole
+    assert sinks.write_archives(lines.limit(0), str(tmp_path / "b")).count() == 0
+
+
 def test_archive_skips_contents(tmp_path, monkeypatch):
     """Of a plain archive only headers and the beginning of each member are read."""
     import random
