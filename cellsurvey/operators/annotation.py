@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cellsurvey.functions import fixed_values as fixed
 from cellsurvey.functions.frames import ratio
-from cellsurvey.functions.ranking import number_rows, running_totals, with_neighbours
+from cellsurvey.functions.ranking import average_rank_window, number_rows, running_totals, with_neighbours
 from cellsurvey.functions.text import safe_name
 from cellsurvey.session import durable
 
@@ -137,34 +138,59 @@ def thinned_auc(curve: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- marker discovery
 
-def marker_statistics(cpm: DataFrame, labels: DataFrame) -> DataFrame:
-    """One-against-rest statistics of every gene for every cell type within its group (our definition).
+_GENE = ["proj_id", "group", "gene_id"]
 
-    ``labels(proj_id, cell_id, group, cell_type)``. For each (study, group, type, gene): AUROC of the
-    expression with silent cells tied at the bottom, mean cpm inside and outside, log2 fold change
-    with pseudo-count 1, and detection rates. Genes silent in the whole group give no row.
-    Popular genes are merged by value before the ranking, and the ranking itself is range partitioned.
-    """
-    sizes = labels.groupBy("proj_id", "group", "cell_type").agg(F.count(F.lit(1)).alias("n_in"))
-    group_sizes = sizes.groupBy("proj_id", "group").agg(F.sum("n_in").alias("n_all"))
-    group = ["proj_id", "group", "gene_id"]
+
+def _rank_sums(hits: DataFrame) -> DataFrame:
+    """Hits, sum of their ranks and sum of their cpm for every (gene, cell type); a gene is ranked by one task."""
+    rank = average_rank_window(_GENE, "cpm")
+    return hits.select(*_GENE, "cell_type", "cpm", rank.alias("rank")).groupBy(*_GENE, "cell_type").agg(
+        F.count(F.lit(1)).alias("hits"), F.sum("rank").alias("ranks"), F.sum("cpm").alias("sum_in"))
+
+
+def _spread_rank_sums(hits: DataFrame) -> DataFrame:
+    """The same for genes of any size: merged by value before the ranking, which is range partitioned."""
     hist = (
-        cpm.join(labels, CELL).groupBy(*group, "cpm", "cell_type").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy(*group, "cpm")  # one entry per cell type
+        hits.groupBy(*_GENE, "cpm", "cell_type").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy(*_GENE, "cpm")  # one entry per cell type
         .agg(F.sum("n").alias("n"), F.collect_list(F.struct("cell_type", F.col("n").alias("hits"))).alias("types"))
     )
-    ranked = running_totals(hist, group, ["cpm"], ["n"])
+    ranked = running_totals(hist, _GENE, ["cpm"], ["n"])
     rank = F.col("n_before") + (F.col("n") + 1) / 2
-    inside = ranked.select(*group, "cpm", rank.alias("rank"), F.explode("types").alias("t")).groupBy(
-        *group, F.col("t.cell_type").alias("cell_type")
+    return ranked.select(*_GENE, "cpm", rank.alias("rank"), F.explode("types").alias("t")).groupBy(
+        *_GENE, F.col("t.cell_type").alias("cell_type")
     ).agg(
         F.sum("t.hits").alias("hits"), F.sum(F.col("t.hits") * F.col("rank")).alias("ranks"),
         F.sum(F.col("t.hits") * F.col("cpm")).alias("sum_in"),
     )
-    overall = inside.groupBy(*group).agg(F.sum("hits").alias("hits_all"), F.sum("sum_in").alias("sum_all"))
-    types = durable(sizes.join(group_sizes, ["proj_id", "group"]))  # a row per type
-    grid = overall.join(types, ["proj_id", "group"]).filter(F.col("n_all") > F.col("n_in"))
-    full = grid.join(inside, [*group, "cell_type"], "left").na.fill(0, ["hits", "ranks", "sum_in"])
+
+
+def marker_statistics(cpm: DataFrame, labels: DataFrame, most_cells: int = 1 << 20, part_hits: int = 1 << 18) -> DataFrame:
+    """One-against-rest statistics of every gene for every cell type within its group (our definition).
+
+    ``labels(proj_id, cell_id, group, cell_type)``. For each (study, group, type, gene): AUROC of the
+    expression with silent cells tied at the bottom, mean cpm inside and outside, log2 fold change
+    with pseudo-count 1, and detection rates. Genes silent in the whole group give no row.
+    A gene has no more hits than its group has cells: in groups of at most ``most_cells`` cells it is moved once and
+    ranked by one task, which gets about ``part_hits`` hits; in larger ones its values are merged and ranked by range partitions.
+    """
+    sizes = labels.groupBy("proj_id", "group", "cell_type").agg(F.count(F.lit(1)).alias("n_in"))
+    types = durable(sizes.withColumn("n_all", F.sum("n_in").over(Window.partitionBy("proj_id", "group"))))  # a row per type
+    hits = durable(cpm.filter("gene_id is not null").join(labels.filter(F.col("group").isNotNull()), CELL).select(*_GENE, "cell_type", "cpm"))
+    dealt = lambda rows: rows.repartition(max(1, math.ceil(hits.count() / part_hits)), *_GENE)
+    large = types.filter(F.col("n_all") > most_cells).select("proj_id", "group").distinct()
+    if large.isEmpty():
+        inside = _rank_sums(dealt(hits))
+    else:
+        part = lambda how: hits.join(large, ["proj_id", "group"], how)
+        inside = _rank_sums(dealt(part("left_anti"))).unionByName(_spread_rank_sums(part("left_semi")))
+    # the types of a gene side by side; as in a join, a type without a name is equal to nothing
+    named = F.col("cell_type").isNotNull()
+    by_gene = inside.groupBy(*_GENE).agg(
+        F.sum("hits").alias("hits_all"), F.sum("sum_in").alias("sum_all"),
+        F.map_from_entries(F.collect_list(F.when(named, F.struct("cell_type", F.struct("hits", "ranks", "sum_in"))))).alias("by_type"))
+    full = by_gene.join(types.filter(F.col("n_all") > F.col("n_in")), ["proj_id", "group"]).withColumn("t", F.col("by_type")[F.col("cell_type")]).select(
+        *_GENE, "cell_type", "n_in", "n_all", "hits_all", "sum_all", "t.*").na.fill(0, ["hits", "ranks", "sum_in"])
     n_in, n_out = F.col("n_in"), F.col("n_all") - F.col("n_in")
     zeros = F.col("n_all") - F.col("hits_all")
     total = F.col("ranks") + zeros * F.col("hits") + (n_in - F.col("hits")) * (zeros + 1) / 2

@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,3 +96,35 @@ def test_streams_over_several_batches(spark, tmp_path):
     got = {str(r.period)[:10]: (r.n_cells, r.n_projects) for r in incremental.read_growth(spark, str(tmp_path / "g"), "id").collect()}
     assert got == {"2021-01-01": (3, 2), "2021-01-02": (1, 1)}
     assert [r.id for r in spark.read.parquet(str(tmp_path / "l")).collect()] == ["a"]  # once, though it came in both batches
+
+
+def test_marker_statistics_rank_a_gene_in_one_task_or_many(spark, monkeypatch):
+    """Ties, silent cells, types without hits and missing names; genes of groups of bounded size are moved once and not range partitioned."""
+    rng = np.random.default_rng(3)
+    labels = [(f"P{c % 2}", c, None if c == 39 else "all", None if c == 38 else f"t{c % 5 % 3}") for c in range(40)] + [("P2", 99, "all", "t0")]
+    labels += [("P0", 0, "all", "t0"), ("P0", 2, "own", "t1"), ("P0", 4, "own", "t0")]  # listed twice; in two groups
+    hits = [(f"P{c % 2}", c, g, float(rng.integers(1, 4)) * 100) for c in range(40) for g in range(6) if rng.random() < 0.4 or g == 5] + [("P1", 1, None, 7.0)]
+    cpm = spark.createDataFrame(hits, "proj_id string, cell_id int, gene_id int, cpm double")
+    cells = spark.createDataFrame(labels, "proj_id string, cell_id int, group string, cell_type string")
+    order = ["proj_id", "group", "cell_type", "gene_id"]
+    spread = annotation.marker_statistics(cpm, cells, most_cells=0).toPandas().sort_values(order, ignore_index=True)
+    mixed = annotation.marker_statistics(cpm, cells, most_cells=15).toPandas().sort_values(order, ignore_index=True)
+
+    def never(*args, **kwargs):
+        raise AssertionError("range partitioned")
+
+    monkeypatch.setattr(annotation, "running_totals", never)
+    one = annotation.marker_statistics(cpm, cells)
+    got = one.toPandas().sort_values(order, ignore_index=True)
+    pd.testing.assert_frame_equal(got, spread, check_dtype=False)
+    pd.testing.assert_frame_equal(got, mixed, check_dtype=False)
+    value = {(p, c, g): x for p, c, g, x in hits}
+    seen = 0
+    for r in got[got.cell_type.notna()].itertuples():
+        of = [(t, value.get((p, c, r.gene_id), 0.0)) for p, c, group, t in labels if (p, group) == (r.proj_id, r.group)]
+        a, b = (np.array([x for t, x in of if (t == r.cell_type) is side]) for side in (True, False))
+        auroc = np.mean((a[:, None] > b) + (a[:, None] == b) / 2)
+        assert np.allclose([r.auroc, r.mean_in, r.mean_out, r.detection_in, r.detection_out], [auroc, a.mean(), b.mean(), (a > 0).mean(), (b > 0).mean()])
+        seen += 1
+    assert seen == 6 * (3 + 3) + len(got[got.group == "own"]) and got.gene_id.notna().all()
+    assert "rangepartitioning" not in one._jdf.queryExecution().executedPlan().toString()
