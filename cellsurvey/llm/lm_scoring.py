@@ -4,11 +4,14 @@ The model is made of the unigram and bigram counts of all documents. A document
 are taken off first. A word after another scores C(v w) / C(v) if the pair occurs in another document, else
 ``backoff`` * C(w) / N; the first word C(w) / N; a count of 0 stands as ``unseen``. The score is the sum of the logarithms.
 
-All documents count. Texts are exploded to one row for every pair of a document, and the rows are partitioned by the hash of
-the pair once; there they meet their count, so that the count table and the rows that are joined with it lie in the same
-partition and neither moves again. Words among the ``frequent`` ones are named by their places, so that a row takes few bytes
-and the words' counts are looked up by place in a table of at most ``frequent`` rows; other words stay open and are joined with the
-whole unigram table. Found pairs are summed per document before they leave the partition.
+All documents count. Texts are exploded to one entry for every pair of a document, and the entries are partitioned by the hash of
+the pair once; there they meet their count, so that the count table and the entries that are joined with it lie in the same
+partition and neither moves again. What a slice of at most 256 documents sends to a partition travels as one row. Words among the
+``frequent`` ones are named by their places, so that an entry takes 8 bytes and the words' counts are looked up by place in an array of
+at most ``frequent``; other words stay open and are joined with the whole unigram table. A word that occurs once is in no other document and
+needs neither: a bitmap of bounded size tells most of them from the other open words, and what it lets through is only moved in vain.
+Uses of an open word meet in the partition of its hash, where they are its count.
+Found pairs are summed per document before they leave the partition, and the sums of a slice leave it together.
 
 A hot pair, one that occurs ``hot_rows`` times or more, would swell its partition. Tasks watch for such pairs while they count
 words (with a table of bounded size, of which the rare pairs are dropped: a pair it loses is not hot). Rows of hot pairs are
@@ -26,7 +29,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellsurvey.llm.common import WordHashes, mixed, own_columns, raw, release_memory, slices
@@ -36,19 +40,23 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _WATCHED = 1 << 18  # pairs that a task remembers while it looks for hot ones
 
 _COUNTS = "word bigint, pair bigint, n bigint"
-# A pair of two frequent words is one number: their places, the uses in the document (6 bits), and the own counts of the words (8 bits each);
-# ``items`` are all that a document sends to one partition. ``other`` holds what does not fit, and documents as a whole (``gain`` is
-# their score if no pair is found) and open words.
-_OTHER = pa.struct([("key", pa.int64()), ("n", pa.int32()), ("hot", pa.int64()), ("gain", pa.float64()), ("left", pa.int64()), ("own_left", pa.int32()),
-                    ("right", pa.int64()), ("own_right", pa.int32()), ("n_words", pa.int64())])
-_ROWS = ("part int, doc_id bigint, size int, items array<bigint>, other struct<key:bigint,n:int,hot:bigint,gain:double,left:bigint,own_left:int,right:bigint,"
-         "own_right:int,n_words:bigint>")
-_USES, _OWN, _MOST_FREQUENT = 6, 8, 1 << 20
-
-
-def _hashed(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+# A pair of two frequent words is one number: their places (20 bits each), the uses in the document (6 bits), and the own counts of the words
+# (9 bits each). ``others`` are records of what does not fit, of pairs that are hot or have open words, and of open words.
+_USES, _OWN, _MOST_FREQUENT, _MOST_BITS = 6, 9, 1 << 20, 1 << 26
+_PACKED = _USES + 2 * _OWN
+_HOT, _LEFT, _RIGHT, _WORD = 1, 2, 4, 8  # kinds of records; _LEFT and _RIGHT: that word is open, and named by its hash instead of its place
+_OTHER = np.dtype([("left", "<i8"), ("right", "<i8"), ("n", "<i4"), ("own_left", "<i4"), ("own_right", "<i4"), ("doc", "u1"), ("kind", "u1")])
+_ROWS = "part int, slice bigint, docs binary, items binary, others binary, doc_ids array<bigint>, sizes array<int>, base array<double>"
+_APART = pa.struct([("hot", pa.int64()), ("n", pa.int32()), ("gain", pa.float64()), ("left", pa.int64()), ("own_left", pa.int32()), ("right", pa.int64()), ("own_right", pa.int32())])
+_SUMS = ("slice bigint, docs array<tinyint>, found array<int>, value array<double>, doc_ids array<bigint>, sizes array<int>, "
+         "apart_docs array<tinyint>, apart array<struct<hot:bigint,n:int,gain:double,left:bigint,own_left:int,right:bigint,own_right:int>>")
+_DOCS = ("slice bigint, doc int, doc_id bigint, n_words bigint, found bigint, value double, "
+         "apart array<struct<hot:bigint,n:int,gain:double,left:bigint,own_left:int,right:bigint,own_right:int>>")
+
+
+def _hashed(batches: Iterator[pa.RecordBatch], column: int, rows: int = 128) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     table = WordHashes()
-    for batch in slices(batches, 128):
+    for batch in slices(batches, rows):
         yield batch, [table.of(t.lower().split()) if t else np.empty(0, np.uint64) for t in raw(batch.column(column))]
     release_memory()
 
@@ -131,10 +139,10 @@ def _count(least_pair: int):
 
 
 class Model:
-    """Counts of the frequent words, sorted by hash, and the hot pairs."""
+    """Counts of the frequent words, sorted by hash, the hot pairs, and a bitmap that holds all other words that occur twice."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, hot: np.ndarray, cut: int, total: int, backoff: float, unseen: float):
-        self.hashes, self.counts, self.hot, self.cut = hashes, counts, hot, cut
+    def __init__(self, hashes: np.ndarray, counts: np.ndarray, hot: np.ndarray, bitmap: np.ndarray, total: int, backoff: float, unseen: float):
+        self.hashes, self.counts, self.hot, self.bitmap = hashes, counts, hot, bitmap
         self.total, self.backoff, self.unseen = total, backoff, unseen
 
     def of(self, words: np.ndarray) -> np.ndarray:
@@ -144,87 +152,226 @@ class Model:
         at = np.minimum(np.searchsorted(self.hashes, words), len(self.hashes) - 1)
         return np.where(self.hashes[at] == words, at, -1)
 
+    def may_repeat(self, words: np.ndarray) -> np.ndarray:
+        """False only for words that occur once, if they are not frequent."""
+        if not len(self.bitmap):
+            return np.zeros(len(words), bool)
+        slot = words & np.uint64(64 * len(self.bitmap) - 1)
+        return (self.bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+
     def is_hot(self, pairs: np.ndarray) -> np.ndarray:
         if not len(self.hot):
             return np.zeros(len(pairs), bool)
         return self.hot[np.minimum(np.searchsorted(self.hot, pairs), len(self.hot) - 1)] == pairs
 
 
+def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Records, cut behind the ``ends``, as binary values."""
+    offsets = (np.r_[0, ends] * data.dtype.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _records(column: pa.Array, dtype: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All records of a binary column without nulls, and how many each value holds."""
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(dtype) if data else np.empty(0, dtype), np.diff(offsets) // dtype.itemsize
+
+
+def _lists(values: np.ndarray | pa.Array, ends: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), values if isinstance(values, pa.Array) else pa.array(values))
+
+
+def _key(kind: np.ndarray, left: np.ndarray, right: np.ndarray, places: int) -> np.ndarray:
+    """Keys of pairs: hashes stand below 0, places above."""
+    some = (kind & (_LEFT | _RIGHT)).astype(np.uint64)
+    return np.where(some > 0, mixed(left.view(np.uint64) * _FACTOR + right.view(np.uint64) + some) | np.uint64(1 << 63), (left * places + right).view(np.uint64)).view(np.int64)
+
+
 def _explode(model: Model, parts: int):
-    """(doc_id, text) -> rows of the documents' pairs, of the documents, and of their open words."""
+    """(doc_id, text) -> one row for every slice and partition, of the documents' pairs and open words, and one row of the documents of a slice."""
 
     part_of = lambda key: (mixed(key.view(np.uint64)) % np.uint64(parts)).astype(np.int32)
 
-    def row_batch(part, doc_id, size, items, other) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(part), doc_id, pa.array(size, pa.int32()), items, other], names=["part", "doc_id", "size", "items", "other"])
+    def rows_of(ids: pa.Array, docs: list[np.ndarray], name: int) -> Iterator[pa.RecordBatch]:
+        size = np.array([len(d) for d in docs])
+        h, doc = np.concatenate(docs), np.repeat(np.arange(len(docs)), size)
+        spread = mixed(np.arange(len(docs), dtype=np.uint64) + np.uint64(name << 8))  # for what needs no partition of its own
+        words, word = np.unique(h, return_inverse=True)
+        own_word, place, own = np.unique(doc * max(1, len(words)) + word, return_inverse=True, return_counts=True)
+        owner, own_word = own_word // max(1, len(words)), own_word % max(1, len(words))
+        places = model.of(words)
+        single = (places < 0) & ~model.may_repeat(words)  # no other document holds them
+        rank, once, named = places[own_word], single[own_word], words[own_word]
+        is_open = (rank < 0) & ~once
+        # logarithms of the counts elsewhere
+        elsewhere = np.where(once, 0, (model.counts[rank] if len(model.counts) else 0) - own)
+        logs = np.where(is_open, 0.0, np.log(np.maximum(elsewhere, model.unseen)))
+        base = np.bincount(doc, weights=logs[place], minlength=len(docs)) - size * np.log(np.maximum(model.total - size, 1))
+        base += np.maximum(size - 1, 0) * math.log(model.backoff)
+        whole = lambda values: _lists(values, np.array([len(docs)]))
+        empty = pa.array([b""])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part_of(spread[:1])), pa.array([name]), empty, empty, empty, whole(ids), whole(size.astype(np.int32)), whole(base)],
+            names=["part", "slice", "docs", "items", "others", "doc_ids", "sizes", "base"])
+
+        at, pair = _pairs(h, doc)
+        _, first, n = np.unique(mixed(pair + spread[doc[at]]), return_index=True, return_counts=True)
+        order = np.argsort(first)  # a document's pairs stay together
+        first, n = first[order], n[order]
+        pair, at = pair[first], at[first]
+        left, right, of = place[at], place[at + 1], doc[at]
+        if once.any():
+            some = ~(once[left] | once[right])
+            n, pair, left, right, of = n[some], pair[some], left[some], right[some], of[some]
+        hot = model.is_hot(pair)
+        name_of = np.where(is_open, named.view(np.int64), rank)
+        kind = (hot * _HOT | is_open[left] * _LEFT | is_open[right] * _RIGHT).astype(np.uint8)
+        key = _key(kind, name_of[left], name_of[right], len(model.hashes))
+        part = part_of(np.where(hot, mixed(pair + spread[of]), key.view(np.uint64)))
+        own_left, own_right = own[left], own[right]
+        apart = (kind > 0) | (n >> _USES > 0) | (np.maximum(own_left, own_right) >> _OWN > 0)
+
+        pairs, opened = np.flatnonzero(apart), np.flatnonzero(is_open)
+        other = np.zeros(len(pairs) + len(opened), _OTHER)
+        x, y = other[: len(pairs)], other[len(pairs) :]
+        x["kind"], x["doc"], x["n"] = kind[pairs], of[pairs], n[pairs]
+        x["left"], x["own_left"], x["right"], x["own_right"] = name_of[left[pairs]], own_left[pairs], name_of[right[pairs]], own_right[pairs]
+        y["kind"], y["doc"], y["left"], y["own_left"] = _WORD, owner[opened], name_of[opened], own[opened]
+        other_part = np.r_[part[pairs], part_of(mixed(named[opened]))]
+
+        x = np.flatnonzero(~apart)
+        x = x[np.argsort(part[x].astype(np.uint16) if parts < 1 << 16 else part[x], kind="stable")]
+        item = ((key[x] << _USES | n[x]) << _OWN | own_left[x]) << _OWN | own_right[x]
+        order = np.argsort(other_part, kind="stable")
+        to = np.unique(np.r_[part[x], other_part])
+        ends, none = np.searchsorted(part[x], to, "right"), pa.nulls(len(to))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(to), pa.array(np.full(len(to), name)), _binary(of[x].astype(np.uint8), ends), _binary(item, ends),
+             _binary(other[order], np.searchsorted(other_part[order], to, "right")), none.cast(pa.list_(pa.int64())), none.cast(pa.list_(pa.int32())),
+             none.cast(pa.list_(pa.float64()))], names=["part", "slice", "docs", "items", "others", "doc_ids", "sizes", "base"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = TaskContext.get().partitionId() << 32
+        for batch, docs in _hashed(batches, 1, 256):
+            # long texts apart
+            cuts = np.flatnonzero(np.diff(np.cumsum([len(d) for d in docs]) >> 20)) + 1
+            for start, end in zip(np.r_[0, cuts], np.r_[cuts, len(docs)]):
+                yield from rows_of(batch.column(0).slice(start, end - start), docs[start:end], name)
+                name += 1
+
+    return run
+
 
-    def others(doc_id, size, **fields) -> pa.RecordBatch:
-        values = [pa.nulls(len(size), f.type) if f.name not in fields else fields[f.name] if isinstance(fields[f.name], pa.Array) else pa.array(fields[f.name], f.type)
-                  for f in _OTHER]
-        return row_batch(part_of(fields["key"]), doc_id, size, pa.nulls(len(size), pa.list_(pa.int64())), pa.StructArray.from_arrays(values, fields=list(_OTHER)))
+def _meet(counts: np.ndarray, unseen: float):
+    """All rows of one partition -> sums over the found pairs and the open words of every document in it, and its pairs that are hot or have open words."""
 
-    named = lambda hashes, is_open: pa.array(hashes.view(np.int64), mask=~is_open)
+    names, item_type, places = ["slice", "docs", "found", "value", "doc_ids", "sizes", "apart_docs", "apart"], np.dtype(np.uint64), len(counts)
+    counts = counts if places else np.zeros(1, np.int64)
+    log_of = lambda place, own: np.log(np.maximum(counts[place] - own, unseen))
+    number = lambda values, shift, width: (values >> np.uint64(shift) & np.uint64((1 << width) - 1)).astype(np.int32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done = 0
-        for batch, docs in _hashed(batches, 1):
-            ids, size = batch.column(0), np.array([len(d) for d in docs])
-            h, doc = np.concatenate(docs), np.repeat(np.arange(len(docs)), size)
-            spread = mixed(np.arange(done, done + len(docs), dtype=np.uint64))  # for rows that need no partition of their own
-            done += len(docs)
-            words, word = np.unique(h, return_inverse=True)
-            own_word, place, own = np.unique(doc * max(1, len(words)) + word, return_inverse=True, return_counts=True)
-            owner, own_word = own_word // max(1, len(words)), own_word % max(1, len(words))
-            rank = model.of(words)[own_word]
-            is_open, name = rank < 0, words[own_word]
-            # if all other words occur once, no other document holds them
-            once = is_open if model.cut <= 2 else np.zeros(len(rank), bool)
-            is_open &= ~once
-            # logarithms of the counts elsewhere
-            elsewhere = np.where(once, 0, (model.counts[rank] if len(model.counts) else 0) - own)
-            logs = np.where(is_open, 0.0, np.log(np.maximum(elsewhere, model.unseen)))
-            base = np.bincount(doc, weights=logs[place], minlength=len(docs)) - size * np.log(np.maximum(model.total - size, 1))
-            base += np.maximum(size - 1, 0) * math.log(model.backoff)
-            yield others(ids, size, key=spread.view(np.int64), n=np.zeros(len(docs)), gain=base, n_words=size)
-            if is_open.any():
-                who, what = owner[is_open], name[is_open]
-                yield others(ids.take(pa.array(who)), size[who], key=mixed(what + spread[who]).view(np.int64), n=-own[is_open], left=what.view(np.int64), own_left=own[is_open])
-            at, pair = _pairs(h, doc)
-            if not len(at):
-                continue
-            _, first, n = np.unique(mixed(pair + spread[doc[at]]), return_index=True, return_counts=True)
-            order = np.argsort(first)  # a document's rows stay together
-            first, n = first[order], n[order]
-            pair, at = pair[first], at[first]
-            left, right, of = place[at], place[at + 1], doc[at]
-            if once.any():
-                some = ~(once[left] | once[right])
-                n, pair, left, right, of = n[some], pair[some], left[some], right[some], of[some]
-            opened, hot = is_open[left] | is_open[right], model.is_hot(pair)
-            # hashes stand below 0, places above
-            key = np.where(opened, pair | np.uint64(1 << 63), (rank[left] * len(model.hashes) + rank[right]).astype(np.uint64))
-            key = np.where(hot, mixed(pair + spread[of]) | np.uint64(1 << 63), key).view(np.int64)
-            own_left, own_right = own[left], own[right]
-            apart = opened | hot | (n >> _USES > 0) | (np.maximum(own_left, own_right) >> _OWN > 0)
-            if apart.any():
-                x, l, r = np.flatnonzero(apart), left[apart], right[apart]
-                yield others(ids.take(pa.array(of[x])), size[of[x]], key=key[x], n=n[x], hot=named(pair[x], hot[x]), gain=logs[l] + logs[r],
-                             left=named(name[l], is_open[l]), own_left=own[l], right=named(name[r], is_open[r]), own_right=own[r])
-            x = np.flatnonzero(~apart)
-            if not len(x):
-                continue
-            part = part_of(key[x])
-            order = np.lexsort((of[x], part))
-            x, part = x[order], part[order]
-            starts = np.flatnonzero(np.r_[True, (part[1:] != part[:-1]) | (of[x][1:] != of[x][:-1])])
-            item = ((key[x] << _USES | n[x]) << _OWN | own_left[x]) << _OWN | own_right[x]
-            doc_of = of[x][starts]
-            yield row_batch(part[starts], ids.take(pa.array(doc_of)), size[doc_of],
-                            pa.ListArray.from_arrays(pa.array(np.r_[starts, len(x)], pa.int32()), pa.array(item)), pa.nulls(len(starts), _OTHER))
+        slice_of, sizes, docs, items, others, n_others = ([np.empty(0, t)] for t in (np.int64, np.int64, np.uint8, item_type, _OTHER, np.int64))
+        for batch in batches:
+            doc, size = _records(batch.column(2), np.dtype(np.uint8))
+            other, n_other = _records(batch.column(4), _OTHER)
+            for column, values in ((slice_of, batch.column(1).to_numpy()), (sizes, size), (docs, doc), (items, _records(batch.column(3), item_type)[0]),
+                                   (others, other), (n_others, n_other)):
+                column.append(values)
+            heads = batch.filter(batch.column(5).is_valid())
+            if heads.num_rows:
+                ids, in_slice, base = (heads.column(c) for c in (5, 6, 7))
+                n = np.diff(ids.offsets.to_numpy())
+                doc, ends = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n), np.cumsum(n)
+                yield pa.RecordBatch.from_arrays(
+                    [heads.column(1), _lists(doc.astype(np.uint8).view(np.int8), ends), _lists(np.zeros(len(doc), np.int32), ends), _lists(base.flatten(), ends),
+                     _lists(ids.flatten(), ends), _lists(in_slice.flatten(), ends), pa.nulls(len(n), pa.list_(pa.int8())), pa.nulls(len(n), pa.list_(_APART))], names=names)
+        slice_of, size, doc, item, other, n_other = (np.concatenate(x) for x in (slice_of, sizes, docs, items, others, n_others))
+        del docs, items, others
+        kind = other["kind"]
+        counted = np.flatnonzero(kind & (_HOT | _WORD) == 0)
+        other_key = _key(kind, other["left"], other["right"], places)
+        key = np.r_[(item >> np.uint64(_PACKED)).view(np.int64), other_key[counted]]
+        n = np.r_[number(item, 2 * _OWN, _USES), other["n"][counted]]
+        # the count table of the partition, joined with what it was counted from
+        order = np.argsort(key)
+        key, n = key[order], n[order]
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+        count = np.repeat(np.add.reduceat(n.astype(np.int64), first), np.diff(np.r_[first, len(key)])) if len(key) else n
+        del key
+        found = count > n
+        at, count = order[found], count[found]
+        del order, n, found
+        plain = at < len(item)
+
+        # pairs of frequent words, summed per document; a slot is a row and a document
+        x = at[plain]
+        of, n = item[x], number(item[x], 2 * _OWN, _USES)
+        left, right = np.divmod((of >> np.uint64(_PACKED)).astype(np.int64), max(1, places))
+        value, uses = np.zeros(len(item)), np.zeros(len(item), np.int32)
+        value[x] = n * (np.log(count[plain] - n) - log_of(left, number(of, _OWN, _OWN)) - log_of(right, number(of, 0, _OWN)))
+        uses[x] = n
+        slot = np.repeat(np.arange(len(size)) << 8, size) | doc
+        if len(item):
+            start = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
+            value, uses, slot = np.add.reduceat(value, start), np.add.reduceat(uses, start, dtype=np.int32), slot[start]
+
+        # the other pairs, as far as words are frequent, and open words
+        other_slot = np.repeat(np.arange(len(n_other)) << 8, n_other) | other["doc"]
+        gain = np.zeros(len(other))
+        for side, opened in (("left", _LEFT | _WORD), ("right", _RIGHT | _WORD)):
+            x = np.flatnonzero(kind & opened == 0)
+            gain[x] += log_of(other[side][x], other[f"own_{side}"][x])
+        other_value, other_uses = np.zeros(len(other)), np.zeros(len(other), np.int32)
+        x = counted[at[~plain] - len(item)]
+        other_uses[x] = other["n"][x]
+        other_value[x] = other["n"][x] * (np.log(count[~plain] - other["n"][x]) - gain[x])
+        x = np.flatnonzero(kind & _WORD)
+        _, word = np.unique(other["left"][x], return_inverse=True)
+        own = other["own_left"][x]
+        other_value[x] = own * np.log(np.maximum(np.bincount(word, weights=own)[word] - own, unseen))
+
+        some = uses > 0
+        used = np.flatnonzero((other_uses > 0) | (kind & _WORD > 0))
+        slot, place = np.unique(np.r_[slot[some], other_slot[used]], return_inverse=True)
+        value = np.bincount(place, weights=np.r_[value[some], other_value[used]], minlength=len(slot))
+        uses = np.bincount(place, weights=np.r_[uses[some], other_uses[used]], minlength=len(slot)).astype(np.int32)
+        rest = np.flatnonzero((kind & _HOT > 0) | (other_uses > 0) & (kind & (_LEFT | _RIGHT) > 0))
+        rest_slot = other_slot[rest]
+        rest, rest_slot = rest[order := np.argsort(rest_slot, kind="stable")], rest_slot[order]
+        here = np.unique(np.r_[slot, rest_slot] >> 8)
+        if len(here):
+            ends, rest_ends = np.searchsorted(slot >> 8, here, "right"), np.searchsorted(rest_slot >> 8, here, "right")
+            in_slice = lambda slot: (slot & 255).astype(np.uint8).view(np.int8)
+            o, k = other[rest], kind[rest]
+            column = lambda values, there: pa.array(np.ascontiguousarray(values), mask=~there)
+            is_hot, left, right = k & _HOT > 0, k & _LEFT > 0, k & _RIGHT > 0
+            apart = pa.StructArray.from_arrays(
+                [column(other_key[rest], is_hot), column(o["n"], k > 0), column(gain[rest], is_hot), column(o["left"], left), column(o["own_left"], left),
+                 column(o["right"], right), column(o["own_right"], right)], fields=list(_APART))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(slice_of[here]), _lists(in_slice(slot), ends), _lists(uses, ends), _lists(value, ends), pa.nulls(len(here), pa.list_(pa.int64())),
+                 pa.nulls(len(here), pa.list_(pa.int32())), _lists(in_slice(rest_slot), rest_ends), _lists(apart, rest_ends)], names=names)
+        release_memory()
 
     return run
 
 
+def _sum_slice(rows: pa.Table) -> pa.Table:
+    """All rows of one slice -> its documents with their sums, and lists of what stays apart."""
+    flat = {name: pa.chunked_array([c.flatten() for c in rows.column(name).chunks], rows.schema.field(name).type.value_type).combine_chunks()
+            for name in ("docs", "found", "value", "doc_ids", "sizes", "apart_docs", "apart")}
+    numpy = lambda name: flat[name].to_numpy(zero_copy_only=False)
+    name, n, doc = rows.column("slice")[0], len(flat["doc_ids"]), numpy("docs").view(np.uint8)
+    add = lambda name: np.bincount(doc, weights=numpy(name), minlength=n)
+    apart_doc = numpy("apart_docs").view(np.uint8)
+    order = np.argsort(apart_doc, kind="stable")
+    apart = _lists(flat["apart"].take(pa.array(order)), np.searchsorted(apart_doc[order], np.arange(n), "right"))
+    columns = [pa.repeat(name, n), np.arange(n, dtype=np.int32), flat["doc_ids"], flat["sizes"].cast(pa.int64()), add("found").astype(np.int64), add("value"), apart]
+    return pa.table(columns, names=["slice", "doc", "doc_id", "n_words", "found", "value", "apart"])
+
+
 def _model(read: DataFrame, backoff: float, unseen: float, frequent: int, hot_rows: int) -> tuple[Model, DataFrame]:
     """The shipped part of the model, and the whole unigram table."""
     counted = durable(read.select("text").mapInArrow(_count(min(64, hot_rows)), _COUNTS).groupBy("word", "pair").agg(F.sum("n").alias("n")))
@@ -244,7 +391,16 @@ def _model(read: DataFrame, backoff: float, unseen: float, frequent: int, hot_ro
     # each is counted less often than it occurs or as often, so there are at most total / limit
     limit = max(hot_rows, total >> 20)
     hot = counted.filter(F.col("pair").isNotNull() & (F.col("n") >= limit)).select("pair").toArrow().column("pair").to_numpy().astype(np.int64)
-    return Model(hashes[order], top.column("n").to_numpy().astype(np.int64)[order], np.sort(hot.view(np.uint64)), cut, total, backoff, unseen), words
+    # one bit for every other word that occurs twice, 16 bits a word as long as they are few
+    repeated = sum(size for level, size, _ in levels if 2 <= level < cut)
+    bits = min(_MOST_BITS, 1 << max(6, (16 * repeated).bit_length()))
+    bitmap = np.zeros(bits // 64 if repeated else 0, np.uint64)
+    if repeated:
+        set_bits = (
+            words.filter((F.col("n") >= 2) & (F.col("n") < cut)).select(F.col("word").bitwiseAND(F.lit(bits - 1)).alias("slot"))
+            .groupBy(F.shiftright("slot", 6).alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("set")).toArrow())
+        bitmap[set_bits.column("at").to_numpy()] = set_bits.column("set").to_numpy().view(np.uint64)
+    return Model(hashes[order], top.column("n").to_numpy().astype(np.int64)[order], np.sort(hot.view(np.uint64)), bitmap, total, backoff, unseen), words
 
 
 def backoff_scores(docs: DataFrame, backoff: float = 0.4, unseen: float = 0.5, frequent: int = 1 << 20, hot_rows: int = 1 << 18,
@@ -254,46 +410,29 @@ def backoff_scores(docs: DataFrame, backoff: float = 0.4, unseen: float = 0.5, f
         raise ValueError(f"frequent: {_MOST_FREQUENT} at most")
     read = own_columns(docs, "doc_id", "text")
     model, words = _model(read, backoff, unseen, frequent, hot_rows)
-    # counts of the frequent words by place: 2^20 rows at most, so it may be sent to all executors
-    ranks = F.broadcast(durable(read.sparkSession.createDataFrame(pa.table({"rank": np.arange(len(model.counts)), "n": model.counts}))))
-    left, right = ranks.toDF("l", "left_n"), ranks.toDF("r", "right_n")
     parts = max(1, math.ceil(model.total / part_rows))
-    size, packed = F.lit(max(1, len(model.hashes))), _USES + 2 * _OWN
-    key = F.coalesce("other.key", F.shiftright("item", packed))
-    bits = lambda at, width: F.shiftright("item", at).bitwiseAND((1 << width) - 1).cast("int")
-    counted = (
-        read.mapInArrow(_explode(model, parts), _ROWS).repartitionById(parts, "part")
-        .select("part", "doc_id", "size", "other", F.explode_outer("items").alias("item")).withColumn("key", key).withColumn("n", F.coalesce("other.n", bits(2 * _OWN, _USES)))
-        .withColumn("count", F.sum("n").over(Window.partitionBy("part", "key"))))
+    met = read.mapInArrow(_explode(model, parts), _ROWS).repartitionById(parts, "part").mapInArrow(_meet(model.counts, unseen), _SUMS)
+    # hot pairs and found pairs with open words stay rows; everything else is a sum. A slice is bounded by its 256 documents
+    sums = durable(met.groupBy("slice").applyInArrow(_sum_slice, _DOCS))
     log_of = lambda count, own: F.log(F.greatest(count - own, F.lit(unseen)))
-    # found instead of backed off: log C(v w) - log C(v) in place of log backoff + log C(w) - log N
-    gained = lambda count, logs: F.col("n") * (F.log(count - F.col("n")) - logs - math.log(backoff) + F.log(F.greatest(F.lit(model.total) - F.col("size"), F.lit(1))))
-    plain, is_hot, is_word = F.col("other").isNull(), F.col("other.hot").isNotNull(), F.col("n") < 0
-    is_doc = F.col("other.n_words").isNotNull()
-    # hot pairs and open words stay rows; everything else is a sum
-    apart = F.when(is_hot | F.col("other.left").isNotNull() | F.col("other.right").isNotNull(), F.struct(
-        "other.hot", "n", "size", F.when(is_hot, F.col("other.gain")).alias("gain"), "other.left", "other.own_left", "other.right", "other.own_right"))
-    logs = F.coalesce("other.gain", log_of(F.col("left_n"), bits(_OWN, _OWN)) + log_of(F.col("right_n"), bits(0, _OWN)))
-    sums = durable(
-        counted.filter(is_doc | is_hot | is_word | (F.col("count") > F.col("n")))
-        .withColumn("l", F.when(plain, F.floor(F.col("key") / size))).withColumn("r", F.when(plain, F.col("key") % size))
-        .join(left, "l", "left").join(right, "r", "left")
-        .select("doc_id", apart.alias("apart"), "other.n_words",
-                F.when(is_doc, F.col("other.gain")).when(is_hot | is_word, F.lit(None)).otherwise(gained(F.col("count"), logs)).alias("value"))
-        .groupBy("doc_id", "apart").agg(F.sum("n_words").alias("n_words"), F.sum("value").alias("value"), F.count(F.lit(1)).alias("times")))
-    rest = sums.filter("apart is not null").select("doc_id", "times", "apart.*")
+    rest = sums.select("slice", "doc", F.explode("apart").alias("apart")).select("slice", "doc", "apart.*")
     hot = rest.filter("hot is not null")
-    counts = durable(hot.groupBy("hot").agg(F.sum(F.col("n") * F.col("times")).alias("count")))
+    counts = durable(hot.groupBy("hot").agg(F.sum("n").alias("count")))
     found = hot.join(counts, "hot").filter(F.col("count") > F.col("n"))
     opened = rest.filter("hot is null").drop("hot").unionByName(found.drop("hot", "count"))
     terms = (
-        opened.select("doc_id", (F.col("n") * F.col("times")).alias("n"), F.explode(F.array(
+        opened.select("slice", "doc", "n", F.explode(F.array(
             F.struct(F.col("left").alias("word"), F.col("own_left").alias("own")), F.struct(F.col("right").alias("word"), F.col("own_right").alias("own")))).alias("use"))
-        .select("doc_id", "n", "use.*").filter("word is not null").join(words.withColumnRenamed("n", "count"), "word")
-        .select("doc_id", (-F.col("n") * log_of(F.col("count"), F.col("own"))).alias("value")))
+        .select("slice", "doc", "n", "use.*").filter("word is not null").join(words.withColumnRenamed("n", "count"), "word")
+        .select("slice", "doc", (-F.col("n") * log_of(F.col("count"), F.col("own"))).alias("value")))
+    # found instead of backed off: log C(v w) - log C(v) in place of log backoff + log C(w) - log N
+    gained = F.col("n") * (F.log(F.col("count") - F.col("n")) - F.col("gain"))
+    not_backed_off = F.log(F.greatest(F.lit(model.total) - F.col("n_words"), F.lit(1))) - math.log(backoff)
     zero = F.lit(0).cast("bigint")
     return (
-        sums.select("doc_id", "n_words", "value")
-        .union(found.select("doc_id", zero, F.col("times") * gained(F.col("count"), F.col("gain")))).union(terms.select("doc_id", zero, "value"))
-        .groupBy("doc_id").agg(F.coalesce(F.sum("n_words"), zero).alias("n_words"), F.coalesce(F.sum("value"), F.lit(0.0)).alias("log_score"))
+        sums.select("slice", "doc", "doc_id", "n_words", "found", "value")
+        .unionByName(found.select("slice", "doc", F.col("n").cast("bigint").alias("found"), gained.alias("value")), allowMissingColumns=True)
+        .unionByName(terms, allowMissingColumns=True)
+        .groupBy("slice", "doc").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), F.coalesce(F.sum("found"), zero).alias("found"), F.sum("value").alias("value"))
+        .groupBy("doc_id").agg(F.coalesce(F.sum("n_words"), zero).alias("n_words"), F.coalesce(F.sum(F.col("value") + F.col("found") * not_backed_off), F.lit(0.0)).alias("log_score"))
         .withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words"))))

@@ -309,6 +309,30 @@ def test_scores(spark, frequent, hot_rows, part_rows):
     assert lm_scoring.backoff_scores(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_scores_are_moved_in_slices(spark, monkeypatch):
+    """A slice of documents sends one row to each partition, words that occur once send none, and no partition is sorted by Spark."""
+    rows = [(i, f"a b c d{i} b{i % 7} e{i} a b") for i in range(600)]
+    sent = []
+    real = lm_scoring._explode
+
+    def spy(model, parts):
+        run = real(model, parts)
+        sent.append((parts, frame(spark, rows).coalesce(1).mapInArrow(run, lm_scoring._ROWS).collect()))
+        return run
+
+    plans = []
+    durable = lm_scoring.durable
+    monkeypatch.setattr(lm_scoring, "_explode", spy)
+    monkeypatch.setattr(lm_scoring, "durable", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or durable(df))
+    got = {r.doc_id: r.log_score for r in lm_scoring.backoff_scores(frame(spark, rows), frequent=5, part_rows=1000).collect()}
+    want = brute_scores(rows)
+    assert all(got[i] == pytest.approx(want[i], rel=1e-10) for i in want)
+    parts, moved = sent[0]
+    assert len(moved) <= 3 * (parts + 1) and not any("Window" in plan for plan in plans)
+    records = np.frombuffer(b"".join(r.others for r in moved), lm_scoring._OTHER)
+    assert 0 < len(records) < 4 * 600  # the open words b0 to b6 and few pairs with them; d and e would add four a document
+
+
 def test_score_query(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()]
     want = brute_scores(docs)
