@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from cellsurvey.llm.common import WordHashes, mixed, own_columns, raw, shingles, slices
 from cellsurvey.llm.components import connected_components
 from cellsurvey.llm.ngram_join import hash_family, intersections, spanning
-from cellsurvey.session import durable
+from cellsurvey.session import discard, durable
 
 _SHINGLE = 5
 _PIECES = "doc_id bigint, node binary, sentence bigint, first int, last int, signature array<int>, anchor boolean, common boolean"
@@ -391,7 +391,9 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
     placed = nodes.select("node", "keep", "other").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     clusters = placed.groupBy("root").agg(F.min("keep").alias("kept"), F.max("other").alias("other")).filter("kept <> other")
     owner = durable(placed.select("node", "root").join(clusters.select("root", "kept"), "root").select("node", "kept"))
+    lines = durable(lines.select("doc_id", "node", "first", "last"))
     twice = durable(with_keeper(parts.drop("node", "signature"), "sentence"))
+    discard(pieces)  # the largest table, before the anchors are grown
     found = (
         lines.join(owner, "node").select("doc_id", "first", "last", "kept")
         .union(twice.select("doc_id", "first", "last", "kept"))

@@ -4,6 +4,7 @@ import collections
 import gzip
 import hashlib
 import math
+import pathlib
 import random
 import zlib
 
@@ -200,6 +201,19 @@ def test_passages(spark, chunk):
     assert paragraphs.repeated_passages(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_pieces_are_dropped_before_anchors_grow(spark, monkeypatch):
+    """The largest table does not stay on disk beside the grown anchors, and nothing needs it any more."""
+    left = []
+    real = paragraphs.grown_anchors
+    durable = paragraphs.durable
+    tables = []
+    monkeypatch.setattr(paragraphs, "durable", lambda df: tables.append(durable(df)) or tables[-1])
+    monkeypatch.setattr(paragraphs, "grown_anchors", lambda *a: left.append(
+        [t.inputFiles()[0] for t in tables[:1] if pathlib.Path(t.inputFiles()[0].removeprefix("file:")).exists()]) or real(*a))
+    found = paragraphs.repeated_passages(frame(spark, passage_documents().items())).collect()
+    assert left == [[]] and len(found) == 12
+
+
 def equal_runs(docs, least):
     """Document -> positions inside runs of ``least`` words or more that another document has too."""
     runs = collections.defaultdict(set)
