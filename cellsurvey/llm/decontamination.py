@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellsurvey.llm.common import WordHashes, own_columns, raw, shingles, slices
+from cellsurvey.llm.common import WordHashes, own_columns, raw, release_memory, shingles, slices
 
 _SHINGLE = 3
 #: lower-cases A-Z and turns every other ASCII character that is no digit or letter into a blank
@@ -76,6 +76,8 @@ def shingle_counts(docs: DataFrame, wanted: dict[int, np.ndarray]) -> dict[int,
                         s = shingles(h, size)
                         for v in s[_members(s, values)].tolist():
                             total[v] += 1
+        table.clear()
+        release_memory()
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.fromiter(total, np.uint64, len(total)).view(np.int64)), pa.array(list(total.values()), pa.int64())], names=["h", "n"])
 
@@ -150,6 +152,8 @@ def _finder(index: dict[int, tuple[np.ndarray, dict[int, list]]], at: int):
                 [*batch.columns, pa.array(sizes, pa.int64()), pa.array(all_s, pa.list_(pa.int32())),
                  pa.array(all_e, pa.list_(pa.int32())), pa.array(all_i, pa.list_(pa.string()))],
                 names=[*batch.schema.names, "n_words", "hit_starts", "hit_ends", "items"])
+        table.clear()
+        release_memory()
 
     return find
 

@@ -21,7 +21,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -37,6 +36,7 @@ _EDGE = ".,;:!?\"'()[]#*$%&|<>"
 _BEGINNINGS = (4, 5, 6)
 _ANY_INSULT = 0  # feature number of "has a word of the list"
 _CACHED = 60_000
+_FITTED = 1 << 18  # occurrences of a block while a model is fitted
 
 
 @dataclass
@@ -88,28 +88,47 @@ def _logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def fit(features: list[np.ndarray], earlier: np.ndarray, y: np.ndarray, dimensions: int, steps: int = 80,
+def fit(at: np.ndarray, size: np.ndarray, earlier: np.ndarray, y: np.ndarray, dimensions: int, steps: int = 80,
         rate: float = 0.3, penalty: float = 1e-3, least_ratio: float = 0.3) -> Model | None:
-    """Logistic model by full gradients with adaptive steps; None if there is one class only."""
+    """Logistic model by full gradients with adaptive steps; None if there is one class only.
+
+    ``at`` holds the features of all documents end to end, ``size`` how many each has. Occurrences are by far the most memory
+    here: two arrays of 32 bits are kept of those that are used, and whatever is made of them is made for a block at a time.
+    """
     share = y.mean() if len(y) else 0.0
     if share in (0.0, 1.0):
         return None
-    n, at = len(y), np.concatenate([np.empty(0, np.int32), *features])
-    doc = np.repeat(np.arange(n, dtype=np.int32), [len(f) for f in features])
-    # masks instead of numbers over all occurrences, which are by far the most memory here
-    seen, hits = np.bincount(at, minlength=dimensions), np.bincount(at[(y > 0)[doc]], minlength=dimensions)
+    n, ends = len(y), np.r_[0, np.cumsum(size)]
+    cuts = np.unique(np.r_[0, np.searchsorted(ends, np.arange(_FITTED, ends[-1], _FITTED)), n])
+    blocks = [slice(a, b) for a, b in zip(cuts[:-1], cuts[1:])]  # of whole documents
+    inside = lambda docs: (at[ends[docs.start]:ends[docs.stop]], np.repeat(np.arange(docs.start, docs.stop, dtype=np.int32), size[docs]))
+    seen, hits = np.zeros(dimensions, np.int64), np.zeros(dimensions, np.int64)
+    for docs in blocks:
+        values, doc = inside(docs)
+        seen += np.bincount(values, minlength=dimensions)
+        hits += np.bincount(values[(y > 0)[doc]], minlength=dimensions)
     ratio = np.log((hits + share) / (share * (seen + 1)))
     ratio[(seen < 2) | (ratio < least_ratio)] = 0
-    used = (ratio != 0)[at]
-    ids, at = np.unique(at[used], return_inverse=True)
-    doc, scale, at = doc[used], ratio[ids][at].astype(np.float32), at.astype(np.int32)
+    wanted = (ratio != 0) & (seen > 0)
+    ids, number = np.flatnonzero(wanted), (np.cumsum(wanted) - 1).astype(np.int32)
+    scale, parts = ratio[ids].astype(np.float32), []
+    for docs in blocks:
+        values, doc = inside(docs)
+        use = wanted[values]
+        parts.append((docs, number[values[use]], doc[use]))
     dense = np.column_stack([np.ones(n), earlier])
     w, d = np.zeros(len(ids)), np.zeros(dense.shape[1])
     d[0] = np.log(share / (1 - share))
     gw2, gd2 = np.full(len(w), 1e-12), np.full(len(d), 1e-12)
     for _ in range(steps):
-        error = _logistic(np.bincount(doc, weights=w[at] * scale, minlength=n) + dense @ d) - y
-        gw = np.bincount(at, weights=error[doc] * scale, minlength=len(ids)) / n + penalty * w
+        z, product = np.empty(n), w * scale
+        for docs, x, doc in parts:
+            z[docs] = np.bincount(doc - docs.start, weights=product[x], minlength=docs.stop - docs.start)
+        error = _logistic(z + dense @ d) - y
+        sums = np.zeros(len(ids))
+        for _, x, doc in parts:
+            np.add.at(sums, x, error[doc] * scale[x])
+        gw = sums / n + penalty * w
         gd = dense.T @ error / n
         gw2 += gw * gw
         gd2 += gd * gd
@@ -162,27 +181,27 @@ def train(docs: DataFrame, labels: DataFrame, dimensions: int = 1 << 18, folds:
         (F.col("is_toxic") & F.col("has_insult")).cast("double").alias("insult"),
         (F.col("is_toxic") & ~F.col("has_insult")).cast("double").alias("veiled"),
         F.col("is_toxic").cast("double").alias("toxic")))
-    rows = durable(rows.mapInArrow(_kept(_telling(rows, folds, least_ratio), dimensions), rows.schema))
-    models: list[Model | None] = []
-    for i, category in enumerate(CATEGORIES):
-        earlier = [f"p_{c}" for c in CATEGORIES[:i]]
-        rounds = durable(
-            rows.withColumn("held", F.explode(F.sequence(F.lit(0), F.lit(folds))))  # fold that is held out; the last: none
-            .groupBy("held").applyInPandas(
-                _round(category, earlier, folds, dimensions, least_ratio),
-                ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-                + f", p_{category} double, ids array<int>, weights array<double>, dense array<double>"))
-        found = rounds.filter("dense is not null").select("ids", "weights", "dense").first()  # of a fixed number of features
-        models.append(found and Model(np.array(found[0], np.int32), np.array(found[1]), np.array(found[2])))
-        rows = rounds.filter("doc_id is not null").drop("ids", "weights", "dense")
-    clean = rows.filter("toxic = 0")
-    cut = clean.agg(F.percentile(f"p_{CATEGORIES[-1]}", F.lit(1 - false_positives))).first()[0]
+    telling = _telling(rows, folds, least_ratio)
+    rows = durable(rows.mapInArrow(_kept(np.unique(np.concatenate(list(telling.values()))), dimensions), rows.schema))
+    rounds: list[list[Model | None]] = []  # of every category the models without fold 0, 1, ..., and the final one
+    for category in CATEGORIES:
+        dealt = rows.mapInArrow(
+            _training(category, telling[category], rounds, dimensions),
+            "doc_id bigint, features array<int>, fold int, y double, earlier array<double>")
+        held = F.filter(F.sequence(F.lit(0), F.lit(folds)), lambda h: h != F.col("fold"))  # fold that is held out; the last: none
+        found = dealt.withColumn("held", F.explode(held)).groupBy("held").applyInArrow(
+            _round(dimensions, least_ratio), "held int, ids array<int>, weights array<double>, dense array<double>")
+        models = {r[0]: Model(*map(np.array, r[1:], (np.int32, float, float))) for r in found.collect()}  # of a fixed number of features
+        rounds.append([models.get(h) for h in range(folds + 1)])
+    clean = rows.filter("toxic = 0").mapInArrow(_training(CATEGORIES[-1], np.empty(0, np.int32), rounds, dimensions),
+                                                "doc_id bigint, features array<int>, fold int, y double, earlier array<double>")
+    cut = clean.agg(F.percentile(F.element_at("earlier", -1), F.lit(1 - false_positives))).first()[0]
     low, high = cut_range
-    return Chain(models, dimensions, min(high, max(low, cut if cut is not None else high)))
+    return Chain([models[-1] for models in rounds], dimensions, min(high, max(low, cut if cut is not None else high)))
 
 
-def _telling(rows: DataFrame, folds: int, least_ratio: float) -> np.ndarray:
-    """Features that some fold's model of some category gives a weight: the rule of ``fit`` on counts per feature and fold.
+def _telling(rows: DataFrame, folds: int, least_ratio: float) -> dict[str, np.ndarray]:
+    """Of every category the features that some fold's model gives a weight: the rule of ``fit`` on counts per feature and fold.
 
     At most one row per feature number comes back, whatever the documents are.
     """
@@ -192,7 +211,7 @@ def _telling(rows: DataFrame, folds: int, least_ratio: float) -> np.ndarray:
         *[inside(j, c).alias(f"{c}{j}") for j in with_ for c in ("seen", *kinds)]).first().asDict()
     counts = rows.select("fold", *kinds, F.lit(1.0).alias("seen"), F.explode("features").alias("id")).groupBy("id").agg(
         *[inside(j, c).alias(f"{c}{j}") for j in with_ for c in ("seen", *kinds)])
-    useful = F.lit(False)
+    useful = {c: F.lit(False) for c in kinds}
     for held in range(folds + 1):
         trained = [j for j in with_ if j != held]
         total = lambda c: sum((F.col(f"{c}{j}") for j in trained), F.lit(0.0))
@@ -200,47 +219,70 @@ def _telling(rows: DataFrame, folds: int, least_ratio: float) -> np.ndarray:
         for c in kinds:
             share = sum(sizes[f"{c}{j}"] or 0 for j in trained) / n if n else 0.0
             if 0 < share < 1:
-                useful = useful | ((total("seen") >= 2) & (F.log((total(c) + share) / (share * (total("seen") + 1))) >= least_ratio - 1e-9))
-    return np.array([r[0] for r in counts.filter(useful).select("id").collect()], np.int32)
+                useful[c] = useful[c] | ((total("seen") >= 2) & (F.log((total(c) + share) / (share * (total("seen") + 1))) >= least_ratio - 1e-9))
+    found = counts.select("id", *[u.alias(c) for c, u in useful.items()]).filter(" or ".join(kinds)).toArrow()
+    return {c: found["id"].filter(found[c]).to_numpy().astype(np.int32) for c in kinds}
+
+
+def _only(lists: pa.ListArray, wanted: np.ndarray) -> pa.ListArray:
+    values = lists.flatten().to_numpy(zero_copy_only=False)
+    ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    use = wanted[values]
+    before = np.concatenate([[0], np.cumsum(use)])[ends].astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(before), pa.array(values[use], pa.int32()))
 
 
 def _kept(ids: np.ndarray, dimensions: int):
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.zeros(dimensions, bool)
         wanted[ids] = True
-        for batch in batches:
-            lists = batch.column("features")
-            values = lists.flatten().to_numpy(zero_copy_only=False)
-            ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            use = wanted[values]
-            before = np.concatenate([[0], np.cumsum(use)])[ends].astype(np.int32)
-            new = pa.ListArray.from_arrays(pa.array(before), pa.array(values[use], pa.int32()))
+        for batch in slices(batches):
+            new = _only(batch.column("features"), wanted)
             yield pa.RecordBatch.from_arrays([new if name == "features" else batch.column(name) for name in batch.schema.names], names=batch.schema.names)
+        release_memory()
 
     return keep
 
 
-def _round(category: str, earlier: list[str], folds: int, dimensions: int, least_ratio: float):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        held = int(pdf.pop("held").iloc[0])
-        pdf = pdf.sort_values("doc_id", kind="stable", ignore_index=True)
-        inside = (pdf["fold"] != held).to_numpy()
-        train_rows = pdf[inside]
-        model = fit(
-            list(train_rows["features"]), train_rows[earlier].to_numpy(float).reshape(len(train_rows), len(earlier)),
-            train_rows[category].to_numpy(float), dimensions, least_ratio=least_ratio)
-        if held == folds:
-            empty = {c: [None] for c in [*pdf.columns, f"p_{category}"]}
-            parts = {"ids": [None if model is None else model.ids], "weights": [None if model is None else model.weights],
-                     "dense": [None if model is None else model.dense]}
-            return pd.DataFrame(empty | parts)
-        out = pdf[~inside].copy()
-        if model is None:
-            out[f"p_{category}"] = 0.0
-        else:
-            score_of = Scorer(model, dimensions)
-            out[f"p_{category}"] = [score_of(f, e) for f, e in zip(out["features"], out[earlier].to_numpy(float).reshape(len(out), len(earlier)))]
-        return out.assign(ids=None, weights=None, dense=None)
+def _training(category: str, ids: np.ndarray, rounds: list[list[Model | None]], dimensions: int):
+    """Rows to train a category on: features of ``ids`` alone, and the earlier probabilities by the models without the row's fold."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.zeros(dimensions, bool)
+        wanted[ids] = True
+        scorers = [[m and Scorer(m, dimensions) for m in models[:-1]] for models in rounds]
+        for batch in slices(batches):
+            lists, folds, out = batch.column("features"), batch.column("fold").to_numpy(), []
+            values, ends = lists.flatten().to_numpy(zero_copy_only=False), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            for fold, a, b in zip(folds, ends[:-1], ends[1:]):
+                earlier: list[float] = []
+                for models in scorers:
+                    earlier.append(models[fold](values[a:b], earlier) if models[fold] else 0.0)
+                out.append(earlier)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), _only(lists, wanted), batch.column("fold"), batch.column(category), pa.array(out, pa.list_(pa.float64()))],
+                names=["doc_id", "features", "fold", "y", "earlier"])
+        release_memory()
+
+    return make
+
+
+def _round(dimensions: int, least_ratio: float):
+    """Training rows of one held-out fold -> their model, if they have both classes."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        held = rows["held"][0].as_py()
+        rows = rows.select(["doc_id", "features", "y", "earlier"]).combine_chunks()
+        rows = rows.take(pa.array(np.argsort(rows["doc_id"].to_numpy(), kind="stable"))).combine_chunks()
+        lists, n = rows["features"].combine_chunks(), rows.num_rows
+        at, size = lists.flatten().to_numpy(zero_copy_only=False), np.diff(lists.offsets.to_numpy())
+        earlier, y = rows["earlier"].combine_chunks().flatten().to_numpy().reshape(n, -1), rows["y"].to_numpy()
+        model = fit(at, size, earlier, y, dimensions, least_ratio=least_ratio)
+        del rows, lists, at
+        release_memory()
+        found = {"held": [held], "ids": [model.ids], "weights": [model.weights], "dense": [model.dense]} if model else {c: [] for c in ("held", "ids", "weights", "dense")}
+        kinds = [pa.int32(), pa.list_(pa.int32()), pa.list_(pa.float64()), pa.list_(pa.float64())]
+        return pa.table([pa.array(v, t) for v, t in zip(found.values(), kinds)], names=list(found))
 
     return run
 

@@ -3,8 +3,11 @@
 import collections
 import hashlib
 import re
+import tracemalloc
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from exact_binomial import upper_tail_ok
@@ -239,3 +242,30 @@ def test_one_class_or_nothing(spark):
     labels = spark.createDataFrame([(0, 0), (2, 0)], "doc_id long, toxic int")
     for some in (labels, labels.limit(0)):
         assert [r.is_toxic for r in toxicity.score(docs, toxicity.train(docs, some)).collect()] == [False] * 3
+
+
+def test_a_fold_is_fitted_in_little_memory():
+    """A task holds the occurrences of its training rows once, not further rows and not many numbers of 64 bits for each."""
+    rng, n, per = np.random.default_rng(3), 2000, 1000
+    rows = pa.table({
+        "held": pa.array(np.zeros(n, np.int32)), "doc_id": pa.array(np.arange(n)),
+        "features": pa.ListArray.from_arrays(pa.array(np.arange(0, n * per + 1, per, dtype=np.int32)), pa.array(rng.integers(0, 1 << 14, n * per).astype(np.int32))),
+        "y": pa.array(np.repeat([0.0, 1.0], n // 2)), "earlier": pa.array([[0.5]] * n)})
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    model = toxicity._round(1 << 14, -9.0)(rows)  # hardly a feature is unused
+    numpy_peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(model["ids"][0]) > 15_000 and pa.total_allocated_bytes() - before < n * per * 4
+    assert numpy_peak < n * per * 20
+
+
+def test_folds_get_the_features_of_their_category():
+    features = pa.array([[1, 2, 3], [], [2, 4]], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([7, 8, 9]), features, pa.array([0, 1, 0], pa.int32()), pa.array([1.0, 0.0, 1.0])], names=["doc_id", "features", "fold", "veiled"])
+    model = toxicity.Model(np.array([2], np.int32), np.array([1.5]), np.array([0.25]))
+    out = next(toxicity._training("veiled", np.array([2, 3], np.int32), [[model, None, model]], 8)(iter([batch])))
+    assert out["features"].to_pylist() == [[2, 3], [], [2]] and out["y"].to_pylist() == [1, 0, 1]
+    p = 1 / (1 + np.exp(-1.75))
+    assert np.allclose([e[0] for e in out["earlier"].to_pylist()], [p, 0, p])
