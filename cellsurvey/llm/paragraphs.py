@@ -25,31 +25,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellsurvey.llm.common import WordHashes, mixed, own_columns, raw, shingles, slices
+from cellsurvey.llm.common import mixed, own_columns, raw, release_memory, shingles, slices
 from cellsurvey.llm.components import connected_components
 from cellsurvey.llm.ngram_join import hash_family, intersections, spanning
 from cellsurvey.session import discard, durable
 
 _SHINGLE = 5
-_PIECES = "doc_id bigint, node binary, sentence bigint, first int, last int, signature array<int>, anchor boolean, common boolean"
-_GROWN = "key bigint, doc_id bigint, place bigint, common boolean"  # place: first word, words and a one, of edges alone
+_PIECES = "doc_id bigint, node binary, sentence bigint, first int, last int, bands array<bigint>, anchor boolean, common boolean"
+_AROUND = "key bigint, after boolean, size int, doc_id bigint, place bigint, words binary, common boolean"  # place: first word and one, of edges alone
+_GROWN = "doc_id bigint, first int, last int, kept bigint"
+_LENGTHS = "key bigint, low bigint, high bigint"
+_EDGES = "key bigint, doc_id bigint, first int, last int"
 _BASE = 0x9E3779B97F4A7C15
 _NAMES = (np.uint64(0x94D049BB133111EB), np.uint64(0xC2B2AE3D27D4EB4F))
-_ENDS = frozenset(b".!?")  # last bytes of words that end a sentence
+_ENDS, _SPACE = (np.isin(np.arange(256), list(x)) for x in (b".!?", b" \t\n\r\x0b\x0c"))  # last bytes of words that end a sentence, what separates words
 _BLOCK, _SHARE = 1 << 18, 2048  # a task marks what makes up a 2048th or more of a block of its pieces
 
 
-class MarkedHashes(WordHashes):
-    """Hashes of words of which the lowest bit says whether a word may end a sentence."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = super().__missing__(word) & ~1 | (word[-1] in _ENDS)
-        return value
-
-
 def tune_bands(threshold: float, recall: float, most_hashes: int = 32) -> tuple[int, int]:
     """(rows, bands): the longest rows for which few enough hashes reach the recall at the threshold."""
     for rows in range(most_hashes, 0, -1):
@@ -67,8 +63,9 @@ def paragraph_sets(hashes: np.ndarray, first: np.ndarray, last: np.ndarray) -> t
     begin = np.cumsum(size) - size
     for i in np.flatnonzero(last - first < _SHINGLE):
         values[begin[i]] = shingles(hashes[first[i] : last[i]], _SHINGLE)[0]
-    order = np.lexsort((values, owner))
-    values, new = values[order], np.ones(len(order), bool)
+    for a, b in zip(begin.tolist(), (begin + size).tolist()):
+        values[a:b].sort()
+    new = np.ones(len(owner), bool)
     new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
     begin = np.searchsorted(np.flatnonzero(new), begin)
     values = values[new]
@@ -80,24 +77,30 @@ def _names(name: np.ndarray) -> pa.Array:
     return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(name), [None, pa.py_buffer(name.tobytes())]).cast(pa.binary())
 
 
-def signatures(values: np.ndarray, begin: np.ndarray, family: tuple[np.ndarray, np.ndarray]) -> pa.Array:
-    """MinHash signatures of the sets that begin at the places, 32 bits a function."""
-    out = np.empty((len(begin), len(family[0])), np.uint32)
+def band_keys(values: np.ndarray, begin: np.ndarray, family: tuple[np.ndarray, np.ndarray], rows: int) -> pa.Array:
+    """One number for every band of ``rows`` MinHash functions (32 bits each), of the sets that begin at the places."""
+    out = np.repeat(np.arange(len(family[0]) // rows, dtype=np.uint64)[None, :], len(begin), axis=0)
     for k, (scale, shift) in enumerate(zip(*family)):
-        out[:, k] = np.minimum.reduceat(values * scale + shift, begin) >> np.uint64(32)
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(begin) + 1, dtype=np.int32) * np.int32(len(family[0]))), pa.array(out.view(np.int32).ravel()))
+        least = np.minimum.reduceat(values * scale + shift, begin) >> np.uint64(32)
+        out[:, k // rows] = mixed(out[:, k // rows] * np.uint64(_BASE) + least)
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(begin) + 1, dtype=np.int32) * np.int32(out.shape[1])), pa.array(out.view(np.int64).ravel()))
 
 
-def layout(texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Words of the texts one after another, the number of words up to the end of each line, and of each text."""
-    words, lines, ends = [], [], []
-    for text in texts:
-        for line in text.split(b"\n"):
-            if found := line.split():
-                words += found
-                lines.append(len(words))
-        ends.append(len(words))
-    return words, np.array(lines, np.int64), np.array(ends, np.int64)
+def layout(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of the texts one after another, the number of words up to the end of each line that has some, and of each text.
+
+    The lowest bit of a hash says whether the word may end a sentence.
+    """
+    data = b"\n".join([*texts, b""])
+    words = data.split()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    held = np.frombuffer(data, np.uint8)
+    space = _SPACE[held]
+    last = np.flatnonzero(space[1:] & ~space[:-1])  # last bytes of the words
+    hashes = hashes & ~np.uint64(1) | _ENDS[held[last]]
+    lines = np.searchsorted(last, np.flatnonzero(held == 10))
+    ends = np.searchsorted(last, np.cumsum([len(t) + 1 for t in texts]) - 1)
+    return hashes, lines[np.diff(lines, prepend=0) > 0], ends
 
 
 def sentences(hashes: np.ndarray, lines: np.ndarray, least: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
@@ -108,13 +111,14 @@ def sentences(hashes: np.ndarray, lines: np.ndarray, least: int, longest: int) -
     first = np.r_[0, last[:-1]]
     long = np.flatnonzero(last - first > longest)
     more = []
-    for i in long:
-        start = first[i]
-        for cut in np.flatnonzero((hashes[start : last[i]] >> np.uint64(8)) % np.uint64(8) == 0) + (start + 1):
+    places = np.flatnonzero((hashes >> np.uint64(8)) % np.uint64(8) == 0) + 1
+    within = zip(first[long].tolist(), last[long].tolist(), np.searchsorted(places, first[long], "right"), np.searchsorted(places, last[long], "right"))
+    for start, end, a, b in within:
+        for cut in places[a:b].tolist():
             if cut - start >= least:
                 more.append((start, cut))
                 start = cut
-        more.append((start, last[i]))
+        more.append((start, end))
     if more:
         cut = np.array(more)
         first, last = np.r_[np.delete(first, long), cut[:, 0]], np.r_[np.delete(last, long), cut[:, 1]]
@@ -172,25 +176,24 @@ def _marks(key: np.ndarray) -> pa.Array:
     return pa.array(count[number] >= _BLOCK // _SHARE)
 
 
-def _cutter(least_words: int, least_sentence: int, longest_sentence: int, hashes: int, seed: int, k: int, w: int):
+def _cutter(least_words: int, least_sentence: int, longest_sentence: int, hashes: int, band: int, seed: int, k: int, w: int):
     names = [c.split()[0] for c in _PIECES.split(", ")]
 
     def parts(waiting: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         doc_id, key, first, last, anchor = (np.concatenate(c) for c in zip(*waiting))
         return pa.RecordBatch.from_arrays(
             [pa.array(doc_id, pa.int64()), pa.nulls(len(key), pa.binary()), pa.array(key), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)),
-             pa.nulls(len(key), pa.list_(pa.int32())), pa.array(anchor), _marks(key)], names=names)
+             pa.nulls(len(key), pa.list_(pa.int64())), pa.array(anchor), _marks(key)], names=names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, family = MarkedHashes(), hash_family(hashes, seed)
+        family = hash_family(hashes, seed)
         waiting, rows = [], 0
         for batch in slices(batches, 64):
             batch = batch.filter(batch.column(1).is_valid())
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            words, lines, ends = layout(raw(batch.column(1)))
-            if not words:
+            h, lines, ends = layout(raw(batch.column(1)))
+            if not len(h):
                 continue
-            h = table.of(words)
             runs, begins = Runs(h), np.r_[0, ends[:-1]]
             place = lambda at: np.searchsorted(ends, at, "right")
             a, key = anchors(runs, ends, k, w)
@@ -210,7 +213,7 @@ def _cutter(least_words: int, least_sentence: int, longest_sentence: int, hashes
                 doc, n = place(first), len(first)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[doc], pa.int64()), _names(name), pa.nulls(n, pa.int64()), pa.array((first - begins[doc]).astype(np.int32)),
-                     pa.array((last - begins[doc]).astype(np.int32)), signatures(values, begin, family), pa.array(np.zeros(n, bool)), pa.array(np.zeros(n, bool))], names=names)
+                     pa.array((last - begins[doc]).astype(np.int32)), band_keys(values, begin, family, band), pa.array(np.zeros(n, bool)), pa.array(np.zeros(n, bool))], names=names)
         if rows:
             yield parts(waiting)
 
@@ -218,63 +221,147 @@ def _cutter(least_words: int, least_sentence: int, longest_sentence: int, hashes
 
 
 def _grower(k: int, w: int):
-    """(doc_id, text, places) -> the anchors at the places, longer by 1 to w - 1 words to the left or to the right."""
+    """(doc_id, text, places) -> the anchors at the places, each with up to w - 1 words (48 bits of their hashes) before or after it.
+
+    The key names the anchor, the side and the first word there: who shares any word beside an anchor shares that one.
+    """
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, more = MarkedHashes(), np.arange(1, w)
-        out: list[tuple[np.ndarray, ...]] = []
+        more, names = np.arange(1, w), [c.split()[0] for c in _AROUND.split(", ")]
+        waiting: list[tuple[np.ndarray, ...]] = []
         rows = 0
 
         def block() -> pa.RecordBatch:
-            columns = [np.concatenate(c) for c in zip(*out)]
-            return pa.RecordBatch.from_arrays([*map(pa.array, columns), _marks(columns[0])], names=[c.split()[0] for c in _GROWN.split(", ")])
+            key, after, size, doc_id, place, words = (np.concatenate(c) for c in zip(*waiting))
+            data = pa.FixedSizeBinaryArray.from_buffers(pa.binary(6 * (w - 1)), len(key), [None, pa.py_buffer(words.tobytes())])
+            return pa.RecordBatch.from_arrays([*map(pa.array, (key, after, size, doc_id, place)), data.cast(pa.binary()), _marks(key)], names=names)
 
         for batch in slices(batches, 128):
-            offsets = batch.column(2).offsets.to_numpy()
+            h, _, ends = layout(raw(batch.column(1)))
+            runs, short, begins = Runs(h), np.r_[h, np.uint64(0)].view(np.uint8).reshape(-1, 8)[:, 2:], np.r_[0, ends[:-1]]
             places = batch.column(2).flatten()
-            columns = [places.field(n).to_numpy(zero_copy_only=False) for n in range(6)]
-            for row, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), raw(batch.column(1)))):
-                runs = Runs(table.of(text.split()))
-                p, key, left, right, head, tail = (c[offsets[row] - offsets[0] : offsets[row + 1] - offsets[0]] for c in columns)
-                p = p.astype(np.int64)
-                here = np.flatnonzero(p + k <= runs.words)
-                here = here[runs.of(p[here], p[here] + k) == key[here]]  # another row of this id may have another text
-                for side, edge, sign in ((left, head, -1), (right, tail, 1)):
-                    at = here[side[here]]
-                    i, e = np.nonzero((p[at][:, None] >= more) if sign < 0 else (p[at][:, None] + k + more <= runs.words))
-                    first = p[at][i] - (more[e] if sign < 0 else 0)
-                    last = p[at][i] + k + (more[e] if sign > 0 else 0)
-                    out.append((runs.of(first, last), np.full(len(i), doc_id), np.where(edge[at][i].astype(bool), first << 24 | (last - first) << 1 | 1, 0)))
-                    rows += len(i)
-            if rows >= _BLOCK:
+            p, key, left, right, head, tail = (places.field(n).to_numpy(zero_copy_only=False) for n in range(6))
+            doc = np.repeat(np.arange(len(ends)), np.diff(batch.column(2).offsets.to_numpy()))
+            at = begins[doc] + p
+            here = np.flatnonzero(at + k <= ends[doc])
+            here = here[runs.of(at[here], at[here] + k) == key[here]]  # another row of this id may have another text
+            ids = batch.column(0).to_numpy()
+            for after, side, edge in ((False, left, head), (True, right, tail)):
+                i = here[side[here].astype(bool)]
+                room = ends[doc[i]] - at[i] - k if after else at[i] - begins[doc[i]]
+                i, size = i[room > 0], np.minimum(room[room > 0], w - 1)
+                word = at[i][:, None] + (k - 1 + more if after else -more)
+                word[more > size[:, None]] = len(h)
+                beside = mixed(mixed(key[i].view(np.uint64) * np.uint64(2) + np.uint64(after)) * np.uint64(_BASE) + h[word[:, 0]]).view(np.int64)
+                waiting.append((beside, np.full(len(i), after), size.astype(np.int32), ids[doc[i]], np.where(edge[i].astype(bool), p[i].astype(np.int64) + 1, 0),
+                                short[word].reshape(len(i), 6 * (w - 1))))
+                rows += len(i)
+            if rows >= _BLOCK // 8:
                 yield block()
-                out, rows = [], 0
+                waiting, rows = [], 0
         if rows:
             yield block()
+        release_memory()
 
     return grow
 
 
+def _around(table: pa.RecordBatch, steps: int) -> tuple[np.ndarray, ...]:
+    """Columns of rows of ``_grower`` but the last; the words as numbers."""
+    key, after, size, doc_id, place = (table.column(c).to_numpy(zero_copy_only=False) for c in range(5))
+    words = np.zeros((len(key), steps, 8), np.uint8)
+    words[:, :, 2:] = np.frombuffer(b"".join(table.column(5).to_pylist()), np.uint8).reshape(len(key), steps, 6)
+    return key, after, size, doc_id, place, words.view(np.uint64)[:, :, 0]
+
+
+def _span(place: np.ndarray, after: np.ndarray, length: np.ndarray, k: int) -> list[np.ndarray]:
+    """First and last words of anchors at the places that are longer by the lengths."""
+    first = place - 1 - np.where(after, 0, length)
+    return [first.astype(np.int32), (first + k + length).astype(np.int32)]
+
+
+def longest(key: np.ndarray, after: np.ndarray, size: np.ndarray, doc_id: np.ndarray, place: np.ndarray, words: np.ndarray, k: int) -> list[np.ndarray]:
+    """(doc_id, first, last, kept) of the anchors at edges, for every ``kept`` as long as another document has the same words around the anchor.
+
+    Rows come by key. Word by word, rows stay that still share all words so far with a row of another document.
+    """
+    group = np.cumsum(np.r_[0, key[1:] != key[:-1]])
+    alive, length, best, found = np.arange(len(key)), np.zeros(len(key), np.int64), np.zeros(len(key), np.int64), []
+    take = lambda rows: found.append((doc_id[rows], *_span(place[rows], after[rows], length[rows], k), best[rows]))
+    for step in range(words.shape[1]):
+        alive = alive[size[alive] > step]
+        if not len(alive):
+            break
+        alive = alive[np.lexsort((words[alive, step], group[alive]))]
+        g, word = group[alive], words[alive, step]
+        begin = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (word[1:] != word[:-1])])
+        number = np.repeat(np.arange(len(begin)), np.diff(np.r_[begin, len(alive)]))
+        low, high = (best_of.reduceat(doc_id[alive], begin) for best_of in (np.minimum, np.maximum))
+        stays = ((low != high) & np.logical_or.reduceat(place[alive] > 0, begin))[number]
+        alive, kept = alive[stays], low[number[stays]]
+        group[alive] = number[stays]
+        take(alive[(place[alive] > 0) & (length[alive] > 0) & (best[alive] != kept)])
+        best[alive], length[alive] = kept, step + 1
+    take(np.flatnonzero((place > 0) & (length > 0)))
+    return [np.concatenate(c) for c in zip(*found)]
+
+
+def _longest(k: int, w: int):
+    """Rows of ``_grower`` sorted by key -> the grown anchors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, rest = [c.split()[0] for c in _GROWN.split(", ")], None
+        done = lambda rows: pa.RecordBatch.from_arrays(list(map(pa.array, longest(*_around(rows, w - 1), k))), names=names)
+        for batch in batches:
+            rows = pa.concat_batches([rest, batch]) if rest is not None and rest.num_rows else batch
+            key = rows.column(0).to_numpy()
+            last = int(np.searchsorted(key, key[-1])) if len(key) else 0  # a key may go on in the next batch
+            if last:
+                yield done(rows.slice(0, last))
+            rest = rows.slice(last)
+        if rest is not None and rest.num_rows:
+            yield done(rest)
+        release_memory()
+
+    return run
+
+
+def _lengths(k: int, w: int, edges: bool = False):
+    """A row for every length, with a key of the anchor and its words: of rows of ``_grower`` the spans, of aggregated ones their smallest and largest id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [c.split()[0] for c in (_EDGES if edges else _LENGTHS).split(", ")]
+        for batch in slices(batches, 4096):
+            key, after, size, low, high, words = _around(batch, w - 1)  # of an edge: its id and place
+            now = key.view(np.uint64)
+            for step in range(w - 1):
+                now = mixed(now * np.uint64(_BASE) + words[:, step])
+                i = np.flatnonzero(size > step)
+                rest = _span(high[i], after[i], np.full(len(i), step + 1), k) if edges else [high[i]]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, [now[i].view(np.int64), low[i], *rest])), names=names)
+
+    return run
+
+
 def _repeated(pieces: DataFrame, key: str) -> DataFrame:
     """(key, kept) of what occurs in two documents or more."""
     return pieces.groupBy(key).agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("other")).filter("kept <> other").drop("other")
 
 
-def with_keeper(rows: DataFrame, key: str, wanted: Column | None = None) -> DataFrame:
-    """The (wanted) rows whose key occurs in two documents or more, with the smallest id among these as ``kept``.
+def with_keeper(rows: DataFrame, key: str) -> DataFrame:
+    """The rows whose key occurs in two documents or more, with the smallest id among these as ``kept``.
 
     The rows are moved once, by their key. What some task marked as common is aggregated before it is moved instead, and
     joined with the few results, so that no key, however frequent, meets in one task.
     """
-    wanted = F.lit(True) if wanted is None else wanted
     common = durable(rows.filter("common").select(key).distinct())
     frequent = rows.join(common, key, "left_semi").drop("common")
     by_key = Window.partitionBy(key)
     rest = (
         rows.join(common, key, "left_anti").drop("common")
         .withColumn("kept", F.min("doc_id").over(by_key)).withColumn("other", F.max("doc_id").over(by_key))
-        .filter((F.col("kept") != F.col("other")) & wanted).drop("other"))
-    return rest.unionByName(frequent.filter(wanted).join(durable(_repeated(frequent, key)), key))
+        .filter("kept <> other").drop("other"))
+    return rest.unionByName(frequent.join(durable(_repeated(frequent, key)), key))
 
 
 def grown_anchors(docs: DataFrame, found: DataFrame, k: int, w: int) -> DataFrame:
@@ -288,23 +375,31 @@ def grown_anchors(docs: DataFrame, found: DataFrame, k: int, w: int) -> DataFram
     ends = durable(placed.filter("head or tail").groupBy("sentence").agg(F.max("head").alias("left"), F.max("tail").alias("right")))
     places = placed.join(ends, "sentence").groupBy("doc_id").agg(
         F.collect_list(F.struct("first", "sentence", "left", "right", "head", "tail")).alias("places"))
-    grown = durable(
+    around = durable(
         own_columns(docs, "doc_id", "text").filter("text is not null").join(places, "doc_id")
-        .select("doc_id", "text", "places").mapInArrow(_grower(k, w), _GROWN))
-    first = F.shiftright("place", 24)
-    return with_keeper(grown, "key", F.col("place") != 0).select(
-        "doc_id", first.cast("int").alias("first"), (first + F.shiftright("place", 1) % (1 << 23)).cast("int").alias("last"), "kept")
+        .select("doc_id", "text", "places").mapInArrow(_grower(k, w), _AROUND))
+    common = durable(around.filter("common").select("key").distinct())
+    rest = (
+        around.join(common, "key", "left_anti").select(*around.columns[:-1])
+        .repartition("key").sortWithinPartitions("key").mapInArrow(_longest(k, w), _GROWN))
+    # what is common meets in no task: equal words around an anchor are one row before lengths are made of them, edges are joined with the results
+    frequent = around.join(common, "key", "left_semi").select(*around.columns[:-1])
+    alike = frequent.groupBy("key", "after", "size", "words").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    kept = durable(
+        alike.select("key", "after", "size", "low", "high", "words").mapInArrow(_lengths(k, w), _LENGTHS)
+        .groupBy("key").agg(F.min("low").alias("kept"), F.max("high").alias("other")).filter("kept <> other").drop("other"))
+    edges = frequent.filter("place > 0").mapInArrow(_lengths(k, w, True), _EDGES)
+    return rest.unionByName(edges.join(kept, "key").select("doc_id", "first", "last", "kept"))
 
 
 def _shingler(least_words: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = MarkedHashes()
         for batch in slices(batches, 64):
-            words, lines, _ = layout(raw(batch.column(0)))
+            h, lines, _ = layout(raw(batch.column(0)))
             first = np.r_[0, lines[:-1]].astype(np.int64)[: len(lines)]
             wide = lines - first >= least_words
             if wide.any():
-                values, begin, name = paragraph_sets(table.of(words), first[wide], lines[wide])
+                values, begin, name = paragraph_sets(h, first[wide], lines[wide])
                 sets = pa.ListArray.from_arrays(pa.array(np.r_[begin, len(values)].astype(np.int32)), pa.array(values.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([_names(name), sets], names=["node", "shingles"])
 
@@ -349,25 +444,24 @@ def _edges(rows: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.binary()) for k in (0, 1)], names=["a", "b"])
 
 
-def near_paragraphs(docs: DataFrame, nodes: DataFrame, rows: int, bands: int, threshold: float, least_words: int, chunk: int) -> DataFrame:
+def near_paragraphs(docs: DataFrame, nodes: DataFrame, threshold: float, least_words: int, chunk: int) -> DataFrame:
     """Verified links (a, b) between colliding paragraphs, as spanning forests."""
-    keys = nodes.select("node", F.posexplode(F.transform(
-        F.sequence(F.lit(0), F.lit(bands - 1)), lambda b: F.xxhash64(b, F.slice("signature", b * rows + 1, F.lit(rows))))).alias("band", "key"))
-    sizes = keys.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    members = durable(keys.join(sizes, ["band", "key"]))
+    keys = nodes.select("node", F.explode("bands").alias("key"))
+    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    members = durable(keys.join(sizes, "key"))
     wanted = durable(members.select("node").distinct())
     # shingles of colliding paragraphs only, from the first document that holds each
     texts = own_columns(docs, "doc_id", "text").filter("text is not null").join(
         nodes.join(wanted, "node").select(F.col("keep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
     sets = texts.mapInArrow(_shingler(least_words), "node binary, shingles array<bigint>").join(wanted, "node", "left_semi").dropDuplicates(["node"])
     # buckets of two are pairs: one that collides in several bands is compared once
-    pairs = members.filter("n = 2").groupBy("band", "key").agg(F.sort_array(F.collect_list("node")).alias("m")).select("m").distinct().select(
+    pairs = members.filter("n = 2").groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("m")).select("m").distinct().select(
         F.lit(-1).alias("band"), F.xxhash64("m").alias("key"), F.explode("m").alias("node"), F.lit(0).alias("chunk"), F.lit(0).alias("i"), F.lit(0).alias("j"))
     # every other paragraph goes to the pairs of chunks of its bucket that its own chunk is in
     dealt = (
         members.filter("n > 2").withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int"))
         .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-        .select("band", "key", "node", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
+        .select(F.lit(0).alias("band"), "key", "node", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
         .select("band", "key", "node", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
         .unionByName(pairs))
     blocks = (
@@ -383,16 +477,16 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
     w = (least_span + 1) // 2
     k = least_span + 1 - w
     pieces = durable(own_columns(docs, "doc_id", "text").filter("doc_id is not null").mapInArrow(
-        _cutter(least_words, least_sentence, longest_sentence, rows * bands, seed, k, w), _PIECES))
+        _cutter(least_words, least_sentence, longest_sentence, rows * bands, rows, seed, k, w), _PIECES))
     lines, parts = pieces.filter("node is not null"), pieces.filter("node is null")
-    nodes = durable(lines.groupBy("node").agg(
-        F.min("doc_id").alias("keep"), F.max("doc_id").alias("other"), F.first("signature").alias("signature")))
-    roots = connected_components(near_paragraphs(docs, nodes, rows, bands, threshold, least_words, chunk))
+    # equal sets have equal bands; as a part of the key they need no sorting
+    nodes = durable(lines.groupBy("node", "bands").agg(F.min("doc_id").alias("keep"), F.max("doc_id").alias("other")))
+    roots = connected_components(near_paragraphs(docs, nodes, threshold, least_words, chunk))
     placed = nodes.select("node", "keep", "other").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     clusters = placed.groupBy("root").agg(F.min("keep").alias("kept"), F.max("other").alias("other")).filter("kept <> other")
     owner = durable(placed.select("node", "root").join(clusters.select("root", "kept"), "root").select("node", "kept"))
     lines = durable(lines.select("doc_id", "node", "first", "last"))
-    twice = durable(with_keeper(parts.drop("node", "signature"), "sentence"))
+    twice = durable(with_keeper(parts.drop("node", "bands"), "sentence"))
     discard(pieces)  # the largest table, before the anchors are grown
     found = (
         lines.join(owner, "node").select("doc_id", "first", "last", "kept")

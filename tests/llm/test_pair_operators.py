@@ -265,6 +265,39 @@ def test_passages_of_short_lines(spark):
     assert len(want) == 15 and all(len(v) >= 60 for v in want.values())
 
 
+def test_words_around_anchors():
+    """One row per anchor at an edge, side and keeper: the longest, as brute force over all lengths has it."""
+    rng, steps, k = np.random.default_rng(5), 4, 3
+    n = 400
+    key, after = np.sort(rng.integers(0, 12, n)), np.zeros(n, bool)
+    after[:] = key % 2 == 1
+    size, doc = rng.integers(1, steps + 1, n).astype(np.int32), rng.integers(0, 40, n)
+    place, words = np.where(rng.random(n) < 0.5, rng.integers(10, 99, n), 0), rng.integers(0, 3, (n, steps)).astype(np.uint64)
+    want = {}
+    for i in np.flatnonzero(place):
+        for e in range(1, size[i] + 1):
+            ids = {doc[j] for j in range(n) if key[j] == key[i] and size[j] >= e and (words[j, :e] == words[i, :e]).all()}
+            if len(ids) > 1:
+                first = place[i] - 1 - (0 if after[i] else e)
+                want[i, min(ids)] = (doc[i], first, first + k + e, min(ids))
+    got = list(zip(*paragraphs.longest(key, after, size, doc, place, words, k)))
+    assert want and sorted(got) == sorted(want.values())
+
+
+@pytest.mark.parametrize("copies", [6, 1200])
+def test_anchors_do_not_leave_a_row_per_length(spark, monkeypatch, copies):
+    """What leaves the task that reads the texts is a row per anchor and side, common or not."""
+    rng = random.Random(11)
+    line = lambda n: " ".join(f"g{rng.randrange(100_000)}" for _ in range(n))
+    passage = line(60)
+    docs = {i: f"{line(20)} {passage} {line(20)}" for i in range(copies)}
+    made, durable = [], paragraphs.durable
+    monkeypatch.setattr(paragraphs, "durable", lambda df: made.append(durable(df)) or made[-1])
+    check_passages(spark, docs)
+    around, = [t for t in made if {"place", "words"} <= set(t.columns)]
+    assert 0 < around.count() <= 2 * copies * 60 and (around.filter("common").count() > 0) == (copies > 1000)
+
+
 def test_passage_query(spark):
     """Every line of 30 words or more that two documents share exactly is inside a passage of each, and all else is near such a line."""
     docs = dict(spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect())
